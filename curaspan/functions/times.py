@@ -5,31 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from curaspan.functions.text import is_blank
-
 _ISO_SHAPE = (
     r"\A(\d{4})-?(\d{2})-?(\d{2})"
     r"(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(?:[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)?)?\z"
 )
 
-# The date layouts of tabular sources, in order of preference:
-# year first, then month first, then day first. (shape that selects the layout,
-# layout.) An optional clock time may follow each.
+# The date layouts of tabular sources as (shape, layout). Numeric
+# dates are read month first and, where that fails, day first.
 DATE_LAYOUTS: tuple[tuple[str, str], ...] = (
     (r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"),
-    (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
-    (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
     (r"\d{1,2}-[A-Za-z]{3}-\d{4}", "d-MMM-yyyy"),
+    (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
+    (r"[A-Za-z]{4,} \d{1,2}, \d{4}", "MMMM d, yyyy"),
+    (r"[A-Za-z]{3} \d{1,2}, \d{4}", "MMM d, yyyy"),
+    (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
     (r"\d{1,2} [A-Za-z]{3} \d{4}", "d MMM yyyy"),
     (r"\d{1,2} [A-Za-z]{4,} \d{4}", "d MMMM yyyy"),
-    (r"[A-Za-z]{3} \d{1,2}, \d{4}", "MMM d, yyyy"),
-    (r"[A-Za-z]{3,} \d{1,2}, \d{4}", "MMMM d, yyyy"),
+)
+DAY_FIRST_LAYOUTS: tuple[tuple[str, str], ...] = (
     (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
     (r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
 )
-_CLOCK = r"[ T](\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)"
-_ZONE = r"(?:Z| ?[+-]\d{2}:?\d{2}| UTC)?"
+_CLOCK_LAYOUT = "['T'][ ][H:mm[:ss[.SSSSSS]]]"
+_CLOCK = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)"
+_ZONE = r"(?:Z| ?[+-]\d{2}:?\d{2}| UTC)"
 
 
 def parse_iso(raw: Column) -> Column:
@@ -54,23 +54,24 @@ def parse_iso(raw: Column) -> Column:
 
 
 def parse_due_date(raw: Column) -> Column:
-    """Date text in one of several layouts to a timestamp, month before day.
+    """Date text in one of several layouts, with or without a clock time, to a timestamp.
 
     A zone suffix is dropped, not converted. Blank or unknown text is NULL. The
-    shape test picks the layout, so a value is parsed once or twice, not once
-    per layout.
+    shape of a value picks its layout, so it is parsed once, or twice if numeric
+    and not a valid month-first date.
     """
-    value = F.trim(raw)
-    day = F.regexp_replace(value, rf"{_CLOCK}{_ZONE}\z", "")
-    time = F.regexp_extract(value, rf"{_CLOCK}{_ZONE}\z", 1)
-    attempts = []
-    for shape, layout in DATE_LAYOUTS:
-        matched = F.when(day.rlike(rf"\A{shape}\z"), day)
-        attempts.append(F.try_to_timestamp(matched, F.lit(layout)))
-    midnight = F.coalesce(*attempts)
-    with_time = F.try_to_timestamp(F.concat(F.date_format(midnight, "yyyy-MM-dd "), time))
-    return F.when(is_blank(raw), F.lit(None).cast("timestamp")).otherwise(
-        F.when(time == "", midnight).otherwise(with_time)
+    value = F.regexp_replace(F.trim(raw), rf"({_CLOCK}){_ZONE}\z", "$1")
+
+    def layout_of(layouts: tuple[tuple[str, str], ...]) -> Column:
+        chosen = F.lit(None).cast("string")
+        for shape, layout in reversed(layouts):
+            fits = F.trim(raw).rlike(rf"\A{shape}(?:{_CLOCK}{_ZONE}?)?\z")
+            chosen = F.when(fits, F.lit(layout + _CLOCK_LAYOUT)).otherwise(chosen)
+        return chosen
+
+    return F.coalesce(
+        F.try_to_timestamp(value, layout_of(DATE_LAYOUTS)),
+        F.try_to_timestamp(value, layout_of(DAY_FIRST_LAYOUTS)),
     )
 
 

@@ -38,6 +38,15 @@ def _quote(phrase: Column) -> Column:
     )
 
 
+def _grams(words: Column, n: int) -> Column:
+    """All sequences of ``n`` words joined by a blank; NULL for fewer words."""
+    if n == 1:
+        return words
+    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+    joined = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.when(F.size(words) >= n, joined)
+
+
 def entity_phrases(df: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Which dictionary phrases may occur in which text: one row per id, ``phrases`` array.
 
@@ -59,18 +68,7 @@ def entity_phrases(df: DataFrame, dictionary: DataFrame, id_col: str, text_col:
         return df.select(id_col, F.array().cast("array<struct<phrase:string,label:string>>").alias("phrases")).limit(0)
 
     tokens = df.select(id_col, _words(F.col(text_col)).alias("__words"))
-    grams = [
-        F.when(
-            F.size("__words") >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.size("__words") - (n - 1)),
-                lambda i, n=n: F.array_join(F.slice(F.col("__words"), i, n), " "),
-            ),
-        )
-        if n > 1
-        else F.col("__words")
-        for n in lengths
-    ]
+    grams = [_grams(F.col("__words"), n) for n in lengths]
     distinct_grams = F.array_distinct(F.flatten(F.array_compact(F.array(*grams))))
     exploded = tokens.select(id_col, F.explode(distinct_grams).alias("gram"))
     return (

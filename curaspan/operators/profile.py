@@ -156,10 +156,14 @@ def quality_histogram(df: DataFrame, bins: int = SCORE_BINS) -> DataFrame:
         )
         .withColumn(
             "bin",
-            F.least(
-                F.floor((F.col("quality_score") - F.col("low")) / width).cast("int"),
-                F.lit(bins - 1),
-            ),
+            # The last bin whose lower edge the score reaches.
+            F.size(
+                F.filter(
+                    F.sequence(F.lit(0), F.lit(bins - 1)),
+                    lambda i: F.col("low") + i * width <= F.col("quality_score"),
+                )
+            )
+            - 1,
         )
         .groupBy("bin")
         .agg(F.sum("n").alias("records"))
