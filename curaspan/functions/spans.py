@@ -6,9 +6,8 @@ one row, without Python and without a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SPAN_TYPE = "array<struct<start:int,end:int,matched_text:string>>"
 
@@ -19,6 +18,7 @@ _CANDIDATE_STRUCT = (
 CANDIDATE_TYPE = f"array<{_CANDIDATE_STRUCT}>"
 
 _LAYER_RANK = {"regex": 0, "ner": 1}
+_CHUNK = 512
 
 
 def empty_array(array_type: str) -> Column:
@@ -29,11 +29,14 @@ def find_spans(text: Column, regex: Column, matches: Column | None = None) -> Co
     """Every left-to-right match of ``regex`` with its offsets.
 
     Spark has no function that returns offsets. Splitting a text by a regex and
-    extracting the same regex give the gaps and the matches in turn, so one walk
-    over both yields the positions.
+    extracting the same regex give the gaps and the matches in turn.
     """
     matches = F.regexp_extract_all(text, regex, F.lit(0)) if matches is None else matches
-    gaps = F.split(text, regex, -1)
+    return spans_between(F.split(text, regex, -1), matches)
+
+
+def spans_between(gaps: Column, matches: Column) -> Column:
+    """Offsets of matches, given the pieces of text before, between and after them."""
     steps = F.zip_with(
         gaps, matches, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit"))
     )
@@ -42,17 +45,36 @@ def find_spans(text: Column, regex: Column, matches: Column | None = None) -> Co
         start = state["cursor"] + step["gap"]
         end = start + F.length(step["hit"])
         span = F.struct(start.alias("start"), end.alias("end"), step["hit"].alias("matched_text"))
+        full, part = _append(state["full"], state["part"], span)
         return F.when(step["hit"].isNull(), state).otherwise(
-            F.struct(
-                end.alias("cursor"),
-                F.concat(state["spans"], F.array(span)).alias("spans"),
-            )
+            F.struct(end.alias("cursor"), full.alias("full"), part.alias("part"))
         )
 
     start_state = F.struct(
-        F.lit(0).alias("cursor"), empty_array(SPAN_TYPE).alias("spans")
-    ).cast(f"struct<cursor:int,spans:{SPAN_TYPE}>")
-    return F.aggregate(steps, start_state, advance, lambda state: state["spans"])
+        F.lit(0).alias("cursor"),
+        empty_array(f"array<{SPAN_TYPE}>").alias("full"),
+        empty_array(SPAN_TYPE).alias("part"),
+    )
+    return F.aggregate(
+        steps, start_state, advance, lambda state: _collected(state["full"], state["part"])
+    )
+
+
+def _append(full: Column, part: Column, item: Column) -> tuple[Column, Column]:
+    """Add an item to a list kept as full chunks plus a growing one.
+
+    An array grows by copying. Growing in chunks keeps the work of building a
+    list of many thousand items close to linear.
+    """
+    is_full = F.size(part) >= _CHUNK
+    return (
+        F.when(is_full, F.concat(full, F.array(part))).otherwise(full),
+        F.when(is_full, F.array(item)).otherwise(F.concat(part, F.array(item))),
+    )
+
+
+def _collected(full: Column, part: Column) -> Column:
+    return F.when(F.size(full) == 0, part).otherwise(F.flatten(F.concat(full, F.array(part))))
 
 
 def as_candidates(
@@ -102,43 +124,71 @@ def _keep_best(cluster: Column) -> Column:
     return F.when(F.size(cluster) <= 1, cluster).otherwise(_by_start(kept))
 
 
-def resolve_overlaps(candidates: Column) -> Column:
-    """Non-overlapping candidates, best ones first served, ordered by start.
-
-    Candidates in start order fall into clusters of overlapping spans. Spans of
-    different clusters cannot clash, so the greedy choice runs per cluster: a
-    text with thousands of spans stays cheap.
-    """
-    ordered = _by_start(candidates)
-    state_type = f"struct<done:{CANDIDATE_TYPE},cluster:{CANDIDATE_TYPE},reach:int>"
+def _resolve_clusters(ordered: Column) -> Column:
+    """``_keep_best`` for every cluster of overlapping candidates, in start order."""
 
     def step(state: Column, span: Column) -> Column:
         single = F.array(span)
+        full, part = _append(state["full"], state["part"], _keep_best(state["cluster"]))
         return F.when(
             span["start"] >= state["reach"],
             F.struct(
-                F.concat(state["done"], _keep_best(state["cluster"])).alias("done"),
+                full.alias("full"),
+                part.alias("part"),
                 single.alias("cluster"),
                 span["end"].alias("reach"),
             ),
         ).otherwise(
             F.struct(
-                state["done"].alias("done"),
+                state["full"].alias("full"),
+                state["part"].alias("part"),
                 F.concat(state["cluster"], single).alias("cluster"),
                 F.greatest(state["reach"], span["end"]).alias("reach"),
             )
         )
 
+    clusters = f"array<{CANDIDATE_TYPE}>"
     start_state = F.struct(
-        empty_array(CANDIDATE_TYPE).alias("done"),
+        empty_array(f"array<{clusters}>").alias("full"),
+        empty_array(clusters).alias("part"),
         empty_array(CANDIDATE_TYPE).alias("cluster"),
         F.lit(0).alias("reach"),
-    ).cast(state_type)
-    return F.aggregate(
-        ordered,
-        start_state,
-        step,
-        lambda state: F.concat(state["done"], _keep_best(state["cluster"])),
+    )
+
+    def finish(state: Column) -> Column:
+        settled = F.flatten(_collected(state["full"], state["part"]))
+        return F.concat(settled, _keep_best(state["cluster"]))
+
+    return F.aggregate(ordered, start_state, step, finish)
+
+
+def resolve_overlaps(df: DataFrame, candidates: str, output: str) -> DataFrame:
+    """Add the non-overlapping candidates, best ones first served, ordered by start.
+
+    Candidates in start order fall into clusters of overlapping spans. Spans of
+    different clusters cannot clash, so the greedy choice runs per cluster: a
+    text with thousands of spans stays cheap. Texts without any overlap, nearly
+    all of them, need no choice at all.
+    """
+    ordered, column = "__ordered", F.col("__ordered")
+    clashes = F.exists(
+        F.zip_with(
+            column,
+            F.slice(column, 2, F.size(column)),
+            lambda a, b: F.coalesce(b["start"] < a["end"], F.lit(False)),
+        ),
+        lambda clash: clash,
+    )
+    found = F.col(candidates)
+    return (
+        df.withColumn(ordered, F.when(F.size(found) <= 1, found).otherwise(_by_start(found)))
+        .withColumn(
+            output,
+            F.when(F.size(column) <= 1, column)
+            .when(clashes, _resolve_clusters(column))
+            .otherwise(column),
+        )
+        .drop(ordered)
     )
 
 
@@ -161,7 +211,3 @@ def replace_spans(text: Column, spans: Column, replacement_of) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(
         F.concat(F.array_join(F.transform(spans, piece), ""), tail)
     )
-
-
-def candidate_array_type() -> T.DataType:
-    return T.DataType.fromDDL(CANDIDATE_TYPE)

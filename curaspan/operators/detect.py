@@ -110,11 +110,11 @@ def detect_pii(
     """
 
     def apply(df: DataFrame) -> DataFrame:
-        with_candidates = df.transform(
+        resolved = df.transform(
             detect_candidates(text_col, patterns, entities, output="__candidates")
-        )
+        ).transform(resolve_overlaps, "__candidates", "__kept")
         detections = F.transform(
-            resolve_overlaps(F.col("__candidates")),
+            F.col("__kept"),
             lambda c: F.struct(
                 *[
                     c[name].alias(name)
@@ -123,8 +123,8 @@ def detect_pii(
             ),
         )
         return (
-            with_candidates.withColumn("pii_detections", detections)
-            .drop("__candidates")
+            resolved.withColumn("pii_detections", detections)
+            .drop("__candidates", "__kept")
             .transform(summarize_detections)
         )
 

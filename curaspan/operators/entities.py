@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curaspan.functions.patterns import EDGE_AFTER, EDGE_BEFORE, WORD
-from curaspan.functions.spans import (
-    as_candidates,
-    find_spans,
-    resolve_overlaps,
-)
+from curaspan.functions.spans import as_candidates, resolve_overlaps, spans_between
 from curaspan.session import broadcast_if_small
 
 _WORDS = rf"[{WORD}]+"
@@ -24,22 +22,20 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_WORDS), F.lit(0))
 
 
-def _quote(phrase: Column) -> Column:
-    r"""Regex for the literal phrase between word edges; ``\E`` inside it is escaped."""
-    literal = F.replace(phrase, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    starts_with_word = phrase.rlike(rf"\A[{WORD}]")
-    ends_with_word = phrase.rlike(rf"[{WORD}]\z")
-    return F.concat(
-        F.when(starts_with_word, F.lit(EDGE_BEFORE)).otherwise(F.lit("")),
-        F.lit("\\Q"),
-        literal,
-        F.lit("\\E"),
-        F.when(ends_with_word, F.lit(EDGE_AFTER)).otherwise(F.lit("")),
+def _phrases(dictionary: DataFrame) -> DataFrame:
+    """Dictionary entries with their words, joined by a blank, and their number."""
+    words = _words(F.col("phrase"))
+    return (
+        dictionary.select(F.col("phrase").cast("string"), F.col("label").cast("string"))
+        .where(F.col("phrase").isNotNull() & F.col("label").isNotNull())
+        .distinct()
+        .select("phrase", "label", F.size(words).alias("n"), F.array_join(words, " ").alias("gram"))
+        .where("n > 0")
     )
 
 
 def _grams(words: Column, n: int) -> Column:
-    """All sequences of ``n`` words joined by a blank; NULL for fewer words."""
+    """All runs of ``n`` words, joined by a blank."""
     if n == 1:
         return words
     starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
@@ -47,30 +43,40 @@ def _grams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, joined)
 
 
-def entity_phrases(df: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Which dictionary phrases may occur in which text: one row per id, ``phrases`` array.
+def _phrase_regex(phrase: Column) -> Column:
+    r"""The literal phrase between word edges. An ``\E`` inside the phrase is escaped."""
+    literal = F.replace(phrase, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    return F.concat(
+        F.when(phrase.rlike(rf"\A[{WORD}]"), F.lit(EDGE_BEFORE)).otherwise(F.lit("")),
+        F.lit("\\Q"),
+        literal,
+        F.lit("\\E"),
+        F.when(phrase.rlike(rf"[{WORD}]\z"), F.lit(EDGE_AFTER)).otherwise(F.lit("")),
+    )
+
 
-    The distinct word n-grams of a text, only of the lengths the dictionary has,
-    are joined to the word sequence of each phrase. With a dictionary of proven
-    size the join is a broadcast and the n-grams never leave their task.
+def phrases_per_text(
+    df: DataFrame, dictionary: DataFrame, id_col: str, text_col: str
+) -> DataFrame:
+    """Which dictionary phrases a text has the words of: one row per id, ``phrases`` array.
+
+    The distinct word runs of a text, only of the lengths the dictionary has,
+    are joined to the phrases. With a dictionary of proven size the join is a
+    broadcast and only hits leave their task.
     """
-    phrases = (
-        dictionary.select(F.col("phrase").cast("string"), F.col("label").cast("string"))
-        .where(F.col("phrase").isNotNull() & F.col("label").isNotNull())
-        .distinct()
-        .withColumn("words", _words(F.col("phrase")))
-        .where(F.size("words") > 0)
-        .select("phrase", "label", F.size("words").alias("n"), F.array_join("words", " ").alias("gram"))
-    )
-    # The number of different phrase lengths, a handful of integers.
+    phrases = _phrases(dictionary)
+    # The different phrase lengths: a handful of integers.
     lengths = [row["n"] for row in phrases.select("n").distinct().orderBy("n").collect()]
     if not lengths:
-        return df.select(id_col, F.array().cast("array<struct<phrase:string,label:string>>").alias("phrases")).limit(0)
-
-    tokens = df.select(id_col, _words(F.col(text_col)).alias("__words"))
+        nothing = F.array().cast("array<struct<phrase:string,label:string>>")
+        return df.select(id_col, nothing.alias("phrases")).where(F.lit(False))
     grams = [_grams(F.col("__words"), n) for n in lengths]
-    distinct_grams = F.array_distinct(F.flatten(F.array_compact(F.array(*grams))))
-    exploded = tokens.select(id_col, F.explode(distinct_grams).alias("gram"))
+    # The outer form: Spark would push a "size > 0" copy of the whole list below
+    # a plain explode. NULL grams never join.
+    exploded = df.select(id_col, _words(F.col(text_col)).alias("__words")).select(
+        id_col,
+        F.explode_outer(F.array_distinct(F.flatten(F.array_compact(F.array(*grams))))).alias("gram"),
+    )
     return (
         exploded.join(broadcast_if_small(phrases, BROADCAST_PHRASES), "gram")
         .groupBy(id_col)
@@ -78,40 +84,35 @@ def entity_phrases(df: DataFrame, dictionary: DataFrame, id_col: str, text_col:
     )
 
 
-def _longest_first(candidates: Column) -> Column:
-    """Order of preference among dictionary hits: longer, then earlier."""
-    return F.transform(
-        candidates,
-        lambda c: c.withField("rank", -(c["end"] - c["start"]).cast("double")),
-    )
-
-
 def with_entities(
     dictionary: DataFrame,
     id_col: str = "record_id",
     text_col: str = "text",
     output: str = "entities",
-):
+) -> Callable[[DataFrame], DataFrame]:
     """Add ``array<struct<label,start,end,matched_text>>`` of dictionary hits.
 
-    ``dictionary`` has the columns ``phrase`` and ``label``. Matching is by exact
-    case, between word edges; of overlapping hits the longest stays. ``id_col``
-    must be unique.
+    ``dictionary`` has the columns ``phrase`` and ``label``. A phrase matches as
+    it is written, from a word start to a word end; of overlapping hits the
+    longest stays, then the earliest. ``id_col`` must be unique.
     """
 
     def apply(df: DataFrame) -> DataFrame:
-        found = entity_phrases(df, dictionary, id_col, text_col)
-        hits = F.flatten(
-            F.transform(
-                F.array_sort("__phrases"),
-                lambda p: as_candidates(
-                    find_spans(F.col(text_col), _quote(p["phrase"])), p["label"], F.lit(0.0), "ner", 0
-                ),
-            )
+        found = phrases_per_text(df, dictionary, id_col, text_col).withColumnRenamed(
+            "phrases", "__phrases"
         )
-        longest = resolve_overlaps(_longest_first(hits))
+
+        def occurrences(entry: Column) -> Column:
+            # The matches are the phrase itself, so cutting the text there is enough.
+            gaps = F.split(F.col(text_col), _phrase_regex(entry["phrase"]), -1)
+            spans = spans_between(gaps, F.array_repeat(entry["phrase"], F.size(gaps) - 1))
+            # Order of preference: longer first, then earlier.
+            length = F.length(entry["phrase"]).cast("double")
+            return as_candidates(spans, entry["label"], length, "ner", 0)
+
+        candidates = F.flatten(F.transform(F.col("__phrases"), occurrences))
         spans = F.transform(
-            longest,
+            F.col("__longest"),
             lambda c: F.struct(
                 c["pii_type"].alias("label"),
                 c["start"].alias("start"),
@@ -120,9 +121,11 @@ def with_entities(
             ),
         )
         return (
-            df.join(found.withColumnRenamed("phrases", "__phrases"), id_col, "left")
-            .withColumn(output, F.when(F.col("__phrases").isNotNull(), spans))
-            .drop("__phrases")
+            df.join(found, id_col, "left")
+            .withColumn("__candidates", candidates)
+            .transform(resolve_overlaps, "__candidates", "__longest")
+            .withColumn(output, spans)
+            .drop("__phrases", "__candidates", "__longest")
         )
 
     return apply

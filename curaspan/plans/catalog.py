@@ -170,7 +170,7 @@ quality_score double, completeness_score double, pii_removal_confidence_score do
 passed_threshold boolean"""
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
     return lineage.lineage_events(
         views.curated(spark, sf_dir),
         RUN_ID,
@@ -178,6 +178,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingestion_timestamp=RUN_TIME,
         detection_timestamp=RUN_TIME,
         anonymization_timestamp=RUN_TIME,
+        ordered=ordered,
     )
 
 
@@ -188,7 +189,7 @@ def _flat_events(events: DataFrame) -> DataFrame:
 
 
 def lineage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = lineage.order_events(_events(spark, sf_dir)).select(
+    parsed = _events(spark, sf_dir, ordered=True).select(
         "stage", "pos", F.from_json("json", _EVENT_FIELDS).alias("e")
     )
     return _flat_events(parsed.select("stage", "pos", "e.*"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from curaspan.functions.text import join_nonempty
 from curaspan.operators.ingest import BLOCK_FORMAT, CHAT_FORMAT, TABULAR_FORMAT, unify
 from curaspan.plans.pipeline import curate
-from curaspan.session import scratch_path, spread
+from curaspan.session import broadcast_if_small, scratch_path, spread
 from curaspan.sources.readers import read_curated
 from curaspan.sources.writers import write_curated
 
@@ -247,6 +247,8 @@ def shipping_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
         place, F.col("c_nationkey") == F.col("n_nationkey")
     )
     orders = table(spark, sf_dir, "orders", "o_orderkey")
+    # Streams the orders, also where their pruned columns look like the smaller side.
+    buyers = broadcast_if_small(buyers, 200_000)
     return orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
         F.concat(F.lit("ord-"), _text("o_orderkey")).alias("record_id"),
         F.concat(

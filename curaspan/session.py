@@ -22,6 +22,9 @@ def build_session(app_name: str = "curaspan", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Plans here are built from many small expressions; do not record a call
+        # site for each of them.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
