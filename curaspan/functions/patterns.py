@@ -58,7 +58,7 @@ DEFAULT_PATTERNS: tuple[PiiPattern, ...] = (
         pii_type="PHONE_US",
         confidence=0.95,
         regex=(
-            rf"(?:\+?1{_PHONE_SEP})?"
+            rf"(?:\+?1{_PHONE_SEP}?)?"
             rf"(?:\({DIGIT}{{3}}\){_PHONE_SEP}?|{DIGIT}{{3}}{_PHONE_SEP})"
             rf"{DIGIT}{{3}}{_PHONE_SEP}?{DIGIT}{{4}}"
             rf"|{EDGE_BEFORE}{DIGIT}{{10}}{EDGE_AFTER}"
