@@ -155,12 +155,46 @@ def read_tabular(
 def read_blocks(spark: SparkSession, paths: str | list[str]) -> LoadedSource:
     """Text files cut at empty lines; a file that yields one block is cut into lines.
 
-    Everything works on lines, so no file is ever read as one value. An empty
-    line opens a new block. The last empty line before a given line is found
-    inside its input split and, for the lines before the first empty line of a
-    split, carried over from earlier splits through one small row per split.
+    One look at the line structure decides how to read. If all files are of one
+    kind, the reader itself cuts them, and no text is shuffled. A mix of kinds,
+    or unusual line ends, takes the general way by lines.
     """
-    lines = spark.read.text(paths).select(
+    kinds = block_file_kinds(spark, paths).agg(
+        F.count_if("has_blocks").alias("blocks"),
+        F.count_if(~F.col("has_blocks")).alias("lines"),
+        F.count_if("has_windows_ends").alias("windows_ends"),
+        F.count_if("has_lone_returns").alias("lone_returns"),
+    )
+    count = kinds.first()
+    if count["blocks"] == 0 and count["lone_returns"] == 0:
+        pieces = _lines_of(_text_lines(spark, paths).where("content"))
+    elif not (count["lines"] or count["windows_ends"] or count["lone_returns"]):
+        pieces = _separated_blocks(spark, paths)
+    else:
+        pieces = _blocks_by_line(spark, paths)
+    records = (
+        pieces.withColumn("text", strip(F.col("text")))
+        .where(F.col("text") != "")
+        .select(
+            stable_id(
+                F.col("source_file"), F.col(SPLIT), F.col(ROW), F.col("piece"), F.col("text")
+            ).alias("record_id"),
+            F.lit(BLOCK_FORMAT).alias("source_format"),
+            "source_file",
+            "timestamp",
+            "text",
+            F.lit("{}").alias("raw_metadata"),
+        )
+    )
+    return LoadedSource(records)
+
+
+def _text_lines(
+    spark: SparkSession, paths: str | list[str], separator: str | None = None
+) -> DataFrame:
+    """Lines with their position; ``empty`` lines have no character, ``content`` lines a visible one."""
+    reader = spark.read if separator is None else spark.read.option("lineSep", separator)
+    return reader.text(paths).select(
         "value",
         (F.col("value") == "").alias("empty"),
         (strip(F.col("value")) != "").alias("content"),
@@ -169,6 +203,81 @@ def read_blocks(spark: SparkSession, paths: str | list[str]) -> LoadedSource:
         F.col("_metadata.file_block_start").alias(SPLIT),
         F.monotonically_increasing_id().alias(ROW),
     )
+
+
+def block_file_kinds(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Per file with content: does it have two blocks, and which line ends does it use.
+
+    Lone carriage returns end lines as well but are not looked into here. A file has two blocks if an empty line stands between its first and its last
+    line with content. Only positions are shuffled, no text; every task reduces
+    its lines before that.
+    """
+    lines = _text_lines(spark, paths, "\n")
+    body = F.regexp_replace("value", r"\r\z", "")
+    position = F.struct(SPLIT, ROW)
+    per_split = lines.groupBy("source_file", SPLIT).agg(
+        F.min(F.when(F.col("content"), position)).alias("first_content"),
+        F.max(F.when(F.col("content"), position)).alias("last_content"),
+        F.bool_or(F.endswith("value", F.lit("\r"))).alias("windows_ends"),
+        F.bool_or(F.contains(body, F.lit("\r"))).alias("lone_returns"),
+    )
+    extent = per_split.groupBy("source_file").agg(
+        F.min("first_content").alias("first_content"),
+        F.max("last_content").alias("last_content"),
+        F.bool_or("windows_ends").alias("has_windows_ends"),
+        F.bool_or("lone_returns").alias("has_lone_returns"),
+    )
+    between = (
+        lines.where(body == "")
+        .select("source_file", position.alias("position"))
+        .join(extent, "source_file")
+        .where(
+            (F.col("position") > F.col("first_content"))
+            & (F.col("position") < F.col("last_content"))
+        )
+        .select("source_file")
+        .distinct()
+        .withColumn("has_blocks", F.lit(True))
+    )
+    return (
+        extent.where(F.col("first_content").isNotNull())
+        .join(between, "source_file", "left")
+        .select(
+            "source_file",
+            F.coalesce("has_blocks", F.lit(False)).alias("has_blocks"),
+            "has_windows_ends",
+            "has_lone_returns",
+        )
+    )
+
+
+def _lines_of(lines: DataFrame) -> DataFrame:
+    """Lines, cut again at the rarer line ends the reader leaves in."""
+    return lines.select(
+        "source_file",
+        "timestamp",
+        SPLIT,
+        ROW,
+        F.posexplode(F.split("value", INNER_LINE_ENDS, -1)).alias("piece", "text"),
+    )
+
+
+def _separated_blocks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Blocks as the reader cuts them at empty lines; each input split on its own."""
+    return _text_lines(spark, paths, "\n\n").select(
+        "source_file", "timestamp", SPLIT, ROW, F.lit(0).alias("piece"), F.col("value").alias("text")
+    )
+
+
+def _blocks_by_line(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Blocks or lines, file by file, put together from lines.
+
+    An empty line opens a new block. The last empty line before a given line is
+    found inside its input split and, for the lines before the first empty line
+    of a split, carried over from earlier splits through one small row per
+    split. No file is ever read as one value or gathered in one task.
+    """
+    lines = _text_lines(spark, paths)
     file_split = ["source_file", SPLIT]
 
     # One row per split: the last empty line of all earlier splits of the file.
@@ -212,33 +321,11 @@ def read_blocks(spark: SparkSession, paths: str | list[str]) -> LoadedSource:
             F.col(f"block.{SPLIT}").alias(SPLIT),
             F.col(f"block.{ROW}").alias(ROW),
             F.lit(0).alias("piece"),
-            strip(F.array_join(F.col("parts")["value"], "\n")).alias("text"),
+            F.array_join(F.col("parts")["value"], "\n").alias("text"),
         )
-        .where(F.col("text") != "")
     )
-    single = (
-        marked.where(~F.col("has_blocks") & F.col("content"))
-        .select(
-            "source_file",
-            "timestamp",
-            SPLIT,
-            ROW,
-            F.posexplode(F.split("value", INNER_LINE_ENDS, -1)).alias("piece", "text"),
-        )
-        .withColumn("text", strip(F.col("text")))
-        .where(F.col("text") != "")
-    )
-    records = blocks.unionByName(single).select(
-        stable_id(
-            F.col("source_file"), F.col(SPLIT), F.col(ROW), F.col("piece"), F.col("text")
-        ).alias("record_id"),
-        F.lit(BLOCK_FORMAT).alias("source_format"),
-        "source_file",
-        "timestamp",
-        "text",
-        F.lit("{}").alias("raw_metadata"),
-    )
-    return LoadedSource(records)
+    single = _lines_of(marked.where(~F.col("has_blocks") & F.col("content")))
+    return blocks.unionByName(single)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:

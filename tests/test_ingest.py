@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 import re
 from datetime import datetime
 
@@ -245,6 +246,10 @@ def model_blocks(content):
         "  \n\n  \n",
         "single",
         "\n",
+        "a\r\rb\rc",
+        "a\rb\rc\r",
+        "a\r\nb\r\nc",
+        "a\r\r\nb\r\n",
     ],
 )
 def test_blocks(spark, folder, content):
@@ -255,20 +260,29 @@ def test_blocks(spark, folder, content):
     assert all(r["raw_metadata"] == "{}" and r["timestamp"] is not None for r in rows)
 
 
-def test_blocks_over_many_splits(spark, folder):
-    import random
-
+@pytest.mark.parametrize("kinds", ["blocks", "lines", "both", "returns"])
+def test_blocks_over_many_splits(spark, folder, kinds):
     rng = random.Random(3)
-    blocky = "".join(rng.choice(["word ", "line\n", "\n", "\n\n", "é ", "  \n"]) for _ in range(40_000))
-    flat = "".join(f"line {i}\n" for i in range(20_000))
-    paths = [folder("blocky.txt", blocky), folder("flat.txt", flat)]
+    pieces = ["word ", "line\n", "\n", "\n\n", "\n\n\n", "é ", "  \n"]
+    blocky = "".join(rng.choice(pieces) for _ in range(40_000))
+    flat = "\n\n" + "".join(f"line {i}\n" for i in range(20_000)) + "\n \n"
+    contents = {
+        "blocks": [blocky],
+        "lines": [flat],
+        "both": [blocky, flat],
+        "returns": [blocky.replace("\n", "\r\n")],
+    }[kinds]
+    paths = [folder(f"{kinds}{i}.txt", content) for i, content in enumerate(contents)]
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
     try:
-        rows = read_blocks(spark, paths).records.select("source_file", "text").collect()
+        records = read_blocks(spark, paths).records
+        rows = records.select("source_file", "text").collect()
+        # Files of one kind are cut by the reader: no shuffle.
+        assert ("Exchange" in plan_of(records)) == (kinds in ("both", "returns"))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    for path, content in zip(paths, [blocky, flat]):
+    for path, content in zip(paths, contents):
         assert sorted(r["text"] for r in rows if r["source_file"] == path) == sorted(model_blocks(content))
 
 

@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from conftest import plan_of
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -38,6 +39,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, sf_dir, db, name):
     df = QUERIES[name](spark, sf_dir)
+    plan = plan_of(df)
+    for costly in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
+        assert costly not in plan
     got = comparable(df.columns, df.collect())
     result = db.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
