@@ -6,10 +6,11 @@ one row, without Python and without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPAN_TYPE = "array<struct<start:int,end:int,matched_text:string>>"
 
 _CANDIDATE_STRUCT = (
     "struct<rank:double,layer_rank:int,start:int,ordinal:int,end:int,"
@@ -18,7 +19,6 @@ _CANDIDATE_STRUCT = (
 CANDIDATE_TYPE = f"array<{_CANDIDATE_STRUCT}>"
 
 _LAYER_RANK = {"regex": 0, "ner": 1}
-_CHUNK = 512
 
 
 def empty_array(array_type: str) -> Column:
@@ -35,46 +35,78 @@ def find_spans(text: Column, regex: Column, matches: Column | None = None) -> Co
     return spans_between(F.split(text, regex, -1), matches)
 
 
-def spans_between(gaps: Column, matches: Column) -> Column:
-    """Offsets of matches, given the pieces of text before, between and after them."""
-    steps = F.zip_with(
-        gaps, matches, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit"))
-    )
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, also if a lambda in ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def advance(state: Column, step: Column) -> Column:
-        start = state["cursor"] + step["gap"]
-        end = start + F.length(step["hit"])
-        span = F.struct(start.alias("start"), end.alias("end"), step["hit"].alias("matched_text"))
-        full, part = _append(state["full"], state["part"], span)
-        return F.when(step["hit"].isNull(), state).otherwise(
-            F.struct(end.alias("cursor"), full.alias("full"), part.alias("part"))
-        )
 
-    start_state = F.struct(
-        F.lit(0).alias("cursor"),
-        empty_array(f"array<{SPAN_TYPE}>").alias("full"),
-        empty_array(SPAN_TYPE).alias("part"),
-    )
-    return F.aggregate(
-        steps, start_state, advance, lambda state: _collected(state["full"], state["part"])
-    )
+def _block_width(size: Column) -> Column:
+    """Lists are worked on in blocks of about the square root of their size."""
+    return F.greatest(F.lit(16), F.ceil(F.sqrt(size)).cast("int"))
 
 
-def _append(full: Column, part: Column, item: Column) -> tuple[Column, Column]:
-    """Add an item to a list kept as full chunks plus a growing one.
+def _prefix(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    """Fold of all earlier values for each value, starting from 0.
 
-    An array grows by copying. Growing in chunks keeps the work of building a
-    list of many thousand items close to linear.
+    Spark copies the state of ``aggregate`` at every step, so a list must not
+    grow in there. The state here is one number: blocks are folded first, then
+    the blocks before each block, then the values before each value in its block.
     """
-    is_full = F.size(part) >= _CHUNK
-    return (
-        F.when(is_full, F.concat(full, F.array(part))).otherwise(full),
-        F.when(is_full, F.array(item)).otherwise(F.concat(part, F.array(item))),
+
+    def folded(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), fold)
+
+    def by_blocks(bound: Column) -> Column:
+        values, width = bound["values"], bound["width"]
+        blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / width).cast("int"))
+        totals = F.transform(blocks, lambda b: folded(F.slice(values, b * width + 1, width)))
+
+        def place(before: Column) -> Column:
+            return F.transform(
+                values,
+                lambda _, i: fold(
+                    F.get(before, F.floor(i / width).cast("int")),
+                    folded(F.slice(values, i - i % width + 1, i % width)),
+                ),
+            )
+
+        before_blocks = let(
+            totals, lambda t: F.transform(t, lambda _, b: folded(F.slice(t, F.lit(1), b)))
+        )
+        return let(before_blocks, place)
+
+    bound = F.struct(values.alias("values"), _block_width(F.size(values)).alias("width"))
+    return F.when(F.size(values) == 0, F.array().cast("array<int>")).otherwise(
+        let(bound, by_blocks)
     )
 
 
-def _collected(full: Column, part: Column) -> Column:
-    return F.when(F.size(full) == 0, part).otherwise(F.flatten(F.concat(full, F.array(part))))
+def spans_between(gaps: Column, matches: Column) -> Column:
+    """Offsets of matches, given the pieces of text before, between and after them."""
+
+    def place(bound: Column) -> Column:
+        gaps, matches = bound["gaps"], bound["matches"]
+        steps = F.zip_with(
+            matches,
+            F.slice(gaps, F.lit(1), F.size(matches)),
+            lambda hit, gap: F.length(gap) + F.length(hit),
+        )
+        starts = F.zip_with(
+            _prefix(steps, lambda a, b: a + b),
+            F.slice(gaps, F.lit(1), F.size(matches)),
+            lambda before, gap: before + F.length(gap),
+        )
+        return F.zip_with(
+            starts,
+            matches,
+            lambda start, hit: F.struct(
+                start.alias("start"),
+                (start + F.length(hit)).alias("end"),
+                hit.alias("matched_text"),
+            ),
+        )
+
+    return let(F.struct(gaps.alias("gaps"), matches.alias("matches")), place)
 
 
 def as_candidates(
@@ -125,41 +157,32 @@ def _keep_best(cluster: Column) -> Column:
 
 
 def _resolve_clusters(ordered: Column) -> Column:
-    """``_keep_best`` for every cluster of overlapping candidates, in start order."""
-
-    def step(state: Column, span: Column) -> Column:
-        single = F.array(span)
-        full, part = _append(state["full"], state["part"], _keep_best(state["cluster"]))
-        return F.when(
-            span["start"] >= state["reach"],
-            F.struct(
-                full.alias("full"),
-                part.alias("part"),
-                single.alias("cluster"),
-                span["end"].alias("reach"),
-            ),
-        ).otherwise(
-            F.struct(
-                state["full"].alias("full"),
-                state["part"].alias("part"),
-                F.concat(state["cluster"], single).alias("cluster"),
-                F.greatest(state["reach"], span["end"]).alias("reach"),
-            )
+    """``_keep_best`` for every cluster of overlapping candidates, in start order.
+
+    A cluster begins with each candidate that starts at or after the end of all
+    candidates before it.
+    """
+
+    def by_cluster(bound: Column) -> Column:
+        spans, reach = bound["spans"], bound["reach"]
+        positions = F.sequence(F.lit(0), F.size(spans) - 1)
+        first = F.filter(
+            positions, lambda i: F.get(spans, i)["start"] >= F.get(reach, i)
         )
 
-    clusters = f"array<{CANDIDATE_TYPE}>"
-    start_state = F.struct(
-        empty_array(f"array<{clusters}>").alias("full"),
-        empty_array(clusters).alias("part"),
-        empty_array(CANDIDATE_TYPE).alias("cluster"),
-        F.lit(0).alias("reach"),
-    )
+        def cut(first: Column) -> Column:
+            clusters = F.transform(
+                first,
+                lambda at, c: F.slice(
+                    spans, at + 1, F.coalesce(F.get(first, c + 1), F.size(spans)) - at
+                ),
+            )
+            return F.flatten(F.transform(clusters, _keep_best))
 
-    def finish(state: Column) -> Column:
-        settled = F.flatten(_collected(state["full"], state["part"]))
-        return F.concat(settled, _keep_best(state["cluster"]))
+        return let(first, cut)
 
-    return F.aggregate(ordered, start_state, step, finish)
+    reach = _prefix(F.transform(ordered, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    return let(F.struct(ordered.alias("spans"), reach.alias("reach")), by_cluster)
 
 
 def resolve_overlaps(df: DataFrame, candidates: str, output: str) -> DataFrame:
@@ -195,19 +218,37 @@ def resolve_overlaps(df: DataFrame, candidates: str, output: str) -> DataFrame:
 def replace_spans(text: Column, spans: Column, replacement_of) -> Column:
     """Text with every span replaced; ``spans`` must be in start order, without overlap.
 
-    Each piece is the text since the previous span plus the replacement. Works by
-    position, so other occurrences of the same value are not touched.
+    Works by position, so other occurrences of the same value are not touched.
+    Cutting a piece out of a text takes a scan up to it, so the text is first cut
+    into sections of many spans each, and each section into pieces.
     """
+    width = _block_width(F.size(spans))
 
-    def piece(span: Column, index: Column) -> Column:
-        previous_end = F.when(index == 0, F.lit(0)).otherwise(F.get(spans, index - 1)["end"])
-        return F.concat(
-            F.substring(text, previous_end + 1, span["start"] - previous_end),
-            replacement_of(span),
-        )
+    def end_of(span: Column) -> Column:
+        return F.coalesce(span["end"], F.lit(0))
+
+    def section(block: Column) -> Column:
+        part = F.slice(spans, block * width + 1, width)
+        start = F.when(block == 0, F.lit(0)).otherwise(F.get(spans, block * width - 1)["end"])
+
+        def replaced(bound: Column) -> Column:
+            part, start = bound["part"], bound["start"]
+
+            def pieces(section_text: Column) -> Column:
+                def piece(span: Column, index: Column) -> Column:
+                    previous = F.when(index == 0, start).otherwise(F.get(part, index - 1)["end"])
+                    gap = F.substring(section_text, previous - start + 1, span["start"] - previous)
+                    return F.concat(gap, replacement_of(span))
+
+                return F.array_join(F.transform(part, piece), "")
+
+            length = F.get(part, F.size(part) - 1)["end"] - start
+            return let(F.substring(text, start + 1, length), pieces)
+
+        return let(F.struct(part.alias("part"), start.alias("start")), replaced)
 
-    last_end = F.get(spans, F.size(spans) - 1)["end"]
-    tail = F.substring(text, last_end + 1, F.length(text))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / width).cast("int"))
+    tail = F.substring(text, end_of(F.get(spans, F.size(spans) - 1)) + 1, F.length(text))
     return F.when(F.size(spans) == 0, text).otherwise(
-        F.concat(F.array_join(F.transform(spans, piece), ""), tail)
+        F.concat(F.array_join(F.transform(blocks, section), ""), tail)
     )
