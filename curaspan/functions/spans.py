@@ -106,7 +106,21 @@ def spans_between(gaps: Column, matches: Column) -> Column:
             ),
         )
 
-    return let(F.struct(gaps.alias("gaps"), matches.alias("matches")), place)
+    def place_one(start: Column) -> Column:
+        hit = F.get(matches, F.lit(0))
+        return F.array(
+            F.struct(
+                start.alias("start"),
+                (start + F.length(hit)).alias("end"),
+                hit.alias("matched_text"),
+            )
+        )
+
+    # One match, the common case, stands right after the first gap.
+    first_gap = F.length(F.get(gaps, F.lit(0)))
+    return F.when(F.size(matches) == 1, let(first_gap, place_one)).otherwise(
+        let(F.struct(gaps.alias("gaps"), matches.alias("matches")), place)
+    )
 
 
 def as_candidates(
@@ -224,8 +238,15 @@ def replace_spans(text: Column, spans: Column, replacement_of) -> Column:
     """
     width = _block_width(F.size(spans))
 
-    def end_of(span: Column) -> Column:
-        return F.coalesce(span["end"], F.lit(0))
+    def cut(source: Column, part: Column, start: Column) -> Column:
+        """``source``, the text from ``start`` to the end of ``part``, with its spans replaced."""
+
+        def piece(span: Column, index: Column) -> Column:
+            previous = F.when(index == 0, start).otherwise(F.get(part, index - 1)["end"])
+            gap = F.substring(source, previous - start + 1, span["start"] - previous)
+            return F.concat(gap, replacement_of(span))
+
+        return F.array_join(F.transform(part, piece), "")
 
     def section(block: Column) -> Column:
         part = F.slice(spans, block * width + 1, width)
@@ -233,22 +254,15 @@ def replace_spans(text: Column, spans: Column, replacement_of) -> Column:
 
         def replaced(bound: Column) -> Column:
             part, start = bound["part"], bound["start"]
-
-            def pieces(section_text: Column) -> Column:
-                def piece(span: Column, index: Column) -> Column:
-                    previous = F.when(index == 0, start).otherwise(F.get(part, index - 1)["end"])
-                    gap = F.substring(section_text, previous - start + 1, span["start"] - previous)
-                    return F.concat(gap, replacement_of(span))
-
-                return F.array_join(F.transform(part, piece), "")
-
             length = F.get(part, F.size(part) - 1)["end"] - start
-            return let(F.substring(text, start + 1, length), pieces)
+            return let(F.substring(text, start + 1, length), lambda t: cut(t, part, start))
 
         return let(F.struct(part.alias("part"), start.alias("start")), replaced)
 
     blocks = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / width).cast("int"))
-    tail = F.substring(text, end_of(F.get(spans, F.size(spans) - 1)) + 1, F.length(text))
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.concat(F.array_join(F.transform(blocks, section), ""), tail)
+    head = F.when(F.size(spans) <= 16, cut(text, spans, F.lit(0))).otherwise(
+        F.array_join(F.transform(blocks, section), "")
     )
+    last_end = F.get(spans, F.size(spans) - 1)["end"]
+    tail = F.substring(text, last_end + 1, F.length(text))
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(head, tail))
