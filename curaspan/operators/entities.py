@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curaspan.functions.patterns import EDGE_AFTER, EDGE_BEFORE, WORD
-from curaspan.functions.spans import as_candidates, resolve_overlaps, spans_between
+from curaspan.functions.spans import as_candidates, let, resolve_overlaps, spans_between
 from curaspan.session import broadcast_if_small
 
 _WORDS = rf"[{WORD}]+"
@@ -105,7 +105,10 @@ def with_entities(
         def occurrences(entry: Column) -> Column:
             # The matches are the phrase itself, so cutting the text there is enough.
             gaps = F.split(F.col(text_col), _phrase_regex(entry["phrase"]), -1)
-            spans = spans_between(gaps, F.array_repeat(entry["phrase"], F.size(gaps) - 1))
+            spans = let(
+                gaps,
+                lambda g: spans_between(g, F.array_repeat(entry["phrase"], F.size(g) - 1)),
+            )
             # Order of preference: longer first, then earlier.
             length = F.length(entry["phrase"]).cast("double")
             return as_candidates(spans, entry["label"], length, "ner", 0)
