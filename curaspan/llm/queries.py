@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curaspan.llm.common import table
+from curaspan.llm.packing import pack
+from curaspan.llm.pii import pii_digest
 from curaspan.llm.quality_pu import score_quality
 from curaspan.llm.rules import apply_rules
 
@@ -18,6 +21,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trusted targets are the documents labelled as good."""
     trusted = table(spark, sf_dir, "labels").where(F.col("quality") == 1)
@@ -28,6 +39,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
+        op2_best_fit_packing,
+        op6_personal_data,
         op7_quality_rules,
     )
 }
