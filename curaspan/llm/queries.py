@@ -13,6 +13,7 @@ from curaspan.llm.packing import pack
 from curaspan.llm.pii import pii_digest
 from curaspan.llm.quality_pu import score_quality
 from curaspan.llm.rules import apply_rules
+from curaspan.llm.simhash import simhash_classes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -42,5 +47,6 @@ QUERIES: dict[str, Query] = {
         op2_best_fit_packing,
         op6_personal_data,
         op7_quality_rules,
+        op9_simhash_components,
     )
 }
