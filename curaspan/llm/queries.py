@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curaspan.llm.brown_lm import score_texts
 from curaspan.llm.common import table
 from curaspan.llm.packing import pack
 from curaspan.llm.pii import pii_digest
@@ -40,6 +41,10 @@ def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"))
 
 
+def op10_brown_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -48,5 +53,6 @@ QUERIES: dict[str, Query] = {
         op6_personal_data,
         op7_quality_rules,
         op9_simhash_components,
+        op10_brown_class_model,
     )
 }
