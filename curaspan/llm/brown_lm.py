@@ -31,7 +31,7 @@ FREQUENT_UNITS = 400
 ENDING_GROUPS = 128
 ENDING_BYTES = 3
 CLASSES = 40
-EXCHANGE_ROUNDS = 6
+EXCHANGE_ROUNDS = 12
 # Words whose counts go to every executor (some 20 bytes each).
 HEAD_WORDS = 65_536
 # Weight of the class unigram in a class transition.
@@ -150,7 +150,8 @@ def exchange_classes(bigrams: np.ndarray, n_classes: int = CLASSES) -> np.ndarra
             table[:, old] -= before
             table[old, old] -= own
             # Likelihood change of joining each class: rows, columns and the shared cell.
-            rows, columns = table.sum(1), table.sum(0)
+            # What comes before and after the unit is in the sums wherever it goes.
+            rows, columns = table.sum(1) + before, table.sum(0) + after
             gain = (_xlogx(table + after[None, :]) - _xlogx(table)).sum(1)
             gain += (_xlogx(table + before[:, None]) - _xlogx(table)).sum(0)
             cell = np.diag(table)
