@@ -35,6 +35,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_plain_names(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    transform: Callable[[DataFrame, str, str], DataFrame],
+) -> DataFrame:
+    """``transform(docs, id_col, text_col)`` with columns renamed by position meanwhile.
+
+    Columns of any name, also of a name that ``transform`` uses inside, pass unchanged.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    out = transform(plain, f"c{names.index(id_col)}", f"c{names.index(text_col)}")
+    return out.toDF(*names)
+
+
 def key_remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; 0 for a NULL key."""
     return F.coalesce(F.crc32(key.cast("string")) % modulus, F.lit(0))
@@ -98,5 +114,6 @@ def _arrow_type(kind: str) -> pa.DataType:
         "string": pa.string(),
         "binary": pa.binary(),
         "array<int>": pa.list_(pa.int32()),
+        "array<bigint>": pa.list_(pa.int64()),
         "array<double>": pa.list_(pa.float64()),
     }[kind]

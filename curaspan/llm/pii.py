@@ -19,6 +19,7 @@ from curaspan.functions.spans import (
     resolve_overlaps,
     spans_between,
 )
+from curaspan.llm.common import with_plain_names
 
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,matched_text:string,score:double>>"
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -258,6 +259,10 @@ def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Of overlapping spans the one with the higher score stays, then the earlier one.
     NULL texts stay NULL; all other columns pass unchanged.
     """
+    return with_plain_names(docs, text_col, text_col, lambda df, _, text: _mask(df, text))
+
+
+def _mask(docs: DataFrame, text_col: str) -> DataFrame:
     columns = docs.columns
     found = with_pii(docs, text_col, "__pii")
     candidates = F.transform(

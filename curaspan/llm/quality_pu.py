@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curaspan.llm.common import key_remainder, map_texts, written
+from curaspan.llm.common import key_remainder, map_texts, with_plain_names, written
 from curaspan.session import broadcast_if_small
 
 LEARN_MODULUS = 5
@@ -264,6 +264,15 @@ def keep_good(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``MIN_SCORE``, with all their columns."""
+    judged = labels.select(F.col(id_col).alias("__label_id"), "quality")
+
+    def keep(df: DataFrame, id_name: str, text_name: str) -> DataFrame:
+        return _keep(df, judged.withColumnRenamed("__label_id", id_name), id_name, text_name)
+
+    return with_plain_names(docs, id_col, text_col, keep)
+
+
+def _keep(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     features = written(document_features(docs, id_col, text_col), "quality-features")
     held_out = key_remainder(F.col(id_col), LEARN_MODULUS) == 0
     model = learn_quality(features, labels, id_col, ~held_out)

@@ -15,6 +15,7 @@ from curaspan.llm.pii import pii_digest
 from curaspan.llm.quality_pu import score_quality
 from curaspan.llm.rules import apply_rules
 from curaspan.llm.simhash import simhash_classes
+from curaspan.llm.suffix import repeated_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality_classifier,
         op2_best_fit_packing,
+        op4_suffix_array_dedup,
         op6_personal_data,
         op7_quality_rules,
         op9_simhash_components,

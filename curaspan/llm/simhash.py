@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curaspan.llm.common import map_texts, written
+from curaspan.llm.common import map_texts, with_plain_names, written
 from curaspan.llm.components import connected_components
 from curaspan.session import broadcast_if_small
 
@@ -256,6 +256,10 @@ def drop_near_copies(
     Repeated rows of the smallest id count as copies: one of them stays. Rows without
     an id stay, since nothing tells them apart.
     """
+    return with_plain_names(docs, id_col, text_col, _first_of_each)
+
+
+def _first_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = fingerprint_components(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
     first = found.select(F.col("component_id").alias("__id")).distinct()
     kept = docs.join(first, docs[id_col] == F.col("__id"), "left_semi")
