@@ -2,4 +2,21 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+OP3 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+  FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+ORACLES: dict[str, str] = {"op3_exact_top_k": OP3}

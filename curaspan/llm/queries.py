@@ -16,6 +16,7 @@ from curaspan.llm.quality_pu import score_quality
 from curaspan.llm.rules import apply_rules
 from curaspan.llm.simhash import simhash_classes
 from curaspan.llm.suffix import repeated_bytes
+from curaspan.llm.topk import QUERY_MODULUS, top_inner_products
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_inner_products(vectors, F.col("vec_id") % QUERY_MODULUS == 0)
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
 
@@ -55,6 +61,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality_classifier,
         op2_best_fit_packing,
+        op3_exact_top_k,
         op4_suffix_array_dedup,
         op6_personal_data,
         op7_quality_rules,
