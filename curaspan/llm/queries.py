@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from curaspan.llm.brown_lm import score_texts
 from curaspan.llm.common import table
+from curaspan.llm.html_extract import extract_text
 from curaspan.llm.packing import pack
 from curaspan.llm.pii import pii_digest
 from curaspan.llm.quality_pu import score_quality
@@ -38,6 +39,10 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
         op2_best_fit_packing,
         op3_exact_top_k,
         op4_suffix_array_dedup,
+        op5_html_extraction,
         op6_personal_data,
         op7_quality_rules,
         op9_simhash_components,
