@@ -56,14 +56,16 @@ def key_remainder(key: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % modulus, F.lit(0))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a slice holds about ``SLICE_BYTES`` of the text column."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], text: int, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a slice holds about ``size`` bytes of the text column."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = batch.column(text).cast(pa.binary())
         lengths = np.array([len(v) if v is not None else 0 for v in sizes.to_pylist()], dtype=np.int64)
-        part = np.cumsum(lengths) // SLICE_BYTES
+        part = np.cumsum(lengths) // size
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for start, end in zip(edges, edges[1:]):
             yield batch.slice(start, end - start)

@@ -13,6 +13,7 @@ from curaspan.llm.common import table
 from curaspan.llm.html_extract import extract_text
 from curaspan.llm.packing import pack
 from curaspan.llm.pii import pii_digest
+from curaspan.llm.pieces import sample_digest
 from curaspan.llm.quality_pu import score_quality
 from curaspan.llm.rules import apply_rules
 from curaspan.llm.simhash import simhash_classes
@@ -53,6 +54,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op8_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
         op5_html_extraction,
         op6_personal_data,
         op7_quality_rules,
+        op8_sampled_pieces,
         op9_simhash_components,
         op10_brown_class_model,
     )
