@@ -27,7 +27,9 @@ from curaspan.session import broadcast_if_small
 LEARN_MODULUS = 5
 MIN_SCORE = 0.3
 MAX_PASSES = 15
-RIDGE = 1e-3
+# Weight of the squared coefficients; with few trusted texts more is needed.
+RIDGE = 2e-3
+RIDGE_PER_TRUSTED = 2.0
 # Step length along the risk that went negative, as in the non-negative correction.
 CORRECTION = 0.5
 # Labels up to this count go to every executor; more are joined through a shuffle.
@@ -172,7 +174,7 @@ def fit_quality(learning: DataFrame, prior: float) -> QualityModel:
         )
         negative = soft_u - prior * soft_p  # R_U(-1) - p * R_P(-1)
         positive = prior * (soft_p - g_p)  # p * R_P(+1)
-        ridge = RIDGE * np.r_[np.ones(d), 0]
+        ridge = (RIDGE + RIDGE_PER_TRUSTED / n_trusted) * np.r_[np.ones(d), 0]
         total = positive + max(0.0, negative) + 0.5 * ridge @ (w * w)
         gradient = grad_u - prior * sum_p + ridge * w
         hessian = t[3 + 3 * k :].reshape(k, k) / n + np.diag(ridge + 1e-9)

@@ -5,12 +5,13 @@ import re
 
 import corpus_pipeline
 import pytest
-import test_packing
 from tokenizers import Tokenizer
 
 from curaspan.llm.pii import pii_digest
 from curaspan.llm.simhash import simhash_classes
 
+from .test_packing import PATH, check_layout
+
 
 @pytest.fixture(scope="module")
 def stages(spark, sf_dir):
@@ -73,9 +74,9 @@ def test_personal_data_is_masked(stages):
 
 
 def test_every_token_is_packed(stages):
-    plain = Tokenizer.from_file(test_packing.PATH)
+    plain = Tokenizer.from_file(PATH)
     packed = stages[5].collect()
-    test_packing.check_layout(packed)
+    check_layout(packed)
     total = sum(
         len(plain.encode(r["text"], add_special_tokens=False).ids) + 1
         for r in stages[4].collect()
