@@ -5,7 +5,7 @@ from __future__ import annotations
 from curaspan.operators.profile import SCORE_COLUMNS
 from curaspan.plans.catalog import RUN_ID, RUN_TIME, STRICT_THRESHOLD
 
-# Plain forms of the patterns: (order, type, confidence, regex).
+# The patterns in their plain form (order, type, confidence, regex).
 _PATTERNS = [
     (0, "EMAIL", "0.99", r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"),
     (

@@ -8,17 +8,25 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curaspan.operators.anonymize import anonymize
 from curaspan.operators.detect import detect_pii
 from curaspan.operators.entities import with_entities
-from curaspan.operators.ingest import BLOCK_FORMAT, CHAT_FORMAT, TABULAR_FORMAT, unify, validate
+from curaspan.operators.ingest import (
+    BLOCK_FORMAT,
+    CHAT_FORMAT,
+    TABULAR_FORMAT,
+    count_by_format,
+    unify,
+    validate,
+)
 from curaspan.operators.lineage import lineage_events, new_run_id, now_iso, summary_of_records
 from curaspan.operators.quality import quality_report, run_totals, score_quality
-from curaspan.session import prepare
+from curaspan.session import prepare, scratch_path
 from curaspan.sources.readers import (
     LoadedSource,
     read_blocks,
@@ -47,13 +55,23 @@ DEFAULT_CONFIG = {
     "lineage_dir": "data/lineage",
     "quality_report_path": "data/quality_reports/quality_report.json",
     "parquet_path": "data/processed/curated_dataset.parquet",
+    "rejects_path": "data/processed/rejects.parquet",
+    # CSV with line breaks inside quotes and chat arrays: one task per file.
+    "multiline": True,
 }
 LINEAGE_FILE = "lineage_log"
 
 
+REJECTS = "source string, source_file string, raw string"
+
+
 @dataclass(frozen=True)
 class Ingested:
-    """The unified table, and what went wrong on the way."""
+    """The unified table, and what went wrong on the way.
+
+    ``rejects`` has the unreadable rows with their ``source``, ``failures`` what could not
+    be read at all.
+    """
 
     records: DataFrame
     failures: list[str] = field(default_factory=list)
@@ -69,26 +87,87 @@ def _union(frames: list[DataFrame]) -> DataFrame | None:
     return reduce(DataFrame.unionByName, frames) if frames else None
 
 
-def ingest_all(spark: SparkSession, sources: Mapping[str, str | Reader]) -> Ingested:
-    """Read every source; one that cannot be opened is noted and skipped.
+def _staged(spark: SparkSession, loaded: LoadedSource) -> LoadedSource:
+    """The tables of a source, written in jobs of their own and read again.
+
+    What cannot be read fails here, where it can be told which source it was.
+    """
+
+    def stage(df: DataFrame | None, name: str) -> DataFrame | None:
+        if df is None:
+            return None
+        path = scratch_path(spark, f"ingest-{name}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return LoadedSource(
+        stage(loaded.records, "records"),
+        stage(loaded.rejects, "rejects"),
+        stage(loaded.counters, "counters"),
+        loaded.failures,
+    )
+
+
+def ingest_all(
+    spark: SparkSession, sources: Mapping[str, str | Reader], staged: bool = False
+) -> Ingested:
+    """Read every source; one that cannot be read is noted and skipped.
 
-    ``sources`` maps a path to a format name or to a reader function.
+    ``sources`` maps a path to a format name or to a reader function. With ``staged``
+    every source is read once, right away, into the scratch folder, so that a file
+    that breaks while it is read does not take the other sources with it.
     """
-    loaded, failures = [], []
+    loaded, rejects, failures = [], [], []
     for path, kind in sources.items():
         reader = READERS[kind] if isinstance(kind, str) else kind
         try:
-            loaded.append(reader(spark, path))
-        except (AnalysisException, ValueError) as error:
-            failures.append(f"{path}: load error: {error}")
+            source = reader(spark, path)
+            source = _staged(spark, source) if staged else source
+        except (PySparkException, Py4JJavaError, ValueError) as error:
+            failures.append(f"{path}: load error: {str(error).splitlines()[0]}")
+            continue
+        loaded.append(source)
+        failures += [f"{path}: {failure}" for failure in source.failures]
+        if source.rejects is not None:
+            rejects.append(source.rejects.select(F.lit(path).alias("source"), "source_file", "raw"))
     return Ingested(
         records=unify([s.records for s in loaded], spark),
         failures=failures,
-        rejects=_union([s.rejects for s in loaded if s.rejects is not None]),
+        rejects=_union(rejects),
         counters=_union([s.counters for s in loaded if s.counters is not None]),
     )
 
 
+def ingest_report(ingested: Ingested) -> dict[str, Any]:
+    """What an ingest took in and what it left out; every part has a few rows at most.
+
+    Records per format, rows dropped as duplicates, ids repaired, unreadable rows per
+    source, rule violations per format and rule, and the sources that failed whole or
+    in part.
+    """
+    formats = {r["source_format"]: r["records"] for r in count_by_format(ingested.records).collect()}
+    by_rule = ingested.violations.groupBy("source_format", "rule").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bad_rows").alias("bad_rows")
+    )
+    violations = [r.asDict() for r in by_rule.orderBy("source_format", "rule").collect()]
+    repairs = {"duplicates_dropped": 0, "ids_repaired": 0}
+    if ingested.counters is not None:
+        sums = ingested.counters.agg(*[F.sum(name).alias(name) for name in repairs]).first()
+        repairs = {name: sums[name] or 0 for name in repairs}
+    rejected: dict[str, int] = {}
+    if ingested.rejects is not None:
+        rows = ingested.rejects.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()
+        rejected = {r["source"]: r["n"] for r in sorted(rows)}
+    broken = [f"{source}: {n} unreadable rows or files" for source, n in rejected.items()]
+    return {
+        "records_per_format": formats,
+        **repairs,
+        "rejected_per_source": rejected,
+        "rule_violations": violations,
+        "load_failures": [*ingested.failures, *broken],
+    }
+
+
 def curate(records: DataFrame, entity_dictionary: DataFrame | None = None) -> DataFrame:
     """Detection, anonymization and scoring of a unified table.
 
@@ -105,14 +184,24 @@ def curate(records: DataFrame, entity_dictionary: DataFrame | None = None) -> Da
     return detected.transform(anonymize()).transform(score_quality)
 
 
+def _with_multiline(kind: str | Reader, multiline: bool) -> str | Reader:
+    """The reader of a format that has a choice, with the configured one."""
+    if kind in (CHAT_FORMAT, TABULAR_FORMAT) and not multiline:
+        reader = READERS[kind]
+        return lambda spark, path: reader(spark, path, multiline=False)
+    return kind
+
+
 def run_pipeline(spark: SparkSession, config: Mapping[str, Any]) -> dict[str, Any]:
     """Run all stages and return the run summary.
 
     ``config["sources"]`` is required; see ``DEFAULT_CONFIG`` for the rest. The
     optional ``entity_dictionary`` is a table of ``phrase, label``.
 
-    The curated table is written first, and log, report and totals are computed
-    from the written table: detection runs once, and all outputs agree.
+    Every source is read into the scratch folder first, on its own. The curated table
+    is written next, and log, report and totals are computed from the written table:
+    detection runs once, and all outputs agree. Rows that could not be read are
+    written beside the curated table.
     """
     started = time.perf_counter()
     prepare(spark)
@@ -121,7 +210,16 @@ def run_pipeline(spark: SparkSession, config: Mapping[str, Any]) -> dict[str, An
     run_id = settings.get("run_id") or new_run_id()
 
     ingestion_timestamp = now_iso()
-    ingested = ingest_all(spark, settings["sources"])
+    sources = {
+        path: _with_multiline(kind, bool(settings["multiline"]))
+        for path, kind in settings["sources"].items()
+    }
+    ingested = ingest_all(spark, sources, staged=True)
+    rejects = ingested.rejects
+    if rejects is None:
+        rejects = spark.createDataFrame([], REJECTS)
+    rejects.write.mode("overwrite").parquet(settings["rejects_path"])
+    report = ingest_report(ingested)
     detection_timestamp = now_iso()
     curated = curate(ingested.records, settings.get("entity_dictionary"))
     parquet_path = write_curated(
@@ -156,6 +254,7 @@ def run_pipeline(spark: SparkSession, config: Mapping[str, Any]) -> dict[str, An
         "lineage_log_path": log_path,
         "parquet_path": parquet_path,
         "run_id": run_id,
-        "load_failures": ingested.failures,
+        "rejects_path": settings["rejects_path"],
+        **report,
         "elapsed_seconds": round(time.perf_counter() - started, 2),
     }

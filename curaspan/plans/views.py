@@ -10,17 +10,15 @@ from pyspark.sql import functions as F
 from curaspan.functions.text import join_nonempty
 from curaspan.operators.ingest import BLOCK_FORMAT, CHAT_FORMAT, TABULAR_FORMAT, unify
 from curaspan.plans.pipeline import curate
-from curaspan.session import broadcast_if_small, scratch_path, spread
+from curaspan.session import broadcast_if_small, scratch_path
 from curaspan.sources.readers import read_curated
 from curaspan.sources.writers import write_curated
 
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """One table; with ``keys``, small inputs are spread over all cores."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, *keys) if keys else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written_once(
@@ -77,7 +75,7 @@ def order_note() -> Column:
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unified, tagged records: documents, conversations, events and orders."""
     no_time = F.lit(None).cast("timestamp")
-    documents = table(spark, sf_dir, "documents", "doc_id").select(
+    documents = table(spark, sf_dir, "documents").select(
         F.concat(F.lit("doc-"), _text("doc_id")).alias("record_id"),
         F.lit(BLOCK_FORMAT).alias("source_format"),
         F.concat(F.lit("documents/"), F.col("source")).alias("source_file"),
@@ -85,7 +83,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
         F.to_json(F.struct("lang", "source")).alias("raw_metadata"),
     )
-    conversations = table(spark, sf_dir, "conversations", "conv_id", "turn").select(
+    conversations = table(spark, sf_dir, "conversations").select(
         F.concat_ws("-", F.lit("conv"), _text("conv_id"), _text("turn")).alias("record_id"),
         F.lit(CHAT_FORMAT).alias("source_format"),
         F.lit("conversations").alias("source_file"),
@@ -93,7 +91,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
         F.to_json(F.struct("role")).alias("raw_metadata"),
     )
-    events = table(spark, sf_dir, "events", "event_id").select(
+    events = table(spark, sf_dir, "events").select(
         F.concat(F.lit("evt-"), _text("event_id")).alias("record_id"),
         F.lit("events").alias("source_format"),
         F.lit("events").alias("source_file"),
@@ -101,7 +99,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(" ", "event_type", "props").alias("text"),
         F.lit("{}").alias("raw_metadata"),
     )
-    orders = table(spark, sf_dir, "orders", "o_orderkey").select(
+    orders = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("ord-"), _text("o_orderkey")).alias("record_id"),
         F.lit(TABULAR_FORMAT).alias("source_format"),
         F.concat(F.lit("orders/"), F.col("o_orderstatus")).alias("source_file"),
@@ -246,7 +244,7 @@ def shipping_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = table(spark, sf_dir, "customer").join(
         place, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    orders = table(spark, sf_dir, "orders", "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     # Streams the orders, also where their pruned columns look like the smaller side.
     buyers = broadcast_if_small(buyers, 200_000)
     return orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(

@@ -70,25 +70,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/curaspan/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give CPU-heavy row work at least one partition per core.
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast ``df`` only when it is proven to be small, by rows and by text length.
 
-    Only an input with fewer splits than cores is reshuffled (a few small
-    files). A large input has far more splits than cores and passes unchanged,
-    so no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *[F.col(k) for k in keys])
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it is proven to hold at most ``max_rows`` rows.
-
-    The check counts no further than ``max_rows + 1``. A larger side is left
+    The check looks no further than ``max_rows + 1`` rows. A larger side is left
     as it is, and Spark shuffles both sides with its skew handling.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    lengths = [F.octet_length(F.col(c)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    size = sum((F.coalesce(n, F.lit(0)) for n in lengths), F.lit(0))
+    found = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
+    )
+    row = found.first()
+    if row["rows"] <= max_rows and row["bytes"] <= max_bytes:
         return F.broadcast(df)
     return df

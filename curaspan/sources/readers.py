@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +22,7 @@ from curaspan.operators.ingest import (
     tabular_to_unified,
 )
 from curaspan.schemas import NESTED_COLUMNS
+from curaspan.session import broadcast_if_small
 
 _CORRUPT = "_corrupt_record"
 
@@ -32,12 +36,14 @@ class LoadedSource:
     """Lazy tables of one source.
 
     ``records`` is the unified table, ``rejects`` the unreadable rows
-    (``source_file, raw``), ``counters`` the repair counts of a tabular source.
+    (``source_file, raw``), ``counters`` the repair counts of a tabular source,
+    ``failures`` what could not be opened at all.
     """
 
     records: DataFrame
     rejects: DataFrame | None = None
     counters: DataFrame | None = None
+    failures: list[str] = field(default_factory=list)
 
 
 def _file_path() -> Column:
@@ -45,16 +51,47 @@ def _file_path() -> Column:
     return F.regexp_replace(F.col("_metadata.file_path"), r"\Afile:/+", "/")
 
 
-def _with_position(raw: DataFrame) -> DataFrame:
-    # Taken at the scan, before any shuffle.
+# Input splits up to this count (some 150 bytes each) go to every executor.
+BROADCAST_SPLITS = 500_000
+# Files up to this count as well, for the look at their line structure.
+BROADCAST_FILES = 200_000
+
+
+def _at_scan(raw: DataFrame, *columns: Column | str) -> DataFrame:
+    """``columns`` with file, split and row number, taken at the scan, before any shuffle."""
     return raw.select(
-        "*",
+        *columns,
         _file_path().alias("source_file"),
         F.col("_metadata.file_block_start").alias(SPLIT),
         F.monotonically_increasing_id().alias(ROW),
     )
 
 
+def _from_split_start(scanned: DataFrame, raw: DataFrame) -> DataFrame:
+    """Count the rows of every split from zero.
+
+    The number a scan gives to a row starts with that of its task, which depends on all
+    other files and on the cores. Less the first number of its split it depends on the
+    file alone. There is one small row per split; a scan has no more splits than files
+    and tasks together, both known without a job.
+    """
+    firsts = scanned.groupBy("source_file", SPLIT).agg(F.min(ROW).alias("__first"))
+    if len(raw.inputFiles()) + raw.rdd.getNumPartitions() <= BROADCAST_SPLITS:
+        firsts = F.broadcast(firsts)
+    return scanned.join(firsts, ["source_file", SPLIT]).withColumn(
+        ROW, F.col(ROW) - F.col("__first")
+    ).drop("__first")
+
+
+def _with_position(raw: DataFrame) -> DataFrame:
+    return _from_split_start(_at_scan(raw, "*"), raw)
+
+
+def _as_path(encoded: str) -> str:
+    """The path to read a file by, from the form in which a scan names it."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(encoded))
+
+
 def read_chat(spark: SparkSession, paths: str | list[str], multiline: bool = True) -> LoadedSource:
     """Chat export: a JSON array of messages per file, or JSON Lines.
 
@@ -103,30 +140,52 @@ def read_chat(spark: SparkSession, paths: str | list[str], multiline: bool = Tru
     return LoadedSource(records, rejects)
 
 
-def read_tabular_raw(
-    spark: SparkSession, paths: str | list[str], multiline: bool = True
-) -> DataFrame:
-    """CSV with a header, every field a string, blanks as ``""``; unreadable rows keep a note."""
-
-    def reader():
-        return (
-            spark.read.option("header", True)
-            .option("multiLine", multiline)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", _CORRUPT)
-            .option("columnPruning", False)
-        )
+def _tabular_reader(spark: SparkSession, multiline: bool):
+    return (
+        spark.read.option("header", True)
+        .option("multiLine", multiline)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("columnPruning", False)
+    )
+
+
+def _files_by_header(spark: SparkSession, paths: str | list[str]) -> list[str | list[str]]:
+    """The paths as they are if all files start with the same line, else lists of files.
+
+    One pass over the first splits; only the different first lines and the names of the
+    files come to the driver, which has listed them before.
+    """
+    lines = _at_scan(spark.read.text(paths), "value").where(F.col(SPLIT) == 0)
+    headers = lines.groupBy("source_file").agg(F.min_by("value", ROW).alias("header"))
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("source_file")).alias("files"))
+    found = sorted(groups.collect(), key=lambda g: g["files"][0])
+    if len(found) <= 1:
+        return [paths]
+    return [[_as_path(f) for f in g["files"]] for g in found]
+
 
-    names = reader().csv(paths).columns
+def _field_count(line: Column) -> Column:
+    """Fields of a CSV line: one more than its commas outside quotes."""
+    unquoted = F.regexp_replace(line, r'"(?:[^"]|"")*+"', "")
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+
+
+def _tabular_group(spark: SparkSession, paths: str | list[str], multiline: bool) -> DataFrame:
+    """Rows of files with the same header."""
+    names = _tabular_reader(spark, multiline).csv(paths).columns
     if "record_id" not in names:
         raise ValueError(f"{paths}: no 'record_id' column in the header {names}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
-    raw = reader().schema(schema).csv(paths).transform(_with_position)
-    # A row with too many fields is flagged and has its last column filled. A
-    # row with too few is flagged as well, but complete once padded with blanks.
-    too_long = F.col(_CORRUPT).isNotNull() & F.col(names[-1]).isNotNull()
+    raw = _tabular_reader(spark, multiline).schema(schema).csv(paths).transform(_with_position)
+    # Rows with too many and with too few fields are flagged alike. The latter are
+    # complete once padded with blanks.
+    # Spark refuses plans that read nothing but the corrupt-record column, so the test
+    # refers to a data column as well; that part is always true.
+    any_field = F.coalesce(F.length(names[0]) >= 0, F.lit(True))
+    too_long = any_field & (_field_count(F.col(_CORRUPT)) > len(names))
     return raw.withColumn(_CORRUPT, F.when(too_long, F.col(_CORRUPT))).select(
         *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names],
         _CORRUPT,
@@ -136,44 +195,77 @@ def read_tabular_raw(
     )
 
 
+def _tabular_groups(
+    spark: SparkSession, paths: str | list[str], multiline: bool
+) -> tuple[list[DataFrame], list[str]]:
+    """One table per header, and the files whose header has no id."""
+    tables, failures = [], []
+    for files in _files_by_header(spark, paths):
+        try:
+            tables.append(_tabular_group(spark, files, multiline))
+        except ValueError as error:
+            failures.append(f"load error: {error}")
+    if not tables:
+        raise ValueError("; ".join(failures))
+    return tables, failures
+
+
+def read_tabular_raw(
+    spark: SparkSession, paths: str | list[str], multiline: bool = True
+) -> DataFrame:
+    """CSV with a header, every field a string, blanks as ``""``; unreadable rows keep a note.
+
+    Every file is read by its own header; a column that a file does not have is NULL.
+    """
+    tables, _ = _tabular_groups(spark, paths, multiline)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def read_tabular(
     spark: SparkSession, paths: str | list[str], multiline: bool = True
 ) -> LoadedSource:
     """Tabular CSV source with id repair and keep-first dedup per file.
 
-    ``multiline`` allows line breaks inside quotes, at the price of one task per
-    file; switch it off for inputs without them so that Spark can split files.
+    Every file is read by its own header. A row with more fields than its header is
+    rejected whole. ``multiline`` allows line breaks inside quotes, at the price of one
+    task per file; switch it off for inputs without them so that Spark can split files.
     """
-    raw = read_tabular_raw(spark, paths, multiline)
-    good = raw.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
-    rejects = raw.where(F.col(_CORRUPT).isNotNull()).select(
-        "source_file", F.col(_CORRUPT).alias("raw")
-    )
-    return LoadedSource(good.transform(tabular_to_unified), rejects, tabular_counters(good))
+    tables, failures = _tabular_groups(spark, paths, multiline)
+    loaded = []
+    for raw in tables:
+        good = raw.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+        rejects = raw.where(F.col(_CORRUPT).isNotNull()).select(
+            "source_file", F.col(_CORRUPT).alias("raw")
+        )
+        loaded.append((good.transform(tabular_to_unified), rejects, tabular_counters(good)))
+    records, rejects, counters = (reduce(DataFrame.unionByName, x) for x in zip(*loaded))
+    return LoadedSource(records, rejects, counters, failures)
 
 
 def read_blocks(spark: SparkSession, paths: str | list[str]) -> LoadedSource:
     """Text files cut at empty lines; a file that yields one block is cut into lines.
 
-    One look at the line structure decides how to read. If all files are of one
-    kind, the reader itself cuts them, and no text is shuffled. A mix of kinds,
-    or unusual line ends, takes the general way by lines.
+    One look at the line structure says how to read each file. Block files and line files
+    are cut by the reader itself, and none of their text is shuffled, whatever other
+    files lie beside them. Only block files with other line ends than ``\\n`` take the
+    general way by lines.
     """
-    kinds = block_file_kinds(spark, paths).agg(
-        F.count_if("has_blocks").alias("blocks"),
-        F.count_if(~F.col("has_blocks")).alias("lines"),
-        F.count_if("has_windows_ends").alias("windows_ends"),
-        F.count_if("has_lone_returns").alias("lone_returns"),
-    )
-    count = kinds.first()
-    if count["blocks"] == 0 and count["lone_returns"] == 0:
-        pieces = _lines_of(_text_lines(spark, paths).where("content"))
-    elif not (count["lines"] or count["windows_ends"] or count["lone_returns"]):
-        pieces = _separated_blocks(spark, paths)
-    else:
-        pieces = _blocks_by_line(spark, paths)
+    found = _files_of(block_file_kinds(spark, paths, "\n"))
+    if found["odd"]:
+        odd = _files_of(block_file_kinds(spark, found["odd"], None))
+        found = {**found, "lines": [*found["lines"], *odd["lines"]], "odd": odd["blocks"]}
+    pieces = []
+    if found["blocks"]:
+        pieces.append(_separated_blocks(spark, found["blocks"]))
+    if found["lines"]:
+        pieces.append(_lines_of(_text_lines(spark, found["lines"]).where("content")))
+    if found["odd"]:
+        pieces.append(_blocks_by_line(spark, found["odd"]))
+    if not pieces:
+        pieces.append(_separated_blocks(spark, paths).where(F.lit(False)))
     records = (
-        pieces.withColumn("text", strip(F.col("text")))
+        reduce(DataFrame.unionByName, pieces)
+        .withColumn("text", strip(F.col("text")))
         .where(F.col("text") != "")
         .select(
             stable_id(
@@ -189,65 +281,79 @@ def read_blocks(spark: SparkSession, paths: str | list[str]) -> LoadedSource:
     return LoadedSource(records)
 
 
-def _text_lines(
+def _files_of(kinds: DataFrame) -> dict[str, list[str]]:
+    """Paths by kind; as long as the list of files that the driver has made before."""
+    rows = kinds.groupBy("kind").agg(F.sort_array(F.collect_list("source_file")).alias("files"))
+    found = {row["kind"]: [_as_path(f) for f in row["files"]] for row in rows.collect()}
+    return {kind: found.get(kind, []) for kind in ("blocks", "lines", "odd")}
+
+
+def _scan_lines(
     spark: SparkSession, paths: str | list[str], separator: str | None = None
-) -> DataFrame:
-    """Lines with their position; ``empty`` lines have no character, ``content`` lines a visible one."""
+) -> tuple[DataFrame, DataFrame]:
+    """The raw text table, and its lines with their position.
+
+    ``empty`` lines have no character, ``content`` lines a visible one.
+    """
     reader = spark.read if separator is None else spark.read.option("lineSep", separator)
-    return reader.text(paths).select(
+    raw = reader.text(paths)
+    return raw, _at_scan(
+        raw,
         "value",
         (F.col("value") == "").alias("empty"),
         (strip(F.col("value")) != "").alias("content"),
-        _file_path().alias("source_file"),
         F.col("_metadata.file_modification_time").alias("timestamp"),
-        F.col("_metadata.file_block_start").alias(SPLIT),
-        F.monotonically_increasing_id().alias(ROW),
     )
 
 
-def block_file_kinds(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Per file with content: does it have two blocks, and which line ends does it use.
+def _text_lines(
+    spark: SparkSession, paths: str | list[str], separator: str | None = None
+) -> DataFrame:
+    """Lines with their position from the start of their split."""
+    raw, lines = _scan_lines(spark, paths, separator)
+    return _from_split_start(lines, raw)
+
+
+def block_file_kinds(
+    spark: SparkSession, paths: str | list[str], separator: str | None = "\n"
+) -> DataFrame:
+    """Per file with content its ``kind``: blocks, lines, or odd if it has carriage returns.
 
-    Lone carriage returns end lines as well but are not looked into here. A file has two blocks if an empty line stands between its first and its last
-    line with content. Only positions are shuffled, no text; every task reduces
-    its lines before that.
+    A file has two blocks if an empty line stands between its first and its last
+    line with content. Only positions leave the scan, no text; every task reduces
+    its lines before that. With ``separator=None`` all line ends count alike and no
+    file is odd.
     """
-    lines = _text_lines(spark, paths, "\n")
-    body = F.regexp_replace("value", r"\r\z", "")
+    _, lines = _scan_lines(spark, paths, separator)
     position = F.struct(SPLIT, ROW)
-    per_split = lines.groupBy("source_file", SPLIT).agg(
-        F.min(F.when(F.col("content"), position)).alias("first_content"),
-        F.max(F.when(F.col("content"), position)).alias("last_content"),
-        F.bool_or(F.endswith("value", F.lit("\r"))).alias("windows_ends"),
-        F.bool_or(F.contains(body, F.lit("\r"))).alias("lone_returns"),
-    )
-    extent = per_split.groupBy("source_file").agg(
-        F.min("first_content").alias("first_content"),
-        F.max("last_content").alias("last_content"),
-        F.bool_or("windows_ends").alias("has_windows_ends"),
-        F.bool_or("lone_returns").alias("has_lone_returns"),
+    extent = (
+        lines.groupBy("source_file", SPLIT)
+        .agg(
+            F.min(F.when(F.col("content"), position)).alias("first"),
+            F.max(F.when(F.col("content"), position)).alias("last"),
+            F.bool_or(F.contains("value", F.lit("\r"))).alias("odd"),
+        )
+        .groupBy("source_file")
+        .agg(
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+            F.bool_or("odd").alias("odd"),
+        )
+        .where(F.col("first").isNotNull())
     )
+    extent = broadcast_if_small(extent, BROADCAST_FILES)
     between = (
-        lines.where(body == "")
+        lines.where("empty")
         .select("source_file", position.alias("position"))
         .join(extent, "source_file")
-        .where(
-            (F.col("position") > F.col("first_content"))
-            & (F.col("position") < F.col("last_content"))
-        )
+        .where((F.col("position") > F.col("first")) & (F.col("position") < F.col("last")))
         .select("source_file")
         .distinct()
-        .withColumn("has_blocks", F.lit(True))
+        .withColumn("split", F.lit(True))
     )
-    return (
-        extent.where(F.col("first_content").isNotNull())
-        .join(between, "source_file", "left")
-        .select(
-            "source_file",
-            F.coalesce("has_blocks", F.lit(False)).alias("has_blocks"),
-            "has_windows_ends",
-            "has_lone_returns",
-        )
+    kind = F.when(F.col("odd"), F.lit("odd")).when(F.col("split"), F.lit("blocks"))
+    return extent.join(between, "source_file", "left").select(
+        "source_file", kind.otherwise(F.lit("lines")).alias("kind")
     )
 
 
@@ -270,12 +376,12 @@ def _separated_blocks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def _blocks_by_line(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Blocks or lines, file by file, put together from lines.
+    """Blocks of files with any line ends, put together from lines.
 
     An empty line opens a new block. The last empty line before a given line is
     found inside its input split and, for the lines before the first empty line
     of a split, carried over from earlier splits through one small row per
-    split. No file is ever read as one value or gathered in one task.
+    split. Lines are grouped by split and by block, never by file.
     """
     lines = _text_lines(spark, paths)
     file_split = ["source_file", SPLIT]
@@ -304,16 +410,8 @@ def _blocks_by_line(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .join(carried, file_split)
         .withColumn("block", F.coalesce("here", "carried", start_of_file))
     )
-
-    # A file has blocks if its lines with content lie in two different ones.
-    block_with_content = F.when(F.col("content"), F.col("block"))
-    kinds = keyed.groupBy("source_file").agg(
-        (F.min(block_with_content) != F.max(block_with_content)).alias("has_blocks")
-    )
-    marked = keyed.join(kinds, "source_file")
-    blocks = (
-        marked.where("has_blocks")
-        .groupBy("source_file", "timestamp", "block")
+    return (
+        keyed.groupBy("source_file", "timestamp", "block")
         .agg(F.array_sort(F.collect_list(F.struct(SPLIT, ROW, "value"))).alias("parts"))
         .select(
             "source_file",
@@ -324,8 +422,6 @@ def _blocks_by_line(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             F.array_join(F.col("parts")["value"], "\n").alias("text"),
         )
     )
-    single = _lines_of(marked.where(~F.col("has_blocks") & F.col("content")))
-    return blocks.unionByName(single)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 
 # Fixed values: (type, confidence, pattern) in order of preference on ties.
 RULES = [
-    ("EMAIL", 0.99, re.compile(r"[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}", re.IGNORECASE)),
+    ("EMAIL", 0.99, re.compile(r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}", re.IGNORECASE)),
     (
         "PHONE_US",
         0.95,

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 
 import pytest
@@ -48,3 +49,11 @@ def texts(spark):
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffled_columns(df) -> list[str]:
+    """Names of the columns that go through the shuffles of a plan, one text per shuffle."""
+    jvm = df.sparkSession._jvm
+    mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)

@@ -24,27 +24,31 @@ def spans_of(df):
 
 
 CASES = [
-    ("Contact me at test@example.com", [("EMAIL", "test@example.com")]),
-    ("user: bob.smith+tag@corp.io", [("EMAIL", "bob.smith+tag@corp.io")]),
-    ("Call me at 415-555-0192 for details.", [("PHONE_US", "415-555-0192")]),
-    ("Reach out at (800) 555-1234.", [("PHONE_US", "(800) 555-1234")]),
-    ("SSN: 123-45-6789 — handle with care.", [("SSN", "123-45-6789")]),
-    ("Card on file: 4111-1111-1111-1111.", [("CREDIT_CARD", "4111-1111-1111-1111")]),
-    ("Charge 4012 8888 8888 1881 for the subscription.", [("CREDIT_CARD", "4012 8888 8888 1881")]),
-    ("Server is at 192.168.1.100.", [("IP_ADDRESS", "192.168.1.100")]),
+    ("", []),
+    (None, []),
+    ("Nothing to hide in this line about the weather.", []),
+    ("version 1.2.3, build 300.1.2.4", []),
+    ("Parcel desk: desk-7@parcels.example.org!", [("EMAIL", "desk-7@parcels.example.org")]),
+    ("from <mia.k+news@post.example>", [("EMAIL", "mia.k+news@post.example")]),
+    ("ring 212-555-0147 after nine", [("PHONE_US", "212-555-0147")]),
+    ("fax: (305) 555-0118", [("PHONE_US", "(305) 555-0118")]),
+    ("2125550147 or +1 212 555 0147", [("PHONE_US", "2125550147"), ("PHONE_US", "+1 212 555 0147")]),
+    ("tax id 219-09-9999 on page two", [("SSN", "219-09-9999")]),
+    ("paid with 5500-0000-0000-0004", [("CREDIT_CARD", "5500-0000-0000-0004")]),
+    ("paid with 6011 0000 0000 0004 today", [("CREDIT_CARD", "6011 0000 0000 0004")]),
+    ("gateway 172.16.254.1 is down", [("IP_ADDRESS", "172.16.254.1")]),
     (
-        "Email bob@acme.com or call 555-867-5309.",
-        [("EMAIL", "bob@acme.com"), ("PHONE_US", "555-867-5309")],
+        "172.16.254.1 belongs to it@lab.example, extension 646-555-0193",
+        [
+            ("IP_ADDRESS", "172.16.254.1"),
+            ("EMAIL", "it@lab.example"),
+            ("PHONE_US", "646-555-0193"),
+        ],
     ),
-    ("The deployment pipeline is green and all tests are passing.", []),
     (
-        "Call 415-555-0192 then email alice@test.com and note SSN 987-65-4321.",
-        [("PHONE_US", "415-555-0192"), ("EMAIL", "alice@test.com"), ("SSN", "987-65-4321")],
+        "219-09-9999 / 646-555-0193",
+        [("SSN", "219-09-9999"), ("PHONE_US", "646-555-0193")],
     ),
-    ("bare 4155550192 and +1 415 555 0192", [("PHONE_US", "4155550192"), ("PHONE_US", "+1 415 555 0192")]),
-    ("not an address 256.1.1.1 or 1.2.3", []),
-    ("", []),
-    (None, []),
 ]
 
 
@@ -152,7 +156,7 @@ def test_entity_layer(spark, texts):
         import pandas as pd
 
         def find(text):
-            names = [("PERSON", "Sarah Johnson"), ("ORG", "example.com"), ("DATE", "today")]
+            names = [("PERSON", "Ada Okafor"), ("ORG", "lab.example"), ("DATE", "today")]
             return [
                 {"label": label, "start": text.find(name), "end": text.find(name) + len(name), "matched_text": name}
                 for label, name in names
@@ -161,7 +165,7 @@ def test_entity_layer(spark, texts):
 
         return pd.Series([find(v) for v in values])
 
-    out = texts("Reach Sarah Johnson at s@example.com today").transform(detect_pii(entities=entities))
+    out = texts("Ask Ada Okafor under a@lab.example today").transform(detect_pii(entities=entities))
     found = [(d["pii_type"], d["layer"], d["confidence"]) for d in out.first()["pii_detections"]]
     assert found == [("PERSON", "ner", 0.80), ("EMAIL", "regex", 0.99)]
 

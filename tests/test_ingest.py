@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from conftest import plan_of, shuffled_columns
 from curaspan.functions.text import WHITE_SPACE, join_nonempty, stable_id, strip
 from curaspan.functions.times import parse_due_date, parse_iso, print_for_tag, print_iso
 from curaspan.operators import ingest
@@ -41,6 +41,13 @@ def test_iso_timestamps(spark):
         "2024-01-15T09:00:00.5": datetime(2024, 1, 15, 9, 0, 0, 500000),
         # The clock reading stays, the zone is replaced.
         "2024-01-15T09:00:00+05:00": datetime(2024, 1, 15, 9),
+        "2024-W03-1": datetime(2024, 1, 15),
+        "2024W031T05:06": datetime(2024, 1, 15, 5, 6),
+        "2024-W03": datetime(2024, 1, 15),
+        "2020-W53-7": datetime(2021, 1, 3),
+        "2021-W53-1": None,
+        "20240115": datetime(2024, 1, 15),
+        "2024-0115": None,
         "2024-02-30T09:00:00": None,
         "15/01/2024": None,
         "bad": None,
@@ -72,6 +79,21 @@ def test_due_dates(spark):
         "2024-03-05 10:11:12.25": datetime(2024, 3, 5, 10, 11, 12, 250000),
         "2024-03-05T10:11:12+05:00": datetime(2024, 3, 5, 10, 11, 12),
         " 2024-03-05 ": datetime(2024, 3, 5),
+        "03/05/24": datetime(2024, 3, 5),
+        "13/05/24": datetime(2024, 5, 13),
+        "03/05/2024 3:30 PM": datetime(2024, 3, 5, 15, 30),
+        "12/31/2024 12:00 AM": datetime(2024, 12, 31),
+        "March 5 2024": datetime(2024, 3, 5),
+        "mar 5 2024": datetime(2024, 3, 5),
+        "20240305": datetime(2024, 3, 5),
+        "2024.03.05": datetime(2024, 3, 5),
+        "Sept 5, 2024": datetime(2024, 9, 5),
+        "5-March-2024": datetime(2024, 3, 5),
+        "5th March 2024": datetime(2024, 3, 5),
+        "5-Mar-24": datetime(2024, 3, 5),
+        "12/31/2024 13:00 PM": None,
+        "Juno 5, 2024": None,
+        "99/99/9999": None,
         "soon": None,
         "": None,
         "  ": None,
@@ -278,14 +300,66 @@ def test_blocks_over_many_splits(spark, folder, kinds):
     try:
         records = read_blocks(spark, paths).records
         rows = records.select("source_file", "text").collect()
-        # Files of one kind are cut by the reader: no shuffle.
-        assert ("Exchange" in plan_of(records)) == (kinds in ("both", "returns"))
+        # Block and line files are cut by the reader, also side by side: no text moves.
+        moved = any("value#" in columns for columns in shuffled_columns(records))
+        assert moved == (kinds == "returns")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     for path, content in zip(paths, contents):
         assert sorted(r["text"] for r in rows if r["source_file"] == path) == sorted(model_blocks(content))
 
 
+def test_ids_depend_on_the_file_alone(spark, tmp_path):
+    """Other files, cores and the packing of small files do not change an id."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    chat = [{"user_id": "u", "text": f"m{i % 3}"} for i in range(20)]
+    kinds = {
+        "k.txt": (read_blocks, "same\n" * 30),
+        "k.csv": (read_tabular, "record_id,notes\n" + ",x\n" * 25),
+        "k.json": (read_chat, json.dumps(chat)),
+    }
+    for name, (reader, content) in kinds.items():
+        folder = raw / name
+        folder.mkdir()
+        (folder / f"m-{name}").write_text(content)
+
+        def ids():
+            rows = reader(spark, str(folder)).records
+            return sorted(r[0] for r in rows.where(F.col("source_file").contains("m-")).select("record_id").collect())
+
+        before = ids()
+        assert len(set(before)) == len(before) >= 20
+        for i in range(5):
+            (folder / f"{i} é {name}").write_text(content)
+        assert ids() == before
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        try:
+            assert ids() == before
+        finally:
+            spark.conf.set("spark.sql.files.minPartitionNum", "4")
+
+
+def test_every_csv_file_is_read_by_its_own_header(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text("record_id,assignee_name,notes\n1,Ann,n1\n")
+    (raw / "b.csv").write_text("notes,record_id,assignee_name\nsecret note,77,Zoe\n")
+    (raw / "c.csv").write_text("record_id,assignee_name,notes,extra\n5,Bob,n5,e5\n6,Bea\n")
+    (raw / "d.csv").write_text("record_id,assignee_name,notes\n8,Cy,,SURPLUS a@b.co\n9,\"q,\"\"x\"\",\",\n")
+    loaded = read_tabular(spark, str(raw))
+    rows = {r["record_id"]: r for r in loaded.records.collect()}
+    assert {k: r["text"] for k, r in rows.items()} == {
+        "1": "Ann n1", "77": "Zoe secret note", "5": "Bob n5", "6": "Bea", "9": 'q,"x",',
+    }
+    assert json.loads(rows["5"]["raw_metadata"])["extra"] == "e5"
+    assert "extra" not in json.loads(rows["1"]["raw_metadata"])
+    assert [r["raw"] for r in loaded.rejects.collect()] == ["8,Cy,,SURPLUS a@b.co"]
+    (raw / "e.csv").write_text("no_id,notes\n1,x\n")
+    again = read_tabular(spark, str(raw))
+    assert again.records.count() == 5 and len(again.failures) == 1
+
+
 def test_unify_and_tag(spark, folder):
     out = ingest_all(
         spark,

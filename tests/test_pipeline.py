@@ -1,14 +1,17 @@
 from __future__ import annotations
 
+import gzip
 import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of, shuffled_columns
+from curaspan.plans.catalog import QUERIES
 from curaspan.plans.pipeline import curate, ingest_all, run_pipeline
 from curaspan.schemas import CURATED_COLUMNS, DETECTION_TYPE
-from curaspan.session import build_session, scratch_root, spread
+from curaspan.session import build_session, scratch_root
 from curaspan.sources.readers import read_curated
 from curaspan.sources.writers import RAW_COLUMNS, release_view, write_curated
 from curaspan.streaming.curate import start_curation
@@ -42,6 +45,7 @@ def config(sources, tmp_path, **extra):
         "lineage_dir": str(tmp_path / "lineage"),
         "quality_report_path": str(tmp_path / "reports" / "report.json"),
         "parquet_path": str(tmp_path / "out" / "curated.parquet"),
+        "rejects_path": str(tmp_path / "out" / "rejects.parquet"),
         **extra,
     }
 
@@ -142,20 +146,41 @@ def test_scratch_follows_the_cluster_setting(spark, monkeypatch):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_large_inputs_are_not_reshuffled(spark, tmp_path):
-    path = str(tmp_path / "many")
-    spark.range(1000).repartition(16).write.parquet(path)
-    few = str(tmp_path / "few")
-    spark.range(1000).coalesce(1).write.parquet(few)
-    before = spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
-    try:
-        plan = spread(spark.read.parquet(path), "id")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.files.openCostInBytes", before)
-    assert "Exchange" not in plan
-    plan = spread(spark.read.parquet(few), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" in plan
+def test_curation_of_the_given_tables_shuffles_nothing(spark, sf_dir):
+    for name in ("pii_spans", "anonymized_text", "quality_scores"):
+        assert "Exchange" not in plan_of(QUERIES[name](spark, sf_dir))
+
+
+def test_ordered_log_does_not_move_texts(spark, sf_dir):
+    moved = shuffled_columns(QUERIES["lineage_events"](spark, sf_dir))
+    assert len(moved) == 1
+    names = [c.split("#")[0] for c in moved[0].split(", ")]
+    assert "record_id" in names and not {"text", "anonymization_log", "anonymized_text"} & set(names)
+
+
+def test_nothing_is_lost_without_a_word(spark, tmp_path):
+    """Rejects, counts and sources that break while they are read are all reported."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "cut.json").write_text('[{"text": "a"}, {"text": "b')
+    (raw / "long.csv").write_text("record_id,notes\n1,x\n2,y,,extra a@b.co\n1,z\n,q\n")
+    with gzip.open(raw / "text.txt.gz", "wb") as file:
+        file.write(b"line of text\n" * 100_000)
+    whole = (raw / "text.txt.gz").read_bytes()
+    (raw / "text.txt.gz").write_bytes(whole[: len(whole) // 2])
+    (raw / "bad.csv.gz").write_bytes(b"no gzip at all")
+    (raw / "good.txt").write_text("one\ntwo\n")
+    kinds = {"cut.json": "slack", "long.csv": "csv", "text.txt.gz": "plaintext", "bad.csv.gz": "csv"}
+    sources = {str(raw / name): kind for name, kind in kinds.items()}
+    sources[str(raw / "good.txt")] = "plaintext"
+    summary = run_pipeline(spark, config(sources, tmp_path))
+    assert summary["records_per_format"] == {"csv": 2, "plaintext": 2}
+    assert (summary["duplicates_dropped"], summary["ids_repaired"]) == (1, 1)
+    assert set(summary["rejected_per_source"].values()) == {1}
+    failed = " ".join(summary["load_failures"])
+    assert all(name in failed for name in kinds) and "good" not in failed
+    rejects = {r["raw"] for r in spark.read.parquet(summary["rejects_path"]).collect()}
+    assert any("extra a@b.co" in r for r in rejects) and len(rejects) == 2
 
 
 def test_overwrite_by_default(spark, tmp_path):
