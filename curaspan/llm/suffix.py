@@ -193,102 +193,110 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _same_document(a: DataFrame, b: DataFrame) -> Column:
-    return a["__id"].eqNullSafe(b["__id"]) & (a["__tie"] == b["__tie"])
+def _on_document(df: DataFrame, keyed: DataFrame, how: str = "inner") -> DataFrame:
+    """``df`` joined to a table with the same ``__id`` (NULL included) and ``__tie``."""
+    other = keyed.withColumnsRenamed({"__id": "__id2", "__tie": "__tie2"})
+    same = df["__id"].eqNullSafe(other["__id2"]) & (df["__tie"] == other["__tie2"])
+    return df.join(other, same, how).drop("__id2", "__tie2")
 
 
-def _where(*more: str) -> Column:
-    """The order of places: documents by id (NULL first), then by tie, then by position."""
-    return F.struct("__id", "__tie", *more)
+# A place is the number of a document and a position in it, as one number: sums and
+# smallest values of numbers are kept in place by Spark's hash aggregation.
+_POSITIONS = 1 << 40
+
+
+def _place(position: str) -> Column:
+    return F.col("__doc").cast("decimal(20,0)") * F.lit(_POSITIONS) + F.col(position)
+
+
+def _doc_of(place: str) -> Column:
+    return F.expr(f"{place} div {_POSITIONS}L").cast("long").alias("__doc")
+
+
+def _position_in(place: str) -> Column:
+    return F.expr(f"{place} % {_POSITIONS}L").cast("long")
+
+
+def _numbered(keys: DataFrame) -> DataFrame:
+    """Documents with a number ``__doc`` that follows their order: by id, NULL first, then tie."""
+    order = [F.col("__id").asc_nulls_first(), F.col("__tie")]
+    ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.withColumn("__doc", F.monotonically_increasing_id())
 
 
 # --- contexts -------------------------------------------------------------------
 
-_CONTEXT = (
-    "__hash long, __own binary, __start long, __windows long, __place long, __context binary"
-)
+_CONTEXT = "__doc long, __hash long, __own long, __start long, __windows long, __anchor long"
 
 
 def _contexts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The windows around chosen anchors: one row per anchor, with their bytes.
+    """The windows around chosen anchors, one row per anchor.
 
-    ``chosen`` has ``__id``, ``__tie`` and ``__chosen``, the numbers of a text's anchors.
-    Result: key, ``__hash`` of the anchor, ``__own`` hash of the context, ``__start`` of the
-    first window, ``__windows``, ``__place`` of the anchor in the context, ``__context``.
+    ``chosen`` has the documents with ``__doc`` and ``__chosen``, numbers of a text's anchors.
+    Result: ``__doc``, ``__hash`` of the anchor, ``__own`` hash of the bytes that the windows
+    cover, ``__start`` of the first window, ``__windows``, ``__anchor``, the place of the anchor.
     """
-    key = chosen.select(
-        F.col("__id").alias("__id2"), F.col("__tie").alias("__tie2"), "__chosen"
-    )
-    same = docs["__id"].eqNullSafe(key["__id2"]) & (docs["__tie"] == key["__tie2"])
-    source = docs.join(key, same).select("__id", "__tie", "__text", "__chosen")
-    schema = source.select("__id", "__tie").schema
-    for field in source.sparkSession.createDataFrame([], _CONTEXT).schema:
-        schema = schema.add(field)
+    source = _on_document(docs, chosen).select("__text", "__doc", "__chosen")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, 2):
-            rows, owner = [], []
-            for i, raw in enumerate(raw_texts(part.column(2))):
-                hashes, place, start, end = anchors(raw)
-                numbers = part.column(3)[i].values.to_numpy(zero_copy_only=False)
-                for j in numbers.tolist():
-                    a, e, q = int(start[j]), int(end[j]), int(place[j])
-                    context = raw[a : e + WINDOW]
-                    own = xxhash.xxh3_128_digest(context)
-                    rows.append((int(hashes[j]), own, a, e - a + 1, q - a, context))
-                    owner.append(i)
-            if rows:
-                keys = [part.column(c).take(pa.array(owner)) for c in (0, 1)]
-                kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                arrays = [pa.array(v, k) for v, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays([*keys, *arrays], names=schema.names)
+        for part in text_slices(batches, 0):
+            docs_of, owners, columns = part.column(1).to_numpy(), [], []
+            for i, raw in enumerate(raw_texts(part.column(0))):
+                numbers = part.column(2)[i].values.to_numpy(zero_copy_only=False)
+                found = [x[numbers] for x in anchors(raw)]
+                spans = zip(found[2].tolist(), (found[3] + WINDOW).tolist())
+                own = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in spans]
+                own = np.array(own, np.uint64).view(np.int64)
+                columns.append((found[0], own, found[2], found[3] - found[2] + 1, found[1]))
+                owners.append(np.full(len(own), docs_of[i]))
+            arrays = [np.concatenate(owners), *map(np.concatenate, zip(*columns))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=_names(_CONTEXT))
+
+    return source.mapInArrow(run, _CONTEXT)
 
-    return source.mapInArrow(run, schema)
 
+def _names(schema: str) -> list[str]:
+    return [field.strip().split(" ")[0] for field in schema.split(",")]
 
-_PARTS = "__core binary, __left binary, __right binary, __at long"
 
+_PARTS = "__doc long, __core binary, __left binary, __right binary, __at long"
 
-def _parts(contexts: DataFrame) -> DataFrame:
+
+def _parts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Contexts cut into cores with the bytes on either side of them.
 
+    ``chosen`` has the documents with ``__doc`` and ``__contexts`` (start, windows, anchor).
     All windows that start 16 * i to 16 * i + 15 bytes in front of an anchor share a
     core. ``__left`` and ``__right`` are what these windows add to it, ``__at`` is the
     position in the text where ``__left`` starts.
     """
-    schema = contexts.select("__id", "__tie").schema
-    for field in contexts.sparkSession.createDataFrame([], _PARTS).schema:
-        schema = schema.add(field)
+    source = _on_document(docs, chosen).select("__text", "__doc", "__contexts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, 4):
-            rows, owner = [], []
-            starts, places = part.column(2).to_pylist(), part.column(3).to_pylist()
-            for i, context in enumerate(raw_texts(part.column(4))):
-                windows = len(context) - WINDOW + 1
-                nearest, farthest = places[i] - windows + 1, places[i]
-                for step in range(max(nearest, 0) // STEP, farthest // STEP + 1):
-                    core = places[i] - step * STEP
-                    left = max(0, core - STEP + 1)
-                    digest = xxhash.xxh3_128_digest(context[core : core + CORE])
-                    rows.append(
-                        (
-                            digest,
-                            context[left:core],
-                            context[core + CORE : core + WINDOW],
-                            starts[i] + left,
-                        )
-                    )
-                    owner.append(i)
-            if rows:
-                keys = [part.column(c).take(pa.array(owner)) for c in (0, 1)]
-                kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int64()]
-                arrays = [pa.array(v, k) for v, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays([*keys, *arrays], names=schema.names)
-
-    return contexts.select("__id", "__tie", "__start", "__place", "__context").mapInArrow(
-        run, schema
-    )
+        for part in text_slices(batches, 0):
+            rows = []
+            docs_of = part.column(1).to_pylist()
+            contexts = part.column(2).to_pylist()
+            for doc, own, raw in zip(docs_of, contexts, raw_texts(part.column(0))):
+                for context in own:
+                    start, windows, anchor = context.values()
+                    end = start + windows - 1 + WINDOW
+                    nearest, farthest = anchor - start - windows + 1, anchor - start
+                    for step in range(max(nearest, 0) // STEP, farthest // STEP + 1):
+                        core = anchor - step * STEP
+                        left = max(start, core - STEP + 1)
+                        digest = xxhash.xxh3_128_digest(raw[core : core + CORE])
+                        right = raw[core + CORE : min(core + WINDOW, end)]
+                        rows.append((doc, digest, raw[left:core], right, left))
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+            columns = zip(*rows) if rows else [[]] * 5
+            arrays = [pa.array(v, k) for v, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, names=_names(_PARTS))
+
+    return source.mapInArrow(run, _PARTS)
+
+
+_FOUND = "__doc long, __start long, __windows long"
 
 
 def repeated_windows(lefts: list[bytes], rights: list[bytes], cores: list[int]):
@@ -320,26 +328,22 @@ def repeated_windows(lefts: list[bytes], rights: list[bytes], cores: list[int]):
 
 
 def _sorted_parts(parts: DataFrame) -> DataFrame:
-    """Repeated windows of parts, found core by core: key, ``__start``, ``__windows``."""
-    schema = parts.select("__id", "__tie").schema.add("__start", "long").add("__windows", "long")
-    columns = ["__core", "__id", "__tie", "__at", "__left", "__right"]
+    """Repeated windows of parts, found core by core: ``__doc``, ``__start``, ``__windows``."""
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         digests = table.column(0).to_pylist()
         cores = np.cumsum([0, *(a != b for a, b in zip(digests, digests[1:]))]).tolist()
         part, offset, classes = repeated_windows(
-            table.column(4).to_pylist(), table.column(5).to_pylist(), cores
+            table.column(3).to_pylist(), table.column(4).to_pylist(), cores
         )
         # Rows are in the order of places, so the first part of a class stays.
         by = np.lexsort((offset, part, classes))
         part, offset, classes = part[by], offset[by], classes[by]
         later = np.r_[False, classes[1:] == classes[:-1]] if len(by) else np.zeros(0, bool)
         part, offset = part[later], offset[later]
-        take = pa.array(part)
-        at = table.column(3).to_numpy()[part] + offset
-        arrays = [table.column(c).combine_chunks().take(take) for c in (1, 2)]
-        arrays += [pa.array(at), pa.array(np.ones(len(at), np.int64))]
-        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        docs, starts = (table.column(c).to_numpy()[part] for c in (1, 2))
+        arrays = [docs, starts + offset, np.ones(len(part), np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=_names(_FOUND))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -368,9 +372,9 @@ def _sorted_parts(parts: DataFrame) -> DataFrame:
 
     return (
         parts.repartition("__core")
-        .sortWithinPartitions("__core", F.col("__id").asc_nulls_first(), "__tie", "__at")
-        .select(*columns)
-        .mapInArrow(run, schema)
+        .sortWithinPartitions("__core", "__doc", "__at")
+        .select("__core", "__doc", "__at", "__left", "__right")
+        .mapInArrow(run, _FOUND)
     )
 
 
@@ -383,26 +387,23 @@ def _by_windows(parts: DataFrame) -> DataFrame:
     cut = parts.where(offsets >= 0).withColumn("__o", F.explode(F.sequence(F.lit(0), offsets)))
     left = F.expr("substring(__left, __o + 1)")
     right = F.expr(f"substring(__right, 1, {STEP - 1} - (octet_length(__left) - __o))")
-    windows = written(
-        cut.select(
-            "__core",
-            left.alias("__l"),
-            right.alias("__r"),
-            "__id",
-            "__tie",
-            (F.col("__at") + F.col("__o")).alias("__start"),
-        ),
-        "windows",
+    windows = cut.select(
+        "__core",
+        left.alias("__l"),
+        right.alias("__r"),
+        "__doc",
+        (F.col("__at") + F.col("__o")).alias("__start"),
     )
+    windows = written(windows, "windows")
     keys = ["__core", "__l", "__r"]
     firsts = windows.groupBy(*keys).agg(
-        F.min(_where("__start")).alias("__first"), F.count(F.lit(1)).alias("__n")
+        F.min(_place("__start")).alias("__first"), F.count(F.lit(1)).alias("__n")
     )
-    firsts = written(firsts.where("__n > 1"), "window-firsts")
+    firsts = written(firsts.where("__n > 1").drop("__n"), "window-firsts")
     return (
         windows.join(firsts, keys)
-        .where(_where("__start") > F.col("__first"))
-        .select("__id", "__tie", "__start", F.lit(1).cast("long").alias("__windows"))
+        .where(_place("__start") > F.col("__first"))
+        .select("__doc", "__start", F.lit(1).cast("long").alias("__windows"))
     )
 
 
@@ -415,108 +416,91 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A range is a first window and a number of windows, each of ``WINDOW`` bytes. Documents
     without such windows have no row.
     """
-    spark = docs.sparkSession
+    rows = _keyed(docs, id_col, text_col)
     texts = written(_text_anchors(docs, id_col, text_col), "anchors")
+    # Repeated rows are one document.
+    keys = texts.select("__id", "__tie", "__digest", "__bytes").where(F.col("__bytes") >= WINDOW)
+    numbered = written(_numbered(keys.dropDuplicates(["__tie", "__id"])), "documents")
     # Of equal texts the first stays, all windows of the others repeat.
-    keys = texts.select("__id", "__tie", "__digest", "__bytes")
     firsts = written(
-        keys.where(F.col("__bytes") >= WINDOW)
-        .groupBy("__digest")
-        .agg(F.min(_where()).alias("__first")),
-        "first-texts",
+        numbered.groupBy("__digest").agg(F.min("__doc").alias("__first")), "first-texts"
     )
-    marked = written(
-        texts.join(firsts, "__digest").withColumn("__is_first", _where() == F.col("__first")),
-        "marked-texts",
+    marked = numbered.join(firsts, "__digest").withColumn(
+        "__is_first", F.col("__doc") == F.col("__first")
     )
+    marked = written(marked.select("__id", "__tie", "__doc", "__bytes", "__is_first"), "marked")
     copies = marked.where("not __is_first").select(
-        "__id",
-        "__tie",
+        "__doc",
         F.lit(0).cast("long").alias("__start"),
         (F.col("__bytes") - (WINDOW - 1)).alias("__windows"),
     )
-    # Repeated rows are one document.
-    own = marked.where("__is_first").select("__id", "__tie", "__anchors")
-    own = own.dropDuplicates(["__tie", "__id"])
-    places = own.select("__id", "__tie", F.posexplode("__anchors").alias("__number", "__hash"))
-    shared = written(
-        own.select(F.explode("__anchors").alias("__hash"))
+    own = marked.where("__is_first").select("__id", "__tie", "__doc")
+    own_anchors = _on_document(texts.select("__id", "__tie", "__anchors"), own)
+    own_anchors = written(own_anchors.select("__doc", "__anchors"), "own-anchors")
+    shared = (
+        own_anchors.select(F.explode("__anchors").alias("__hash"))
         .groupBy("__hash")
         .agg(F.count(F.lit(1)).alias("__n"))
         .where("__n > 1")
-        .select("__hash"),
-        "shared-anchors",
+        .select("__hash")
     )
-    chosen = written(
+    shared = written(shared, "shared-anchors")
+    places = own_anchors.select("__doc", F.posexplode("__anchors").alias("__number", "__hash"))
+    chosen = (
         places.join(shared, "__hash", "left_semi")
-        .groupBy("__id", "__tie")
-        .agg(F.collect_list("__number").alias("__chosen")),
-        "chosen-anchors",
+        .groupBy("__doc")
+        .agg(F.collect_set("__number").alias("__chosen"))
+        .join(own, "__doc")
     )
-    text_rows = _keyed(docs, id_col, text_col).dropDuplicates(["__tie", "__id"])
-    contexts = written(_contexts(text_rows, chosen), "contexts")
+    contexts = written(_contexts(rows, written(chosen, "chosen-anchors")), "contexts")
 
     # Equal contexts: all windows of all but the first repeat.
-    groups = written(
-        contexts.groupBy("__hash", "__own").agg(F.min(_where("__start")).alias("__first")),
-        "context-groups",
-    )
-    unlike = written(
-        groups.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__hash"),
-        "unlike-contexts",
-    )
-    narrow = contexts.select("__id", "__tie", "__hash", "__own", "__start", "__windows")
+    groups = contexts.groupBy("__hash", "__own").agg(F.min(_place("__start")).alias("__first"))
+    groups = written(groups, "context-groups")
     later = (
-        narrow.join(groups, ["__hash", "__own"])
-        .where(_where("__start") > F.col("__first"))
-        .select("__id", "__tie", "__start", "__windows")
+        contexts.join(groups, ["__hash", "__own"])
+        .where(_place("__start") > F.col("__first"))
+        .select("__doc", "__start", "__windows")
     )
+    later = written(later, "equal-contexts")
     # Contexts that differ around the same anchor: cut them and sort what is left.
+    unlike = groups.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    unlike = written(unlike.select("__hash"), "unlike-anchors")
     leaders = groups.join(unlike, "__hash", "left_semi").select(
-        F.col("__first.__id").alias("__id3"),
-        F.col("__first.__tie").alias("__tie3"),
-        F.col("__first.__start").alias("__start3"),
-        F.col("__hash").alias("__hash3"),
+        _doc_of("__first"), _position_in("__first").alias("__start"), "__hash"
     )
     leaders = written(leaders, "leaders")
-    is_leader = (
-        contexts["__id"].eqNullSafe(leaders["__id3"])
-        & (contexts["__tie"] == leaders["__tie3"])
-        & (contexts["__start"] == leaders["__start3"])
-        & (contexts["__hash"] == leaders["__hash3"])
+    cut = (
+        contexts.join(leaders, ["__doc", "__start", "__hash"], "left_semi")
+        .groupBy("__doc")
+        .agg(F.collect_set(F.struct("__start", "__windows", "__anchor")).alias("__contexts"))
+        .join(own, "__doc")
     )
-    parts = written(_parts(contexts.join(leaders, is_leader, "left_semi")), "parts")
+    parts = written(_parts(rows, written(cut, "chosen-contexts")), "parts")
     same = ["__core", "__left", "__right"]
-    part_groups = written(
-        parts.groupBy(*same).agg(F.min(_where("__at")).alias("__first")), "part-groups"
-    )
+    part_groups = parts.groupBy(*same).agg(F.min(_place("__at")).alias("__first"))
+    part_groups = written(part_groups, "part-groups")
+    windows = F.octet_length("__left") + F.octet_length("__right") - (STEP - 2)
     later_parts = (
         parts.join(part_groups, same)
-        .where(_where("__at") > F.col("__first"))
-        .select(
-            "__id",
-            "__tie",
-            F.col("__at").alias("__start"),
-            (F.length("__left") + F.length("__right") - (STEP - 2)).cast("long").alias("__windows"),
-        )
+        .where(_place("__at") > F.col("__first"))
+        .select("__doc", F.col("__at").alias("__start"), windows.cast("long").alias("__windows"))
         .where("__windows > 0")
     )
-    unlike_parts = written(
-        part_groups.groupBy("__core").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"),
-        "unlike-parts",
+    later_parts = written(later_parts, "equal-parts")
+    unlike_parts = part_groups.groupBy("__core").agg(F.count(F.lit(1)).alias("__n"))
+    unlike_parts = written(unlike_parts.where("__n > 1"), "unlike-cores")
+    mixed = part_groups.join(unlike_parts, "__core").select(
+        *same, "__n", _doc_of("__first"), _position_in("__first").alias("__at")
     )
-    mixed = written(
-        part_groups.join(unlike_parts, "__core").select(
-            *same, "__n", "__first.__id", "__first.__tie", F.col("__first.__at").alias("__at")
-        ),
-        "mixed-parts",
-    )
-    few = _sorted_parts(mixed.where(F.col("__n") <= MAX_CONTEXTS))
+    mixed = written(mixed, "mixed-parts")
+    few = written(_sorted_parts(mixed.where(F.col("__n") <= MAX_CONTEXTS)), "sorted-parts")
     many = _by_windows(mixed.where(F.col("__n") > MAX_CONTEXTS))
     found = copies.union(later).union(later_parts).union(few).union(many)
-    return found.groupBy("__id", "__tie").agg(
+    ranges = found.groupBy("__doc").agg(
         F.collect_list(F.struct("__start", "__windows")).alias("__ranges")
     )
+    return ranges.join(marked, "__doc").select("__id", "__tie", "__ranges")
 
 
 def removed_spans(n_bytes: int, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -546,13 +530,10 @@ def _span_lists(part: pa.RecordBatch, text: int, ranges: int):
 
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """All columns of ``docs`` with ``__text`` and ``__ranges``."""
-    ranges = written(repeated_ranges(docs, id_col, text_col), "ranges").select(
-        F.col("__id").alias("__id2"), F.col("__tie").alias("__tie2"), "__ranges"
-    )
+    ranges = written(repeated_ranges(docs, id_col, text_col), "ranges")
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.withColumn("__text", text).withColumn("__tie", F.xxhash64("__text"))
-    same = source[id_col].eqNullSafe(ranges["__id2"]) & (source["__tie"] == ranges["__tie2"])
-    return source.join(ranges, same, "left").drop("__id2", "__tie2", "__tie")
+    return _on_document(source.withColumn("__id", F.col(id_col)), ranges, "left")
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
