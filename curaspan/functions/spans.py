@@ -45,10 +45,14 @@ def _block_width(size: Column) -> Column:
     return F.greatest(F.lit(16), F.ceil(F.sqrt(size)).cast("int"))
 
 
+# Lists up to this length take the plain forms, which are faster on few spans.
+SHORT = 8
+
+
 def _prefix(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
     """Fold of all earlier values for each value, starting from 0.
 
-    Spark copies the state of ``aggregate`` at every step, so a list must not
+    A short list is simply folded up to each value. Spark copies the state of ``aggregate`` at every step, so a list must not
     grow in there. The state here is one number: blocks are folded first, then
     the blocks before each block, then the values before each value in its block.
     """
@@ -75,10 +79,12 @@ def _prefix(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
         )
         return let(before_blocks, place)
 
-    bound = F.struct(values.alias("values"), _block_width(F.size(values)).alias("width"))
-    return F.when(F.size(values) == 0, F.array().cast("array<int>")).otherwise(
-        let(bound, by_blocks)
-    )
+    def by_length(values: Column) -> Column:
+        bound = F.struct(values.alias("values"), _block_width(F.size(values)).alias("width"))
+        short = F.transform(values, lambda _, i: folded(F.slice(values, F.lit(1), i)))
+        return F.when(F.size(values) <= SHORT, short).otherwise(let(bound, by_blocks))
+
+    return let(values, by_length)
 
 
 def spans_between(gaps: Column, matches: Column) -> Column:
@@ -205,7 +211,7 @@ def resolve_overlaps(df: DataFrame, candidates: str, output: str) -> DataFrame:
     Candidates in start order fall into clusters of overlapping spans. Spans of
     different clusters cannot clash, so the greedy choice runs per cluster: a
     text with thousands of spans stays cheap. Texts without any overlap, nearly
-    all of them, need no choice at all.
+    all of them, need no choice at all, and few spans are one cluster.
     """
     ordered, column = "__ordered", F.col("__ordered")
     clashes = F.exists(
@@ -222,8 +228,9 @@ def resolve_overlaps(df: DataFrame, candidates: str, output: str) -> DataFrame:
         .withColumn(
             output,
             F.when(F.size(column) <= 1, column)
-            .when(clashes, _resolve_clusters(column))
-            .otherwise(column),
+            .when(~clashes, column)
+            .when(F.size(column) <= SHORT, _keep_best(column))
+            .otherwise(_resolve_clusters(column)),
         )
         .drop(ordered)
     )

@@ -7,113 +7,156 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curaspan.functions.patterns import EDGE_AFTER, EDGE_BEFORE, WORD
+from curaspan.functions.patterns import WORD
 from curaspan.functions.spans import as_candidates, let, resolve_overlaps, spans_between
 from curaspan.session import broadcast_if_small
 
 _WORDS = rf"[{WORD}]+"
 
-# A dictionary of up to this many phrases is sent to every executor. At a few
-# dozen bytes per phrase that is some tens of megabytes.
+# A dictionary of up to this many phrases is sent to every executor, if it also has
+# no more bytes than ``broadcast_if_small`` allows.
 BROADCAST_PHRASES = 200_000
 
-
-def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(_WORDS), F.lit(0))
+ENTITIES = "array<struct<label:string,start:int,end:int,matched_text:string>>"
 
 
 def _phrases(dictionary: DataFrame) -> DataFrame:
-    """Dictionary entries with their words, joined by a blank, and their number."""
-    words = _words(F.col("phrase"))
+    """Dictionary entries as ``core``, from their first to their last word, with what is around it."""
+    phrase = F.col("phrase")
+    edges = rf"(?s)\A([^{WORD}]*+)(.*[{WORD}])([^{WORD}]*+)\z"
     return (
-        dictionary.select(F.col("phrase").cast("string"), F.col("label").cast("string"))
-        .where(F.col("phrase").isNotNull() & F.col("label").isNotNull())
+        dictionary.select(phrase.cast("string"), F.col("label").cast("string"))
+        .where(phrase.isNotNull() & F.col("label").isNotNull())
         .distinct()
-        .select("phrase", "label", F.size(words).alias("n"), F.array_join(words, " ").alias("gram"))
+        .select(
+            "phrase",
+            "label",
+            F.regexp_count(phrase, F.lit(_WORDS)).alias("n"),
+            *[F.regexp_extract(phrase, edges, i).alias(part) for i, part in enumerate(("head", "core", "tail"), 1)],
+        )
         .where("n > 0")
     )
 
 
-def _grams(words: Column, n: int) -> Column:
-    """All runs of ``n`` words, joined by a blank."""
-    if n == 1:
-        return words
-    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-    joined = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, joined)
-
-
-def _phrase_regex(phrase: Column) -> Column:
-    r"""The literal phrase between word edges. An ``\E`` inside the phrase is escaped."""
-    literal = F.replace(phrase, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    return F.concat(
-        F.when(phrase.rlike(rf"\A[{WORD}]"), F.lit(EDGE_BEFORE)).otherwise(F.lit("")),
-        F.lit("\\Q"),
-        literal,
-        F.lit("\\E"),
-        F.when(phrase.rlike(rf"[{WORD}]\z"), F.lit(EDGE_AFTER)).otherwise(F.lit("")),
-    )
+def _grams(bound: Column, n: int, sizes: dict[str, int]) -> Column:
+    """All runs of ``n`` words as they are written, with place and surroundings.
+
+    Longer runs than the longest phrase, such as across a long gap, are left out.
+    """
+    words, gaps = bound["words"], bound["gaps"]
+
+    def gram(i: Column) -> Column:
+        parts = [F.get(words, i)["matched_text"]]
+        for k in range(1, n):
+            parts += [F.get(gaps, i + k), F.get(words, i + k)["matched_text"]]
+        start = F.get(words, i)["start"]
+        fits = F.get(words, i + (n - 1))["end"] - start <= sizes["core"]
+        return F.when(
+            fits,
+            F.struct(
+                F.concat(*parts).alias("core"),
+                start.alias("at"),
+                F.right(F.get(gaps, i), F.lit(sizes["head"])).alias("before"),
+                F.left(F.get(gaps, i + n), F.lit(sizes["tail"])).alias("after"),
+            ),
+        )
+
+    runs = F.transform(F.sequence(F.lit(0), F.size(words) - n), gram)
+    return F.when(F.size(words) >= n, F.array_compact(runs))
 
 
-def phrases_per_text(
-    df: DataFrame, dictionary: DataFrame, id_col: str, text_col: str
-) -> DataFrame:
-    """Which dictionary phrases a text has the words of: one row per id, ``phrases`` array.
+def _entities_by_text(
+    df: DataFrame, dictionary: DataFrame, text_col: str
+) -> DataFrame | None:
+    """Dictionary hits per different text: ``__key`` (a hash of the text) and ``__found``.
 
-    The distinct word runs of a text, only of the lengths the dictionary has,
-    are joined to the phrases. With a dictionary of proven size the join is a
-    broadcast and only hits leave their task.
+    The word runs of a text, only of the lengths the dictionary has, are joined to the
+    phrases. With a dictionary of proven size the join is a broadcast and only hits
+    leave their task. None if the dictionary is empty.
     """
     phrases = _phrases(dictionary)
-    # The different phrase lengths: a handful of integers.
-    lengths = [row["n"] for row in phrases.select("n").distinct().orderBy("n").collect()]
-    if not lengths:
-        nothing = F.array().cast("array<struct<phrase:string,label:string>>")
-        return df.select(id_col, nothing.alias("phrases")).where(F.lit(False))
-    grams = [_grams(F.col("__words"), n) for n in lengths]
+    # The different phrase lengths and the longest parts: a handful of numbers.
+    shape = phrases.agg(
+        F.sort_array(F.collect_set("n")).alias("lengths"),
+        *[F.max(F.length(part)).alias(part) for part in ("head", "core", "tail")],
+    ).first()
+    if not shape["lengths"]:
+        return None
+    text = F.col(text_col)
+    regex = F.lit(_WORDS)
+
+    def cut(bound: Column) -> Column:
+        places = F.struct(
+            spans_between(bound["gaps"], bound["found"]).alias("words"), bound["gaps"].alias("gaps")
+        )
+
+        def grams(b: Column) -> Column:
+            lists = [_grams(b, n, shape.asDict()) for n in shape["lengths"]]
+            return F.flatten(F.array_compact(F.array(*lists)))
+
+        return let(places, grams)
+
+    found = F.struct(
+        F.split(text, regex, -1).alias("gaps"),
+        F.regexp_extract_all(text, regex, F.lit(0)).alias("found"),
+    )
     # The outer form: Spark would push a "size > 0" copy of the whole list below
-    # a plain explode. NULL grams never join.
-    exploded = df.select(id_col, _words(F.col(text_col)).alias("__words")).select(
-        id_col,
-        F.explode_outer(F.array_distinct(F.flatten(F.array_compact(F.array(*grams))))).alias("gram"),
+    # a plain explode. NULL cores never join.
+    exploded = df.select(_text_key(text_col), let(found, cut).alias("__grams")).select(
+        "__key", F.inline_outer("__grams")
     )
-    return (
-        exploded.join(broadcast_if_small(phrases, BROADCAST_PHRASES), "gram")
-        .groupBy(id_col)
-        .agg(F.collect_set(F.struct("phrase", "label")).alias("phrases"))
+    hits = exploded.join(broadcast_if_small(phrases, BROADCAST_PHRASES), "core").where(
+        F.endswith("before", F.col("head")) & F.startswith("after", F.col("tail"))
+    )
+    start = F.col("at") - F.length("head")
+    return hits.groupBy("__key").agg(
+        F.collect_set(
+            F.struct(
+                F.col("label").alias("label"),
+                start.alias("start"),
+                (start + F.length("phrase")).alias("end"),
+                F.col("phrase").alias("matched_text"),
+            )
+        ).alias("__found")
     )
 
 
+def _text_key(text_col: str) -> Column:
+    return F.sha2(F.col(text_col), 256).alias("__key")
+
+
 def with_entities(
-    dictionary: DataFrame,
-    id_col: str = "record_id",
-    text_col: str = "text",
-    output: str = "entities",
+    dictionary: DataFrame, text_col: str = "text", output: str = "entities"
 ) -> Callable[[DataFrame], DataFrame]:
     """Add ``array<struct<label,start,end,matched_text>>`` of dictionary hits.
 
     ``dictionary`` has the columns ``phrase`` and ``label``. A phrase matches as
     it is written, from a word start to a word end; of overlapping hits the
-    longest stays, then the earliest. ``id_col`` must be unique.
+    longest stays, then the earliest. Hits are looked up by text, so ids may repeat
+    or be NULL. A text without hits has NULL. Streams are not supported: grouping the
+    hits of a text needs the whole batch; use ``foreachBatch``.
     """
 
     def apply(df: DataFrame) -> DataFrame:
-        found = phrases_per_text(df, dictionary, id_col, text_col).withColumnRenamed(
-            "phrases", "__phrases"
-        )
-
-        def occurrences(entry: Column) -> Column:
-            # The matches are the phrase itself, so cutting the text there is enough.
-            gaps = F.split(F.col(text_col), _phrase_regex(entry["phrase"]), -1)
-            spans = let(
-                gaps,
-                lambda g: spans_between(g, F.array_repeat(entry["phrase"], F.size(g) - 1)),
+        if df.isStreaming:
+            raise ValueError(
+                "with_entities groups hits by text and cannot run on a stream; "
+                "call it on the batches of foreachBatch"
             )
-            # Order of preference: longer first, then earlier.
-            length = F.length(entry["phrase"]).cast("double")
-            return as_candidates(spans, entry["label"], length, "ner", 0)
-
-        candidates = F.flatten(F.transform(F.col("__phrases"), occurrences))
+        found = _entities_by_text(df, dictionary, text_col)
+        if found is None:
+            return df.withColumn(output, F.array().cast(ENTITIES))
+
+        # Order of preference: longer first, then earlier.
+        candidates = F.transform(
+            "__found",
+            lambda e: F.get(
+                as_candidates(
+                    F.array(e), e["label"], (e["end"] - e["start"]).cast("double"), "ner", 0
+                ),
+                F.lit(0),
+            ),
+        )
         spans = F.transform(
             F.col("__longest"),
             lambda c: F.struct(
@@ -124,11 +167,12 @@ def with_entities(
             ),
         )
         return (
-            df.join(found, id_col, "left")
+            df.withColumn("__key", _text_key(text_col))
+            .join(found, "__key", "left")
             .withColumn("__candidates", candidates)
             .transform(resolve_overlaps, "__candidates", "__longest")
             .withColumn(output, spans)
-            .drop("__phrases", "__candidates", "__longest")
+            .select(*[c for c in df.columns if c != output], output)
         )
 
     return apply

@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curaspan.functions.patterns import PiiPattern
 from curaspan.functions.times import print_iso
 from curaspan.operators import ingest, lineage, profile, quality
 from curaspan.operators.anonymize import anonymize
 from curaspan.operators.detect import detect_candidates, detect_pii, explode_detections
 from curaspan.operators.entities import with_entities
 from curaspan.plans import views
-from curaspan.plans.pipeline import run_pipeline
+from curaspan.plans.pipeline import ingest_all, ingest_report, run_pipeline
 from curaspan.schemas import UNIFIED_COLUMNS
 from curaspan.session import prepare, scratch_path
 from curaspan.sources.readers import (
@@ -152,10 +153,53 @@ def quality_report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "report")
     write_report(quality.quality_report(views.curated(spark, sf_dir)), path)
     report = spark.read.schema(
-        "record_count long, threshold_used double, "
+        "record_count long, threshold_used double, mean_quality_score double, "
+        "median_quality_score double, std_quality_score double, pct_above_threshold double, "
+        "pct_records_with_pii double, pct_pii_records_fully_anonymized double, "
         "weights struct<completeness:double,consistency:double,format_conformance:double,pii_removal:double>"
     ).json(path, multiLine=True)
-    return report.select("record_count", "threshold_used", "weights.*")
+    return report.select("*", "weights.*").drop("weights")
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated records, some with broken tags or with fewer replacements than spans."""
+    tag, missed = F.length("record_id") % 4, F.length("text") % 3
+    fewer = F.greatest(F.col("anonymization_count") - 1, F.lit(0))
+    return views.curated(spark, sf_dir).withColumns(
+        {
+            "source_lineage_tag": F.when(tag == 0, F.lit("no separator"))
+            .when(tag == 1, F.lit("one::separator"))
+            .otherwise(F.col("source_lineage_tag")),
+            "anonymization_count": F.when(missed == 0, F.lit(0))
+            .when(missed == 1, fewer)
+            .otherwise(F.col("anonymization_count")),
+        }
+    ).transform(quality.score_quality)
+
+
+def damaged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dimensions = ["format_conformance_score", "pii_removal_confidence_score", "quality_score"]
+    return _rounded(
+        _damaged(spark, sf_dir).groupBy(*dimensions).agg(F.count(F.lit(1)).alias("records"))
+    )
+
+
+def damaged_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(
+        quality.quality_statistics(_damaged(spark, sf_dir)).select(
+            "record_count", "pct_records_with_pii", "pct_pii_records_fully_anonymized"
+        )
+    )
+
+
+LICENSE_PATTERN = PiiPattern("LICENSE", "LICENSE", 0.9, r"(?:MIT|Apache|Public) License")
+
+
+def custom_pattern_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detection with a pattern of the caller's own in the registry."""
+    documents = views.records(spark, sf_dir).where(F.col("source_format") == ingest.BLOCK_FORMAT)
+    detected = documents.transform(detect_pii(patterns=[LICENSE_PATTERN]))
+    return _flat_spans(explode_detections(detected, "record_id"))
 
 
 def threshold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,8 +317,65 @@ def due_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def chat_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = read_chat(spark, views.chat_files(spark, sf_dir), multiline=False).records
+def due_date_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship dates in the rarer layouts."""
+    line, shipped = F.col("l_linenumber"), F.col("l_shipdate")
+    text = (
+        F.when(line == 1, F.date_format(shipped, "MM/dd/yy"))
+        .when(line == 2, F.concat(F.date_format(shipped, "MM/dd/yyyy"), F.lit(" 3:30 PM")))
+        .when(line == 3, F.date_format(shipped, "MMMM d yyyy"))
+        .when(line == 4, F.date_format(shipped, "yyyyMMdd"))
+        .when(line == 5, F.date_format(shipped, "yyyy.MM.dd"))
+        .when(line == 6, F.date_format(shipped, "d-MMMM-yyyy"))
+        .otherwise(F.upper(F.date_format(shipped, "MMM d yyyy")))
+    )
+    dates = views.table(spark, sf_dir, "lineitem").groupBy(text.alias("due_date")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return dates.withColumn("parsed", print_iso(ingest.parse_due_date(F.col("due_date"))))
+
+
+def _mixed_loaded(spark: SparkSession, sf_dir: str):
+    return read_tabular(spark, views.mixed_ticket_files(spark, sf_dir), multiline=True)
+
+
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with other columns and another order, each read by its own header."""
+    loaded = _mixed_loaded(spark, sf_dir).records
+    meta = F.from_json(
+        "raw_metadata", "record_id_was_missing boolean, warehouse string, status string"
+    )
+    rows = loaded.withColumn("m", meta)
+    shown = F.when(F.col("m.record_id_was_missing"), F.lit("repaired")).otherwise(F.col("record_id"))
+    return _flat_records(
+        rows.select(shown.alias("record_id"), "timestamp", "text", "m.warehouse", "m.status")
+    )
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with more fields than their header are rejected whole, nothing is cut off."""
+    rejects = _mixed_loaded(spark, sf_dir).rejects
+    return rejects.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ingest_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run tells about its ingest, as names and numbers."""
+    folders = views.mixed_ticket_files(spark, sf_dir)
+    sources = {path: ingest.TABULAR_FORMAT for path in folders}
+    sources[views.block_files(spark, sf_dir)] = ingest.BLOCK_FORMAT
+    sources[views.chat_array_files(spark, sf_dir)] = ingest.CHAT_FORMAT
+    sources[f"{folders[0]}/nothing-here"] = ingest.TABULAR_FORMAT
+    report = ingest_report(ingest_all(spark, sources, staged=True))
+    rows = [(f"records {name}", n) for name, n in report["records_per_format"].items()]
+    rows += [(name, report[name]) for name in ("duplicates_dropped", "ids_repaired")]
+    rows.append(("rejected", sum(report["rejected_per_source"].values())))
+    rows += [(f"{v['source_format']}: {v['rule']}", v["bad_rows"]) for v in report["rule_violations"]]
+    # One source does not exist, one has rejects.
+    rows.append(("load_failures", len(report["load_failures"])))
+    return spark.createDataFrame(rows, "name string, n long")
+
+
+def _chat_rows(loaded: DataFrame) -> DataFrame:
     meta = F.from_json("raw_metadata", "channel string, username string, user_id string")
     return _flat_records(
         loaded.select("source_format", "timestamp", "text", meta.alias("m")).select(
@@ -283,6 +384,16 @@ def chat_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON array per file."""
+    return _chat_rows(read_chat(spark, views.chat_array_files(spark, sf_dir)).records)
+
+
+def chat_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loaded = read_chat(spark, views.chat_files(spark, sf_dir), multiline=False).records
+    return _chat_rows(loaded)
+
+
 def text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = read_blocks(spark, views.block_files(spark, sf_dir)).records
     return loaded.groupBy("source_format", "text", "raw_metadata").agg(F.count(F.lit(1)).alias("n"))
@@ -295,6 +406,23 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block files, line files and files with carriage returns side by side."""
+    paths = [f(spark, sf_dir) for f in (views.block_files, views.line_files, views.windows_files)]
+    loaded = read_blocks(spark, paths).records
+    return loaded.groupBy("source_format", "text").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("ids")
+    )
+
+
+def stable_line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of line files that stay the same when other files are read with them."""
+    lines = views.line_files(spark, sf_dir)
+    alone = read_blocks(spark, lines).records.select("record_id")
+    among = read_blocks(spark, [views.block_files(spark, sf_dir), lines]).records
+    return alone.join(among, "record_id").agg(F.count_distinct("record_id").alias("same_ids"))
+
+
 def unify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.count_by_format(views.records(spark, sf_dir))
 
@@ -380,7 +508,7 @@ def streaming_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on raw chat, CSV and text files; what the audit log says per format."""
+    """All stages on raw chat, CSV and text files; curated table, log and summary per format."""
     out = scratch_path(spark, "pipeline")
 
     def chat_lines(session: SparkSession, path: str):
@@ -397,10 +525,16 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             "lineage_dir": f"{out}/lineage",
             "quality_report_path": f"{out}/quality_report.json",
             "parquet_path": f"{out}/curated.parquet",
+            "rejects_path": f"{out}/rejects.parquet",
         },
     )
     saved = read_curated(spark, summary["parquet_path"])
-    return _rounded(
+    log = spark.read.schema(_EVENT_FIELDS).json(summary["lineage_log_path"])
+    logged = log.where(F.col("event") == "ingested").groupBy("source_format").agg(
+        F.count(F.lit(1)).alias("logged"), F.sum("text_length").alias("text_length")
+    )
+    told = spark.read.json(f"{out}/lineage/lineage_log_summary.json").select("records_processed")
+    per_format = _rounded(
         saved.groupBy("source_format").agg(
             F.count(F.lit(1)).alias("records"),
             F.count_if("has_pii").alias("pii_records"),
@@ -409,13 +543,7 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(F.col("quality_score") >= profile.THRESHOLD).alias("passed"),
         )
     )
-
-
-_SCALAR_COLUMNS = [
-    "record_id", "source_format", "source_file", "timestamp", "text", "raw_metadata",
-    "source_lineage_tag", "has_pii", "pii_count", "max_pii_confidence", "anonymized_text",
-    "anonymization_count", *profile.SCORE_COLUMNS, "quality_score",
-]
+    return per_format.join(logged, "source_format").join(told)
 
 
 def _on_curated(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -435,6 +563,9 @@ QUERIES: dict[str, Query] = {
     "quality_scores": quality_scores,
     "quality_statistics": quality_statistics,
     "quality_report_file": quality_report_file,
+    "damaged_scores": damaged_scores,
+    "damaged_statistics": damaged_statistics,
+    "custom_pattern_spans": custom_pattern_spans,
     "threshold_summary": threshold_summary,
     "lineage_events": lineage_events,
     "lineage_log_file": lineage_log_file,
@@ -445,9 +576,16 @@ QUERIES: dict[str, Query] = {
     "csv_metadata": csv_metadata,
     "csv_counters": csv_counters,
     "due_date_parse": due_date_parse,
+    "due_date_layouts": due_date_layouts,
+    "csv_mixed_headers": csv_mixed_headers,
+    "ingest_rejects": ingest_rejects,
+    "ingest_run_report": ingest_run_report,
     "chat_json_roundtrip": chat_json_roundtrip,
+    "chat_array_roundtrip": chat_array_roundtrip,
     "text_blocks": text_blocks,
     "text_lines": text_lines,
+    "text_mixed": text_mixed,
+    "stable_line_ids": stable_line_ids,
     "unify_counts": unify_counts,
     "lineage_tags": lineage_tags,
     "validation_rules": validation_rules,
@@ -458,9 +596,7 @@ QUERIES: dict[str, Query] = {
     "two_layer_spans": two_layer_spans,
     "streaming_curation": streaming_curation,
     "pipeline_run": pipeline_run,
-    "column_profile": _on_curated(
-        lambda df: profile.column_profile(df.select(*_SCALAR_COLUMNS)).drop("dtype")
-    ),
+    "column_profile": _on_curated(profile.column_profile),
     "records_per_format": _on_curated(profile.records_per_format),
     "pii_rate": _on_curated(profile.pii_rate),
     "type_frequency": _on_curated(profile.type_frequency),

@@ -265,7 +265,7 @@ _TICKETS = r"""tickets AS (
               WHEN 'A' THEN 'Line "' || l_linenumber || '", qty ' || l_quantity::INTEGER || chr(10)
                          || 'call 415-555-' || lpad(l_suppkey::VARCHAR, 4, '0')
               WHEN 'R' THEN 'Mail supplier.' || l_suppkey || '@example.com, please' ELSE '' END AS notes,
-         CASE WHEN l_linenumber <= 5 THEN l_shipdate END AS due,
+         CASE WHEN l_linenumber <= 5 THEN l_shipdate END AS due, l_orderkey, l_suppkey, l_returnflag,
          row_number() OVER (PARTITION BY l_orderkey, l_discount = 0
            ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus, l_shipdate,
                     l_tax, l_discount) AS nth
@@ -351,9 +351,34 @@ def _profile() -> str:
         "anonymization_count": "pii_count::VARCHAR",
         **{c: f"{c}::VARCHAR" for c in [*SCORE_COLUMNS, "quality_score"]},
     }
+    # Lists: without the blanks that other engines print, the empty one first.
+    quoted = """CASE {0} WHEN '' THEN '[]' ELSE '["' || replace({0}, ',', '","') || '"]' END"""
+    printed |= {
+        "pii_detections": "'[]'",
+        "anonymization_log": "'[]'",
+        "pii_types_found": quoted.format("pii_types"),
+        "strategies_used": quoted.format("strategies"),
+    }
+    types = {name: "string" for name in printed} | {
+        "timestamp": "timestamp",
+        "has_pii": "boolean",
+        "pii_count": "int",
+        "anonymization_count": "int",
+        "max_pii_confidence": "double",
+        "quality_score": "double",
+        "pii_detections": "array<struct<pii_type:string,matched_text:string,start:int,end:int,"
+        "confidence:double,layer:string>>",
+        "anonymization_log": "array<struct<original_text:string,replacement:string,pii_type:string,"
+        "strategy:string,position:struct<start:int,end:int>>>",
+        "pii_types_found": "array<string>",
+        "strategies_used": "array<string>",
+        **{c: "double" for c in SCORE_COLUMNS},
+    }
     present = {"timestamp": "ts", "anonymization_count": "pii_count"}
+    lists = {"pii_detections", "anonymization_log", "pii_types_found", "strategies_used"}
+    present |= {name: "record_id" for name in lists}
     parts = [
-        f"SELECT '{name}' AS column, count(*) FILTER ({present.get(name, name)} IS NULL) AS null_count, "
+        f"SELECT '{name}' AS column, '{types[name]}' AS dtype, count(*) FILTER ({present.get(name, name)} IS NULL) AS null_count, "
         f"round(count(*) FILTER ({present.get(name, name)} IS NULL) / count(*)::DOUBLE * 100, 6) AS null_pct, "
         # A missing time prints as text, so that the sample is never empty.
         + (
@@ -367,6 +392,31 @@ def _profile() -> str:
     return _CURATED + "\nUNION ALL\n".join(parts)
 
 
+_DAMAGED = """damaged AS (
+  SELECT *, CASE WHEN NOT has_pii THEN 1.0 WHEN replaced >= pii_count THEN 0.95 WHEN replaced > 0 THEN 0.5
+            ELSE 0.0 END::DOUBLE AS pii_score
+  FROM (
+    SELECT *, CASE length(record_id) % 4 WHEN 0 THEN 0.0 WHEN 1 THEN 0.5 ELSE 1.0 END::DOUBLE AS format_score,
+           CASE length(text) % 3 WHEN 0 THEN 0 WHEN 1 THEN greatest(pii_count - 1, 0) ELSE pii_count END AS replaced
+    FROM scored
+  )
+)"""
+
+_LICENSE = "(?:MIT|Apache|Public) License"
+
+# Tickets as four folders of files hold them, by order; the last has few columns.
+_MIXED = r"""mixed AS (
+  SELECT *, l_orderkey % 4 AS part, l_orderkey % 4 = 3 AND l_returnflag = 'A' AS rejected,
+         CASE WHEN l_orderkey % 4 = 3 THEN 'n' ELSE notes END AS own_notes
+  FROM tickets
+),
+kept_mixed AS (
+  SELECT *, CASE WHEN record_id = '' THEN 'repaired' ELSE record_id END AS shown_id,
+         trim(concat_ws(' ', nullif(assignee_name, ''), nullif(own_notes, '')), E' \t\n\r') AS text,
+         row_number() OVER (PARTITION BY l_orderkey, record_id ORDER BY nth) AS nth_kept
+  FROM mixed WHERE NOT rejected
+)"""
+
 _ANOMALIES = """, cutoff AS (
   SELECT avg(pii_count) + 2 * stddev_samp(pii_count) AS c FROM scored
 ), flagged AS (
@@ -394,6 +444,13 @@ rec AS (
   SELECT 'b' || row_number() OVER (), 'plaintext', TIMESTAMP '2024-01-15', text, 'a::b::c' FROM blocks
 )"""
 
+_CHAT_ROWS = """
+SELECT 'slack' AS source_format,
+       '2024-01-15T09:' || lpad((turn % 60)::VARCHAR, 2, '0') || ':00+00:00' AS timestamp, text,
+       CASE WHEN turn > 0 THEN 'room-' || conv_id ELSE '' END AS channel, role AS username,
+       'U' || lpad(conv_id::VARCHAR, 6, '0') AS user_id, count(*) AS n
+FROM conversations GROUP BY ALL"""
+
 ORACLES: dict[str, str] = {
     "pii_candidates": f"{_with(_RECORDS, _candidates())} SELECT {_SPAN_COLUMNS} FROM cand",
     "pii_spans": f"{_DETECTED} SELECT {_SPAN_COLUMNS} FROM spans",
@@ -422,10 +479,42 @@ SELECT count(*) AS record_count, round(avg(quality_score), 6) AS mean_quality_sc
        round(count(*) FILTER (has_pii) / count(*)::DOUBLE * 100, 6) AS pct_records_with_pii,
        100.0::DOUBLE AS pct_pii_records_fully_anonymized
 FROM scored""",
-    "quality_report_file": f"""{_with(_RECORDS)}
+    "quality_report_file": f"""{_CURATED}
 SELECT count(*) AS record_count, 0.8::DOUBLE AS threshold_used, 0.35::DOUBLE AS completeness,
-       0.2::DOUBLE AS consistency, 0.15::DOUBLE AS format_conformance, 0.3::DOUBLE AS pii_removal
-FROM rec""",
+       0.2::DOUBLE AS consistency, 0.15::DOUBLE AS format_conformance, 0.3::DOUBLE AS pii_removal,
+       round(avg(quality_score), 4) AS mean_quality_score,
+       round(quantile_cont(quality_score, 0.5), 4) AS median_quality_score,
+       round(stddev_samp(quality_score), 4) AS std_quality_score,
+       round(count(*) FILTER (quality_score >= 0.8::DOUBLE) / count(*)::DOUBLE * 100, 2) AS pct_above_threshold,
+       round(count(*) FILTER (has_pii) / count(*)::DOUBLE * 100, 2) AS pct_records_with_pii,
+       100.0::DOUBLE AS pct_pii_records_fully_anonymized
+FROM scored""",
+    "damaged_scores": f"""{_CURATED}, {_DAMAGED}
+SELECT format_score AS format_conformance_score, pii_score AS pii_removal_confidence_score,
+       round(greatest(least(0.35::DOUBLE * completeness_score + 0.20::DOUBLE * consistency_score
+         + 0.15::DOUBLE * format_score + 0.30::DOUBLE * pii_score, 1.0::DOUBLE), 0.0::DOUBLE), 6) AS quality_score,
+       count(*) AS records
+FROM damaged GROUP BY ALL""",
+    "damaged_statistics": f"""{_CURATED}, {_DAMAGED}
+SELECT count(*) AS record_count,
+       round(count(*) FILTER (has_pii) / count(*)::DOUBLE * 100, 6) AS pct_records_with_pii,
+       round(count(*) FILTER (has_pii AND replaced >= pii_count) / count(*) FILTER (has_pii)::DOUBLE * 100, 6)
+         AS pct_pii_records_fully_anonymized
+FROM damaged""",
+    "custom_pattern_spans": f"""WITH rec AS (SELECT 'doc-' || doc_id AS record_id, text FROM documents),
+found AS (
+  SELECT record_id, regexp_extract_all(text, '{_LICENSE}') AS ms, string_split_regex(text, '{_LICENSE}') AS gs
+  FROM rec WHERE regexp_matches(text, '{_LICENSE}')
+),
+numbered AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM found),
+placed AS (
+  SELECT record_id, ms[i] AS m, (coalesce(list_sum(list_transform(gs[1:i], lambda g: length(g))), 0)
+           + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
+  FROM numbered
+)
+SELECT record_id, 'LICENSE' AS pii_type, m AS matched_text, s AS span_start, s + length(m) AS span_end,
+       0.9::DOUBLE AS confidence, 'regex' AS layer
+FROM placed""",
     "threshold_summary": f"""{_CURATED}
 SELECT count(*) AS records, count(*) FILTER (has_pii) AS pii_records, sum(pii_count)::BIGINT AS replacements,
        count(*) FILTER (quality_score >= {STRICT_THRESHOLD}::DOUBLE) AS passed,
@@ -449,12 +538,42 @@ SELECT count(*) AS rows_read, count(*) FILTER (record_id = '') AS ids_repaired,
 FROM tickets""",
     "due_date_parse": f"""{_with(_TICKETS)}
 SELECT due_date, count(*) AS n, {_DUE_ISO} AS parsed FROM tickets GROUP BY due_date, due""",
-    "chat_json_roundtrip": """
-SELECT 'slack' AS source_format,
-       '2024-01-15T09:' || lpad((turn % 60)::VARCHAR, 2, '0') || ':00+00:00' AS timestamp, text,
-       CASE WHEN turn > 0 THEN 'room-' || conv_id ELSE '' END AS channel, role AS username,
-       'U' || lpad(conv_id::VARCHAR, 6, '0') AS user_id, count(*) AS n
-FROM conversations GROUP BY ALL""",
+    "due_date_layouts": """
+SELECT due_date, count(*) AS n,
+       strftime(l_shipdate, '%Y-%m-%dT') || CASE l_linenumber WHEN 2 THEN '15:30:00+00:00' ELSE '00:00:00+00:00' END
+         AS parsed
+FROM (
+  SELECT l_shipdate, l_linenumber, CASE l_linenumber
+    WHEN 1 THEN strftime(l_shipdate, '%m/%d/%y') WHEN 2 THEN strftime(l_shipdate, '%m/%d/%Y') || ' 3:30 PM'
+    WHEN 3 THEN strftime(l_shipdate, '%B %-d %Y') WHEN 4 THEN strftime(l_shipdate, '%Y%m%d')
+    WHEN 5 THEN strftime(l_shipdate, '%Y.%m.%d') WHEN 6 THEN strftime(l_shipdate, '%-d-%B-%Y')
+    ELSE upper(strftime(l_shipdate, '%b %-d %Y')) END AS due_date
+  FROM lineitem
+) GROUP BY ALL""",
+    "csv_mixed_headers": f"""{_with(_TICKETS, _MIXED)}
+SELECT shown_id AS record_id, CASE WHEN part < 3 THEN {_DUE_ISO} END AS timestamp, text,
+       CASE WHEN part = 2 THEN 'W' || l_suppkey END AS warehouse, CASE WHEN part < 3 THEN status END AS status,
+       count(*) AS n
+FROM kept_mixed WHERE record_id = '' OR nth_kept = 1 GROUP BY ALL""",
+    "ingest_rejects": f"""{_with(_TICKETS, _MIXED)}
+SELECT record_id || ',' || assignee_name || ',a,surplus' AS raw, count(*) AS n
+FROM mixed WHERE rejected GROUP BY raw""",
+    "ingest_run_report": f"""{_with(_TICKETS, _MIXED, _BLOCKS)}
+SELECT 'records csv' AS name, count(*) AS n FROM kept_mixed WHERE record_id = '' OR nth_kept = 1
+UNION ALL SELECT 'records plaintext', count(*) FROM blocks
+UNION ALL SELECT 'records slack', count(*) FROM conversations
+UNION ALL SELECT 'duplicates_dropped', count(*) FROM kept_mixed WHERE record_id <> '' AND nth_kept > 1
+UNION ALL SELECT 'ids_repaired', count(*) FROM kept_mixed WHERE record_id = ''
+UNION ALL SELECT 'rejected', count(*) FROM mixed WHERE rejected
+UNION ALL SELECT 'load_failures', 2""",
+    "chat_array_roundtrip": _CHAT_ROWS,
+    "text_mixed": f"""{_with(_BLOCKS)}
+SELECT 'plaintext' AS source_format, text, count(*) AS n, count(*) AS ids FROM (
+  SELECT text FROM blocks UNION ALL SELECT text FROM blocks
+  UNION ALL SELECT c_name || ', ' || c_mktsegment FROM customer
+) GROUP BY text""",
+    "stable_line_ids": "SELECT count(*) AS same_ids FROM customer",
+    "chat_json_roundtrip": _CHAT_ROWS,
     "text_blocks": f"""{_with(_BLOCKS)}
 SELECT 'plaintext' AS source_format, text, '{{}}' AS raw_metadata, count(*) AS n FROM blocks GROUP BY text""",
     "text_lines": """
@@ -504,7 +623,8 @@ FROM scored WHERE source_format = 'plaintext'""",
     "pipeline_run": f"""{_with(_PIPELINE_RECORDS, _spans(), _TOKENS, _SUMMARY, _PIECES, _SCORED)}
 SELECT source_format, count(*) AS records, count(*) FILTER (has_pii) AS pii_records, sum(pii_count)::BIGINT AS spans,
        round(avg(quality_score), 6) AS mean_quality_score,
-       count(*) FILTER (quality_score >= 0.8::DOUBLE) AS passed
+       count(*) FILTER (quality_score >= 0.8::DOUBLE) AS passed,
+       count(*) AS logged, sum(length(text))::BIGINT AS text_length, (SELECT count(*) FROM scored) AS records_processed
 FROM scored GROUP BY source_format""",
     "column_profile": _profile(),
     "records_per_format": f"{_with(_RECORDS)} SELECT source_format, count(*) AS records FROM rec GROUP BY ALL",

@@ -200,18 +200,78 @@ def ticket_files(spark: SparkSession, sf_dir: str) -> str:
     return written_once(spark, sf_dir, "tickets", write)
 
 
+def mixed_ticket_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Tickets in four folders with headers of their own, by order.
+
+    The usual columns, the same in reverse order, one more column, and few columns without
+    quoting, where some rows come out one field too long.
+    """
+
+    def write(path: str) -> None:
+        source = tickets(spark, sf_dir).withColumn(
+            "warehouse", F.concat(F.lit("W"), _text("l_suppkey"))
+        )
+        surplus = F.when(F.col("l_returnflag") == "A", F.lit("a,surplus")).otherwise(F.lit("n"))
+        # A column that holds whole lines, under a header that is a whole line.
+        header = "record_id,assignee_name,notes"
+        line = F.concat_ws(",", "record_id", "assignee_name", surplus)
+        layouts = {
+            "usual": (TICKET_COLUMNS, ","),
+            "reversed": (TICKET_COLUMNS[::-1], ","),
+            "wider": ([*TICKET_COLUMNS, "warehouse"], ","),
+            "unquoted": ([header], "\x01"),
+        }
+        for part, (name, (columns, separator)) in enumerate(layouts.items()):
+            (
+                source.withColumn(header, line)
+                .where(F.col("l_orderkey") % 4 == part)
+                .repartition("l_orderkey")
+                .sortWithinPartitions(*TICKET_ORDER)
+                .select(*[F.col(f"`{c}`") for c in columns])
+                .write.option("header", True)
+                .option("sep", separator)
+                .option("escape", '"')
+                .option("emptyValue", "")
+                .csv(f"{path}/{name}")
+            )
+
+    path = written_once(spark, sf_dir, "mixed_tickets", write)
+    return [f"{path}/{name}" for name in ("usual", "reversed", "wider", "unquoted")]
+
+
+def _chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    minute = F.lpad((F.col("turn") % 60).cast("string"), 2, "0")
+    return table(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("U"), F.lpad(_text("conv_id"), 6, "0")).alias("user_id"),
+        F.col("role").alias("username"),
+        F.concat(F.lit("2024-01-15T09:"), minute, F.lit(":00Z")).alias("timestamp"),
+        F.when(F.col("turn") > 0, F.concat(F.lit("room-"), _text("conv_id"))).alias("channel"),
+        "text",
+        F.floor(F.col("conv_id") / 100).alias("bucket"),
+    )
+
+
+def chat_array_files(spark: SparkSession, sf_dir: str) -> str:
+    """The same messages, one JSON array per file and hundred conversations."""
+
+    def write(path: str) -> None:
+        message = F.struct("user_id", "username", "timestamp", "channel", "text")
+        (
+            _chat_messages(spark, sf_dir)
+            .groupBy("bucket")
+            .agg(F.to_json(F.collect_list(message)).alias("value"))
+            .write.partitionBy("bucket")
+            .text(path)
+        )
+
+    return written_once(spark, sf_dir, "chat_arrays", write)
+
+
 def chat_files(spark: SparkSession, sf_dir: str) -> str:
     """Conversations as JSON Lines messages; opening turns lack the channel field."""
 
     def write(path: str) -> None:
-        minute = F.lpad((F.col("turn") % 60).cast("string"), 2, "0")
-        table(spark, sf_dir, "conversations").select(
-            F.concat(F.lit("U"), F.lpad(_text("conv_id"), 6, "0")).alias("user_id"),
-            F.col("role").alias("username"),
-            F.concat(F.lit("2024-01-15T09:"), minute, F.lit(":00Z")).alias("timestamp"),
-            F.when(F.col("turn") > 0, F.concat(F.lit("room-"), _text("conv_id"))).alias("channel"),
-            "text",
-        ).write.json(path)
+        _chat_messages(spark, sf_dir).drop("bucket").write.json(path)
 
     return written_once(spark, sf_dir, "chat", write)
 
@@ -236,6 +296,18 @@ def line_files(spark: SparkSession, sf_dir: str) -> str:
     return written_once(spark, sf_dir, "lines", write)
 
 
+def windows_files(spark: SparkSession, sf_dir: str) -> str:
+    """Document texts as blocks with carriage returns in all line ends."""
+
+    def write(path: str) -> None:
+        text = F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n"))
+        table(spark, sf_dir, "documents").select(text.alias("value")).write.option(
+            "lineSep", "\r\n\r\n"
+        ).text(path)
+
+    return written_once(spark, sf_dir, "windows", write)
+
+
 def shipping_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order texts that name the customer, segment, nation and region, plus the order note."""
     place = table(spark, sf_dir, "nation").join(

@@ -8,6 +8,7 @@ from pyspark.sql.functions import pandas_udf
 
 from brute_force import best_subset, candidates
 from conftest import plan_of
+from curaspan.functions import spans
 from curaspan.functions.patterns import DEFAULT_PATTERNS, PiiPattern, patterns_by_type
 from curaspan.operators.detect import detect_candidates, detect_pii, explode_detections
 from curaspan.plans import views
@@ -54,13 +55,13 @@ CASES = [
 
 def test_cases(texts):
     found = spans_of(texts(*[text for text, _ in CASES]))
-    assert [[s[:2] for s in spans] for spans in found] == [want for _, want in CASES]
+    assert [[s[:2] for s in own] for own in found] == [want for _, want in CASES]
 
 
 def test_offsets_point_at_the_match(texts):
     values = [text for text, _ in CASES] + ["😀é 192.168.1.1 😀 a@b.co", "日本 123-45-6789"]
-    for value, spans in zip(values, spans_of(texts(*values))):
-        for _, matched, start, end, _ in spans:
+    for value, own in zip(values, spans_of(texts(*values))):
+        for _, matched, start, end, _ in own:
             assert value[start:end] == matched
 
 
@@ -102,7 +103,10 @@ def _random_text(rng: random.Random) -> str:
     return "".join(rng.choice(pieces) for _ in range(rng.randint(1, 14)))
 
 
-def test_against_brute_force(texts):
+@pytest.mark.parametrize("short", [spans.SHORT, 1])
+def test_against_brute_force(texts, monkeypatch, short):
+    """Both the forms for few and for many spans."""
+    monkeypatch.setattr(spans, "SHORT", short)
     rng = random.Random(7)
     values = [_random_text(rng) for _ in range(4000)]
     df = texts(*values)
@@ -110,23 +114,23 @@ def test_against_brute_force(texts):
     for value, row in zip(values, rows):
         found = [(c["start"], c["end"], c["pii_type"], c["confidence"]) for c in row["pii_candidates"]]
         assert found == candidates(value), repr(value)
-    for value, spans in zip(values, spans_of(df)):
-        found = [(start, end, kind, confidence) for kind, _, start, end, confidence in spans]
+    for value, own in zip(values, spans_of(df)):
+        found = [(start, end, kind, confidence) for kind, _, start, end, confidence in own]
         assert found == best_subset(candidates(value)), repr(value)
 
 
 def test_many_spans_in_one_text(texts):
     """More spans than one growth chunk, overlapping ones among them."""
     value = " ".join(f"ops@10.20.{i % 256}.{i // 256}.example.com 10.9.{i % 256}.1" for i in range(1500))
-    (spans,) = spans_of(texts(value))
-    assert [(s[2], s[3], s[0], s[4]) for s in spans] == best_subset(candidates(value))
-    assert len(spans) == 3000
+    (own,) = spans_of(texts(value))
+    assert [(s[2], s[3], s[0], s[4]) for s in own] == best_subset(candidates(value))
+    assert len(own) == 3000
 
 
 def test_long_unbroken_run_is_linear(texts):
     value = "x" * 300_000 + " a@b.co"
-    (spans,) = spans_of(texts(value))
-    assert [s[1] for s in spans] == ["a@b.co"]
+    (own,) = spans_of(texts(value))
+    assert [s[1] for s in own] == ["a@b.co"]
 
 
 def test_no_overlap_on_documents(spark, sf_dir):
@@ -143,9 +147,9 @@ def test_no_overlap_on_documents(spark, sf_dir):
         )
     )
     assert bad.count() == 0
-    spans = explode_detections(detected, "doc_id", "text")
-    wrong = spans.where(F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")) != F.col("matched_text"))
-    assert spans.count() > 0 and wrong.count() == 0
+    exploded = explode_detections(detected, "doc_id", "text")
+    wrong = exploded.where(F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")) != F.col("matched_text"))
+    assert exploded.count() > 0 and wrong.count() == 0
 
 
 def test_entity_layer(spark, texts):

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 
-from conftest import plan_of
+from conftest import plan_of, shuffled_columns
 from curaspan.operators import entities
 from curaspan.operators.detect import detect_pii
 from curaspan.operators.entities import with_entities
@@ -119,3 +120,36 @@ def test_both_layers(spark, texts, dictionary):
     assert [(s["pii_type"], s["layer"], s["confidence"]) for s in spans] == [
         ("PERSON", "ner", 0.80), ("EMAIL", "regex", 0.99), ("GPE", "ner", 0.65),
     ]
+
+
+def test_rows_without_an_id_are_looked_up(spark, dictionary):
+    df = spark.createDataFrame([(None, "John Smith"), (None, "John"), ("a", None)], "record_id string, text string")
+    rows = {r["text"]: r["entities"] for r in df.transform(with_entities(dictionary)).collect()}
+    assert [e["matched_text"] for e in rows["John Smith"]] == ["John Smith"]
+    assert [e["matched_text"] for e in rows["John"]] == ["John"] and rows[None] is None
+
+
+def test_many_phrases_in_one_text_are_linear(spark, texts):
+    """No regex per phrase: twice the phrases take about twice the time."""
+
+    def seconds(n):
+        names = [f"Name{i} Of{i}" for i in range(n)]
+        phrases = spark.createDataFrame([(name, "ORG") for name in names], "phrase string, label string")
+        df = texts(" met ".join(names)).transform(with_entities(phrases))
+        started = time.perf_counter()
+        assert len(df.first()["entities"]) == n
+        return time.perf_counter() - started
+
+    seconds(500)
+    assert seconds(8000) < 1.5 * 4 * max(seconds(2000), 0.5)
+
+
+def test_text_moves_once(texts, dictionary):
+    moved = shuffled_columns(texts("John Smith").transform(with_entities(dictionary)))
+    assert sum("text#" in columns for columns in moved) <= 1
+
+
+def test_streams_are_refused_with_a_reason(spark, dictionary):
+    stream = spark.readStream.format("rate").load().selectExpr("cast(value as string) as text")
+    with pytest.raises(ValueError, match="foreachBatch"):
+        stream.transform(with_entities(dictionary))
