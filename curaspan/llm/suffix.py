@@ -36,7 +36,7 @@ SPAN = WINDOW - GRAM + 1
 STEP = 16
 CORE = WINDOW - STEP + 1
 # A core with more different contexts is not sorted in one task, see _by_windows.
-MAX_CONTEXTS = 4096
+MAX_CONTEXTS = 512
 # Symbols that a task sorts at a time.
 SORTED_SYMBOLS = 400_000
 
@@ -370,8 +370,10 @@ def _sorted_parts(parts: DataFrame) -> DataFrame:
                     yield settle(table.slice(a, b - a))
             held = table.slice(done).to_batches()
 
+    # With a number of its own: few bytes but much work, so tasks are not to be merged.
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        parts.repartition("__core")
+        parts.repartition(tasks, "__core")
         .sortWithinPartitions("__core", "__doc", "__at")
         .select("__core", "__doc", "__at", "__left", "__right")
         .mapInArrow(run, _FOUND)

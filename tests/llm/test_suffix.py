@@ -65,7 +65,7 @@ def test_suffix_order_equals_sorting(seed):
 
 
 @pytest.mark.parametrize(
-    ("seed", "contexts", "symbols"), [(0, 4096, 400_000), (1, 2, 400_000), (2, 4096, 200)]
+    ("seed", "contexts", "symbols"), [(0, 512, 400_000), (1, 2, 400_000), (2, 512, 200)]
 )
 def test_equals_brute_force(spark, monkeypatch, seed, contexts, symbols):
     monkeypatch.setattr(suffix, "MAX_CONTEXTS", contexts)
