@@ -240,6 +240,7 @@ def run_pipeline(spark: SparkSession, config: Mapping[str, Any]) -> dict[str, An
     write_lineage_summary(
         summary_of_records(saved, run_id, log_path),
         f"{settings['lineage_dir'].rstrip('/')}/{LINEAGE_FILE}_summary.json",
+        settings.get("lineage_mode", "overwrite"),
     )
     write_report(quality_report(saved), settings["quality_report_path"])
 

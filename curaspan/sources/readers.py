@@ -424,9 +424,15 @@ def _blocks_by_line(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """A curated table; nested columns stored as JSON text are decoded."""
+def read_curated(spark: SparkSession, path: str, decode_metadata: bool = False) -> DataFrame:
+    """A curated table; nested columns stored as JSON text are decoded.
+
+    The metadata of different sources have different fields; with ``decode_metadata``
+    they come as VARIANT, text that is no JSON as NULL.
+    """
     df = spark.read.parquet(path)
+    if decode_metadata:
+        df = df.withColumn("raw_metadata", F.try_parse_json("raw_metadata"))
     decoded = {
         name: F.from_json(F.col(name), kind)
         for name, kind in NESTED_COLUMNS.items()

@@ -36,9 +36,9 @@ def write_lineage(events: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_lineage_summary(summary: DataFrame, path: str) -> str:
-    """The one-row summary as JSON next to the log."""
-    summary.coalesce(1).write.mode("overwrite").json(path)
+def write_lineage_summary(summary: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """The one-row summary as JSON next to the log; a log of several runs has one row for each."""
+    summary.coalesce(1).write.mode(mode).json(path)
     return path
 
 

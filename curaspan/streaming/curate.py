@@ -1,7 +1,8 @@
 """Curate records as files arrive.
 
 Detection, anonymization and scoring look at one row at a time, so the batch
-functions accept a streaming table as they are: no state, no watermark.
+functions accept a streaming table as they are: no state, no watermark. The entity
+dictionary groups hits by text and needs a batch: call it inside ``foreachBatch``.
 """
 
 from __future__ import annotations

@@ -158,6 +158,23 @@ def test_ordered_log_does_not_move_texts(spark, sf_dir):
     assert "record_id" in names and not {"text", "anonymization_log", "anonymized_text"} & set(names)
 
 
+def test_appended_runs_keep_their_summaries(spark, sources, tmp_path):
+    for _ in range(2):
+        run_pipeline(spark, config(sources, tmp_path, lineage_mode="append", multiline=False))
+    summaries = spark.read.json(str(tmp_path / "lineage" / "lineage_log_summary.json"))
+    log = spark.read.json(str(tmp_path / "lineage" / "lineage_log.jsonl"))
+    assert summaries.select("run_id").distinct().count() == 2
+    assert log.count() == summaries.agg(F.sum("total_events")).first()[0]
+
+
+def test_metadata_decodes(spark, sources, tmp_path):
+    summary = run_pipeline(spark, config(sources, tmp_path))
+    saved = read_curated(spark, summary["parquet_path"], decode_metadata=True)
+    field = F.try_variant_get("raw_metadata", "$.assignee_name", "string")
+    names = {r["name"] for r in saved.select(field.alias("name")).collect()}
+    assert names == {None, "Ann", ""}
+
+
 def test_nothing_is_lost_without_a_word(spark, tmp_path):
     """Rejects, counts and sources that break while they are read are all reported."""
     raw = tmp_path / "raw"
