@@ -43,7 +43,7 @@ _FURNITURE_NAMES = re.compile(
     r"|sidebar|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|widget\w*)(?=$|[\s_\d-])"
 )
 _ARTICLE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:article|post|entry|story|main)[\s_-]?(?:body|content|text)?(?=$|[\s_-])"
+    r"(?:^|[\s_-])(?:article|post|entry|story|main|content)[\s_-]?(?:body|content|text)?(?=$|[\s_-])"
 )
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -199,6 +199,18 @@ LABELLED = [
     (f"<article><p><a href=/j>{_SENTENCE}</a></p><p>{_LONG}</p></article>", "11"),
     (f"<article>{_LINKS}<p>{_LONG}</p></article>", "111"),
     (f"<nav>{_SENTENCE}</nav><footer>{_LONG}</footer>", "00"),
+    # Short calls at the edges of a page without telling elements.
+    (f"<div>{_LONG}</div><div>{_LONG}</div><div>All rights reserved.</div>", "11 0"),
+    (f"<div>Welcome, guest!</div><div>Buy now!</div><div>{_LONG}</div><div>{_LONG}</div>", "00 11"),
+    (
+        f"<p>{_LONG}</p><p>{_SHORT}</p><p>{_LONG}</p><div>Sign up today!</div><div>See you soon.</div>",
+        "111 00",
+    ),
+    (
+        f"<div>Latest posts from our editors</div><div>Most read this week</div><p>{_LONG}</p>"
+        f"<h2>What the engineers say</h2><p>{_LONG}</p><div>Follow us on all channels</div>",
+        "00 111 0",
+    ),
 ]
 MAX_DEPTH = 6
 
