@@ -211,8 +211,26 @@ LABELLED = [
         f"<h2>What the engineers say</h2><p>{_LONG}</p><div>Follow us on all channels</div>",
         "00 111 0",
     ),
+    # In an article blocks without a full stop count as well, wherever they stand.
+    ("<article><p>A list of words without a mark</p></article>", "1"),
+    (
+        f"<nav>{_LINKS}</nav><article><h1>Bridge closed after the heavy rain of Monday</h1>"
+        "<p>Photo taken from the bank of the river by our reader</p></article>"
+        "<footer>Write to the editors</footer>",
+        "00 11 0",
+    ),
+    (
+        f"<main><p>What is left of the bridge today and what it once was like in summer</p>"
+        f"<p>{_LONG}</p><p>With pictures by the town archive</p></main><aside>Most read</aside>",
+        "111 0",
+    ),
+    (
+        f"<article><h1>Bridge closed after flood</h1><h2>By the river once again</h2><p>{_LONG}</p>"
+        "<p>Five words without a mark</p><p>Four words and none</p></article>",
+        "11111",
+    ),
 ]
-MAX_DEPTH = 6
+MAX_DEPTH = 10
 
 
 def learn_tree(x: np.ndarray, y: np.ndarray, depth: int = MAX_DEPTH):
