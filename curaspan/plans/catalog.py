@@ -543,7 +543,7 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(F.col("quality_score") >= profile.THRESHOLD).alias("passed"),
         )
     )
-    return per_format.join(logged, "source_format").join(told)
+    return per_format.join(logged, "source_format").withColumn("records_processed", told.scalar())
 
 
 def _on_curated(operator: Callable[[DataFrame], DataFrame]) -> Query:
