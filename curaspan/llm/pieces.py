@@ -27,9 +27,11 @@ from curaspan.llm.common import raw_texts, text_slices
 SPACE = "▁"
 SAMPLES = 3
 # Text that a worker has lattices and noise of at a time.
-SLICE_BYTES = 600_000
-CACHED_CHUNKS = 100_000
-CACHED_LENGTH = 32
+SLICE_BYTES = 1_000_000
+# Siblings are looked at in this many chunks first; more only where that may not suffice.
+FIRST_CHUNKS = 512
+# No Gumbel value drawn here, and no correction of one, is larger than this.
+LARGEST = 40.0
 
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _U64 = np.uint64
@@ -54,11 +56,11 @@ class Vocabulary:
         else:
             weights = scores
         weights = alpha * weights
-        self.pieces = {model.id_to_piece(i): (i, float(np.exp(weights[i]))) for i in normal}
-        self.longest = max(map(len, self.pieces), default=1)
+        self.pieces = {model.id_to_piece(i): (i, float(weights[i])) for i in normal}
+        self._build_tree()
         byte_ids = {int(model.id_to_piece(i)[3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.byte_ids = [byte_ids.get(b, model.unk_id()) for b in range(256)]
-        self.byte_weight = float(np.exp(alpha * -np.log(n)))
+        self.byte_weight = float(alpha * -np.log(n))
         self.text = [b""] * n
         for piece, (i, _) in self.pieces.items():
             self.text[i] = piece.replace(SPACE, " ").encode()
@@ -66,7 +68,29 @@ class Vocabulary:
             self.text[i] = bytes([b])
         # Pieces that end a run of characters with a space would cross chunks.
         self.crossing = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
-        self.known: dict[str, tuple] = {}
+
+    def _build_tree(self) -> None:
+        """Prefix tree of the pieces: sorted (node, character) keys with their child nodes."""
+        letters = sorted({c for p in self.pieces for c in p})
+        self.letter = np.full(0x110000, -1, np.int64)
+        self.letter[[ord(c) for c in letters]] = np.arange(len(letters))
+        self.n_letters = max(1, len(letters))
+        nodes = {"": 0}
+        edges = []
+        for piece in sorted(self.pieces):
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in nodes:
+                    nodes[piece[:n]] = len(nodes)
+                    parent = nodes[piece[: n - 1]]
+                    key = parent * self.n_letters + int(self.letter[ord(piece[n - 1])])
+                    edges.append((key, nodes[piece[:n]]))
+        edges.sort()
+        self.tree_key = np.array([k for k, _ in edges], np.int64)
+        self.tree_child = np.array([c for _, c in edges], np.int64)
+        self.node_piece = np.full(len(nodes), -1, np.int64)
+        self.node_log = np.zeros(len(nodes))
+        for piece, (i, log) in self.pieces.items():
+            self.node_piece[nodes[piece]], self.node_log[nodes[piece]] = i, log
 
     def chunks(self, text: str) -> list[str]:
         """Parts of the text that no piece crosses; the text has a space in front."""
@@ -75,47 +99,42 @@ class Vocabulary:
         marked = SPACE + text.replace(" ", SPACE)
         return [marked] if self.crossing else _CHUNK.findall(marked)
 
-    def lattice(self, chunk: str) -> tuple:
-        """Edges of a chunk: per place their number, then end, piece and log probability.
+    def edges(self, chunks: list[str]):
+        """Edges of the lattices of all chunks: character, length, piece, log weight.
 
-        The probability of an edge is that of all ways on from its start that take it. A
-        character without a piece has one edge, whose piece is minus its code point.
+        Sorted by character and length, the characters of all chunks numbered in a row. All
+        places go down the prefix tree together. A character without a piece has one
+        edge, whose piece is minus its code point.
         """
-        found = self.known.get(chunk)
-        if found is not None:
-            return found
-        n, get = len(chunk), self.pieces.get
-        degree, ends, ids, parts = [0] * n, [], [], []
-        onward = [1.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            own = []
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                hit = get(chunk[i:j])
-                if hit is not None:
-                    own.append((j, hit[0], hit[1] * onward[j]))
-                elif j == i + 1:
-                    weight = self.byte_weight ** len(chunk[i:j].encode())
-                    own.append((j, -ord(chunk[i]), weight * onward[j]))
-            total = sum(e[2] for e in own)
-            if total < 1e-200:
-                # Far from the end of a long chunk: only ratios matter.
-                for j in range(i + 1, min(n, i + self.longest) + 1):
-                    onward[j] *= 1e150
-                own = [(j, piece, weight * 1e150) for j, piece, weight in own]
-                total *= 1e150
-            onward[i] = total
-            degree[i] = len(own)
-            for j, piece, weight in reversed(own):
-                ends.append(j)
-                ids.append(piece)
-                parts.append(weight / total)
-        # Built from the back; places and their edges are wanted from the front.
-        found = degree, ends[::-1], ids[::-1], parts[::-1]
-        if n <= CACHED_LENGTH:
-            if len(self.known) >= CACHED_CHUNKS:
-                self.known.clear()
-            self.known[chunk] = found
-        return found
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
+        size = np.array([len(c) for c in chunks], np.int64)
+        end = np.repeat(np.cumsum(size), size)
+        letters = self.letter[codes]
+        at, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+        found = []
+        single = np.zeros(len(codes), bool)
+        length = 0
+        while len(at):
+            here = at + length
+            inside = here < end[at]
+            at, node, here = at[inside], node[inside], here[inside]
+            key = node * self.n_letters + letters[here]
+            hit = np.minimum(np.searchsorted(self.tree_key, key), len(self.tree_key) - 1)
+            fits = (letters[here] >= 0) & (self.tree_key[hit] == key)
+            at, node = at[fits], self.tree_child[hit[fits]]
+            length += 1
+            full = np.flatnonzero(self.node_piece[node] >= 0)
+            where = at[full]
+            if length == 1:
+                single[where] = True
+                spelled = np.flatnonzero(~single)
+                n_bytes = 1 + (codes[spelled] > 0x7F) + (codes[spelled] > 0x7FF) + (codes[spelled] > 0xFFFF)
+                found.append((spelled, np.ones_like(spelled), -codes[spelled], n_bytes * self.byte_weight))
+            lengths = np.full(len(where), length)
+            found.append((where, lengths, self.node_piece[node[full]], self.node_log[node[full]]))
+        columns = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
+        order = np.argsort(columns[0], kind="stable")
+        return size, *[c[order] for c in columns]
 
     def decode(self, ids) -> str:
         """Text of a list of piece ids, without the space in front."""
@@ -124,15 +143,15 @@ class Vocabulary:
 
     def expand(self, ids: np.ndarray) -> np.ndarray:
         """Piece ids with single characters in place of codes spelled out in bytes."""
-        if not (ids < 0).any():
+        codes = np.flatnonzero(ids < 0)
+        if not len(codes):
             return ids
-        out: list[int] = []
-        for i in ids.tolist():
-            if i >= 0:
-                out.append(i)
-            else:
-                out.extend(self.byte_ids[b] for b in chr(-i).encode())
-        return np.array(out, np.int64)
+        spelled = {i: [self.byte_ids[b] for b in chr(-i).encode()] for i in set(ids[codes].tolist())}
+        size = np.ones(len(ids), np.int64)
+        size[codes] = [len(spelled[i]) for i in ids[codes].tolist()]
+        out = np.repeat(ids, size)
+        out[out < 0] = [b for i in ids[codes].tolist() for b in spelled[i]]
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -156,161 +175,250 @@ class _Lattices:
 
     def __init__(self, vocab: Vocabulary, texts: list[str]):
         numbers: dict[str, int] = {}
-        token_chunk, self.size = [], []
+        token_chunk, size = [], []
         for text in texts:
             chunks = vocab.chunks(text)
-            self.size.append(len(chunks))
+            size.append(len(chunks))
             token_chunk += [numbers.setdefault(c, len(numbers)) for c in chunks]
-        base, degree, ends, ids, parts, places, owner = [], [], [], [], [], [], []
-        for chunk in numbers:
-            d, e, i, p = vocab.lattice(chunk)
-            base.append(len(degree))
-            owner += [len(degree)] * len(e)
-            degree += d
-            degree.append(0)
-            places += range(len(d) + 1)
-            ends += e
-            ids += i
-            parts += p
-        self.degree = np.array(degree, np.int64)
+        size_of, at, lengths, self.piece, weight = vocab.edges(list(numbers))
+        # A place in front of each character and one at the end of each chunk.
+        n_chars = int(size_of.sum())
+        chunk_of = np.repeat(np.arange(len(size_of)), size_of)
+        self.degree = np.zeros(n_chars + len(size_of), np.int64)
+        owner = at + chunk_of[at]
+        self.degree += np.bincount(owner, minlength=len(self.degree))
         self.first_edge = np.cumsum(self.degree) - self.degree
-        self.place = np.array(places, np.uint64)
-        self.next = np.array(ends, np.int64) + np.array(owner, np.int64)
-        self.piece = np.array(ids, np.int64)
-        self.log = np.log(np.array(parts, np.float64))
-        self.start = np.array(base, np.int64)[np.array(token_chunk, np.int64)]
-        size = np.array(self.size, np.int64)
-        self.doc = np.repeat(np.arange(len(texts)), size)
-        self.first_token = np.cumsum(size) - size
+        self.next = owner + lengths
+        base = np.cumsum(size_of + 1) - size_of - 1
+        self.place = (np.arange(len(self.degree)) - np.repeat(base, size_of + 1)).astype(np.uint64)
+        inner = np.flatnonzero(self.degree)
+        # From the ends of all chunks: the log weight of all ways on from a place. Divided
+        # by it, that of the ways over an edge is the probability of the edge.
+        left = (np.cumsum(size_of)[chunk_of] - np.arange(n_chars))[at]
+        by_left = np.argsort(left, kind="stable")
+        stops = np.r_[0, np.cumsum(np.bincount(left))] if len(left) else np.zeros(1, np.int64)
+        onward = np.zeros(len(self.degree))
+        self.log = np.zeros(len(at))
+        for a, b in zip(stops[:-1].tolist(), stops[1:].tolist()):
+            if a == b:
+                continue
+            edge = by_left[a:b]
+            ways = weight[edge] + onward[self.next[edge]]
+            first = np.flatnonzero(np.r_[True, owner[edge][1:] != owner[edge][:-1]])
+            highest = np.maximum.reduceat(ways, first)
+            size_here = np.diff(np.r_[first, len(edge)])
+            sums = np.add.reduceat(np.exp(ways - np.repeat(highest, size_here)), first)
+            total = highest + np.log(sums)
+            onward[owner[edge][first]] = total
+            self.log[edge] = ways - np.repeat(total, size_here)
+        probability = np.exp(self.log)
+        # The likeliest edge of each place, and for the others the number of the place plus
+        # their share up to each: one search for all places.
+        self.top_edge = np.zeros(len(self.degree), np.int64)
+        self.top = np.zeros(len(self.degree))
+        if len(inner):
+            self.top[inner] = np.maximum.reduceat(probability, self.first_edge[inner])
+            hit = np.flatnonzero(probability == self.top[owner])
+            self.top_edge[owner[hit[::-1]]] = hit[::-1]
+        others = probability.copy()
+        others[self.top_edge[inner]] = 0
+        sums = np.cumsum(others)
+        before = np.r_[0.0, sums][self.first_edge][owner]
+        rest = np.maximum(1 - self.top[owner], 1e-300)
+        self.share = owner + np.clip((sums - before) / rest, 0, 1 - 1e-9)
+        last = self.first_edge[inner] + self.degree[inner] - 1
+        self.share[last] = inner + 1 - 1e-9
+        self.start = base[np.array(token_chunk, np.int64)] if token_chunk else np.zeros(0, np.int64)
+        self.size = np.array(size, np.int64)
+        self.doc = np.repeat(np.arange(len(texts)), self.size)
+        self.first_token = np.cumsum(self.size) - self.size
         self.index = (np.arange(len(self.doc)) - self.first_token[self.doc]).astype(np.uint64)
 
-    def walk(self, token: np.ndarray, node: np.ndarray, seed: np.ndarray):
+    def walk(self, token: np.ndarray, node: np.ndarray, seed: np.ndarray, noted: np.ndarray):
         """Choose a way through each given chunk, from the given node to its end.
 
-        Returns the steps in text order (token, edge, largest perturbed value), and the
-        edges not taken (number of the step, edge, perturbed value).
+        Returns the steps in text order (token, edge, largest perturbed value), and for
+        ``noted`` chunks the edges not taken (number of the step, edge, perturbed value).
+        There every edge gets Gumbel noise and the highest wins; in the other chunks an
+        edge is drawn by its probability, which is the same.
         """
         seed = _mix(seed + self.index[token] * _U64(0x9E3779B97F4A7C15))
         steps, others = [], []
-        at = np.arange(len(token))
-        taken = n_steps = 0
+        n_steps = taken = 0
         length = np.zeros(len(token), np.int64)
+        at = np.arange(len(token))
         while True:
             open_ = self.degree[node] > 0
             at, node = at[open_], node[open_]
             if not len(at):
                 break
-            degree = self.degree[node]
-            begin = np.cumsum(degree) - degree
-            owner = np.repeat(np.arange(len(at)), degree)
-            rank = np.arange(len(owner)) - begin[owner]
-            edge = self.first_edge[node][owner] + rank
             bits = seed[at] + self.place[node] * _U64(0xD1B54A32D192ED03)
-            bits = bits[owner] + rank.astype(np.uint64) * _U64(0x8CB92BA72F3D8DD7)
-            value = self.log[edge] + _gumbel(_mix(bits))
-            best = np.maximum.reduceat(value, begin)
-            hit = np.flatnonzero(value == best[owner])
-            hit = hit[np.r_[True, owner[hit][1:] != owner[hit][:-1]]]
-            chosen = edge[hit]
-            rest = np.ones(len(edge), bool)
-            rest[hit] = False
+            uniform = ((_mix(bits) >> _U64(11)).astype(np.float64) + 0.5) * 2.0**-53
+            top = self.top[node]
+            chosen = self.top_edge[node]
+            lower = np.flatnonzero(uniform >= top)
+            if len(lower):
+                share = (uniform[lower] - top[lower]) / (1 - top[lower])
+                place = node[lower] + np.clip(share, 1e-9, 1 - 2e-9)
+                chosen[lower] = np.searchsorted(self.share, place)
+            best = np.zeros(len(at))
+            own = np.flatnonzero(noted[at])
+            if len(own):
+                degree = self.degree[node[own]]
+                begin = np.cumsum(degree) - degree
+                owner = np.repeat(np.arange(len(own)), degree)
+                rank = np.arange(len(owner)) - begin[owner]
+                edge = self.first_edge[node[own]][owner] + rank
+                noise = bits[own][owner] + (rank.astype(np.uint64) + _U64(1)) * _U64(0x8CB92BA72F3D8DD7)
+                value = self.log[edge] + _gumbel(_mix(noise))
+                high = np.maximum.reduceat(value, begin)
+                hit = np.flatnonzero(value == high[owner])
+                hit = hit[np.r_[True, owner[hit][1:] != owner[hit][:-1]]]
+                chosen[own], best[own] = edge[hit], high
+                rest = np.ones(len(edge), bool)
+                rest[hit] = False
+                others.append((own[owner[rest]] + n_steps, edge[rest], value[rest]))
             steps.append((at, np.full(len(at), taken), chosen, best))
-            others.append((owner[rest] + n_steps, edge[rest], value[rest]))
             n_steps += len(at)
             length[at] += 1
             node = self.next[chosen]
             taken += 1
+        none = np.zeros(0, np.int64)
         if not steps:
-            none = np.zeros(0, np.int64)
             return (none, none, none.astype(float)), (none, none, none.astype(float))
         at, number, chosen, best = (np.concatenate(x) for x in zip(*steps))
-        owner, edge, value = (np.concatenate(x) for x in zip(*others))
         position = (np.cumsum(length) - length)[at] + number
         order = np.empty(len(at), np.int64)
         order[position] = np.arange(len(at))
-        return (token[at[order]], chosen[order], best[order]), (position[owner], edge, value)
+        found = (token[at[order]], chosen[order], best[order])
+        if not others:
+            return found, (none, none, none.astype(float))
+        owner, edge, value = (np.concatenate(x) for x in zip(*others))
+        return found, (position[owner], edge, value)
+
+
+def _values(bound: float, plain: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Perturbed values of siblings, given that none is above ``bound``, that of the best.
+
+    ``plain`` are the values as drawn, ``gap`` how far each is below the best as drawn.
+    """
+    with np.errstate(divide="ignore"):
+        v = bound - plain + np.log1p(-np.exp(np.minimum(gap, 0)))
+    return bound - np.maximum(v, 0) - np.log1p(np.exp(-np.abs(v)))
+
+
+class _Text:
+    """The search for one text: its paths and the states that wait."""
+
+    def __init__(self, number: int, seed: np.uint64, value: float):
+        self.number, self.seed = number, seed
+        self.paths: list[tuple] = []  # (tokens, edges, log probability, value)
+        self.waiting: list[tuple] = []  # (value, path, step, edge)
+        # The state to go on from; at first that is the start, with the value of the whole.
+        self.state: tuple | None = (value, None, 0, None)
+
+    def begin(self, lattices: _Lattices):
+        """Chunks and nodes still to walk, and the path so far (tokens, edges, log probability)."""
+        first = int(lattices.first_token[self.number])
+        end = first + int(lattices.size[self.number])
+        _, path, step, edge = self.state
+        if path is None:
+            token = np.arange(first, end)
+            none = np.zeros(0, np.int64)
+            return token, lattices.start[token], (none, none, 0.0)
+        old_tokens, old_edges = self.paths[path][:2]
+        token = np.arange(int(old_tokens[step]), end)
+        node = lattices.start[token]
+        node[0] = lattices.next[edge]
+        edges = np.r_[old_edges[:step], edge]
+        return token, node, (old_tokens[: step + 1], edges, float(lattices.log[edges].sum()))
+
+
+def _walk_texts(lattices: _Lattices, texts: list[_Text], round_: int, k: int, whole: bool):
+    """One more path for every text; returns the texts whose siblings were not all looked at."""
+    parts = [t.begin(lattices) for t in texts]
+    sizes = np.array([len(p[0]) for p in parts], np.int64)
+    token = np.concatenate([p[0] for p in parts])
+    node = np.concatenate([p[1] for p in parts])
+    which = np.repeat(np.arange(len(texts)), sizes)
+    order_in = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    noted = np.ones(len(token), bool) if whole else order_in < FIRST_CHUNKS
+    noise = _U64((round_ + 1) * 0xE7037ED1A0B428DB % (1 << 64))
+    seeds = np.array([t.seed for t in texts], np.uint64)
+    (token, edge, top), (owner, other, value) = lattices.walk(
+        token, node, _mix(seeds[which] + noise), noted
+    )
+    # Steps are in the order of texts, and tokens belong to one text.
+    number_of = {t.number: i for i, t in enumerate(texts)}
+    lookup = np.full(len(lattices.size), -1)
+    lookup[list(number_of)] = list(number_of.values())
+    own = lookup[lattices.doc[token]]
+    start = np.searchsorted(own, np.arange(len(texts)))
+    end = np.searchsorted(own, np.arange(len(texts)), "right")
+    log = lattices.log[edge]
+    sums = np.r_[0.0, np.cumsum(log)]
+    by_text = np.argsort(own[owner], kind="stable")
+    owner, other, value = owner[by_text], other[by_text], value[by_text]
+    low = np.searchsorted(own[owner], np.arange(len(texts)))
+    high = np.searchsorted(own[owner], np.arange(len(texts)), "right")
+    again = []
+    for i, text in enumerate(texts):
+        a, b = int(start[i]), int(end[i])
+        tokens, edges, above = parts[i][2]
+        bound = text.state[0]
+        s = slice(int(low[i]), int(high[i]))
+        at, options = owner[s], other[s]
+        plain = above + sums[at] - sums[a] + value[s]
+        if not whole and sizes[i] > FIRST_CHUNKS:
+            # The first step that was not looked at, and the most its siblings may reach.
+            last = int(parts[i][0][FIRST_CHUNKS - 1])
+            step = a + int(np.searchsorted(token[a:b], last, "right"))
+            most = above + sums[step] - sums[a] + 2 * LARGEST
+            least = np.sort(plain)[-k] if len(plain) >= k else -np.inf
+            if most > min(bound, least) - 1:
+                again.append(text)
+                continue
+        values = _values(bound, plain, value[s] - top[at])
+        text.paths.append(
+            (
+                np.r_[tokens, token[a:b]],
+                np.r_[edges, edge[a:b]],
+                above + float(sums[b] - sums[a]),
+                bound,
+            )
+        )
+        # No more than k of the new siblings can ever be taken.
+        take = np.argpartition(-values, k - 1)[:k] if len(values) > k else np.arange(len(values))
+        for j in take.tolist():
+            step = len(edges) + int(at[j]) - a
+            text.waiting.append((float(values[j]), len(text.paths) - 1, step, int(options[j])))
+        text.waiting.sort(key=lambda w: -w[0])
+        del text.waiting[k:]
+        text.state = text.waiting.pop(0) if text.waiting else None
+    return again
 
 
 def sample_texts(vocab: Vocabulary, texts: list[str], seeds: np.ndarray, k: int):
     """Up to ``k`` distinct segmentations of every text, best perturbed value first.
 
-    Returns per text a list of (edges' piece ids, log probability, perturbed value, log
+    Returns per text a list of (piece ids, log probability, perturbed value, log
     inclusion probability). The last one is taken at the first value not sampled.
     """
     lattices = _Lattices(vocab, texts)
-    n = len(texts)
-    paths: list[list] = [[] for _ in range(n)]  # (tokens, edges, log probability, value)
-    waiting: list[list] = [[] for _ in range(n)]  # (value, path, step, edge)
-    # The first path of a text starts at its first token with the value of the whole.
     best = _gumbel(_mix(seeds ^ _U64(0xA0761D6478BD642F)))
-    origin: list = [(float(best[i]), None, 0, None) for i in range(n)]
+    searches = [_Text(i, seeds[i], float(best[i])) for i in range(len(texts))]
     for round_ in range(k):
-        docs = [i for i in range(n) if origin[i] is not None]
-        if not docs:
+        active = [t for t in searches if t.state is not None]
+        if not active:
             break
-        tokens, nodes, prefix = [], [], {}
-        for i in docs:
-            first, size = int(lattices.first_token[i]), lattices.size[i]
-            value, path, step, edge = origin[i]
-            if path is None:
-                token = np.arange(first, first + size)
-                node = lattices.start[token]
-                prefix[i] = (np.zeros(0, np.int64), np.zeros(0, np.int64), 0.0)
-            else:
-                old_tokens, old_edges = paths[i][path][:2]
-                here = int(old_tokens[step])
-                token = np.arange(here, first + size)
-                node = lattices.start[token]
-                node[0] = lattices.next[edge]
-                edges = np.r_[old_edges[:step], edge]
-                prefix[i] = (old_tokens[: step + 1], edges, float(lattices.log[edges].sum()))
-            tokens.append(token)
-            nodes.append(node)
-        token, node = np.concatenate(tokens), np.concatenate(nodes)
-        own_noise = _U64((round_ + 1) * 0xE7037ED1A0B428DB % (1 << 64))
-        seed = _mix(seeds[lattices.doc[token]] + own_noise)
-        (token, edge, top), (owner, other, value) = lattices.walk(token, node, seed)
-        doc = lattices.doc[token]
-        log = lattices.log[edge]
-        start = np.searchsorted(doc, np.arange(n))
-        end = np.searchsorted(doc, np.arange(n), "right")
-        before = np.cumsum(log) - log
-        before -= before[np.minimum(start[doc], max(len(log) - 1, 0))]
-        above, bound = np.zeros(n), np.zeros(n)
-        for i in docs:
-            above[i], bound[i] = prefix[i][2], origin[i][0]
-        # Values of the siblings, given that none is above the path's own.
-        own = doc[owner]
-        plain = above[own] + before[owner] + value
-        with np.errstate(divide="ignore"):
-            gap = bound[own] - plain + np.log1p(-np.exp(np.minimum(value - top[owner], 0)))
-        sibling = bound[own] - np.maximum(gap, 0) - np.log1p(np.exp(-np.abs(gap)))
-        by_doc = np.argsort(own, kind="stable")
-        owner, other, sibling, own = owner[by_doc], other[by_doc], sibling[by_doc], own[by_doc]
-        low = np.searchsorted(own, np.arange(n))
-        high = np.searchsorted(own, np.arange(n), "right")
-        for i in docs:
-            a, b = int(start[i]), int(end[i])
-            tokens_of, edges_of, log_of = prefix[i]
-            own_log = log_of + float(log[a:b].sum())
-            paths[i].append(
-                (np.r_[tokens_of, token[a:b]], np.r_[edges_of, edge[a:b]], own_log, origin[i][0])
-            )
-            # No more than k of the new siblings can ever be taken.
-            s = sibling[low[i] : high[i]]
-            take = np.argpartition(-s, k - 1)[:k] if len(s) > k else np.arange(len(s))
-            for j in take.tolist():
-                at = int(low[i]) + j
-                step = len(edges_of) + int(owner[at]) - a
-                waiting[i].append((float(sibling[at]), len(paths[i]) - 1, step, int(other[at])))
-            waiting[i].sort(key=lambda w: -w[0])
-            del waiting[i][k:]
-            origin[i] = waiting[i].pop(0) if waiting[i] else None
+        again = _walk_texts(lattices, active, round_, k, whole=False)
+        if again:
+            _walk_texts(lattices, again, round_, k, whole=True)
     out = []
-    for i in range(n):
-        after = origin[i][0] if origin[i] is not None else -np.inf
+    for text in searches:
+        after = text.state[0] if text.state is not None else -np.inf
         rows = []
-        for _, edges, log, value in paths[i]:
+        for _, edges, log, value in text.paths:
             odds = log - after  # log(1 - exp(-exp(odds)))
             share = np.log(-np.expm1(-np.exp(odds))) if -30 < odds < 30 else min(odds, 0.0)
             rows.append((vocab.expand(lattices.piece[edges]), log, value, float(share)))

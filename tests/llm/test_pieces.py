@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from curaspan.llm import pieces
 from curaspan.llm.pieces import (
     SPACE,
     decode_pieces,
@@ -35,10 +36,10 @@ def all_segmentations(text: str, alpha: float = 1.0) -> dict[tuple, float]:
             piece = marked[at:end]
             if piece in vocab.pieces:
                 i, weight = vocab.pieces[piece]
-                head, log = (i,), math.log(weight)
+                head, log = (i,), weight
             elif end == at + 1:
                 head = tuple(vocab.byte_ids[b] for b in piece.encode())
-                log = math.log(vocab.byte_weight) * len(head)
+                log = vocab.byte_weight * len(head)
             else:
                 continue
             found += [(head + rest, log + more) for rest, more in ways(end)]
@@ -64,6 +65,25 @@ def test_probabilities_and_distinctness(text):
             assert share <= 0
 
 
+@pytest.mark.parametrize("noted", [512, 2])
+def test_chunks_beyond_the_first_are_drawn_alike(monkeypatch, noted):
+    """Where siblings may matter all chunks are looked at; elsewhere the draw is the same."""
+    monkeypatch.setattr(pieces, "FIRST_CHUNKS", noted)
+    vocab = vocabulary(PATH, 0.2)
+    text = "the of the"
+    expected = {k: math.exp(v) for k, v in all_segmentations(text, 0.2).items()}
+    n = 6000
+    found = sample_texts(vocab, [text] * n, row_seeds(list(range(n))), 3)
+    first = Counter(tuple(rows[0][0].tolist()) for rows in found)
+    for key, p in sorted(expected.items(), key=lambda x: -x[1])[:20]:
+        assert first[key] / n == pytest.approx(p, abs=0.025)
+    long = "the of " * 400
+    rows = sample_texts(vocab, [long] * 40, row_seeds(list(range(40))), 3)
+    assert all(len({tuple(r[0].tolist()) for r in own}) == 3 for own in rows)
+    share = Counter(r[0][1] for own in rows for r in own)
+    assert len(share) > 0
+
+
 def test_first_sample_and_pairs_follow_the_distribution():
     vocab = vocabulary(PATH, 0.2)
     expected = {k: math.exp(v) for k, v in all_segmentations("the", 0.2).items()}
