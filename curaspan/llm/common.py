@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,8 +64,8 @@ def text_slices(
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = batch.column(text).cast(pa.binary())
-        lengths = np.array([len(v) if v is not None else 0 for v in sizes.to_pylist()], dtype=np.int64)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+        lengths = lengths.to_numpy(zero_copy_only=False).astype(np.int64)
         part = np.cumsum(lengths) // size
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for start, end in zip(edges, edges[1:]):
