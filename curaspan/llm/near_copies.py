@@ -1,0 +1,189 @@
+"""Near copies: texts whose sets of five-word shingles have a Jaccard index of 0.8 or more.
+
+All shingles are put in one order, rare ones first. Two texts that share four fifths of
+their shingles share one among the first fifth of each, and from the place of the first
+one they share follows the most they can have in common. So a join of these first
+shingles loses no pair, and what it proposes is counted out on the texts themselves.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from curaspan.llm.common import raw_texts, text_slices, written
+from curaspan.llm.components import connected_components
+from curaspan.session import broadcast_if_small
+
+SHINGLE_WORDS = 5
+# Near copies have a Jaccard index of at least NUMERATOR / DENOMINATOR.
+NUMERATOR, DENOMINATOR = 4, 5
+PRIME = np.uint64(0x9E3779B185EBCA87)
+# Shingles are counted in this many groups of hashes. The counts only choose the order.
+RARITY_GROUPS = 1 << 16
+# Wanted nodes up to this count (8 bytes each) go to every executor.
+BROADCAST_NODES = 200_000
+# Texts whose shingles a task keeps at hand.
+HELD_TEXTS = 256
+
+
+def shingles(raw: bytes) -> np.ndarray:
+    """Sorted different hashes of all shingles; a text of fewer words is one shingle."""
+    words = raw.lower().split()
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words or [b""]), np.uint64, len(words) or 1)
+    n = max(1, len(words) - SHINGLE_WORDS + 1)
+    out = hashes[:n].copy()
+    for k in range(1, min(SHINGLE_WORDS, len(words))):
+        out = out * PRIME + hashes[k : k + n]
+    out ^= out >> np.uint64(32)
+    return np.unique(out * PRIME)
+
+
+def _group_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(40)).astype(np.int64) % RARITY_GROUPS
+
+
+def shingle_counts(texts: DataFrame) -> np.ndarray:
+    """How many shingles of the one text column fall into each group of hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(RARITY_GROUPS, np.int64)
+        for part in text_slices(batches, 0):
+            hashes = np.concatenate([shingles(raw) for raw in raw_texts(part.column(0))])
+            total += np.bincount(_group_of(hashes), minlength=RARITY_GROUPS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["i", "c"])
+
+    sums = texts.mapInArrow(run, "i long, c long").groupBy("i").agg(F.sum("c").alias("c"))
+    found = sums.toPandas()  # RARITY_GROUPS rows at most
+    out = np.zeros(RARITY_GROUPS, np.int64)
+    out[found["i"].to_numpy()] = found["c"].to_numpy()
+    return out
+
+
+def first_shingles(texts: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(h, node, place, size) of the first shingles of every text of ``texts`` (node, text).
+
+    ``place`` counts the rarer shingles of the text, ``size`` all of them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # equal texts of a task are cut up once
+        for part in text_slices(batches, 1):
+            columns: list[list[np.ndarray]] = [[], [], [], []]
+            for node, raw in zip(part.column(0).to_pylist(), raw_texts(part.column(1))):
+                if node in seen:
+                    continue
+                seen.add(node)
+                own = shingles(raw)
+                n = len(own) - -(-NUMERATOR * len(own) // DENOMINATOR) + 1
+                first = own[np.lexsort((own, counts[_group_of(own)]))[:n]]
+                rows = (first.view(np.int64), np.full(n, node), np.arange(n), np.full(n, len(own)))
+                for column, values in zip(columns, rows):
+                    column.append(values)
+            if columns[0]:
+                arrays = [pa.array(np.concatenate(c), pa.int64()) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, names=["h", "node", "place", "size"])
+
+    return texts.mapInArrow(run, "h long, node long, place long, size long")
+
+
+def _may_be_near(place, size, other_place, other_size):
+    """Whether two texts whose first common shingle has these places can be near copies."""
+    most = F.least(size - place, other_size - other_place)
+    return most * (NUMERATOR + DENOMINATOR) >= (size + other_size) * NUMERATOR
+
+
+def near_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (u, v) of nodes that are near copies, counted on their texts."""
+    nodes = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "wanted")
+    wanted = texts.join(broadcast_if_small(nodes, BROADCAST_NODES), "node", "left_semi")
+    own = written(wanted.dropDuplicates(["node"]), "wanted-texts")
+    first = own.select(F.col("node").alias("u"), F.col("text").alias("__a"))
+    second = own.select(F.col("node").alias("v"), F.col("text").alias("__b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+
+        def of(node: int, raw: bytes) -> np.ndarray:
+            if node not in held:
+                if len(held) >= HELD_TEXTS:
+                    held.clear()
+                held[node] = shingles(raw)
+            return held[node]
+
+        for part in text_slices(batches, 2):
+            u, v = part.column(0), part.column(1)
+            near = []
+            for i, a, j, b in zip(
+                u.to_pylist(), raw_texts(part.column(2)), v.to_pylist(), raw_texts(part.column(3))
+            ):
+                x, y = of(i, a), of(j, b)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
+            kept = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([u.filter(kept), v.filter(kept)], names=["u", "v"])
+
+    joined = pairs.join(first, "u").join(second, "v").select("u", "v", "__a", "__b")
+    return joined.mapInArrow(run, "u long, v long")
+
+
+def near_copy_roots(texts: DataFrame, proposed: DataFrame) -> DataFrame:
+    """(node, root) of every node of ``texts`` (node, text) that has a near copy.
+
+    Equal texts have the same node. ``proposed`` (u, v) holds pairs worth a look. They and
+    the pairs of a text with the least changed one beside it are settled first. Then
+    all pairs of what is still in different components are proposed by the join.
+    """
+    counts = shingle_counts(texts.select("text"))
+    same = Window.partitionBy("h")
+    shared = written(
+        first_shingles(texts, counts)
+        .withColumn("low", F.min("node").over(same))
+        .withColumn("high", F.max("node").over(same))
+        .withColumn("lead", F.min(F.struct("place", "node", "size")).over(same))
+        .where("low <> high")
+        .drop("low", "high"),
+        "shared-shingles",
+    )
+    lead = F.col("lead")
+    stars = (
+        shared.where(F.col("node") != lead["node"])
+        .where(_may_be_near(F.col("place"), F.col("size"), lead["place"], lead["size"]))
+        .groupBy("node")
+        .agg(F.min(F.struct((F.col("place") + lead["place"]).alias("p"), lead["node"].alias("v"))).alias("m"))
+        .select(F.col("node").alias("u"), F.col("m.v").alias("v"))
+    )
+    pairs = written(_once(proposed.unionByName(stars)), "first-pairs")
+    links = written(near_pairs(pairs, texts), "first-links")
+    roots = written(connected_components(links), "first-roots")
+    rooted = shared.drop("lead").distinct().join(roots, "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    apart = written(
+        rooted.withColumn("low", F.min("root").over(same))
+        .withColumn("high", F.max("root").over(same))
+        .where("low <> high")
+        .drop("low", "high"),
+        "shingles-apart",
+    )
+    other = apart.select("h", *[F.col(c).alias(f"o_{c}") for c in apart.columns if c != "h"])
+    left = (
+        apart.join(other, "h")
+        .where("root < o_root")
+        .where(_may_be_near(F.col("place"), F.col("size"), F.col("o_place"), F.col("o_size")))
+        .select(F.col("node").alias("u"), F.col("o_node").alias("v"))
+    )
+    left = written(_once(left).join(pairs, ["u", "v"], "left_anti"), "last-pairs")
+    found = written(near_pairs(left, texts), "last-links")
+    return connected_components(links.unionByName(found))
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """Every pair of two nodes once, the smaller one first."""
+    turned = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    return turned.where("u <> v").distinct()

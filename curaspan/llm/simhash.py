@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from curaspan.llm.common import map_texts, with_plain_names, written
 from curaspan.llm.components import connected_components
+from curaspan.llm.near_copies import near_copy_roots
 from curaspan.session import broadcast_if_small
 
 SHINGLE_WORDS = 3
@@ -251,16 +252,61 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row of each component stays: that with the smallest id, all its columns kept.
+    """One row of each group of near copies stays, all its columns kept.
 
-    Repeated rows of the smallest id count as copies: one of them stays. Rows without
+    Near copies have five-word shingles with a Jaccard index of 0.8 or more; groups are
+    the connected components of such pairs. The row with the smallest id stays, of equal
+    ids that with the smallest hash of its text and then of all its columns. Rows without
     an id stay, since nothing tells them apart.
     """
-    return with_plain_names(docs, id_col, text_col, _first_of_each)
+
+    def first(df: DataFrame, own_id: str, text: str) -> DataFrame:
+        kept = _first_of_each(df.where(F.col(own_id).isNotNull()), own_id, text)
+        return kept.unionByName(df.where(F.col(own_id).isNull()))
+
+    return with_plain_names(docs, id_col, text_col, first)
+
+
+def fingerprint_proposals(texts: DataFrame) -> DataFrame:
+    """Pairs (u, v) of nodes of ``texts`` (node, text) with fingerprints within ``MAX_BITS``.
+
+    They connect all such nodes, but are not all pairs.
+    """
+    prints = written(document_fingerprints(texts, "node", "text").distinct(), "node-prints")
+    first = written(prints.groupBy("fp").agg(F.min("node").alias("first")), "print-nodes")
+    equal = prints.join(first, "fp").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    links = written(fingerprint_links(first.select("fp")).distinct(), "print-links")
+    near = (
+        links.join(first.toDF("u", "a"), "u").join(first.toDF("v", "b"), "v").selectExpr("a u", "b v")
+    )
+    return equal.where("u <> v").unionByName(near)
 
 
 def _first_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    found = fingerprint_components(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
-    first = found.select(F.col("component_id").alias("__id")).distinct()
-    kept = docs.join(first, docs[id_col] == F.col("__id"), "left_semi")
-    return kept.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    columns = docs.columns
+    # A map has no hash; rows that differ in nothing else are taken as repeated.
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind]
+    named = docs.withColumn("__node", F.xxhash64(F.coalesce(text_col, F.lit("")))).withColumn(
+        "__row", F.xxhash64(*hashed)
+    )
+    texts = named.select(F.col("__node").alias("node"), F.col(text_col).alias("text"))
+    roots = written(near_copy_roots(texts, fingerprint_proposals(texts)), "near-roots")
+    place = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "__node", "__row")
+    lowest = written(named.groupBy("__node").agg(F.min(place).alias("low")), "node-rows")
+    first = written(
+        lowest.join(roots, lowest["__node"] == roots["node"], "left")
+        .groupBy(F.coalesce("root", "__node").alias("root"))
+        .agg(F.min("low").alias("low"))
+        .select(
+            F.col("low.id").alias("__f_id"), F.col("low.__node").alias("__f_node"),
+            F.col("low.__row").alias("__f_row"),
+        ),
+        "first-rows",
+    )
+    same = (
+        (F.col("__node") == F.col("__f_node"))
+        & (F.col("__row") == F.col("__f_row"))
+        & F.col(id_col).eqNullSafe(F.col("__f_id"))
+    )
+    kept = named.join(first, same, "left_semi")
+    return kept.dropDuplicates([id_col, "__node", "__row"]).select(*columns)
