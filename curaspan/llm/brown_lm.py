@@ -1,13 +1,15 @@
 """Class-based bigram language model with exchange clustering.
 
-Every word has a class. The most frequent words are clustered one by one, all other
-words in groups that share an ending, by exchange: a unit moves to the class that
-gains most class-bigram likelihood. A text's score adds, per token, the log
-probability of its class after the class before, and of the word in its class.
+Every word has a class. Exchange on the driver gives the most frequent words and groups
+of words that share an ending their first classes. Then every word that occurs more than
+once moves by itself, in batches of words: what stands before and after it is counted by
+class in Spark, and it goes to the class that gains most class-bigram likelihood. Words
+seen once or never keep the class of their ending. A text's score adds, per token, the
+log probability of its class after the class before, and of the word in its class.
 
 Only counts whose number has a fixed bound reach the driver or every executor: the
-frequent words, the bigrams of units and the class tables. Counts of all other words
-stay in a table and are joined.
+frequent words, the bigrams of units and the class tables. Bigrams of words, and counts
+and classes of all other words, stay in tables and are joined.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,12 +29,19 @@ from curaspan.llm.common import key_remainder, raw_texts, text_slices, written
 
 LEARN_MODULUS = 7
 HELD_OUT_REMAINDER = 2
-# Words that are clustered one by one, and groups of word endings for all others.
+# Units of the first exchange: frequent words, and groups of word endings for all others.
 FREQUENT_UNITS = 400
 ENDING_GROUPS = 128
 ENDING_BYTES = 3
 CLASSES = 40
 EXCHANGE_ROUNDS = 12
+# Words seen at least this often move by themselves, in so many batches, so many times.
+MOVED_COUNT = 2
+BATCHES = 2
+WORD_ROUNDS = 1
+# Tokens whose bigrams a task counts before it hands them on, and words it moves at once.
+HELD_TOKENS = 2_000_000
+MOVED_AT_ONCE = 2048
 # Words whose counts go to every executor (some 20 bytes each).
 HEAD_WORDS = 65_536
 # Weight of the class unigram in a class transition.
@@ -184,8 +194,137 @@ def transition_logs(bigrams: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.log10((table + BACKOFF * unigram) / (table.sum(1, keepdims=True) + BACKOFF))
 
 
+def word_key(word: bytes) -> int:
+    """A negative number for a word that is no head word; those have their rank."""
+    return (xxhash.xxh64_intdigest(word) | 1 << 63) - (1 << 64)
+
+
+class Keys(dict):
+    """Key of a word: 0 for the end, the rank of a head word, else ``word_key``."""
+
+    def __missing__(self, word: bytes) -> int:
+        return word_key(word)
+
+
+def word_bigrams(texts: DataFrame, keys: Keys) -> DataFrame:
+    """(a, b, c): how often the word with key ``b`` follows that with key ``a``."""
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        # Texts end with the end, which also stands in front of the first one.
+        used, ids = np.unique(np.concatenate([[0], *held]), return_inverse=True)
+        pairs, c = np.unique(ids[:-1] * len(used) + ids[1:], return_counts=True)
+        columns = [used[pairs // len(used)], used[pairs % len(used)], c.astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "b", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for part in text_slices(batches, 0):
+            words = [w for raw in raw_texts(part.column(0)) for w in tokens(raw)]
+            held.append(np.fromiter(map(keys.__getitem__, words), np.int64, len(words)))
+            if sum(map(len, held)) > HELD_TOKENS:
+                yield counted(held)
+                held = []
+        if held:
+            yield counted(held)
+
+    found = texts.mapInArrow(run, "a long, b long, c long")
+    return found.groupBy("a", "b").agg(F.sum("c").alias("c"))
+
+
+def best_classes(
+    table: np.ndarray, old: np.ndarray, word: np.ndarray, side: np.ndarray, near: np.ndarray, n: np.ndarray
+) -> np.ndarray:
+    """Best class of every word if it alone moves, given the bigrams ``table`` of classes.
+
+    ``old`` has the class of each word. Entry e says that a token of class ``near[e]``
+    stands ``n[e]`` times before (side 0) or after (side 1) ``word[e]``, or that the word
+    follows itself (side 2). Entries are sorted by word.
+    """
+    k, m = len(table), np.arange(len(old))
+    before, after = np.zeros((len(old), k)), np.zeros((len(old), k))
+    own = np.bincount(word[side == 2], n[side == 2], len(old))
+    np.add.at(before, (word[side == 0], near[side == 0]), n[side == 0])
+    np.add.at(after, (word[side == 1], near[side == 1]), n[side == 1])
+    gain = np.zeros((len(old), k))
+    # Likelihood change of joining each class, with the word taken out of its own first.
+    for which, cells, others in ((0, table, after), (1, table.T, before)):
+        e = np.flatnonzero(side == which)
+        if not len(e):
+            continue
+        w, c = word[e], n[e][:, None]
+        base = cells[near[e]].astype(float)
+        base[np.arange(len(e)), old[w]] -= n[e]
+        inside = np.flatnonzero(near[e] == old[w])
+        base[inside] -= others[w[inside]]
+        base[inside, old[w[inside]]] -= own[w[inside]]
+        change = _xlogx(base + c) - _xlogx(base)
+        # The shared cell of both sides is added below.
+        change[np.arange(len(e)), near[e]] = 0
+        first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+        gain[w[first]] += np.add.reduceat(change, first, axis=0)
+    cell = np.tile(np.diag(table).astype(float), (len(old), 1))
+    cell[m, old] -= after[m, old] + before[m, old] + own
+    gain += _xlogx(cell + after + before + own[:, None]) - _xlogx(cell)
+    for total, moved in ((table.sum(1), after.sum(1) + own), (table.sum(0), before.sum(1) + own)):
+        rest = np.tile(total.astype(float), (len(old), 1))
+        rest[m, old] -= moved
+        gain -= _xlogx(rest + moved[:, None]) - _xlogx(rest)
+    gain[:, 0] = -np.inf
+    return np.argmax(gain, axis=1)
+
+
+def _contexts(bigrams: DataFrame, classes: DataFrame, head: DataFrame) -> DataFrame:
+    """``w``, k, c of ``classes`` and ``near``, the counted (side, k, n) of every word."""
+    tail = classes.where("w < 0").select("w", "k")
+    head = F.broadcast(head.select("w", "k"))
+    entries = bigrams.where("a = b").selectExpr("a w", "2 side", "0 k", "c")
+    for side, near, word in ((0, "a", "b"), (1, "b", "a")):
+        for own, known in ((f"{near} >= 0", head), (f"{near} < 0", tail)):
+            rows = bigrams.where(f"a <> b and {own}").select(
+                F.col(word).alias("__w"), F.col(near).alias("w"), "c"
+            )
+            found = rows.join(known, "w").selectExpr("__w w", f"{side} side", "k", "c")
+            entries = entries.unionByName(found)
+    counted = entries.groupBy("w", "side", "k").agg(F.sum("c").alias("n"))
+    lists = counted.groupBy("w").agg(F.sort_array(F.collect_list(F.struct("side", "k", "n"))).alias("near"))
+    return classes.select("w", "k", "c").join(lists, "w")
+
+
+def class_table(contexts: DataFrame, k: int) -> np.ndarray:
+    """Bigrams of classes."""
+    pairs = contexts.select(F.col("k").alias("i"), F.inline("near")).where("side > 0")
+    sums = pairs.groupBy("i", F.when(F.col("side") == 2, F.col("i")).otherwise(F.col("k")).alias("j"))
+    table = np.zeros((k, k))
+    for row in sums.agg(F.sum("n").alias("n")).collect():
+        table[row["i"], row["j"]] = row["n"]
+    return table
+
+
+def _moved(contexts: DataFrame, table: np.ndarray, batch: int) -> DataFrame:
+    """(w, new) of the words of a batch that a class other than their own suits better."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, MOVED_AT_ONCE):
+                part = whole.slice(at, MOVED_AT_ONCE)
+                w, old = part.column(0), part.column(1).to_numpy().astype(np.int64)
+                lists = part.column(2)
+                near = lists.flatten()
+                word = np.repeat(np.arange(len(old)), lists.value_lengths().to_numpy())
+                side, k, n = (near.field(i).to_numpy().astype(np.int64) for i in range(3))
+                new = best_classes(table, old, word, side, k, n.astype(float))
+                other = pa.array(new != old)
+                yield pa.RecordBatch.from_arrays(
+                    [w.filter(other), pa.array(new.astype(np.int32)).filter(other)], names=["w", "new"]
+                )
+
+    mine = contexts.where((F.col("c") >= MOVED_COUNT) & (F.col("w") != 0))
+    mine = mine.where(F.pmod(F.xxhash64("w"), F.lit(BATCHES)) == batch)
+    return mine.select("w", "k", "near").mapInArrow(run, "w long, new int")
+
+
 class ClassModel:
-    """Transitions, class totals and the counts of frequent words."""
+    """Transitions, class totals, the classes of head words, and ``words`` with all classes."""
 
     def __init__(self, texts: DataFrame, counts: DataFrame):
         totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -194,60 +333,92 @@ class ClassModel:
         top = counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()
         self.head = {bytes(r["word"]): r["c"] for r in top}
         self.units = Units(list(self.head)[:FREQUENT_UNITS])
-        bigrams = unit_bigrams(texts, self.units)
-        self.classes = exchange_classes(bigrams)
-        self.transitions = transition_logs(bigrams, self.classes)
-        self._count_classes(counts)
-
-    def _count_classes(self, counts: DataFrame) -> None:
-        """Tokens and different words per class, over the whole vocabulary."""
-        units, classes = self.units, self.classes
-        k = len(self.transitions)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((2, k), np.int64)
-            for batch in batches:
-                words = batch.column(0).to_pylist()
-                c = batch.column(1).to_numpy(zero_copy_only=False)
-                own = classes[np.fromiter(map(units.__getitem__, words), np.int64, len(words))]
-                total[0] += np.bincount(own, c, k).astype(np.int64)
-                total[1] += np.bincount(own, minlength=k)
-            arrays = [pa.array(np.arange(k)), pa.array(total[0]), pa.array(total[1])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["k", "n", "v"])
-
-        sums = counts.select("word", "c").mapInArrow(run, "k long, n long, v long")
-        sums = sums.groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+        end = counts.where(F.col("word") == F.lit(bytearray(END))).first()
+        if end:  # also where many words are more frequent
+            self.head[END] = end["c"]
+        unit_table = unit_bigrams(texts, self.units)
+        self.unit_classes = exchange_classes(unit_table)
+        self.keys = Keys({END: 0})
+        for word in self.head:
+            if word != END:
+                self.keys[word] = len(self.keys)
+        k = int(self.unit_classes.max()) + 1
+        words = written(self._first_classes(counts), "word-classes")
+        bigrams = written(word_bigrams(texts, self.keys), "word-bigrams")
+        for move in range(WORD_ROUNDS * BATCHES + 1):
+            contexts = written(_contexts(bigrams, words, words.where("w >= 0")), "word-contexts")
+            table = class_table(contexts, k)
+            if move == WORD_ROUNDS * BATCHES:
+                break
+            moved = written(_moved(contexts, table, move % BATCHES), "words-moved")
+            new = F.coalesce("new", "k").alias("k")
+            words = written(words.join(moved, "w", "left").select("word", "w", "c", new), "word-classes")
+        self.words = words
+        self.transitions = transition_logs(table, np.arange(k))
+        self.head_classes = np.zeros(len(self.keys), np.int64)
         n, v = np.zeros(k), np.zeros(k)
+        for row in words.where("w >= 0").select("w", "k").collect():
+            self.head_classes[row["w"]] = row["k"]
+        sums = words.groupBy("k").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"))
         for row in sums.collect():
             n[row["k"]], v[row["k"]] = row["n"], row["v"]
         # p(word | class) = (c + 1) / (n + v + 1): one share is left for unseen words.
         self.emission_logs = np.log10(n + v + 1)
 
+    def _first_classes(self, counts: DataFrame) -> DataFrame:
+        """(word, w, c, k) of every word, with the class of its unit."""
+        units, classes, keys = self.units, self.unit_classes, self.keys
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                words = batch.column(0).to_pylist()
+                w = np.fromiter(map(keys.__getitem__, words), np.int64, len(words))
+                k = classes[np.fromiter(map(units.__getitem__, words), np.int64, len(words))]
+                arrays = [batch.column(0), pa.array(w), batch.column(1), pa.array(k.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["word", "w", "c", "k"])
+
+        return counts.select("word", "c").mapInArrow(run, "word binary, w long, c long, k int")
+
 
 def _document_parts(docs: DataFrame, model: ClassModel, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, held_out, what needs no further count, and its rare words with counts."""
-    head, units, classes = model.head, model.units, model.classes
+    """Per row: id, what head words give alone, its rare words, and its pairs with one.
+
+    ``rare``, ``n``, ``keys`` and ``ending`` hold the rare words with counts, keys and the
+    classes of their endings; ``first`` and ``second`` the keys of pairs of tokens.
+    """
+    head, keys, head_classes = model.head, model.keys, model.head_classes
+    units, unit_classes = model.units, model.unit_classes
     transitions, emissions = model.transitions, model.emission_logs
     head_logs = {w: float(np.log10(c + 1)) for w, c in head.items()}
     schema = docs.select(F.col(id_col).alias("__id")).schema
-    kinds = "n_tokens long, known long, logs double, path double, rare array<binary>, n array<long>"
+    kinds = (
+        "n_tokens long, known long, logs double, path double, rare array<binary>, n array<long>,"
+        " keys array<long>, ending array<int>, first array<long>, second array<long>"
+    )
     for field in T._parse_datatype_string(kinds).fields:
         schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get_unit, get_log = units.__getitem__, head_logs.get
+        get_log = head_logs.get
         for part in text_slices(batches, 1):
             rows = []
             for raw in raw_texts(part.column(1)):
                 words = tokens(raw)
-                ids = classes[np.fromiter(map(get_unit, words), np.int64, len(words))]
-                path = transitions[np.r_[0, ids[:-1]], ids].sum() - emissions[ids].sum()
+                own = np.fromiter(map(keys.__getitem__, words), np.int64, len(words))
+                last = np.r_[0, own[:-1]]
+                plain = (own >= 0) & (last >= 0)
+                path = transitions[head_classes[last[plain]], head_classes[own[plain]]].sum()
+                path -= emissions[head_classes[own[own >= 0]]].sum()
                 logs = [get_log(w) for w in words]
-                rare = Counter([w for w, x in zip(words, logs) if x is None])
+                rare = Counter([w for w, x in zip(words, logs) if x is None and w != END])
                 known = [x for x in logs if x is not None]
                 rows.append(
-                    (len(words), len(known), sum(known), path, list(rare), list(rare.values()))
-                )
+                    (
+                        len(words), len(known), sum(known), path, list(rare), list(rare.values()),
+                        [word_key(w) for w in rare], [int(unit_classes[units[w]]) for w in rare],
+                        last[~plain], own[~plain],
+                    )
+                )
             arrays = [pa.array(v, f) for v, f in zip(zip(*rows), _PART_TYPES)]
             yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=schema.names)
 
@@ -258,9 +429,45 @@ def _document_parts(docs: DataFrame, model: ClassModel, id_col: str, text_col: s
 
 _PART_TYPES = [
     pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()),
+    pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()),
 ]
 
 
+def _with_rare_paths(parts: DataFrame, model: ClassModel) -> DataFrame:
+    """Add ``rare_path``: emissions of rare words, and transitions from and to them.
+
+    ``found`` of ``parts`` lists (w, k), the classes of the rare words that were learned.
+    """
+    transitions, emissions, head_classes = model.transitions, model.emission_logs, model.head_classes
+    lists = ["keys", "ending", "n", "first", "second"]
+    kept = [c for c in parts.columns if c not in (*lists, "found")]
+    source = parts.select(*kept, *lists, F.col("found.w").alias("w"), F.col("found.k").alias("k"))
+    schema = source.select(*kept).schema.add("rare_path", "double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = []
+            for at in range(batch.num_rows):
+                keys, ending, n, first, second, w, k = (
+                    np.array(batch.column(c)[at].as_py() or [], np.int64)
+                    for c in range(len(kept), batch.num_columns)
+                )
+                order = np.argsort(keys)
+                keys, classes, n = keys[order], ending[order], n[order]
+                classes[np.searchsorted(keys, w)] = k
+
+                def of(own: np.ndarray) -> np.ndarray:
+                    out = head_classes[np.maximum(own, 0)]
+                    out[own < 0] = classes[np.searchsorted(keys, own[own < 0])]
+                    return out
+
+                paths.append(transitions[of(first), of(second)].sum() - (n * emissions[classes]).sum())
+            arrays = [*batch.columns[: len(kept)], pa.array(paths, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return source.mapInArrow(run, schema)
+
+
 def score_texts(
     docs: DataFrame,
     learn: Column | None = None,
@@ -286,18 +493,23 @@ def score_texts(
     parts = written(parts, "scored-parts")
     rare = parts.select("__row", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("n").alias("n"))))
     tail = (
-        rare.join(counts, "word")
+        rare.join(model.words, "word")
         .groupBy("__row")
-        .agg(F.sum("n").alias("__n"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("__logs"))
+        .agg(
+            F.sum("n").alias("__n"),
+            F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("__logs"),
+            F.collect_list(F.struct("w", "k")).alias("found"),
+        )
     )
     logs = F.col("logs") + F.coalesce("__logs", F.lit(0.0))
     total = model.n_tokens + model.n_words + 1
-    return parts.join(tail, "__row", "left").select(
+    scored = _with_rare_paths(parts.drop("rare").join(tail, "__row", "left"), model)
+    return scored.select(
         F.col("__id").alias(id_col),
         (key_remainder(F.col("__id"), LEARN_MODULUS) == HELD_OUT_REMAINDER).alias("held_out"),
         "n_tokens",
         (F.col("known") + F.coalesce("__n", F.lit(0))).alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(float(np.log10(total)))).alias("base_score"),
-        (logs + F.col("path")).alias("score"),
+        (logs + F.col("path") + F.col("rare_path")).alias("score"),
     )

@@ -82,3 +82,42 @@ def test_null_empty_repeated_and_empty_tables(spark):
     assert sorted(r["n_tokens"] for r in found) == [1, 1, 2, 3, 3, 50_001]
     assert all(r["score"] <= 0 and math.isfinite(r["score"]) for r in found)
     assert score_texts(df.limit(0)).count() == 0
+
+
+def test_words_of_one_ending_join_the_classes_of_their_contexts(spark, monkeypatch):
+    monkeypatch.setattr(brown_lm, "FREQUENT_UNITS", 7)
+    monkeypatch.setattr(brown_lm, "HEAD_WORDS", 7)
+    left, right = [f"l{i}ing" for i in range(20)], [f"r{i}ing" for i in range(20)]
+    learned = [f"aaa {x} ccc" for x in left * 3 + ["leftest"] * 100]
+    learned += [f"bbb {x} ddd" for x in right * 3 + ["rightest"] * 80]
+    asked = [f"{a} {x[7]} {c}" for a, c in (("aaa", "ccc"), ("bbb", "ddd")) for x in (left, right)]
+    rows = [(i, text, i < len(learned)) for i, text in enumerate(learned + asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learned boolean")
+    found = {r["doc_id"]: r["score"] for r in score_texts(df, df["learned"]).collect()}
+    own_left, other_right, other_left, own_right = (found[len(learned) + i] for i in range(4))
+    assert own_left > other_right + 0.5 and own_right > other_left + 0.5
+
+
+def test_best_classes_equal_the_exchange_of_one_unit():
+    rng = np.random.default_rng(2)
+    bigrams = rng.poisson(rng.random((30, 30)) * 3).astype(float)
+    old = np.r_[0, rng.integers(1, 6, 29)]
+    member = np.eye(6)[old]
+    table = member.T @ bigrams @ member
+    word, side, near, n = [], [], [], []
+    for u in range(1, 30):
+        own = bigrams[u, u]
+        for s, counts in ((0, bigrams[:, u] @ member), (1, bigrams[u] @ member)):
+            counts[old[u]] -= own
+            for k in np.flatnonzero(counts):
+                word.append(u - 1), side.append(s), near.append(k), n.append(counts[k])
+        if own:
+            word.append(u - 1), side.append(2), near.append(0), n.append(own)
+    found = brown_lm.best_classes(table, old[1:], *map(np.array, (word, side, near, n)))
+    for u in range(1, 30):
+        scores = []
+        for k in range(1, 6):
+            moved = old.copy()
+            moved[u] = k
+            scores.append(likelihood(bigrams, moved))
+        assert scores[found[u - 1] - 1] == pytest.approx(max(scores), abs=1e-6)
