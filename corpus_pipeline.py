@@ -24,7 +24,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, null_ids=True)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -250,17 +250,20 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_ids: bool = False
 ) -> DataFrame:
     """One row of each group of near copies stays, all its columns kept.
 
     Near copies have five-word shingles with a Jaccard index of 0.8 or more; groups are
     the connected components of such pairs. The row with the smallest id stays, of equal
     ids that with the smallest hash of its text and then of all its columns. Rows without
-    an id stay, since nothing tells them apart.
+    an id stay by default; with ``null_ids`` they are rows like all others, after those
+    with an id.
     """
 
     def first(df: DataFrame, own_id: str, text: str) -> DataFrame:
+        if null_ids:
+            return _first_of_each(df, own_id, text)
         kept = _first_of_each(df.where(F.col(own_id).isNotNull()), own_id, text)
         return kept.unionByName(df.where(F.col(own_id).isNull()))
 

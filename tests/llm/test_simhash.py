@@ -156,3 +156,10 @@ def test_planted_near_copies_go_and_no_other_text(spark, seed):
     assert max(apart) > 3
     df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     assert sorted(r["doc_id"] for r in drop_near_copies(df).collect()) == sorted(map(min, groups))
+
+
+def test_rows_without_an_id_and_unlike_texts_of_one_id(spark):
+    rows = [(2, "a b c d"), (2, "x y"), (2, "x y"), (None, "a b c d"), (None, "z"), (None, "z"), (5, "z z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in drop_near_copies(df, null_ids=True).collect()]
+    assert sorted(kept, key=str) == sorted({*rows} - {(None, "a b c d")}, key=str)
