@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from curaspan.llm.brown_lm import score_texts
 from curaspan.llm.common import table
 from curaspan.llm.html_extract import extract_text
+from curaspan.llm.langid import predict_languages
 from curaspan.llm.packing import pack
 from curaspan.llm.pii import pii_digest
 from curaspan.llm.pieces import sample_digest
@@ -66,6 +67,11 @@ def op10_brown_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``predict_languages``."""
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -79,5 +85,6 @@ QUERIES: dict[str, Query] = {
         op8_sampled_pieces,
         op9_simhash_components,
         op10_brown_class_model,
+        op13_language_id,
     )
 }
