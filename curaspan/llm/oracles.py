@@ -19,4 +19,34 @@ WITH whole AS (
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
 """
 
-ORACLES: dict[str, str] = {"op3_exact_top_k": OP3}
+OP12 = r"""
+WITH doc_terms AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), totals AS (
+  SELECT count(*) AS all_docs, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM doc_terms WHERE len(terms) > 0
+), counted AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM doc_terms) GROUP BY ALL
+), weighted AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term, all_docs
+), scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+  FROM item_terms JOIN counted USING (term) JOIN weighted USING (term), totals GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op12_ranked_search": OP12}

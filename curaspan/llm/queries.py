@@ -16,6 +16,7 @@ from curaspan.llm.packing import pack
 from curaspan.llm.pii import pii_digest
 from curaspan.llm.pieces import sample_digest
 from curaspan.llm.quality_pu import score_quality
+from curaspan.llm.ranked import rank_documents
 from curaspan.llm.rules import apply_rules
 from curaspan.llm.simhash import simhash_classes
 from curaspan.llm.suffix import repeated_bytes
@@ -67,6 +68,11 @@ def op10_brown_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``rank_documents``."""
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, NULLs, empty and long texts, ties and clashing names: see ``predict_languages``."""
     return predict_languages(table(spark, sf_dir, "documents"))
@@ -85,6 +91,7 @@ QUERIES: dict[str, Query] = {
         op8_sampled_pieces,
         op9_simhash_components,
         op10_brown_class_model,
+        op12_ranked_search,
         op13_language_id,
     )
 }

@@ -12,7 +12,8 @@ from curaspan.llm.queries import QUERIES
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query(spark, sf_dir, name):
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    for table in ("benchmark", "documents", "embeddings"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df = QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
     got = sorted(map(tuple, df.select(*columns).collect()))
@@ -22,4 +23,4 @@ def test_query(spark, sf_dir, name):
 
 def test_all_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == [*range(1, 11), 13]
+    assert numbers == [*range(1, 11), 12, 13]
