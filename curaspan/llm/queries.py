@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curaspan.llm.brown_lm import score_texts
+from curaspan.llm.collocations import mine_phrases
 from curaspan.llm.common import table
 from curaspan.llm.html_extract import extract_text
 from curaspan.llm.langid import predict_languages
@@ -68,6 +69,11 @@ def op10_brown_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``mine_phrases``."""
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, NULLs, empty and long texts, ties and clashing names: see ``rank_documents``."""
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -91,6 +97,7 @@ QUERIES: dict[str, Query] = {
         op8_sampled_pieces,
         op9_simhash_components,
         op10_brown_class_model,
+        op11_phrase_collocations,
         op12_ranked_search,
         op13_language_id,
     )
