@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from curaspan.llm.common import map_texts, with_plain_names, written
 from curaspan.llm.components import connected_components
-from curaspan.llm.near_copies import near_copy_roots
 from curaspan.session import broadcast_if_small
 
 SHINGLE_WORDS = 3
@@ -254,11 +253,13 @@ def drop_near_copies(
 ) -> DataFrame:
     """One row of each group of near copies stays, all its columns kept.
 
-    Near copies have five-word shingles with a Jaccard index of 0.8 or more; groups are
-    the connected components of such pairs. The row with the smallest id stays, of equal
-    ids that with the smallest hash of its text and then of all its columns. Rows without
-    an id stay by default; with ``null_ids`` they are rows like all others, after those
-    with an id.
+    Groups are the components of fingerprints of three-word shingles that differ in at
+    most ``MAX_BITS`` bits, as in ``fingerprint_components``; NULL, empty and wordless
+    texts are one group, and whole texts of any length count. The row with the smallest
+    id stays, of equal ids that with the smallest hash of its text and then of all its
+    columns; of wholly equal rows one stays. Rows without an id stay by default; with
+    ``null_ids`` they are rows like all others, after those with an id. An empty table
+    gives an empty result. Columns may have any name.
     """
 
     def first(df: DataFrame, own_id: str, text: str) -> DataFrame:
@@ -270,46 +271,30 @@ def drop_near_copies(
     return with_plain_names(docs, id_col, text_col, first)
 
 
-def fingerprint_proposals(texts: DataFrame) -> DataFrame:
-    """Pairs (u, v) of nodes of ``texts`` (node, text) with fingerprints within ``MAX_BITS``.
-
-    They connect all such nodes, but are not all pairs.
-    """
-    prints = written(document_fingerprints(texts, "node", "text").distinct(), "node-prints")
-    first = written(prints.groupBy("fp").agg(F.min("node").alias("first")), "print-nodes")
-    equal = prints.join(first, "fp").select(F.col("node").alias("u"), F.col("first").alias("v"))
-    links = written(fingerprint_links(first.select("fp")).distinct(), "print-links")
-    near = (
-        links.join(first.toDF("u", "a"), "u").join(first.toDF("v", "b"), "v").selectExpr("a u", "b v")
-    )
-    return equal.where("u <> v").unionByName(near)
-
-
 def _first_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     columns = docs.columns
     # A map has no hash; rows that differ in nothing else are taken as repeated.
     hashed = [c for c, kind in docs.dtypes if "map<" not in kind]
-    named = docs.withColumn("__node", F.xxhash64(F.coalesce(text_col, F.lit("")))).withColumn(
-        "__row", F.xxhash64(*hashed)
+    key = [id_col, "__text_hash", "__row_hash"]
+    named = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(text_col, F.lit("")))).withColumn(
+        "__row_hash", F.xxhash64(*hashed)
+    )
+    prints = written(
+        map_texts(named, key, text_col, "fp long", lambda t: [fingerprints(t).view(np.int64)]),
+        "row-prints",
     )
-    texts = named.select(F.col("__node").alias("node"), F.col(text_col).alias("text"))
-    roots = written(near_copy_roots(texts, fingerprint_proposals(texts)), "near-roots")
-    place = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "__node", "__row")
-    lowest = written(named.groupBy("__node").agg(F.min(place).alias("low")), "node-rows")
+    place = F.struct(F.col(id_col).isNull().alias("no_id"), *key)
+    lowest = written(prints.groupBy("fp").agg(F.min(place).alias("low")), "print-rows")
+    links = written(fingerprint_links(lowest.select("fp")), "print-links")
+    roots = written(connected_components(links), "print-roots")
     first = written(
-        lowest.join(roots, lowest["__node"] == roots["node"], "left")
-        .groupBy(F.coalesce("root", "__node").alias("root"))
+        lowest.join(roots, lowest["fp"] == roots["node"], "left")
+        .groupBy(F.coalesce("root", "fp").alias("root"))
         .agg(F.min("low").alias("low"))
-        .select(
-            F.col("low.id").alias("__f_id"), F.col("low.__node").alias("__f_node"),
-            F.col("low.__row").alias("__f_row"),
-        ),
+        .select(*[F.col(f"low.{c}").alias(f"__first_{i}") for i, c in enumerate(key)]),
         "first-rows",
-    )
-    same = (
-        (F.col("__node") == F.col("__f_node"))
-        & (F.col("__row") == F.col("__f_row"))
-        & F.col(id_col).eqNullSafe(F.col("__f_id"))
     )
-    kept = named.join(first, same, "left_semi")
-    return kept.dropDuplicates([id_col, "__node", "__row"]).select(*columns)
+    same = F.lit(True)
+    for i, c in enumerate(key):
+        same &= F.col(c).eqNullSafe(F.col(f"__first_{i}"))
+    return named.join(first, same, "left_semi").dropDuplicates(key).select(*columns)

@@ -97,17 +97,3 @@ def test_small_tables_with_nulls_and_more_columns(spark, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             at = stage(spark, at, str(tmp_path))
         assert (at.count() > 0) == (source.count() > 0)
-
-
-def test_no_two_near_copies_stay(stages):
-    sets = {}
-    for i, row in rows(stages[2]).items():
-        words = row["text"].lower().split()
-        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-    left = [
-        (i, j)
-        for i in sets
-        for j in sets
-        if i < j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
-    ]
-    assert not left
