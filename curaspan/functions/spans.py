@@ -176,8 +176,21 @@ def _keep_best(cluster: Column) -> Column:
     return F.when(F.size(cluster) <= 1, cluster).otherwise(_by_start(kept))
 
 
-def _resolve_clusters(ordered: Column) -> Column:
-    """``_keep_best`` for every cluster of overlapping candidates, in start order.
+def _as_one(cluster: Column) -> Column:
+    """One span over all of a cluster, with the labels of its best candidate."""
+
+    def widened(best: Column) -> Column:
+        return F.array(
+            best.withField("start", F.get(cluster, F.lit(0))["start"]).withField(
+                "end", F.array_max(F.transform(cluster, lambda s: s["end"]))
+            )
+        )
+
+    return F.when(F.size(cluster) <= 1, cluster).otherwise(let(F.array_min(cluster), widened))
+
+
+def _settle_clusters(ordered: Column, settle: Callable[[Column], Column]) -> Column:
+    """``settle`` for every cluster of overlapping candidates, in start order.
 
     A cluster begins with each candidate that starts at or after the end of all
     candidates before it.
@@ -197,7 +210,7 @@ def _resolve_clusters(ordered: Column) -> Column:
                     spans, at + 1, F.coalesce(F.get(first, c + 1), F.size(spans)) - at
                 ),
             )
-            return F.flatten(F.transform(clusters, _keep_best))
+            return F.flatten(F.transform(clusters, settle))
 
         return let(first, cut)
 
@@ -214,23 +227,49 @@ def resolve_overlaps(df: DataFrame, candidates: str, output: str) -> DataFrame:
     all of them, need no choice at all, and few spans are one cluster.
     """
     ordered, column = "__ordered", F.col("__ordered")
-    clashes = F.exists(
+    clashes = _clashes(column)
+    found = F.col(candidates)
+    return (
+        df.withColumn(ordered, F.when(F.size(found) <= 1, found).otherwise(_by_start(found)))
+        .withColumn(
+            output,
+            F.when(F.size(column) <= 1, column)
+            .when(~clashes, column)
+            .when(F.size(column) <= SHORT, _keep_best(column))
+            .otherwise(_settle_clusters(column, _keep_best)),
+        )
+        .drop(ordered)
+    )
+
+
+def _clashes(ordered: Column) -> Column:
+    """Whether any candidate in start order overlaps the one before it."""
+    return F.exists(
         F.zip_with(
-            column,
-            F.slice(column, 2, F.size(column)),
+            ordered,
+            F.slice(ordered, 2, F.size(ordered)),
             lambda a, b: F.coalesce(b["start"] < a["end"], F.lit(False)),
         ),
         lambda clash: clash,
     )
+
+
+def union_overlaps(df: DataFrame, candidates: str, output: str) -> DataFrame:
+    """Add the candidates with every cluster of overlapping ones as a single span.
+
+    Unlike ``resolve_overlaps`` no part of a losing candidate stays uncovered. The span
+    has the labels of the best candidate in it, and its ``matched_text`` too, which then
+    is a part of the span only.
+    """
+    ordered, column = "__ordered", F.col("__ordered")
     found = F.col(candidates)
     return (
         df.withColumn(ordered, F.when(F.size(found) <= 1, found).otherwise(_by_start(found)))
         .withColumn(
             output,
             F.when(F.size(column) <= 1, column)
-            .when(~clashes, column)
-            .when(F.size(column) <= SHORT, _keep_best(column))
-            .otherwise(_resolve_clusters(column)),
+            .when(~_clashes(column), column)
+            .otherwise(_settle_clusters(column, _as_one)),
         )
         .drop(ordered)
     )

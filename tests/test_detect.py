@@ -187,3 +187,21 @@ def test_span_explode_does_not_repeat_detection(spark, sf_dir):
     documents = views.table(spark, sf_dir, "documents")
     plan = plan_of(explode_detections(documents.transform(detect_pii()), "doc_id"))
     assert plan.count("regexp_extract_all") == len(DEFAULT_PATTERNS)
+
+
+def test_union_covers_every_candidate(texts):
+    rng = random.Random(3)
+    parts = ["212-555-0147", "@lab.example", "219-09-9999", "5500-0000-0000-0004", "10.1.2.3", " ", "-", "a"]
+    values = ["".join(rng.choices(parts, k=rng.randint(1, 8))) for _ in range(80)]
+    df = texts(*values).transform(detect_candidates())
+    joined = df.transform(spans.union_overlaps, "pii_candidates", "joined")
+    for row in joined.collect():
+        def places(found):
+            return {k for s in found for k in range(s["start"], s["end"])}
+
+        assert places(row["joined"]) == places(row["pii_candidates"])
+        ordered = row["joined"]
+        assert all(a["end"] <= b["start"] for a, b in zip(ordered, ordered[1:]))
+        for one in ordered:
+            inside = [c for c in row["pii_candidates"] if one["start"] <= c["start"] and c["end"] <= one["end"]]
+            assert one["confidence"] == max(c["confidence"] for c in inside)
