@@ -16,8 +16,8 @@ from curaspan.functions.spans import (
     empty_array,
     let,
     replace_spans,
-    resolve_overlaps,
     spans_between,
+    union_overlaps,
 )
 from curaspan.llm.common import with_plain_names
 
@@ -256,8 +256,11 @@ def pii_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Replace every span in the text by its kind in angle brackets.
 
-    Of overlapping spans the one with the higher score stays, then the earlier one.
-    NULL texts stay NULL; all other columns pass unchanged.
+    Overlapping spans are masked as one, named by the one with the highest score, then the
+    earliest, so no character of any span stays. NULL texts stay NULL and empty ones empty;
+    whole texts of any length are masked. Rows are independent, so repeated rows and NULL
+    ids make no difference, and an empty table stays empty. All other columns pass
+    unchanged, whatever their names.
     """
     return with_plain_names(docs, text_col, text_col, lambda df, _, text: _mask(df, text))
 
@@ -280,7 +283,7 @@ def _mask(docs: DataFrame, text_col: str) -> DataFrame:
         ),
     )
     settled = found.withColumn("__candidates", candidates).transform(
-        resolve_overlaps, "__candidates", "__settled"
+        union_overlaps, "__candidates", "__settled"
     )
     masked = replace_spans(
         F.col(text_col),

@@ -98,3 +98,21 @@ def test_mask_replaces_spans_and_keeps_columns(spark):
     assert out[1]["text"] == "é <EMAIL> <IP> end" and out[1]["pii"] == "z"
     assert out[2]["text"] is None and out[3]["text"] == "plain"
     assert mask_pii(df).columns == df.columns
+
+
+def test_no_character_of_any_span_stays(spark):
+    rng = random.Random(5)
+    parts = ["+49 123 456789", "@x.com", "a.b", "4111 1111 1111 1111", "10.0.0.1", " ", "-", "DE89370400440532013000", "é"]
+    texts = ["call +49 123 456789@x.com now"] + ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(120)]
+    texts.append("+49 123 456789@x.com " * 3000)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii_digest(df).collect()}
+    masked = {r["doc_id"]: r["text"] for r in mask_pii(df).collect()}
+    assert masked[0] == "call <PHONE> now"
+    for i, text in enumerate(texts):
+        covered = [False] * len(text)
+        for span in filter(None, spans[i].split(",")):
+            start, end = map(int, span.split(":")[1:])
+            covered[start:end] = [True] * (end - start)
+        rest = "".join(c for c, gone in zip(text, covered) if not gone)
+        assert re.sub("<[A-Z]+>", "", masked[i]) == rest
