@@ -301,6 +301,13 @@ def csv_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_records_across_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets with line breaks in quotes, read in splits that cut through records."""
+    with views.small_splits(spark, "32k"):
+        raw = read_tabular_raw(spark, views.ticket_files(spark, sf_dir))
+    return raw.groupBy(*views.TICKET_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+
+
 def csv_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = read_tabular(spark, views.ticket_files(spark, sf_dir)).counters
     return counters.agg(
@@ -389,6 +396,13 @@ def chat_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chat_rows(read_chat(spark, views.chat_array_files(spark, sf_dir)).records)
 
 
+def chat_elements_across_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays read in splits that cut through messages."""
+    with views.small_splits(spark, "8k"):
+        loaded = read_chat(spark, views.chat_array_files(spark, sf_dir)).records
+    return _chat_rows(loaded)
+
+
 def chat_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = read_chat(spark, views.chat_files(spark, sf_dir), multiline=False).records
     return _chat_rows(loaded)
@@ -574,6 +588,7 @@ QUERIES: dict[str, Query] = {
     "lineage_summary_file": lineage_summary_file,
     "csv_dedup_repair": csv_dedup_repair,
     "csv_metadata": csv_metadata,
+    "csv_records_across_splits": csv_records_across_splits,
     "csv_counters": csv_counters,
     "due_date_parse": due_date_parse,
     "due_date_layouts": due_date_layouts,
@@ -582,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "ingest_run_report": ingest_run_report,
     "chat_json_roundtrip": chat_json_roundtrip,
     "chat_array_roundtrip": chat_array_roundtrip,
+    "chat_elements_across_splits": chat_elements_across_splits,
     "text_blocks": text_blocks,
     "text_lines": text_lines,
     "text_mixed": text_mixed,

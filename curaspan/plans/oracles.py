@@ -532,6 +532,9 @@ FROM kept_tickets GROUP BY ALL""",
 SELECT shown_id AS record_id, assignee_name, assignee_email, project_name, status, due_date, notes,
        CASE WHEN record_id = '' THEN true END AS record_id_was_missing, true AS id_agrees, count(*) AS n
 FROM kept_tickets GROUP BY ALL""",
+    "csv_records_across_splits": f"""{_with(_TICKETS)}
+SELECT record_id, assignee_name, assignee_email, project_name, status, due_date, notes, count(*) AS n
+FROM tickets GROUP BY ALL""",
     "csv_counters": f"""{_with(_TICKETS)}
 SELECT count(*) AS rows_read, count(*) FILTER (record_id = '') AS ids_repaired,
        count(*) FILTER (record_id <> '' AND nth > 1) AS duplicates_dropped
@@ -567,6 +570,7 @@ UNION ALL SELECT 'ids_repaired', count(*) FROM kept_mixed WHERE record_id = ''
 UNION ALL SELECT 'rejected', count(*) FROM mixed WHERE rejected
 UNION ALL SELECT 'load_failures', 2""",
     "chat_array_roundtrip": _CHAT_ROWS,
+    "chat_elements_across_splits": _CHAT_ROWS,
     "text_mixed": f"""{_with(_BLOCKS)}
 SELECT 'plaintext' AS source_format, text, count(*) AS n, count(*) AS ids FROM (
   SELECT text FROM blocks UNION ALL SELECT text FROM blocks

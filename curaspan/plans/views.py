@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -251,16 +252,27 @@ def _chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Messages of an array, about.
+ARRAY_MESSAGES = 5000
+
+
 def chat_array_files(spark: SparkSession, sf_dir: str) -> str:
-    """The same messages, one JSON array per file and hundred conversations."""
+    """The same messages as one JSON array per file, by hundred conversations.
+
+    Where these have many messages, a hash deals them out, so that no array grows with a
+    conversation.
+    """
 
     def write(path: str) -> None:
         message = F.struct("user_id", "username", "timestamp", "channel", "text")
+        messages = _chat_messages(spark, sf_dir)
+        parts = F.ceil(F.count(F.lit(1)) / ARRAY_MESSAGES).alias("parts")
+        sizes = broadcast_if_small(messages.groupBy("bucket").agg(parts), 500_000)
         (
-            _chat_messages(spark, sf_dir)
-            .groupBy("bucket")
+            messages.join(sizes, "bucket")
+            .groupBy("bucket", F.pmod(F.xxhash64(message), "parts").alias("part"))
             .agg(F.to_json(F.collect_list(message)).alias("value"))
-            .write.partitionBy("bucket")
+            .write.partitionBy("bucket", "part")
             .text(path)
         )
 
@@ -308,6 +320,18 @@ def windows_files(spark: SparkSession, sf_dir: str) -> str:
     return written_once(spark, sf_dir, "windows", write)
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: str) -> Iterator[None]:
+    """Files are read in splits of at most ``size`` meanwhile."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shipping_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order texts that name the customer, segment, nation and region, plus the order note."""
     place = table(spark, sf_dir, "nation").join(

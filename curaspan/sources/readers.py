@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from dataclasses import dataclass, field
 from functools import reduce
@@ -23,6 +24,7 @@ from curaspan.operators.ingest import (
 )
 from curaspan.schemas import NESTED_COLUMNS
 from curaspan.session import broadcast_if_small
+from curaspan.sources.split_records import array_elements, quoted_records, written
 
 _CORRUPT = "_corrupt_record"
 
@@ -95,35 +97,43 @@ def _as_path(encoded: str) -> str:
 def read_chat(spark: SparkSession, paths: str | list[str], multiline: bool = True) -> LoadedSource:
     """Chat export: a JSON array of messages per file, or JSON Lines.
 
-    A file with one array is one task; ``multiline=False`` reads JSON Lines,
-    which Spark can split. A missing field is ``""``, an explicit null stays
-    NULL. An array that does not parse rejects its file.
+    Both are split: elements of an array are cut out of the input splits it lies in.
+    ``multiline=False`` reads JSON Lines without that work. A missing field is ``""``, an
+    explicit null stays NULL. An array that does not parse rejects its file; the one row
+    for it in ``rejects`` holds the first element that does not parse, or of an array that
+    is never closed the first element.
     """
     schema = T.StructType(
         [T.StructField(name, T.VariantType()) for name in CHAT_FIELDS]
         + [T.StructField(_CORRUPT, T.StringType())]
     )
+    if multiline:
+        return _chat_source(*_chat_arrays(spark, paths))
     raw = (
         spark.read.schema(schema)
-        .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .json(paths)
         .transform(_with_position)
     )
 
-    def field(name: str) -> Column:
-        return F.when(F.col(name).isNull(), F.lit("")).when(
-            ~F.is_variant_null(F.col(name)), F.col(name).cast("string")
-        )
-
     # Spark refuses plans that read nothing but the corrupt-record column, so the
     # tests refer to a data column as well; that part is always true.
     any_text = F.coalesce(F.length(F.col("text").cast("string")) >= 0, F.lit(True))
-    good = raw.where(F.col(_CORRUPT).isNull() & any_text)
-    fields = good.select(
-        "source_file", SPLIT, ROW, *[field(name).alias(name) for name in CHAT_FIELDS]
+    good = raw.where(F.col(_CORRUPT).isNull() & any_text).select(
+        "source_file", SPLIT, ROW, *[_chat_field(F.col(name)).alias(name) for name in CHAT_FIELDS]
     )
+    rejects = raw.where(F.col(_CORRUPT).isNotNull() & any_text).select(
+        "source_file", F.col(_CORRUPT).alias("raw")
+    )
+    return _chat_source(good, rejects)
+
+
+def _chat_field(value: Column) -> Column:
+    return F.when(value.isNull(), F.lit("")).when(~F.is_variant_null(value), value.cast("string"))
+
+
+def _chat_source(fields: DataFrame, rejects: DataFrame) -> LoadedSource:
     records = fields.select(
         stable_id(
             F.col("source_file"), F.col(SPLIT), F.col(ROW), F.to_json(F.struct(*CHAT_FIELDS))
@@ -134,12 +144,37 @@ def read_chat(spark: SparkSession, paths: str | list[str], multiline: bool = Tru
         "text",
         F.to_json(F.struct(*CHAT_METADATA), {"ignoreNullFields": "false"}).alias("raw_metadata"),
     )
-    rejects = raw.where(F.col(_CORRUPT).isNotNull() & any_text).select(
-        "source_file", F.col(_CORRUPT).alias("raw")
-    )
     return LoadedSource(records, rejects)
 
 
+def _chat_arrays(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Fields of the messages in arrays, and one row for each file that does not parse.
+
+    An element may hold any JSON value; only an object is a message.
+    """
+    message = F.try_parse_json("value")
+    elements = array_elements(spark, paths, _file_path()).withColumn("message", message)
+    parsed = elements.select(
+        "source_file",
+        SPLIT,
+        ROW,
+        *[
+            _chat_field(F.try_variant_get("message", f"$.{name}", "variant")).alias(name)
+            for name in CHAT_FIELDS
+        ],
+        F.when(F.schema_of_variant("message").startswith("OBJECT") & F.col("closed"), F.lit(None))
+        .otherwise(F.col("value"))
+        .alias("raw"),
+        F.col("message").isNotNull().alias("parses"),
+    )
+    parsed = written(parsed, "chat-elements")
+    order = F.struct("parses", SPLIT, ROW)
+    broken = parsed.where("raw is not null").groupBy("source_file").agg(F.min_by("raw", order).alias("raw"))
+    broken = written(broken, "chat-rejects")
+    listed = broadcast_if_small(broken.select("source_file"), BROADCAST_FILES)
+    return parsed.drop("raw", "parses").join(listed, "source_file", "left_anti"), broken
+
+
 def _tabular_reader(spark: SparkSession, multiline: bool):
     return (
         spark.read.option("header", True)
@@ -179,7 +214,11 @@ def _tabular_group(spark: SparkSession, paths: str | list[str], multiline: bool)
     if "record_id" not in names:
         raise ValueError(f"{paths}: no 'record_id' column in the header {names}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
-    raw = _tabular_reader(spark, multiline).schema(schema).csv(paths).transform(_with_position)
+    return _checked(_tabular_reader(spark, multiline).schema(schema).csv(paths).transform(_with_position), names)
+
+
+def _checked(raw: DataFrame, names: list[str]) -> DataFrame:
+    """Rows with blanks for missing fields; only those with too many keep their raw text."""
     # Rows with too many and with too few fields are flagged alike. The latter are
     # complete once padded with blanks.
     # Spark refuses plans that read nothing but the corrupt-record column, so the test
@@ -199,6 +238,8 @@ def _tabular_groups(
     spark: SparkSession, paths: str | list[str], multiline: bool
 ) -> tuple[list[DataFrame], list[str]]:
     """One table per header, and the files whose header has no id."""
+    if multiline:
+        return _quoted_groups(spark, paths)
     tables, failures = [], []
     for files in _files_by_header(spark, paths):
         try:
@@ -210,6 +251,49 @@ def _tabular_groups(
     return tables, failures
 
 
+def _header_names(line: str) -> list[str]:
+    """Column names of a header line; nameless and repeated columns are numbered."""
+    names = next(csv.reader([line.removeprefix("\ufeff")]), [])
+    lower = [name.lower() for name in names]
+    return [
+        f"_c{i}" if not name else f"{name}{i}" if lower.count(name.lower()) > 1 else name
+        for i, name in enumerate(names)
+    ]
+
+
+def _quoted_groups(spark: SparkSession, paths: str | list[str]) -> tuple[list[DataFrame], list[str]]:
+    """``_tabular_groups`` for files with line breaks inside quotes.
+
+    Records are cut once for all files, and parsed once. Only the different header lines
+    come to the driver, no names of files.
+    """
+    records = quoted_records(spark, paths, _file_path())
+    place = F.struct(SPLIT, ROW)
+    heads = records.groupBy("source_file").agg(
+        F.min(place).alias("head"), F.min_by("value", place).alias("header")
+    )
+    heads = written(heads, "csv-headers")
+    rows = records.join(broadcast_if_small(heads, BROADCAST_FILES), "source_file").where(
+        place > F.col("head")
+    )
+    tables, failures = [], []
+    for header in sorted(r["header"] for r in heads.select("header").distinct().collect()):
+        names = _header_names(header)
+        if "record_id" not in names:
+            example = heads.where(F.col("header") == header).agg(F.min("source_file")).first()[0]
+            failures.append(f"load error: {example}: no 'record_id' column in the header {names}")
+            continue
+        kinds = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, _CORRUPT])
+        options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+        fields = F.from_csv("value", kinds, options).alias("fields")
+        own = rows.where(F.col("header") == header).select("source_file", SPLIT, ROW, fields)
+        parsed = _checked(own.select("fields.*", "source_file", SPLIT, ROW), names)
+        tables.append(written(parsed, "csv-rows"))
+    if not tables:
+        raise ValueError("; ".join(failures) or f"{paths}: no records")
+    return tables, failures
+
+
 def read_tabular_raw(
     spark: SparkSession, paths: str | list[str], multiline: bool = True
 ) -> DataFrame:
@@ -227,8 +311,9 @@ def read_tabular(
     """Tabular CSV source with id repair and keep-first dedup per file.
 
     Every file is read by its own header. A row with more fields than its header is
-    rejected whole. ``multiline`` allows line breaks inside quotes, at the price of one
-    task per file; switch it off for inputs without them so that Spark can split files.
+    rejected whole. ``multiline`` allows line breaks inside quotes: records are put
+    together from the lines of all input splits, with one shuffle by split. Switch it off
+    for inputs without such line breaks to do without.
     """
     tables, failures = _tabular_groups(spark, paths, multiline)
     loaded = []
