@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
@@ -29,6 +30,7 @@ from curaspan.operators.quality import quality_report, run_totals, score_quality
 from curaspan.session import prepare, scratch_path
 from curaspan.sources.readers import (
     LoadedSource,
+    as_path,
     read_blocks,
     read_chat,
     read_curated,
@@ -41,7 +43,7 @@ from curaspan.sources.writers import (
     write_report,
 )
 
-Reader = Callable[[SparkSession, str], LoadedSource]
+Reader = Callable[[SparkSession, str | list[str]], LoadedSource]
 
 READERS: dict[str, Reader] = {
     CHAT_FORMAT: read_chat,
@@ -108,26 +110,60 @@ def _staged(spark: SparkSession, loaded: LoadedSource) -> LoadedSource:
     )
 
 
+def _unreadable_file(error: Exception) -> str | None:
+    """The file that Spark could not read, if the error names one."""
+    found = re.search(r"while reading file (\S+)\.\s", str(error))
+    return found.group(1) if found else None
+
+
+def _plain(uri: str) -> str:
+    return re.sub(r"\Afile:/+", "/", uri)
+
+
+def _read_by_file(
+    spark: SparkSession, path: str, reader: Reader, staged: bool
+) -> tuple[LoadedSource, list[str]]:
+    """The source without the files that cannot be read, and what was left out.
+
+    Nothing is listed as long as all goes well. Each file that breaks costs one more
+    attempt over the others; what has been read of it is not kept.
+    """
+    left_out: list[str] = []
+    at: str | list[str] = path
+    while True:
+        try:
+            source = reader(spark, at)
+            return (_staged(spark, source) if staged else source), left_out
+        except (PySparkException, Py4JJavaError) as error:
+            broken = _unreadable_file(error)
+            files = spark.read.text(at).inputFiles() if broken else []
+            rest = [f for f in files if broken and _plain(f) != _plain(broken)]
+            if not rest or len(rest) == len(files):
+                raise
+            left_out.append(f"file left out: {_plain(broken)}")
+            at = [as_path(f) for f in rest]
+
+
 def ingest_all(
     spark: SparkSession, sources: Mapping[str, str | Reader], staged: bool = False
 ) -> Ingested:
-    """Read every source; one that cannot be read is noted and skipped.
+    """Read every source; what cannot be read is noted and skipped.
 
     ``sources`` maps a path to a format name or to a reader function. With ``staged``
-    every source is read once, right away, into the scratch folder, so that a file
-    that breaks while it is read does not take the other sources with it.
+    every source is read once, right away, into the scratch folder. A file that breaks
+    while it is read is left out and named; the other files of its source stay, and so
+    do the other sources.
     """
     loaded, rejects, failures = [], [], []
     for path, kind in sources.items():
         reader = READERS[kind] if isinstance(kind, str) else kind
         try:
-            source = reader(spark, path)
-            source = _staged(spark, source) if staged else source
+            source, left_out = _read_by_file(spark, path, reader, staged)
         except (PySparkException, Py4JJavaError, ValueError) as error:
             failures.append(f"{path}: load error: {str(error).splitlines()[0]}")
             continue
         loaded.append(source)
-        failures += [f"{path}: {failure}" for failure in source.failures]
+        failures += [f"{path}: {failure}" for failure in [*left_out, *source.failures]]
         if source.rejects is not None:
             rejects.append(source.rejects.select(F.lit(path).alias("source"), "source_file", "raw"))
     return Ingested(

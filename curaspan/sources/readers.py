@@ -89,7 +89,7 @@ def _with_position(raw: DataFrame) -> DataFrame:
     return _from_split_start(_at_scan(raw, "*"), raw)
 
 
-def _as_path(encoded: str) -> str:
+def as_path(encoded: str) -> str:
     """The path to read a file by, from the form in which a scan names it."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(encoded))
 
@@ -199,7 +199,7 @@ def _files_by_header(spark: SparkSession, paths: str | list[str]) -> list[str |
     found = sorted(groups.collect(), key=lambda g: g["files"][0])
     if len(found) <= 1:
         return [paths]
-    return [[_as_path(f) for f in g["files"]] for g in found]
+    return [[as_path(f) for f in g["files"]] for g in found]
 
 
 def _field_count(line: Column) -> Column:
@@ -369,7 +369,7 @@ def read_blocks(spark: SparkSession, paths: str | list[str]) -> LoadedSource:
 def _files_of(kinds: DataFrame) -> dict[str, list[str]]:
     """Paths by kind; as long as the list of files that the driver has made before."""
     rows = kinds.groupBy("kind").agg(F.sort_array(F.collect_list("source_file")).alias("files"))
-    found = {row["kind"]: [_as_path(f) for f in row["files"]] for row in rows.collect()}
+    found = {row["kind"]: [as_path(f) for f in row["files"]] for row in rows.collect()}
     return {kind: found.get(kind, []) for kind in ("blocks", "lines", "odd")}
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,3 +212,15 @@ def test_session_settings():
     spark = build_session()
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.files.minPartitionNum")
+
+
+def test_a_cut_file_takes_no_other_with_it(spark, tmp_path):
+    folder = tmp_path / "mixed é"
+    folder.mkdir()
+    for i in range(10):
+        body = gzip.compress("".join(f"line {i} {k} {random.random()}\n" for k in range(3000)).encode())
+        (folder / f"f [{i}].txt.gz").write_bytes(body[: len(body) // 2] if i in (3, 6) else body)
+    out = ingest_all(spark, {str(folder): "plaintext", "/nowhere/x.txt": "plaintext"}, staged=True)
+    assert out.records.count() == 8 * 3000
+    assert sum("file left out" in f for f in out.failures) == 2 and len(out.failures) == 3
+    assert {i for i in range(10) if any(f"%5B{i}%5D" in f or f"[{i}]" in f for f in out.failures)} == {3, 6}
