@@ -273,35 +273,55 @@ def best_classes(
     return np.argmax(gain, axis=1)
 
 
-def _contexts(bigrams: DataFrame, classes: DataFrame, head: DataFrame) -> DataFrame:
-    """``w``, k, c of ``classes`` and ``near``, the counted (side, k, n) of every word."""
+def _in_batch(word: Column, batch: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(BATCHES)) == batch
+
+
+def _contexts(bigrams: DataFrame, classes: DataFrame, head: DataFrame, batch: int) -> DataFrame:
+    """``w``, k, c and ``near``, the counted (side, k, n), of the words of a batch that move."""
+    movable = classes.where((F.col("c") >= MOVED_COUNT) & (F.col("w") != 0))
     tail = classes.where("w < 0").select("w", "k")
     head = F.broadcast(head.select("w", "k"))
-    entries = bigrams.where("a = b").selectExpr("a w", "2 side", "0 k", "c")
+    entries = bigrams.where((F.col("a") == F.col("b")) & _in_batch(F.col("a"), batch))
+    entries = entries.selectExpr("a w", "2 side", "0 k", "c")
     for side, near, word in ((0, "a", "b"), (1, "b", "a")):
+        mine = bigrams.where((F.col("a") != F.col("b")) & _in_batch(F.col(word), batch))
         for own, known in ((f"{near} >= 0", head), (f"{near} < 0", tail)):
-            rows = bigrams.where(f"a <> b and {own}").select(
-                F.col(word).alias("__w"), F.col(near).alias("w"), "c"
-            )
+            rows = mine.where(own).select(F.col(word).alias("__w"), F.col(near).alias("w"), "c")
             found = rows.join(known, "w").selectExpr("__w w", f"{side} side", "k", "c")
             entries = entries.unionByName(found)
     counted = entries.groupBy("w", "side", "k").agg(F.sum("c").alias("n"))
     lists = counted.groupBy("w").agg(F.sort_array(F.collect_list(F.struct("side", "k", "n"))).alias("near"))
-    return classes.select("w", "k", "c").join(lists, "w")
+    return movable.where(_in_batch(F.col("w"), batch)).select("w", "k", "c").join(lists, "w")
 
 
-def class_table(contexts: DataFrame, k: int) -> np.ndarray:
-    """Bigrams of classes."""
-    pairs = contexts.select(F.col("k").alias("i"), F.inline("near")).where("side > 0")
-    sums = pairs.groupBy("i", F.when(F.col("side") == 2, F.col("i")).otherwise(F.col("k")).alias("j"))
+def class_table(bigrams: DataFrame, classes: DataFrame, head: DataFrame, k: int) -> np.ndarray:
+    """Bigrams of classes, by way of (class before, word): at most k times k rows come back."""
+    tail = classes.where("w < 0").select("w", "k")
+    head = F.broadcast(head.select("w", "k"))
+    rows = bigrams
+    for word, found in (("a", "i"), ("b", "j")):
+        rest = [c for c in ("b", "i", "c") if c in rows.columns and c != word]
+        parts = []
+        for own, known in ((f"{word} >= 0", head), (f"{word} < 0", tail)):
+            named = known.select(F.col("w").alias(word), F.col("k").alias(found))
+            parts.append(rows.where(own).join(named, word).select(*rest, found))
+        rows = parts[0].unionByName(parts[1])
+        keys = [c for c in rows.columns if c != "c"]
+        rows = rows.groupBy(*keys).agg(F.sum("c").alias("c"))
     table = np.zeros((k, k))
-    for row in sums.agg(F.sum("n").alias("n")).collect():
-        table[row["i"], row["j"]] = row["n"]
+    for row in rows.collect():
+        table[row["i"], row["j"]] = row["c"]
     return table
 
 
-def _moved(contexts: DataFrame, table: np.ndarray, batch: int) -> DataFrame:
-    """(w, new) of the words of a batch that a class other than their own suits better."""
+def log_likelihood(table: np.ndarray) -> float:
+    """Of the class bigrams, in nats, up to what the words in their classes add."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(1)).sum() - _xlogx(table.sum(0)).sum())
+
+
+def _moved(contexts: DataFrame, table: np.ndarray) -> DataFrame:
+    """(w, new) of the words that a class other than their own suits better."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -318,9 +338,7 @@ def _moved(contexts: DataFrame, table: np.ndarray, batch: int) -> DataFrame:
                     [w.filter(other), pa.array(new.astype(np.int32)).filter(other)], names=["w", "new"]
                 )
 
-    mine = contexts.where((F.col("c") >= MOVED_COUNT) & (F.col("w") != 0))
-    mine = mine.where(F.pmod(F.xxhash64("w"), F.lit(BATCHES)) == batch)
-    return mine.select("w", "k", "near").mapInArrow(run, "w long, new int")
+    return contexts.select("w", "k", "near").mapInArrow(run, "w long, new int")
 
 
 class ClassModel:
@@ -345,14 +363,19 @@ class ClassModel:
         k = int(self.unit_classes.max()) + 1
         words = written(self._first_classes(counts), "word-classes")
         bigrams = written(word_bigrams(texts, self.keys), "word-bigrams")
-        for move in range(WORD_ROUNDS * BATCHES + 1):
-            contexts = written(_contexts(bigrams, words, words.where("w >= 0")), "word-contexts")
-            table = class_table(contexts, k)
-            if move == WORD_ROUNDS * BATCHES:
-                break
-            moved = written(_moved(contexts, table, move % BATCHES), "words-moved")
+        table = class_table(bigrams, words, words.where("w >= 0"), k)
+        self.likelihoods = [log_likelihood(table)]
+        for move in range(WORD_ROUNDS * BATCHES):
+            contexts = _contexts(bigrams, words, words.where("w >= 0"), move % BATCHES)
+            moved = written(_moved(contexts, table), "words-moved")
             new = F.coalesce("new", "k").alias("k")
-            words = written(words.join(moved, "w", "left").select("word", "w", "c", new), "word-classes")
+            tried = written(words.join(moved, "w", "left").select("word", "w", "c", new), "word-classes")
+            tried_table = class_table(bigrams, tried, tried.where("w >= 0"), k)
+            # All words of a batch move by the same table; together they must gain as well.
+            if log_likelihood(tried_table) <= self.likelihoods[-1]:
+                continue
+            words, table = tried, tried_table
+            self.likelihoods.append(log_likelihood(table))
         self.words = words
         self.transitions = transition_logs(table, np.arange(k))
         self.head_classes = np.zeros(len(self.keys), np.int64)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -121,3 +122,28 @@ def test_best_classes_equal_the_exchange_of_one_unit():
             moved[u] = k
             scores.append(likelihood(bigrams, moved))
         assert scores[found[u - 1] - 1] == pytest.approx(max(scores), abs=1e-6)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_score_equals_the_chain_of_classes_and_emissions(spark, monkeypatch, seed):
+    monkeypatch.setattr(brown_lm, "HEAD_WORDS", 12)
+    monkeypatch.setattr(brown_lm, "FREQUENT_UNITS", 6)
+    rng = random.Random(seed)
+    words = [f"w{i}{e}" for i in range(20) for e in ("ing", "ed", "s")]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 30)))) for i in range(120)]
+    rows += [(200, "Never seen"), (201, None), (202, "w1ing w1ing")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    learned = df["doc_id"] < 90
+    texts = df.where(learned).select("text")
+    model = brown_lm.ClassModel(texts, brown_lm.written(brown_lm.word_counts(texts), "test-counts"))
+    assert len(model.likelihoods) > 1
+    assert all(a < b for a, b in zip(model.likelihoods, model.likelihoods[1:]))
+    known = {bytes(r["word"]): (r["c"], r["k"]) for r in model.words.collect()}
+    found = {r["doc_id"]: r["score"] for r in score_texts(df, learned).collect()}
+    for i, text in rows:
+        score, last = 0.0, 0
+        for word in brown_lm.tokens((text or "").encode()):
+            c, k = known.get(word, (0, int(model.unit_classes[model.units[word]])))
+            score += model.transitions[last, k] + math.log10(c + 1) - model.emission_logs[k]
+            last = k
+        assert found[i] == pytest.approx(score, abs=1e-9)
