@@ -237,7 +237,12 @@ def _printed(spans: Column) -> Column:
 
 
 def pii_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``id_col``, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
+    """Per row: ``id_col``, n_email, n_ip, n_card, n_phone, base_sha256, spans.
+
+    NULL and empty texts have no spans and the hash of nothing; whole texts of any length
+    are searched. Repeated rows and NULL ids give a row each, an empty table gives none.
+    Other columns are ignored, whatever their names.
+    """
     found = with_pii(docs.select(id_col, F.col(text_col).alias("__text")), "__text", "__pii")
     base = F.filter("__pii", lambda s: s["kind"].isin(*BASE_KINDS))
 

@@ -27,27 +27,33 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``score_quality``."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``pack``."""
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``top_inner_products``."""
     vectors = table(spark, sf_dir, "embeddings")
     return top_inner_products(vectors, F.col("vec_id") % QUERY_MODULUS == 0)
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``repeated_bytes``."""
     return repeated_bytes(table(spark, sf_dir, "documents"))
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``extract_text``."""
     return extract_text(table(spark, sf_dir, "pages"))
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``pii_digest``."""
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
@@ -58,14 +64,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``sample_digest``."""
     return sample_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``simhash_classes``."""
     return simhash_classes(table(spark, sf_dir, "documents"))
 
 
 def op10_brown_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, NULLs, empty and long texts, ties and clashing names: see ``score_texts``."""
     return score_texts(table(spark, sf_dir, "documents"))
 
 

@@ -241,7 +241,11 @@ def fingerprint_components(
 
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, fingerprint (16 hex digits) and component_id of every row."""
+    """``id_col``, fingerprint (16 hex digits) and component_id of every row.
+
+    NULL, empty, very long and repeated texts, NULL ids and empty tables are treated as in
+    ``fingerprint_components``; other columns are ignored, whatever their names.
+    """
     found = fingerprint_components(docs, id_col, text_col)
     return found.select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
