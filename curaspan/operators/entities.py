@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curaspan.functions.patterns import WORD
 from curaspan.functions.spans import as_candidates, let, resolve_overlaps, spans_between
-from curaspan.session import broadcast_if_small
+from curaspan.session import broadcast_if_small, scratch_path
 
 _WORDS = rf"[{WORD}]+"
 
@@ -17,95 +17,175 @@ _WORDS = rf"[{WORD}]+"
 # no more bytes than ``broadcast_if_small`` allows.
 BROADCAST_PHRASES = 200_000
 
+# Bits of the bitmap that texts are tested with: 16 to 32 for each phrase, 4 MB at most. A
+# larger dictionary fills it up; then more runs leave their texts, and the join drops them.
+BITS_PER_PHRASE = 16
+MIN_BITS = 1 << 12
+MAX_BITS = 1 << 25
+
 ENTITIES = "array<struct<label:string,start:int,end:int,matched_text:string>>"
 
 
 def _phrases(dictionary: DataFrame) -> DataFrame:
-    """Dictionary entries as ``core``, from their first to their last word, with what is around it."""
+    """Dictionary entries as ``core``, from their first to their last word, with what is around it.
+
+    ``anchor`` is the rarest word of the phrase in the dictionary (then the longest, then
+    the first), ``k`` its place and ``n`` the number of words. Written once.
+    """
     phrase = F.col("phrase")
     edges = rf"(?s)\A([^{WORD}]*+)(.*[{WORD}])([^{WORD}]*+)\z"
-    return (
+    entries = (
         dictionary.select(phrase.cast("string"), F.col("label").cast("string"))
         .where(phrase.isNotNull() & F.col("label").isNotNull())
         .distinct()
         .select(
             "phrase",
             "label",
-            F.regexp_count(phrase, F.lit(_WORDS)).alias("n"),
+            F.regexp_extract_all(phrase, F.lit(_WORDS), F.lit(0)).alias("words"),
             *[F.regexp_extract(phrase, edges, i).alias(part) for i, part in enumerate(("head", "core", "tail"), 1)],
         )
-        .where("n > 0")
+        .where(F.size("words") > 0)
+    )
+    placed = entries.select("*", F.posexplode("words").alias("k", "anchor"))
+    uses = placed.groupBy("anchor").agg(F.count(F.lit(1)).alias("uses"))
+    rarest = F.struct("uses", -F.length("anchor"), "k", "anchor")
+    filed = (
+        placed.join(uses, "anchor")
+        .groupBy("phrase", "label", "head", "core", "tail", F.size("words").alias("n"))
+        .agg(F.min(rarest).alias("rarest"))
+        .select("phrase", "label", "head", "core", "tail", "n", "rarest.k", "rarest.anchor")
     )
+    path = scratch_path(dictionary.sparkSession, "phrases")
+    filed.write.parquet(path)
+    return dictionary.sparkSession.read.schema(filed.schema).parquet(path)
 
 
-def _grams(bound: Column, n: int, sizes: dict[str, int]) -> Column:
-    """All runs of ``n`` words as they are written, with place and surroundings.
+def _slot(word: Column, bits: int) -> Column:
+    """Number of the bit of ``word``."""
+    return F.pmod(F.xxhash64(word), F.lit(bits))
 
-    Longer runs than the longest phrase, such as across a long gap, are left out.
-    """
-    words, gaps = bound["words"], bound["gaps"]
 
-    def gram(i: Column) -> Column:
-        parts = [F.get(words, i)["matched_text"]]
-        for k in range(1, n):
-            parts += [F.get(gaps, i + k), F.get(words, i + k)["matched_text"]]
-        start = F.get(words, i)["start"]
-        fits = F.get(words, i + (n - 1))["end"] - start <= sizes["core"]
-        return F.when(
-            fits,
-            F.struct(
-                F.concat(*parts).alias("core"),
-                start.alias("at"),
-                F.right(F.get(gaps, i), F.lit(sizes["head"])).alias("before"),
-                F.left(F.get(gaps, i + n), F.lit(sizes["tail"])).alias("after"),
-            ),
-        )
+def _bitmap(words: DataFrame, bits: int) -> Column:
+    """The bits of all ``word`` as an array of 64-bit numbers, for ``_is_set``."""
+    slot = _slot(F.col("word"), bits)
+    own = words.select(slot.alias("slot")).selectExpr(
+        "slot div 64 AS at", "shiftleft(1L, cast(slot % 64 AS int)) AS mask"
+    )
+    none = words.sparkSession.range(bits // 64).selectExpr("id AS at", "0L AS mask")
+    blocks = own.unionByName(none).groupBy("at").agg(F.bit_or("mask").alias("mask"))
+    return blocks.agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("at", "mask"))), lambda b: b["mask"])
+    ).scalar()
 
-    runs = F.transform(F.sequence(F.lit(0), F.size(words) - n), gram)
-    return F.when(F.size(words) >= n, F.array_compact(runs))
 
+def _is_set(bitmap: Column, word: Column, bits: int) -> Column:
+    slot = _slot(word, bits)
+    block = F.get(bitmap, F.floor(slot / 64).cast("int"))
+    return F.getbit(block, F.pmod(slot, F.lit(64)).cast("int")) == 1
 
-def _entities_by_text(
-    df: DataFrame, dictionary: DataFrame, text_col: str
-) -> DataFrame | None:
-    """Dictionary hits per different text: ``__key`` (a hash of the text) and ``__found``.
 
-    The word runs of a text, only of the lengths the dictionary has, are joined to the
-    phrases. With a dictionary of proven size the join is a broadcast and only hits
-    leave their task. None if the dictionary is empty.
+def _run_at(bound: Column, first: Column, n: Column) -> Column:
+    """The ``n`` words from word ``first`` on as they are written, with place and surroundings."""
+    words, gaps = bound["words"], bound["gaps"]
+    # Each word after the first with the gap before it.
+    rest = F.transform(
+        F.when(n > 1, F.sequence(first + 1, first + n - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: F.concat(F.get(gaps, i), F.get(words, i)["matched_text"]),
+    )
+    return F.struct(
+        F.concat(F.get(words, first)["matched_text"], F.array_join(rest, "")).alias("core"),
+        F.get(words, first)["start"].alias("at"),
+        F.right(F.get(gaps, first), bound["head"]).alias("before"),
+        F.left(F.get(gaps, first + n), bound["tail"]).alias("after"),
+    )
+
+
+def candidate_runs(df: DataFrame, phrases: DataFrame, text_col: str = "text") -> DataFrame | None:
+    """Word runs that may be phrases: ``__key`` (a hash of the text), core, at, before, after.
+
+    A bitmap holds the anchor and the core of every phrase. Runs are only built around a
+    word whose bit is set, at the places where phrases have their anchors, and only those
+    whose own bit is set leave the text. A set bit may be wrong, a missing one never is.
+    Runs longer than the longest phrase, such as across a long gap, are not built. None
+    if there are no phrases.
     """
-    phrases = _phrases(dictionary)
-    # The different phrase lengths and the longest parts: a handful of numbers.
+    # A handful of numbers.
     shape = phrases.agg(
-        F.sort_array(F.collect_set("n")).alias("lengths"),
+        F.count(F.lit(1)).alias("phrases"),
         *[F.max(F.length(part)).alias(part) for part in ("head", "core", "tail")],
     ).first()
-    if not shape["lengths"]:
+    if not shape["phrases"]:
         return None
-    text = F.col(text_col)
-    regex = F.lit(_WORDS)
+    bits = MIN_BITS
+    while bits < BITS_PER_PHRASE * shape["phrases"] and bits < MAX_BITS:
+        bits *= 2
+    entries = phrases.select(F.explode(F.array("anchor", "core")).alias("word"))
+    places = phrases.agg(F.collect_set(F.struct("n", "k"))).scalar()
+    text, regex = F.col(text_col), F.lit(_WORDS)
 
-    def cut(bound: Column) -> Column:
-        places = F.struct(
-            spans_between(bound["gaps"], bound["found"]).alias("words"), bound["gaps"].alias("gaps")
+    def runs(bound: Column) -> Column:
+        words = bound["words"]
+        positions = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1))
+        anchors = F.filter(
+            positions, lambda i: _is_set(bound["bits"], F.get(words, i)["matched_text"], bits)
         )
 
-        def grams(b: Column) -> Column:
-            lists = [_grams(b, n, shape.asDict()) for n in shape["lengths"]]
-            return F.flatten(F.array_compact(F.array(*lists)))
+        def around(i: Column) -> Column:
+            fitting = F.filter(
+                bound["places"],
+                lambda p: (i >= p["k"])
+                & (i - p["k"] + p["n"] <= F.size(words))
+                & (
+                    F.get(words, i - p["k"] + p["n"] - 1)["end"] - F.get(words, i - p["k"])["start"]
+                    <= shape["core"]
+                ),
+            )
+            built = F.transform(fitting, lambda p: _run_at(bound, i - p["k"], p["n"]))
+            return F.filter(built, lambda r: _is_set(bound["bits"], r["core"], bits))
 
-        return let(places, grams)
+        # Two anchors may propose the same run.
+        return F.array_distinct(F.flatten(F.transform(anchors, around)))
+
+    def cut(found: Column) -> Column:
+        bound = F.struct(
+            spans_between(found["gaps"], found["found"]).alias("words"),
+            *[found[name].alias(name) for name in ("gaps", "bits", "places", "head", "tail")],
+        )
+        return let(bound, runs)
 
     found = F.struct(
         F.split(text, regex, -1).alias("gaps"),
         F.regexp_extract_all(text, regex, F.lit(0)).alias("found"),
+        F.col("__bits").alias("bits"),
+        F.col("__places").alias("places"),
+        F.lit(shape["head"]).alias("head"),
+        F.lit(shape["tail"]).alias("tail"),
     )
     # The outer form: Spark would push a "size > 0" copy of the whole list below
     # a plain explode. NULL cores never join.
-    exploded = df.select(_text_key(text_col), let(found, cut).alias("__grams")).select(
-        "__key", F.inline_outer("__grams")
+    return (
+        df.select(_text_key(text_col), text_col)
+        .withColumns({"__bits": _bitmap(entries, bits), "__places": places})
+        .select("__key", let(found, cut).alias("__runs"))
+        .select("__key", F.inline_outer("__runs"))
     )
-    hits = exploded.join(broadcast_if_small(phrases, BROADCAST_PHRASES), "core").where(
+
+
+def _entities_by_text(
+    df: DataFrame, dictionary: DataFrame, text_col: str
+) -> DataFrame | None:
+    """Dictionary hits per different text: ``__key`` (a hash of the text) and ``__found``.
+
+    With a dictionary of proven size the join is a broadcast; a larger one is shuffled,
+    and so are the candidate runs, nearly all of which are hits. None if the dictionary
+    is empty.
+    """
+    phrases = _phrases(dictionary)
+    runs = candidate_runs(df, phrases, text_col)
+    if runs is None:
+        return None
+    entries = broadcast_if_small(phrases.drop("anchor", "k", "n"), BROADCAST_PHRASES)
+    hits = runs.join(entries, "core").where(
         F.endswith("before", F.col("head")) & F.startswith("after", F.col("tail"))
     )
     start = F.col("at") - F.length("head")

@@ -153,3 +153,38 @@ def test_streams_are_refused_with_a_reason(spark, dictionary):
     stream = spark.readStream.format("rate").load().selectExpr("cast(value as string) as text")
     with pytest.raises(ValueError, match="foreachBatch"):
         stream.transform(with_entities(dictionary))
+
+
+def test_runs_leave_a_text_only_at_set_bits(spark, sf_dir):
+    """At most a fifth of all runs of the dictionary's lengths, and every hit among them."""
+    from curaspan.plans import views
+    from pyspark.sql import functions as F
+
+    notes = views.shipping_notes(spark, sf_dir)
+    phrases = entities._phrases(views.entity_dictionary(spark, sf_dir))
+    runs = entities.candidate_runs(notes, phrases).where("core IS NOT NULL").count()
+    words = F.regexp_count("text", F.lit(entities._WORDS))
+    lengths = [r["n"] for r in phrases.select("n").distinct().collect()]
+    every = notes.select(sum((F.greatest(words - n + 1, F.lit(0)) for n in lengths), F.lit(0)).alias("n"))
+    hits = notes.transform(with_entities(views.entity_dictionary(spark, sf_dir))).agg(F.sum(F.size("entities")))
+    assert hits.first()[0] <= runs <= every.agg(F.sum("n")).first()[0] / 5
+
+
+def test_phrases_are_filed_under_their_rarest_word(spark):
+    names = ["the bank of wales", "the bank", "the of", "wales coal"]
+    rows = entities._phrases(
+        spark.createDataFrame([(n, "ORG") for n in names], "phrase string, label string")
+    ).collect()
+    # Ties go to the longer word, then to the earlier one.
+    assert {r["phrase"]: (r["anchor"], r["k"], r["n"]) for r in rows} == {
+        "the bank of wales": ("wales", 3, 4), "the bank": ("bank", 1, 2), "the of": ("of", 1, 2),
+        "wales coal": ("coal", 1, 2),
+    }
+
+
+def test_full_bitmap_changes_nothing(texts, dictionary, monkeypatch):
+    values = ["Please call John Smith tomorrow, John.", "the San Francisco Giants left San Francisco"]
+    before = found(texts, dictionary, *values)
+    monkeypatch.setattr(entities, "MIN_BITS", 64)
+    monkeypatch.setattr(entities, "MAX_BITS", 64)
+    assert found(texts, dictionary, *values) == before and before[0]
