@@ -2,7 +2,7 @@
 
 A page is cut into blocks of text at block-level tags. Each block is described by its
 number of words and its link density, by those of its neighbours, and by the elements
-around it. A decision tree learned from the small labelled table below says which
+around it; the names of these are one count among others. A decision tree learned from the small labelled table below says which
 blocks belong to the article.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,11 +37,20 @@ _SKIPPED = "script|style|noscript|template|svg|iframe|object|textarea|select|tit
 _FURNITURE_TAGS = frozenset(
     "nav header footer aside form menu button dialog select label fieldset title".split()
 )
-_FURNITURE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|consent|cookies?"
-    r"|copyright|disqus|footer|foot|gdpr|header|legal|login|masthead|menu|modal|nav\w*|newsletter"
-    r"|notices?|pagination|pager|popup|promo\w*|related|replies|reply|respond|search|share|sharing"
-    r"|sidebar|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|widget\w*)(?=$|[\s_\d-])"
+_FURNITURE_WORD = (
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|consent|cookies?|copyright|disqus|footer"
+    r"|foot|gdpr|header|legal|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?"
+    r"|pagination|pager|popup|promo\w*|related|replies|reply|respond|search|share|sharing|sidebar"
+    r"|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|widget\w*)"
+)
+# A whole class name or id: one of these words, also with a word for the box it is.
+_FURNITURE_NAME = re.compile(
+    _FURNITURE_WORD
+    + r"(?:[_-]?(?:area|bar|block|body|box|container|form|item|links?|list|section|thread|wrap|wrapper))?\d*"
+)
+# A part of a name, but not where the name tells a state of something else.
+_FURNITURE_PART = re.compile(
+    rf"(?!(?:has|no|is|with|without|tag|category|post|entry|page|single)[_-])(?:.*[_-])?{_FURNITURE_WORD}(?:[_\d-].*)?"
 )
 _ARTICLE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:article|post|entry|story|main|content)[\s_-]?(?:body|content|text)?(?=$|[\s_-])"
@@ -57,27 +67,126 @@ _NAME_ATTRIBUTE = re.compile(
 )
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=$|[\s=/])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
+# A line above a reader's comment: who wrote it and when.
+_BYLINE = re.compile(
+    r"\b(?:says|wrote|replied|reply|ago)\b|\b\d{4}-\d\d-\d\d\b|\b\d{1,2}:\d\d\b"
+    r"|\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.? \d{1,2}\b|\b\d{1,2}[./]\d{1,2}[./]\d{2,4}\b",
+    re.I,
+)
+_BYLINE_WORDS = 8
+_NOTICE = re.compile(r"(?:\u00a9|\(c\)|\bcopyright)\s*\d{4}\b|\ball rights reserved\b", re.I)
+_NOTICE_WORDS = 30
+
 FEATURES = (
     "words", "link_density", "words_before", "links_before", "words_after", "links_after",
-    "in_furniture", "in_article", "ends_like_prose",
+    "furniture_tags", "furniture_names", "in_article", "in_thread", "is_notice", "ends_like_prose",
 )
 
 
-def page_blocks(page: str) -> list[tuple[str, float, bool, bool]]:
-    """(text, link density, in furniture, in article) of every block with text, in page order."""
-    blocks = []
-    stack: list[tuple[str, int, int]] = []  # tag, furniture and article above and with it
+@dataclass
+class Block:
+    """A block of text and what is around it."""
+
+    text: str
+    link_density: float
+    element: int
+    furniture_tags: int = 0
+    furniture_names: int = 0
+    in_article: bool = False
+    in_thread: bool = False
+
+
+class _Elements:
+    """The containers of a page as they open; each knows the one around it, element 0 is the page."""
+
+    def __init__(self) -> None:
+        self.tag, self.parent = [""], [0]
+        self.own_tag, self.article = [0], [0]
+        self.whole_name, self.part_name = [False], [False]
+        self.holds_article = [False]
+
+    def open(self, tag: str, attributes: str, parent: int) -> int:
+        names = [
+            name
+            for found in _NAME_ATTRIBUTE.findall(attributes)
+            for name in next(filter(None, found), "").lower().split()
+        ]
+        is_article = tag in ("article", "main")
+        own_article = is_article or any(map(_ARTICLE_NAMES.search, names))
+        # A header inside an article holds its headline.
+        own_tag = tag in _FURNITURE_TAGS and not (tag == "header" and self.article[parent])
+        outer = tag in ("body", "html")
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.own_tag.append(int(own_tag or bool(_HIDDEN.search(attributes))))
+        self.article.append(self.article[parent] + own_article)
+        self.whole_name.append(not outer and any(map(_FURNITURE_NAME.fullmatch, names)))
+        self.part_name.append(
+            not outer and not own_article and any(map(_FURNITURE_PART.fullmatch, names))
+        )
+        self.holds_article.append(is_article)
+        if is_article:
+            while parent and not self.holds_article[parent]:
+                self.holds_article[parent] = True
+                parent = self.parent[parent]
+        return len(self.tag) - 1
+
+    def describe(self, blocks: list[Block]) -> None:
+        """Fill in what the elements around each block say, once the page is read."""
+        tags, names, threads = [0], [0], [False]
+        thread = self._threads(blocks)
+        for e in range(1, len(self.tag)):
+            above = self.parent[e]
+            # A part of a name says nothing about an element that is or holds an article.
+            named = self.whole_name[e] or (self.part_name[e] and not self.holds_article[e])
+            tags.append(tags[above] + self.own_tag[e])
+            names.append(names[above] + named)
+            threads.append(threads[above] or e in thread)
+        for block in blocks:
+            e = block.element
+            block.furniture_tags, block.furniture_names = tags[e], names[e]
+            block.in_article, block.in_thread = self.article[e] > 0, threads[e]
+
+    def _threads(self, blocks: list[Block]) -> set[int]:
+        """Elements with two or more items that each are a byline and a text below it."""
+        items: dict[int, set[int]] = {}
+        for line, text in zip(blocks, blocks[1:]):
+            words = len(line.text.split())
+            if not (1 < words <= _BYLINE_WORDS and _BYLINE.search(line.text)) or line.text[-1] in ".!?":
+                continue
+            # The innermost element around both.
+            around = {line.element}
+            e = line.element
+            for _ in range(3):
+                e = self.parent[e]
+                around.add(e)
+            item = text.element
+            for _ in range(3):
+                if item in around:
+                    break
+                item = self.parent[item]
+            if item and item in around and self.tag[item] not in ("body", "html", "main"):
+                items.setdefault(self.parent[item], set()).add(item)
+        return {
+            e for e, own in items.items() if e and len(own) > 1 and self.tag[e] not in ("body", "html", "main")
+        }
+
+
+def page_blocks(page: str) -> list[Block]:
+    """Every block with text, in page order."""
+    blocks: list[Block] = []
+    elements = _Elements()
+    stack: list[int] = []
     pieces: list[str] = []
     linked: list[str] = []
     in_link = False
-    furniture = article = 0
 
     def close() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
             words = len(text.split())
             links = len(html.unescape(" ".join(linked)).split())
-            blocks.append((text, min(1.0, links / words), furniture > 0, article > 0))
+            blocks.append(Block(text, min(1.0, links / words), stack[-1] if stack else 0))
         pieces.clear()
         linked.clear()
 
@@ -107,46 +216,35 @@ def page_blocks(page: str) -> list[tuple[str, float, bool, bool]]:
             continue
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
+                if elements.tag[stack[depth]] == tag:
                     del stack[depth:]
                     break
         else:
-            while stack and stack[-1][0] in _SELF_CLOSING.get(tag, ()):
+            while stack and elements.tag[stack[-1]] in _SELF_CLOSING.get(tag, ()):
                 stack.pop()
-            above = stack[-1] if stack else ("", 0, 0)
-            attributes = token.group(4)
-            names = " ".join(
-                (a or b or c).lower() for a, b, c in _NAME_ATTRIBUTE.findall(attributes)
-            )
-            own_article = tag in ("article", "main") or bool(_ARTICLE_NAMES.search(names))
-            own_furniture = (
-                # A header inside an article holds its headline.
-                (tag in _FURNITURE_TAGS and not (tag == "header" and above[2]))
-                or (tag != "body" and bool(_FURNITURE_NAMES.search(names)))
-                or bool(_HIDDEN.search(attributes))
-            )
-            stack.append((tag, above[1] + own_furniture, above[2] + own_article))
-        furniture, article = stack[-1][1:] if stack else (0, 0)
+            stack.append(elements.open(tag, token.group(4), stack[-1] if stack else 0))
     text_until(len(page))
     close()
+    elements.describe(blocks)
     return blocks
 
 
-def block_features(blocks: list[tuple[str, float, bool, bool]]) -> np.ndarray:
+def block_features(blocks: list[Block]) -> np.ndarray:
     """One row of ``FEATURES`` per block; outside the page there are no words and no links."""
     if not blocks:
         return np.zeros((0, len(FEATURES)))
-    words = np.array([len(b[0].split()) for b in blocks], float)
-    links = np.array([b[1] for b in blocks])
+    words = np.array([len(b.text.split()) for b in blocks], float)
+    links = np.array([b.link_density for b in blocks])
     before = lambda x: np.r_[0, x[:-1]]
     after = lambda x: np.r_[x[1:], 0]
-    prose = [float(b[0][-1] in ".!?:;\"'”»…)") for b in blocks]
+    notices = [n <= _NOTICE_WORDS and bool(_NOTICE.search(b.text)) for n, b in zip(words, blocks)]
+    around = [
+        (b.furniture_tags, b.furniture_names, b.in_article, b.in_thread, notice, b.text[-1] in ".!?:;\"'”»…)")
+        for b, notice in zip(blocks, notices)
+    ]
     return np.column_stack(
-        [
-            words, links, before(words), before(links), after(words), after(links),
-            [float(b[2]) for b in blocks], [float(b[3]) for b in blocks], prose,
-        ]
-    )
+        [words, links, before(words), before(links), after(words), after(links), np.array(around, float)]
+    )
 
 
 # The labelled table: pages, and for each of their blocks whether it is main text.
@@ -154,6 +252,8 @@ _SENTENCE = "The river rose again last night and the old bridge had to be closed
 _SHORT = "It opened at noon."
 _LINKS = "<ul><li><a href=/a>Home</a></li><li><a href=/b>World news</a></li></ul>"
 _LONG = " ".join([_SENTENCE] * 4)
+_AUTHOR = "Ann Lee, 3 days ago"
+_RIGHTS = "Copyright 2024 The Daily River and its partners. All rights reserved. Do not reprint."
 LABELLED = [
     # Headline and paragraphs in an article, menu, advert and footer around it.
     (
@@ -229,7 +329,65 @@ LABELLED = [
         "<p>Five words without a mark</p><p>Four words and none</p></article>",
         "11111",
     ),
+    # Paragraphs of an article may be of any length.
+    (
+        f"<article><h1>Flood</h1><p>{_LONG}</p><p>Why?</p><p>{_SENTENCE}</p><p>He left.</p><p>{_LONG}</p>"
+        f"<p>No one came.</p><p>Rain, rain, rain.</p><p>{_LONG}</p><h2>What was lost</h2><p>{_SHORT}</p></article>",
+        "1111111111 1",
+    ),
+    (
+        f"<nav><a href=/a>Start</a> Menu</nav><main><h1>The old bridge</h1><p>Much was lost.</p><p>{_LONG}</p>"
+        "<p>Not all.</p><ul><li>Two boats</li><li>One old mill</li></ul></main><footer>Write to us</footer>",
+        "0 111111 0",
+    ),
+    # Comment lists that only their repeated bylines give away, inside and outside the article.
+    (
+        f"<article><p>{_LONG}</p><p>{_SENTENCE}</p></article><div><div><p>{_AUTHOR}</p><p>{_SENTENCE}</p></div>"
+        f"<div><p>Ben Ash, May 4</p><p>{_LONG}</p></div></div>",
+        "11 0000",
+    ),
+    (
+        f"<article><p>{_LONG}</p><ol><li><div>{_AUTHOR}</div><p>{_LONG}</p></li>"
+        f"<li><div>Ben Ash wrote:</div><p>{_SHORT}</p></li></ol></article>",
+        "1 0000",
+    ),
+    (
+        f"<div><p>{_LONG}</p><p>{_SENTENCE}</p></div><ul><li><div>{_AUTHOR}</div><p>{_LONG}</p></li>"
+        f"<li><div>Ben Ash 10:45</div><p>{_SENTENCE}</p></li></ul>",
+        "11 0000",
+    ),
+    # Names that say what a box is; names that tell a state of an article.
+    (f"<article class='post has-share tag-notices'><p>{_LONG}</p><p>{_SHORT}</p></article>", "11"),
+    (f"<div class='has-nav page'><article><p>{_SENTENCE}</p></article></div>", "1"),
+    (f"<div class='content'><p>{_LONG}</p><div class='adsbox'>{_SENTENCE}</div><p>{_LONG}</p></div>", "101"),
+    (f"<div class='content'><p>{_LONG}</p><div class='adsbox'>{_LONG}</div><p>{_SHORT}</p></div>", "101"),
+    (f"<div><p>{_LONG}</p><p>{_LONG}</p></div><div class='site-promo'><p>{_LONG}</p></div>", "110"),
+    (f"<main><p>{_LONG}</p><ol class='commentlist'><li>{_LONG}</li><li>{_SHORT}</li></ol></main>", "100"),
+    # Notices of rights, long ones too; one inside the article is part of its text.
+    (f"<div>{_LONG}</div><div>{_LONG}</div><div>{_RIGHTS}</div>", "11 0"),
+    (f"<article><p>{_LONG}</p><p>{_RIGHTS}</p></article>", "11"),
+    (f"<main><p>{_RIGHTS}</p><p>{_LONG}</p></main><div>{_RIGHTS}</div>", "11 0"),
+    (f"<div>{_RIGHTS}</div><p>{_LONG}</p><p>{_LONG}</p>", "0 11"),
+    (f"<p>{_LONG}</p><p>{_SENTENCE}</p><p>{_LONG}</p><div>{_RIGHTS} {_SHORT} {_SHORT} {_SHORT}</div>", "111 0"),
+    (f"<div>{_RIGHTS} {_SHORT} {_SHORT} {_SHORT}</div><div>{_LONG}</div><div>{_SENTENCE}</div>", "0 11"),
 ]
+# The same boxes of furniture with texts of any length, before, between and after the text.
+_BOXES = [
+    "nav", "header", "footer", "aside", "form", "div class=sidebar", "div class=comments",
+    "div id=cookie-notice", "section class=related", "div hidden",
+]
+for _box in _BOXES:
+    _tag = _box.split()[0]
+    for _text in (_LONG, _SENTENCE, _SHORT):
+        _furniture = f"<{_box}><p>{_text}</p><p>{_LONG}</p><p>{_text}</p></{_tag}>"
+        _body = f"<p>{_LONG}</p><p>{_SENTENCE}</p><p>{_LONG}</p>"
+        LABELLED += [
+            (f"{_furniture}<div>{_body}</div>", "000 111"),
+            (f"<div>{_body}</div>{_furniture}", "111 000"),
+            (f"<article>{_body}</article>{_furniture}", "111 000"),
+        ]
+        if _tag != "header":
+            LABELLED.append((f"<main>{_body}{_furniture}{_body}</main>", "111 000 111"))
 MAX_DEPTH = 10
 
 
@@ -281,7 +439,7 @@ def main_texts(pages: list[bytes], tree) -> list[str]:
     kept = classify(np.vstack([block_features(b) for b in blocks]), tree)
     out, at = [], 0
     for own in blocks:
-        out.append(" ".join(b[0] for b, k in zip(own, kept[at : at + len(own)]) if k))
+        out.append(" ".join(b.text for b, k in zip(own, kept[at : at + len(own)]) if k))
         at += len(own)
     return out
 

@@ -49,6 +49,37 @@ def test_article_without_furniture(page, expected):
     assert text_of(page) == expected
 
 
+# Names that hold a telling word without being furniture, and furniture of other names.
+PROSE = (
+    "The council met on Tuesday evening to talk about the new library building and its costs. "
+    "Several members asked for a second opinion, and the mayor promised an answer by spring."
+)
+REMARK = "I was there and it was a long night for all of us, but the plan is a good one."
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        (f"<article class='post tag-notices'><p>{PROSE}</p><p>{PROSE}</p></article>", f"{PROSE} {PROSE}"),
+        (f"<article class='has-share'><p>{PROSE}</p></article>", PROSE),
+        (f"<div class='has-nav page'><article><p>{PROSE}</p></article></div>", PROSE),
+        (f"<div class='sidebar-left layout'><main><p>{PROSE}</p></main></div>", PROSE),
+        (f"<article><p>{PROSE}</p></article><ol class='commentlist'><li>{REMARK}</li></ol>", PROSE),
+        (
+            f"<article><p>{PROSE}</p></article><div id='discussion'><div><p>Eve Moss, 2 hours ago</p>"
+            f"<p>{REMARK}</p></div><div><p>Tom Hill, 2024-03-01</p><p>{REMARK}</p></div></div>",
+            PROSE,
+        ),
+        (f"<div class='content'><p>{PROSE}</p><div class='adsbox'>{REMARK}</div><p>{PROSE}</p></div>", f"{PROSE} {PROSE}"),
+        (f"<div><p>{PROSE}</p><p>{PROSE}</p></div><div>Copyright 2024 Town Paper. All rights reserved.</div>", f"{PROSE} {PROSE}"),
+        (f"<ol class='comment-list'><li><article class='comment'><p>{REMARK}</p></article></li></ol>", ""),
+        (f"<article><p>Copyright law is old. {PROSE}</p></article>", f"Copyright law is old. {PROSE}"),
+    ],
+)
+def test_names_do_not_decide_alone(page, expected):
+    assert text_of(page) == expected
+
+
 def test_given_pages_keep_the_article(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     found = {r["page_id"]: r for r in extract_text(pages).collect()}
