@@ -14,17 +14,25 @@ REDACTION = "redaction"
 TOKEN_HEX_DIGITS = 8
 
 
+def digest_of(matched_text: Column, salt: str = "") -> Column:
+    """All digits of a value's SHA-256."""
+    return F.sha2(F.concat(F.lit(salt), matched_text) if salt else matched_text, 256)
+
+
+def token_of(pii_type: Column, digits: Column) -> Column:
+    """``[TYPE_xxxxxxxx]``."""
+    return F.concat(F.lit("["), pii_type, F.lit("_"), digits, F.lit("]"))
+
+
 def pseudo_token(
     pii_type: Column, matched_text: Column, hex_digits: int = TOKEN_HEX_DIGITS, salt: str = ""
 ) -> Column:
     """``[TYPE_xxxxxxxx]`` from the SHA-256 of the matched text.
 
     The same value gets the same token everywhere. ``hex_digits`` widens the
-    token where 32 bits collide; ``salt`` makes guessing values harder.
+    token where 32 bits collide (``token_table`` widens only those); ``salt`` makes guessing values harder.
     """
-    hashed = F.concat(F.lit(salt), matched_text) if salt else matched_text
-    digest = F.substring(F.sha2(hashed, 256), 1, hex_digits)
-    return F.concat(F.lit("["), pii_type, F.lit("_"), digest, F.lit("]"))
+    return token_of(pii_type, F.substring(digest_of(matched_text, salt), 1, hex_digits))
 
 
 def redact_token(pii_type: Column) -> Column:

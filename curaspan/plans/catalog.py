@@ -17,6 +17,7 @@ from curaspan.operators import ingest, lineage, profile, quality
 from curaspan.operators.anonymize import anonymize
 from curaspan.operators.detect import detect_candidates, detect_pii, explode_detections
 from curaspan.operators.entities import with_entities
+from curaspan.operators.token_table import token_table
 from curaspan.plans import views
 from curaspan.plans.pipeline import ingest_all, ingest_report, run_pipeline
 from curaspan.schemas import UNIFIED_COLUMNS
@@ -128,6 +129,17 @@ def anonymization_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_log(_anonymized(spark, sf_dir))
 
 
+# So few digits that tokens collide on tables of any size.
+SHORT_TOKEN_DIGITS = 3
+
+
+def unique_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with tokens of three digits, colliding ones lengthened."""
+    detected = views.curated(spark, sf_dir)
+    tokens = token_table(detected, hex_digits=SHORT_TOKEN_DIGITS)
+    return _flat_log(detected.transform(anonymize(hex_digits=SHORT_TOKEN_DIGITS, tokens=tokens)))
+
+
 def token_referential_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _flat_log(views.curated(spark, sf_dir))
@@ -574,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "anonymized_text": anonymized_text,
     "anonymization_log": anonymization_log,
     "token_referential_counts": token_referential_counts,
+    "unique_tokens": unique_tokens,
     "quality_scores": quality_scores,
     "quality_statistics": quality_statistics,
     "quality_report_file": quality_report_file,

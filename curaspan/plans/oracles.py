@@ -463,6 +463,21 @@ SELECT record_id, anonymized_text, pii_count AS anonymization_count, strategies
     "anonymization_log": f"""{_ANONYMIZED}
 SELECT record_id, matched_text AS original_text, replacement, pii_type, strategy, span_start, span_end
 FROM tokens""",
+    "unique_tokens": f"""{_ANONYMIZED},
+digests AS (
+  SELECT *, lag(d) OVER near AS before, lead(d) OVER near AS after
+  FROM (SELECT DISTINCT pii_type, matched_text, sha256(matched_text) AS d FROM tokens
+        WHERE strategy = 'pseudonymization')
+  WINDOW near AS (PARTITION BY pii_type, substr(d, 1, 3) ORDER BY d)
+),
+lengths AS (
+  SELECT *, list_max([n FOR n IN range(3, 65)
+                      IF n = 3 OR d[1:n - 1] = before[1:n - 1] OR d[1:n - 1] = after[1:n - 1]]) AS digits
+  FROM digests
+)
+SELECT record_id, t.matched_text AS original_text, t.pii_type, strategy, span_start, span_end,
+       CASE WHEN d IS NULL THEN replacement ELSE '[' || t.pii_type || '_' || d[1:digits] || ']' END AS replacement
+FROM tokens t LEFT JOIN lengths l ON t.pii_type = l.pii_type AND t.matched_text = l.matched_text""",
     "token_referential_counts": f"""{_ANONYMIZED}
 SELECT replacement, strategy, count(*) AS spans, count(DISTINCT matched_text) AS originals,
        count(DISTINCT record_id) AS records
