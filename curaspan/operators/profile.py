@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curaspan.functions.times import print_for_tag
+from curaspan.operators.quantiles import quantiles
 from curaspan.schemas import SCORE_COLUMNS
 
 # Threshold of a good record, threshold of a weak record, share of
@@ -134,6 +135,25 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def describe_continuous(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
+    """``describe`` for a column of many different values; NaN counts as NULL.
+
+    Counts per value would be as many as the rows. The quartiles are exact as well, or
+    with ``approximate`` those of one pass over a sketch.
+    """
+    value = F.col(column).cast("double")
+    value = F.when(~F.isnan(value), value)
+    quartiles = quantiles(df, column, (0.25, 0.5, 0.75), approximate)
+    return df.agg(
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        *[F.lit(q).cast("double").alias(name) for q, name in zip(quartiles, ("q25", "q50", "q75"))],
+        F.max(value).alias("max"),
+    )
+
+
 def quality_histogram(df: DataFrame, bins: int = SCORE_BINS) -> DataFrame:
     """Records per equal-width score bin between the smallest and the largest score.
 
@@ -203,20 +223,25 @@ def box_statistics(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     boxes = counts.groupBy("source_format").agg(
         F.percentile(score, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"),
         (F.sum(F.when(score >= threshold, F.col("n")).otherwise(0)) / F.sum("n") * 100.0).alias("pct_above"),
-        F.collect_list(score).alias("scores"),
     )
     q1, q3 = F.get("q", F.lit(0)), F.get("q", F.lit(2))
     reach = 1.5 * (q3 - q1)
-    inside = F.filter("scores", lambda s: (s >= q1 - reach) & (s <= q3 + reach))
-    return boxes.select(
-        "source_format",
-        q1.alias("q25"),
-        F.get("q", F.lit(1)).alias("median"),
-        q3.alias("q75"),
-        F.array_min(inside).alias("whisker_low"),
-        F.array_max(inside).alias("whisker_high"),
-        "pct_above",
-    ).orderBy("median", "source_format")
+    inside = F.when((score >= q1 - reach) & (score <= q3 + reach), score)
+    return (
+        counts.join(boxes, "source_format")
+        .groupBy("source_format", "q", "pct_above")
+        .agg(F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"))
+        .select(
+            "source_format",
+            q1.alias("q25"),
+            F.get("q", F.lit(1)).alias("median"),
+            q3.alias("q75"),
+            "whisker_low",
+            "whisker_high",
+            "pct_above",
+        )
+        .orderBy("median", "source_format")
+    )
 
 
 def dimension_means(df: DataFrame) -> DataFrame:

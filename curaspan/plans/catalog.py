@@ -572,6 +572,11 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_format.join(logged, "source_format").withColumn("records_processed", told.scalar())
 
 
+def price_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices, nearly all of them different, with exact quartiles."""
+    return _rounded(profile.describe_continuous(views.table(spark, sf_dir, "lineitem"), "l_extendedprice"))
+
+
 def _on_curated(operator: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _rounded(operator(views.curated(spark, sf_dir)))
@@ -633,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "pii_describe": _on_curated(lambda df: profile.describe(df, "pii_count")),
     "quality_histogram": _on_curated(profile.quality_histogram),
     "quality_describe": _on_curated(lambda df: profile.describe(df, "quality_score")),
+    "price_describe": price_describe,
     "above_threshold": _on_curated(profile.above_threshold),
     "box_statistics": _on_curated(profile.box_statistics),
     "dimension_means": _on_curated(profile.dimension_means),

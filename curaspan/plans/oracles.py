@@ -463,6 +463,11 @@ SELECT record_id, anonymized_text, pii_count AS anonymization_count, strategies
     "anonymization_log": f"""{_ANONYMIZED}
 SELECT record_id, matched_text AS original_text, replacement, pii_type, strategy, span_start, span_end
 FROM tokens""",
+    "price_describe": """
+SELECT count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min,
+       round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
+       round(quantile_cont(v, 0.75), 6) AS q75, round(max(v), 6) AS max
+FROM (SELECT l_extendedprice::DOUBLE AS v FROM lineitem)""",
     "unique_tokens": f"""{_ANONYMIZED},
 digests AS (
   SELECT *, lag(d) OVER near AS before, lead(d) OVER near AS after
