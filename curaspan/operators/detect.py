@@ -14,6 +14,7 @@ from curaspan.functions.spans import (
     empty_array,
     find_spans,
     resolve_overlaps,
+    union_overlaps,
 )
 
 # Entity labels that are reported, with their confidence.
@@ -102,22 +103,33 @@ def detect_pii(
     text_col: str = "text",
     patterns: Sequence[PiiPattern] = DEFAULT_PATTERNS,
     entities: Callable[[Column], Column] | Column | None = None,
+    overlaps: str = "best",
 ) -> Callable[[DataFrame], DataFrame]:
     """Add the five detection columns: spans, their types, flag, count, top confidence.
 
     Of overlapping matches the one with the higher confidence stays, a pattern
-    before an entity at equal confidence. NULL text counts as empty.
+    before an entity at equal confidence. NULL text counts as empty. With
+    ``overlaps="union"`` overlapping matches become one span over all of them, with the
+    type of the best.
     """
+    if overlaps not in ("best", "union"):
+        raise ValueError("overlaps must be 'best' or 'union'.")
+    settle = resolve_overlaps if overlaps == "best" else union_overlaps
+
+    def covered(c: Column) -> Column:
+        length = c["end"] - c["start"]
+        text = F.substring(F.col(text_col).cast("string"), c["start"] + 1, length)
+        return F.when(F.length(c["matched_text"]) == length, c["matched_text"]).otherwise(text)
 
     def apply(df: DataFrame) -> DataFrame:
         resolved = df.transform(
             detect_candidates(text_col, patterns, entities, output="__candidates")
-        ).transform(resolve_overlaps, "__candidates", "__kept")
+        ).transform(settle, "__candidates", "__kept")
         detections = F.transform(
             F.col("__kept"),
             lambda c: F.struct(
                 *[
-                    c[name].alias(name)
+                    (covered(c) if (name, overlaps) == ("matched_text", "union") else c[name]).alias(name)
                     for name in ("pii_type", "matched_text", "start", "end", "confidence", "layer")
                 ]
             ),

@@ -17,6 +17,7 @@ from curaspan.operators import ingest, lineage, profile, quality
 from curaspan.operators.anonymize import anonymize
 from curaspan.operators.detect import detect_candidates, detect_pii, explode_detections
 from curaspan.operators.entities import with_entities
+from curaspan.operators.residual import anonymize_fully
 from curaspan.operators.token_table import token_table
 from curaspan.plans import views
 from curaspan.plans.pipeline import ingest_all, ingest_report, run_pipeline
@@ -577,6 +578,19 @@ def price_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile.describe_continuous(views.table(spark, sf_dir, "lineitem"), "l_extendedprice"))
 
 
+def residual_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per format what was masked with whole overlaps, and what is found in the result."""
+    masked = views.records(spark, sf_dir).transform(anonymize_fully())
+    lengths = F.transform("pii_detections", lambda s: s["end"] - s["start"])
+    left = masked.transform(detect_candidates("anonymized_text"))
+    return left.groupBy("source_format").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum(_long("pii_count")).alias("spans"),
+        F.sum(_long(F.aggregate(lengths, F.lit(0), lambda a, b: a + b))).alias("masked_characters"),
+        F.sum(_long(F.size("pii_candidates"))).alias("residual_left"),
+    )
+
+
 def _on_curated(operator: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _rounded(operator(views.curated(spark, sf_dir)))
@@ -592,6 +606,7 @@ QUERIES: dict[str, Query] = {
     "anonymization_log": anonymization_log,
     "token_referential_counts": token_referential_counts,
     "unique_tokens": unique_tokens,
+    "residual_report": residual_report,
     "quality_scores": quality_scores,
     "quality_statistics": quality_statistics,
     "quality_report_file": quality_report_file,

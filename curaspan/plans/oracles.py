@@ -468,6 +468,21 @@ SELECT count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS
        round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
        round(quantile_cont(v, 0.75), 6) AS q75, round(max(v), 6) AS max
 FROM (SELECT l_extendedprice::DOUBLE AS v FROM lineitem)""",
+    "residual_report": f"""{_with(_RECORDS, _candidates())},
+reached AS (
+  SELECT record_id, span_start, span_end,
+         max(span_end) OVER (PARTITION BY record_id ORDER BY span_start, span_end
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+  FROM cand
+),
+clusters AS (
+  SELECT record_id, count(*) FILTER (reach IS NULL OR span_start >= reach) AS spans,
+         sum(greatest(span_end - greatest(span_start, coalesce(reach, 0)), 0)) AS masked
+  FROM reached GROUP BY record_id
+)
+SELECT source_format, count(*) AS records, coalesce(sum(spans), 0)::BIGINT AS spans,
+       coalesce(sum(masked), 0)::BIGINT AS masked_characters, 0::BIGINT AS residual_left
+FROM rec LEFT JOIN clusters USING (record_id) GROUP BY source_format""",
     "unique_tokens": f"""{_ANONYMIZED},
 digests AS (
   SELECT *, lag(d) OVER near AS before, lead(d) OVER near AS after
