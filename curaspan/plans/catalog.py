@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from curaspan.functions.patterns import PiiPattern
 from curaspan.functions.times import print_iso
-from curaspan.operators import ingest, lineage, profile, quality
+from curaspan.operators import ingest, lineage, profile, quality, run_history
 from curaspan.operators.anonymize import anonymize
 from curaspan.operators.detect import detect_candidates, detect_pii, explode_detections
 from curaspan.operators.entities import with_entities
@@ -30,7 +30,13 @@ from curaspan.sources.readers import (
     read_tabular,
     read_tabular_raw,
 )
-from curaspan.sources.writers import write_curated, write_lineage, write_lineage_summary, write_report
+from curaspan.sources.writers import (
+    write_curated,
+    write_lineage,
+    write_lineage_summary,
+    write_report,
+    write_run_entry,
+)
 from curaspan.streaming.curate import start_curation
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,6 +278,57 @@ def lineage_summary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_summary(spark.read.schema(summary.schema).json(path))
 
 
+def _overlapping_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of three runs over parts of the curated table that share records."""
+    saved = views.curated(spark, sf_dir)
+    path = scratch_path(spark, "lineage_runs")
+    parts = ("source_format <> 'plaintext'", "source_format <> 'slack'", "has_pii")
+    for day, part in enumerate(parts, 1):
+        entry = run_history.run_entry(saved.where(part), f"2023090{day}{RUN_ID[8:]}", "lineage_log.jsonl")
+        write_run_entry(entry, path)
+    return spark.read.parquet(path)
+
+
+def lineage_runs_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct records over the runs of a log, from their sketches."""
+    total = run_history.runs_summary(_overlapping_runs(spark, sf_dir))
+    return total.select("log_file", "runs", "total_events", "records", "records_exact")
+
+
+def lineage_records_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each run of a log adds to the runs before it."""
+    return run_history.records_added(_overlapping_runs(spark, sf_dir))
+
+
+def lineage_run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run ids and times as a run without given ones stamps them, read from its log."""
+    events = lineage.lineage_events(views.curated(spark, sf_dir), lineage.new_run_id())
+    log = spark.read.schema(_EVENT_FIELDS).json(write_lineage(events, scratch_path(spark, "lineage_stamps")))
+    stamp = F.coalesce("ingestion_timestamp", "detection_timestamp", "anonymization_timestamp")
+    return log.groupBy("event").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_distinct("run_id").alias("run_ids"),
+        F.bool_and(F.col("run_id").rlike("^[0-9]{8}_[0-9]{6}_[0-9a-f]{8}$")).alias("well_formed"),
+        F.count_distinct(F.try_to_timestamp(stamp)).alias("stamps"),
+    )
+
+
+def report_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report refuses records that were never scored, and takes them once they are."""
+    unscored = views.curated(spark, sf_dir).drop("quality_score")
+    try:
+        quality.quality_report(unscored)
+        refused = ""
+    except ValueError as error:
+        refused = str(error).split("'")[1]
+    report = quality.quality_report(unscored.transform(quality.score_quality))
+    return report.select(
+        F.lit(refused).alias("refused_without"),
+        F.col("record_count").alias("records"),
+        _six("mean_quality_score").alias("mean_quality_score"),
+    )
+
+
 def _flat_summary(summary: DataFrame) -> DataFrame:
     return summary.select("run_id", "total_events", "events_by_type.*", "records_processed", "log_file")
 
@@ -619,6 +676,10 @@ QUERIES: dict[str, Query] = {
     "lineage_event_counts": lineage_event_counts,
     "lineage_summary": lineage_summary,
     "lineage_summary_file": lineage_summary_file,
+    "lineage_runs_total": lineage_runs_total,
+    "lineage_records_added": lineage_records_added,
+    "lineage_run_stamps": lineage_run_stamps,
+    "report_guard": report_guard,
     "csv_dedup_repair": csv_dedup_repair,
     "csv_metadata": csv_metadata,
     "csv_records_across_splits": csv_records_across_splits,

@@ -252,6 +252,18 @@ SELECT '{RUN_ID}' AS run_id, count(*) AS total_events,
        count(DISTINCT record_id) AS records_processed, 'lineage_log.jsonl' AS log_file
 FROM events_log"""
 
+# Three runs over parts of the curated table; the run id of each starts with its day.
+_RUNS = f"""runs AS (
+  SELECT 1 AS day, * FROM scored WHERE source_format <> 'plaintext'
+  UNION ALL SELECT 2, * FROM scored WHERE source_format <> 'slack'
+  UNION ALL SELECT 3, * FROM scored WHERE has_pii
+), per_run AS (
+  SELECT '2023090' || day || '{RUN_ID[8:]}' AS run_id, day, sum(3 + pii_count)::BIGINT AS total_events,
+         count(DISTINCT record_id) AS records_processed
+  FROM runs GROUP BY day
+), first_run AS (SELECT record_id, min(day) AS day FROM runs GROUP BY record_id)"""
+_RUN_TABLES = _with(_RECORDS, _spans(), _TOKENS, _SUMMARY, _PIECES, _SCORED, _RUNS)
+
 _TICKETS = r"""tickets AS (
   SELECT CASE WHEN l_discount = 0 THEN '' ELSE l_orderkey::VARCHAR END AS record_id,
          CASE WHEN l_tax = 0 THEN '' ELSE 'Supplier ' || l_suppkey END AS assignee_name,
@@ -560,6 +572,19 @@ FROM scored""",
     "lineage_event_counts": f"{_AUDITED} SELECT event, count(*) AS events FROM events_log GROUP BY event",
     "lineage_summary": _LINEAGE_SUMMARY,
     "lineage_summary_file": _LINEAGE_SUMMARY,
+    "lineage_runs_total": f"""{_RUN_TABLES}
+SELECT 'lineage_log.jsonl' AS log_file, count(*) AS runs, sum(total_events)::BIGINT AS total_events,
+       (SELECT count(*) FROM first_run) AS records, records <= 65536 AS records_exact FROM per_run""",
+    "lineage_records_added": f"""{_RUN_TABLES}
+SELECT 'lineage_log.jsonl' AS log_file, run_id, total_events, records_processed,
+       (SELECT count(*) FROM first_run f WHERE f.day = p.day) AS new_records FROM per_run p""",
+    "lineage_run_stamps": f"""{_AUDITED}
+SELECT event, count(*) AS events, 1 AS run_ids, true AS well_formed,
+       CASE event WHEN 'quality_scored' THEN 0 ELSE 1 END AS stamps
+FROM events_log GROUP BY event""",
+    "report_guard": f"""{_CURATED}
+SELECT 'quality_score' AS refused_without, count(*) AS records,
+       round(avg(quality_score), 6) AS mean_quality_score FROM scored""",
     "csv_dedup_repair": f"""{_with(_TICKETS)}
 SELECT shown_id AS record_id, 'csv' AS source_format, {_DUE_ISO} AS timestamp, text, count(*) AS n
 FROM kept_tickets GROUP BY ALL""",

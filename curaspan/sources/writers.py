@@ -1,4 +1,4 @@
-"""Write the curated table, the lineage log with its summary, and the quality report."""
+"""Write the curated table, the lineage log with its summary and runs, and the quality report."""
 
 from __future__ import annotations
 
@@ -42,6 +42,12 @@ def write_lineage_summary(summary: DataFrame, path: str, mode: str = "overwrite"
     return path
 
 
+def write_run_entry(entry: DataFrame, path: str) -> str:
+    """Add the row of a run to the table of runs; rows of earlier runs always stay."""
+    entry.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def write_report(report: DataFrame, path: str) -> str:
     """The one-row report as indented JSON."""
     (
