@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from curaspan.operators.entities import with_entities
 from curaspan.operators.residual import anonymize_fully
 from curaspan.operators.token_table import token_table
 from curaspan.plans import views
+from curaspan.plans.manifest import FINISHED, STARTED, Manifest
 from curaspan.plans.pipeline import ingest_all, ingest_report, run_pipeline
 from curaspan.schemas import UNIFIED_COLUMNS
 from curaspan.session import prepare, scratch_path
@@ -630,6 +633,36 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_format.join(logged, "source_format").withColumn("records_processed", told.scalar())
 
 
+def pipeline_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that breaks at its report, gone on with by a second start: what each stage did, and the log."""
+    out = scratch_path(spark, "resume")
+    settings = {
+        "sources": {
+            views.ticket_files(spark, sf_dir): ingest.TABULAR_FORMAT,
+            views.block_files(spark, sf_dir): ingest.BLOCK_FORMAT,
+        },
+        "lineage_dir": f"{out}/lineage",
+        "lineage_mode": "append",
+        "quality_report_path": f"{out}/report.json",
+        "parquet_path": f"{out}/curated.parquet",
+        "rejects_path": f"{out}/rejects.parquet",
+        "manifest_dir": f"{out}/manifest",
+    }
+    try:
+        run_pipeline(spark, {**settings, "quality_report_path": "nostore://report.json"})
+    except (PySparkException, Py4JJavaError):
+        pass
+    summary = run_pipeline(spark, settings)
+    log = spark.read.schema(_EVENT_FIELDS).json(summary["lineage_log_path"])
+    logged = log.agg(F.count(F.lit(1)).alias("events"))
+    runs = log.agg(F.count_distinct("run_id").alias("run_ids"))
+    steps = Manifest(spark, settings["manifest_dir"]).entries().groupBy("stage").agg(
+        F.count_if(F.col("state") == STARTED).alias("started"),
+        F.count_if(F.col("state") == FINISHED).alias("finished"),
+    )
+    return steps.withColumns({"events": logged.scalar(), "run_ids": runs.scalar()})
+
+
 def price_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices, nearly all of them different, with exact quartiles."""
     return _rounded(profile.describe_continuous(views.table(spark, sf_dir, "lineitem"), "l_extendedprice"))
@@ -706,6 +739,7 @@ QUERIES: dict[str, Query] = {
     "two_layer_spans": two_layer_spans,
     "streaming_curation": streaming_curation,
     "pipeline_run": pipeline_run,
+    "pipeline_resume": pipeline_resume,
     "column_profile": _on_curated(profile.column_profile),
     "records_per_format": _on_curated(profile.records_per_format),
     "pii_rate": _on_curated(profile.pii_rate),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import time
 from collections.abc import Callable, Mapping
@@ -10,9 +11,10 @@ from functools import reduce
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from curaspan.operators.anonymize import anonymize
 from curaspan.operators.detect import detect_pii
@@ -27,6 +29,8 @@ from curaspan.operators.ingest import (
 )
 from curaspan.operators.lineage import lineage_events, new_run_id, now_iso, summary_of_records
 from curaspan.operators.quality import quality_report, run_totals, score_quality
+from curaspan.operators.run_history import run_entry
+from curaspan.plans.manifest import Manifest, combined, files_fingerprint, table_fingerprint
 from curaspan.session import prepare, scratch_path
 from curaspan.sources.readers import (
     LoadedSource,
@@ -41,6 +45,7 @@ from curaspan.sources.writers import (
     write_lineage,
     write_lineage_summary,
     write_report,
+    write_run_entry,
 )
 
 Reader = Callable[[SparkSession, str | list[str]], LoadedSource]
@@ -65,6 +70,7 @@ LINEAGE_FILE = "lineage_log"
 
 
 REJECTS = "source string, source_file string, raw string"
+_TABLES = ("records", "rejects", "counters")
 
 
 @dataclass(frozen=True)
@@ -79,6 +85,10 @@ class Ingested:
     failures: list[str] = field(default_factory=list)
     rejects: DataFrame | None = None
     counters: DataFrame | None = None
+    # Of the sources and how they were read; None if that cannot be told.
+    fingerprint: str | None = None
+    # Sources taken from the tables of an earlier run.
+    resumed: list[str] = field(default_factory=list)
 
     @property
     def violations(self) -> DataFrame:
@@ -89,25 +99,29 @@ def _union(frames: list[DataFrame]) -> DataFrame | None:
     return reduce(DataFrame.unionByName, frames) if frames else None
 
 
-def _staged(spark: SparkSession, loaded: LoadedSource) -> LoadedSource:
-    """The tables of a source, written in jobs of their own and read again.
+def _stage(spark: SparkSession, loaded: LoadedSource) -> dict[str, Any]:
+    """Write the tables of a source in jobs of their own; returns where they are.
 
     What cannot be read fails here, where it can be told which source it was.
     """
-
-    def stage(df: DataFrame | None, name: str) -> DataFrame | None:
-        if df is None:
-            return None
-        path = scratch_path(spark, f"ingest-{name}")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return LoadedSource(
-        stage(loaded.records, "records"),
-        stage(loaded.rejects, "rejects"),
-        stage(loaded.counters, "counters"),
-        loaded.failures,
-    )
+    tables: dict[str, Any] = {"failures": loaded.failures}
+    for name in _TABLES:
+        df = getattr(loaded, name)
+        if df is not None:
+            path = scratch_path(spark, f"ingest-{name}")
+            df.write.parquet(path)
+            tables[name] = {"path": path, "schema": df.schema.json()}
+    return tables
+
+
+def _read_staged(spark: SparkSession, tables: Mapping[str, Any]) -> LoadedSource:
+    """A source from its staged tables. Raises an AnalysisException where they are gone."""
+    found = {}
+    for name in _TABLES:
+        if name in tables:
+            schema = StructType.fromJson(json.loads(tables[name]["schema"]))
+            found[name] = spark.read.schema(schema).parquet(tables[name]["path"])
+    return LoadedSource(**found, failures=list(tables["failures"]))
 
 
 def _unreadable_file(error: Exception) -> str | None:
@@ -122,8 +136,8 @@ def _plain(uri: str) -> str:
 
 def _read_by_file(
     spark: SparkSession, path: str, reader: Reader, staged: bool
-) -> tuple[LoadedSource, list[str]]:
-    """The source without the files that cannot be read, and what was left out.
+) -> tuple[LoadedSource, list[str], dict[str, Any] | None]:
+    """The source without the files that cannot be read, what was left out, and its staged tables.
 
     Nothing is listed as long as all goes well. Each file that breaks costs one more
     attempt over the others; what has been read of it is not kept.
@@ -133,7 +147,8 @@ def _read_by_file(
     while True:
         try:
             source = reader(spark, at)
-            return (_staged(spark, source) if staged else source), left_out
+            tables = _stage(spark, source) if staged else None
+            return (_read_staged(spark, tables) if tables else source), left_out, tables
         except (PySparkException, Py4JJavaError) as error:
             broken = _unreadable_file(error)
             files = spark.read.text(at).inputFiles() if broken else []
@@ -144,25 +159,55 @@ def _read_by_file(
             at = [as_path(f) for f in rest]
 
 
+def _read_or_resume(
+    spark: SparkSession, path: str, reader: Reader, staged: bool, manifest: Manifest | None, fingerprint: str | None
+) -> tuple[LoadedSource, list[str], bool]:
+    """The source, what was left out of it, and whether it comes from the tables of an earlier run."""
+    if manifest is None:
+        source, left_out, _ = _read_by_file(spark, path, reader, staged)
+        return source, left_out, False
+    known = manifest.finished("ingest", path, fingerprint)
+    if known is not None:
+        try:
+            return _read_staged(spark, known["tables"]), known["left_out"], True
+        except AnalysisException:
+            pass  # The scratch folder has been emptied since.
+    manifest.start("ingest", path, fingerprint)
+    source, left_out, tables = _read_by_file(spark, path, reader, staged=True)
+    manifest.finish("ingest", path, fingerprint, tables=tables, left_out=left_out)
+    return source, left_out, False
+
+
 def ingest_all(
-    spark: SparkSession, sources: Mapping[str, str | Reader], staged: bool = False
+    spark: SparkSession,
+    sources: Mapping[str, str | Reader],
+    staged: bool = False,
+    manifest: Manifest | None = None,
+    multiline: bool = True,
 ) -> Ingested:
     """Read every source; what cannot be read is noted and skipped.
 
     ``sources`` maps a path to a format name or to a reader function. With ``staged``
     every source is read once, right away, into the scratch folder. A file that breaks
     while it is read is left out and named; the other files of its source stay, and so
-    do the other sources.
+    do the other sources. With a ``manifest`` (always staged), sources that an earlier run
+    read whole and whose files are the same since are taken from its tables; those of a
+    reader function are always read again, since what it does cannot be told.
     """
-    loaded, rejects, failures = [], [], []
+    loaded, rejects, failures, prints, resumed = [], [], [], [], []
     for path, kind in sources.items():
-        reader = READERS[kind] if isinstance(kind, str) else kind
+        reader = _reader(kind, multiline)
+        fingerprint = None
+        if manifest is not None and isinstance(kind, str):
+            fingerprint = combined(path, kind, multiline, files_fingerprint(spark, path))
+        prints.append(fingerprint)
         try:
-            source, left_out = _read_by_file(spark, path, reader, staged)
+            source, left_out, old = _read_or_resume(spark, path, reader, staged, manifest, fingerprint)
         except (PySparkException, Py4JJavaError, ValueError) as error:
             failures.append(f"{path}: load error: {str(error).splitlines()[0]}")
             continue
         loaded.append(source)
+        resumed += [path] if old else []
         failures += [f"{path}: {failure}" for failure in [*left_out, *source.failures]]
         if source.rejects is not None:
             rejects.append(source.rejects.select(F.lit(path).alias("source"), "source_file", "raw"))
@@ -171,6 +216,8 @@ def ingest_all(
         failures=failures,
         rejects=_union(rejects),
         counters=_union([s.counters for s in loaded if s.counters is not None]),
+        fingerprint=combined(*prints),
+        resumed=resumed,
     )
 
 
@@ -220,12 +267,31 @@ def curate(records: DataFrame, entity_dictionary: DataFrame | None = None) -> Da
     return detected.transform(anonymize()).transform(score_quality)
 
 
-def _with_multiline(kind: str | Reader, multiline: bool) -> str | Reader:
-    """The reader of a format that has a choice, with the configured one."""
+def _reader(kind: str | Reader, multiline: bool) -> Reader:
+    """The reader of a format, or the given one. Two formats have a choice of ``multiline``."""
+    if not isinstance(kind, str):
+        return kind
+    reader = READERS[kind]
     if kind in (CHAT_FORMAT, TABULAR_FORMAT) and not multiline:
-        reader = READERS[kind]
         return lambda spark, path: reader(spark, path, multiline=False)
-    return kind
+    return reader
+
+
+def _exists(spark: SparkSession, parquet_path: str) -> bool:
+    try:
+        read_curated(spark, parquet_path)
+    except AnalysisException:
+        return False
+    return True
+
+
+def _logged(spark: SparkSession, log_path: str, run_id: str) -> bool:
+    """Whether the log has events of a run. Spark commits a log whole or not at all."""
+    mark = json.dumps(run_id, ensure_ascii=False)
+    try:
+        return not spark.read.text(log_path).where(F.contains("value", F.lit(f'"run_id":{mark}'))).isEmpty()
+    except AnalysisException:
+        return False
 
 
 def run_pipeline(spark: SparkSession, config: Mapping[str, Any]) -> dict[str, Any]:
@@ -238,49 +304,70 @@ def run_pipeline(spark: SparkSession, config: Mapping[str, Any]) -> dict[str, An
     is written next, and log, report and totals are computed from the written table:
     detection runs once, and all outputs agree. Rows that could not be read are
     written beside the curated table.
+
+    With ``manifest_dir`` a run notes what it has finished. The next start with the same
+    folder takes sources that have not changed, and the curated table made of them, as they
+    are (``resumed`` in the summary names them). A run that broke is gone on with under its
+    own run id, and its events are never logged twice.
     """
     started = time.perf_counter()
     prepare(spark)
     settings = {**DEFAULT_CONFIG, **config}
     threshold = float(settings["quality_threshold"])
-    run_id = settings.get("run_id") or new_run_id()
+    dictionary = settings.get("entity_dictionary")
+    nested_as_json = bool(settings.get("nested_as_json", False))
+    lineage_mode = settings.get("lineage_mode", "overwrite")
+    parquet_path = settings["parquet_path"]
+    log_path = f"{settings['lineage_dir'].rstrip('/')}/{LINEAGE_FILE}.jsonl"
+    manifest = Manifest(spark, settings["manifest_dir"]) if settings.get("manifest_dir") else None
+
+    times = {"ingestion_timestamp": now_iso()}
+    ingested = ingest_all(
+        spark, settings["sources"], staged=True, manifest=manifest, multiline=bool(settings["multiline"])
+    )
+    resumed = list(ingested.resumed)
+    curated_print = run_print = None
+    if manifest is not None:
+        words = "" if dictionary is None else table_fingerprint(dictionary)
+        curated_print = combined(ingested.fingerprint, words, nested_as_json)
+        run_print = combined(curated_print, parquet_path, threshold, lineage_mode)
+    broken = manifest.broken("run", log_path, run_print) if manifest is not None else None
+    run_id = settings.get("run_id") or (broken or {}).get("run_id") or new_run_id()
+    if manifest is not None:
+        manifest.start("run", log_path, run_print, run_id=run_id)
 
-    ingestion_timestamp = now_iso()
-    sources = {
-        path: _with_multiline(kind, bool(settings["multiline"]))
-        for path, kind in settings["sources"].items()
-    }
-    ingested = ingest_all(spark, sources, staged=True)
     rejects = ingested.rejects
     if rejects is None:
         rejects = spark.createDataFrame([], REJECTS)
     rejects.write.mode("overwrite").parquet(settings["rejects_path"])
     report = ingest_report(ingested)
-    detection_timestamp = now_iso()
-    curated = curate(ingested.records, settings.get("entity_dictionary"))
-    parquet_path = write_curated(
-        curated, settings["parquet_path"], bool(settings.get("nested_as_json", False))
-    )
+    known = manifest.finished("curate", parquet_path, curated_print) if manifest is not None else None
+    if known is None or not _exists(spark, parquet_path):
+        times["detection_timestamp"] = now_iso()
+        if manifest is not None:
+            manifest.start("curate", parquet_path, curated_print)
+        write_curated(curate(ingested.records, dictionary), parquet_path, nested_as_json)
+        times["anonymization_timestamp"] = now_iso()
+        if manifest is not None:
+            manifest.finish("curate", parquet_path, curated_print, times=times)
+    else:
+        times = known["times"]
+        resumed.append(parquet_path)
     saved = read_curated(spark, parquet_path)
 
-    log_path = f"{settings['lineage_dir'].rstrip('/')}/{LINEAGE_FILE}.jsonl"
-    events = lineage_events(
-        saved,
-        run_id,
-        threshold,
-        ingestion_timestamp=ingestion_timestamp,
-        detection_timestamp=detection_timestamp,
-        anonymization_timestamp=now_iso(),
-    )
-    write_lineage(events, log_path, settings.get("lineage_mode", "overwrite"))
-    write_lineage_summary(
-        summary_of_records(saved, run_id, log_path),
-        f"{settings['lineage_dir'].rstrip('/')}/{LINEAGE_FILE}_summary.json",
-        settings.get("lineage_mode", "overwrite"),
-    )
+    summary_path = f"{settings['lineage_dir'].rstrip('/')}/{LINEAGE_FILE}_summary.json"
+    runs_path = f"{settings['lineage_dir'].rstrip('/')}/{LINEAGE_FILE}_runs.parquet"
+    again = broken is not None and broken["run_id"] == run_id and lineage_mode == "append"
+    if not (again and _logged(spark, log_path, run_id)):
+        write_lineage(lineage_events(saved, run_id, threshold, **times), log_path, lineage_mode)
+    if not (again and _logged(spark, summary_path, run_id)):
+        write_lineage_summary(summary_of_records(saved, run_id, log_path), summary_path, lineage_mode)
+    write_run_entry(run_entry(saved, run_id, log_path), runs_path, lineage_mode)
     write_report(quality_report(saved), settings["quality_report_path"])
 
     totals = run_totals(saved, threshold).first()
+    if manifest is not None:
+        manifest.finish("run", log_path, run_print, run_id=run_id)
     return {
         "total_records_ingested": totals["records"],
         "pii_detected_in": totals["pii_records"],
@@ -289,9 +376,11 @@ def run_pipeline(spark: SparkSession, config: Mapping[str, Any]) -> dict[str, An
         "mean_quality_score": totals["mean_quality_score"],
         "quality_report_path": settings["quality_report_path"],
         "lineage_log_path": log_path,
+        "lineage_runs_path": runs_path,
         "parquet_path": parquet_path,
         "run_id": run_id,
         "rejects_path": settings["rejects_path"],
+        "resumed": resumed,
         **report,
         "elapsed_seconds": round(time.perf_counter() - started, 2),
     }

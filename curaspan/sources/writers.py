@@ -42,9 +42,9 @@ def write_lineage_summary(summary: DataFrame, path: str, mode: str = "overwrite"
     return path
 
 
-def write_run_entry(entry: DataFrame, path: str) -> str:
-    """Add the row of a run to the table of runs; rows of earlier runs always stay."""
-    entry.coalesce(1).write.mode("append").parquet(path)
+def write_run_entry(entry: DataFrame, path: str, mode: str = "append") -> str:
+    """Add the row of a run to the table of runs, or start a new table with ``mode="overwrite"``."""
+    entry.coalesce(1).write.mode(mode).parquet(path)
     return path
 
 
