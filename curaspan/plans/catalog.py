@@ -595,7 +595,7 @@ def streaming_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on raw chat, CSV and text files; curated table, log and summary per format."""
+    """All stages on raw chat, CSV and text files; curated table, log, summary, report and rejects per format."""
     out = scratch_path(spark, "pipeline")
 
     def chat_lines(session: SparkSession, path: str):
@@ -630,7 +630,16 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(F.col("quality_score") >= profile.THRESHOLD).alias("passed"),
         )
     )
-    return per_format.join(logged, "source_format").withColumn("records_processed", told.scalar())
+    report = spark.read.json(summary["quality_report_path"], multiLine=True)
+    rejects = spark.read.parquet(summary["rejects_path"]).agg(F.count(F.lit(1)).alias("n"))
+    return per_format.join(logged, "source_format").withColumns(
+        {
+            "records_processed": told.scalar(),
+            "reported_records": report.select("record_count").scalar(),
+            "reported_mean": report.select(_six("mean_quality_score")).scalar(),
+            "rejected_rows": rejects.scalar(),
+        }
+    )
 
 
 def pipeline_resume(spark: SparkSession, sf_dir: str) -> DataFrame:

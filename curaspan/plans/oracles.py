@@ -689,7 +689,9 @@ FROM scored WHERE source_format = 'plaintext'""",
 SELECT source_format, count(*) AS records, count(*) FILTER (has_pii) AS pii_records, sum(pii_count)::BIGINT AS spans,
        round(avg(quality_score), 6) AS mean_quality_score,
        count(*) FILTER (quality_score >= 0.8::DOUBLE) AS passed,
-       count(*) AS logged, sum(length(text))::BIGINT AS text_length, (SELECT count(*) FROM scored) AS records_processed
+       count(*) AS logged, sum(length(text))::BIGINT AS text_length, (SELECT count(*) FROM scored) AS records_processed,
+       (SELECT count(*) FROM scored) AS reported_records,
+       (SELECT round(avg(quality_score), 4) FROM scored) AS reported_mean, 0 AS rejected_rows
 FROM scored GROUP BY source_format""",
     # The first start broke after the log: only the run as a whole was started twice.
     "pipeline_resume": f"""{_with(_PIPELINE_RECORDS, _spans(), _TOKENS, _SUMMARY, _PIECES, _SCORED)}

@@ -63,7 +63,7 @@ DEFAULT_CONFIG = {
     "quality_report_path": "data/quality_reports/quality_report.json",
     "parquet_path": "data/processed/curated_dataset.parquet",
     "rejects_path": "data/processed/rejects.parquet",
-    # CSV with line breaks inside quotes and chat arrays: one task per file.
+    # CSV with line breaks inside quotes and chat arrays, cut out of input splits.
     "multiline": True,
 }
 LINEAGE_FILE = "lineage_log"
