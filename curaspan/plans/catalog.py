@@ -575,8 +575,8 @@ def streaming_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     arriving = (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
+        # A pattern names a single file as well as a folder of files.
+        .parquet(f"{sf_dir}/documents.[p]arquet")
         .select(
             F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("record_id"),
             F.lit(ingest.BLOCK_FORMAT).alias("source_format"),
