@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curaspan.functions.tokens import PSEUDONYMIZE_TYPES, TOKEN_HEX_DIGITS, digest_of, token_of
 from curaspan.session import broadcast_if_small
+from curaspan.sources.split_records import written
 
 # Up to this many lengthened tokens, or texts that hold one, are sent to every executor.
 BROADCAST_TOKENS = 200_000
@@ -73,15 +74,18 @@ def with_tokens_of_text(
 ) -> DataFrame:
     """Add the tokens in ``tokens`` that differ from the usual ones and occur in a row's spans.
 
-    These are few, so nearly all rows pass untouched: where they are proven to be few, text is
-    not shuffled. Rows are looked up by a hash of their text and spans; ids may repeat.
+    Where these are proven to be few, no text is shuffled. Rows without spans, which may be most
+    and may all have the same text, take no part in a join. Rows are looked up by a hash of
+    their text and spans; ids may repeat. What is looked up is computed once and written.
     """
     usual = token_of(
         F.col("pii_type"), F.substring(digest_of(F.col("original_text"), salt), 1, hex_digits)
     )
-    changed = tokens.where(F.col("replacement") != usual)
+    changed = written(tokens.where(F.col("replacement") != usual), "changed-tokens")
     key = F.sha2(F.concat_ws("\n", F.to_json("pii_detections"), F.col(text_col).cast("string")), 256)
-    spans = df.select(key.alias("__key"), F.inline_outer("pii_detections")).select(
+    holds = F.coalesce(F.size("pii_detections") > 0, F.lit(False))
+    own = df.where(holds).withColumn("__key", key)
+    spans = own.select("__key", F.inline("pii_detections")).select(
         "__key", "pii_type", F.col("matched_text").alias("original_text")
     )
     found = (
@@ -89,8 +93,6 @@ def with_tokens_of_text(
         .groupBy("__key")
         .agg(F.collect_set(F.struct("pii_type", "original_text", "replacement")).cast(TOKENS).alias(output))
     )
-    return (
-        df.withColumn("__key", key)
-        .join(broadcast_if_small(found, BROADCAST_TOKENS), "__key", "left")
-        .drop("__key")
-    )
+    found = written(found, "tokens-of-texts")
+    with_own = own.join(broadcast_if_small(found, BROADCAST_TOKENS), "__key", "left").drop("__key")
+    return with_own.unionByName(df.where(~holds).withColumn(output, F.lit(None).cast(TOKENS)))
