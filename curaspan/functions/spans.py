@@ -49,7 +49,7 @@ def _block_width(size: Column) -> Column:
 SHORT = 8
 
 
-def _prefix(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
+def prefix_fold(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
     """Fold of all earlier values for each value, starting from 0.
 
     A short list is simply folded up to each value. Spark copies the state of ``aggregate`` at every step, so a list must not
@@ -98,7 +98,7 @@ def spans_between(gaps: Column, matches: Column) -> Column:
             lambda hit, gap: F.length(gap) + F.length(hit),
         )
         starts = F.zip_with(
-            _prefix(steps, lambda a, b: a + b),
+            prefix_fold(steps, lambda a, b: a + b),
             F.slice(gaps, F.lit(1), F.size(matches)),
             lambda before, gap: before + F.length(gap),
         )
@@ -214,7 +214,7 @@ def _settle_clusters(ordered: Column, settle: Callable[[Column], Column]) -> Col
 
         return let(first, cut)
 
-    reach = _prefix(F.transform(ordered, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    reach = prefix_fold(F.transform(ordered, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
     return let(F.struct(ordered.alias("spans"), reach.alias("reach")), by_cluster)
 
 

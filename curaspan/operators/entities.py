@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curaspan.functions.patterns import WORD
-from curaspan.functions.spans import as_candidates, let, resolve_overlaps, spans_between
+from curaspan.functions.spans import as_candidates, let, prefix_fold, resolve_overlaps
 from curaspan.session import broadcast_if_small, scratch_path
 
 _WORDS = rf"[{WORD}]+"
@@ -61,8 +61,8 @@ def _phrases(dictionary: DataFrame) -> DataFrame:
 
 
 def _slot(word: Column, bits: int) -> Column:
-    """Number of the bit of ``word``."""
-    return F.pmod(F.xxhash64(word), F.lit(bits))
+    """Number of the bit of ``word``; ``bits`` is a power of two."""
+    return F.xxhash64(word).bitwiseAND(F.lit(bits - 1))
 
 
 def _bitmap(words: DataFrame, bits: int) -> Column:
@@ -80,24 +80,47 @@ def _bitmap(words: DataFrame, bits: int) -> Column:
 
 def _is_set(bitmap: Column, word: Column, bits: int) -> Column:
     slot = _slot(word, bits)
-    block = F.get(bitmap, F.floor(slot / 64).cast("int"))
-    return F.getbit(block, F.pmod(slot, F.lit(64)).cast("int")) == 1
+    block = F.get(bitmap, F.shiftright(slot, 6).cast("int"))
+    return F.getbit(block, slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def _run_at(bound: Column, first: Column, n: Column) -> Column:
-    """The ``n`` words from word ``first`` on as they are written, with place and surroundings."""
-    words, gaps = bound["words"], bound["gaps"]
-    # Each word after the first with the gap before it.
-    rest = F.transform(
-        F.when(n > 1, F.sequence(first + 1, first + n - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.concat(F.get(gaps, i), F.get(words, i)["matched_text"]),
-    )
-    return F.struct(
-        F.concat(F.get(words, first)["matched_text"], F.array_join(rest, "")).alias("core"),
-        F.get(words, first)["start"].alias("at"),
-        F.right(F.get(gaps, first), bound["head"]).alias("before"),
-        F.left(F.get(gaps, first + n), bound["tail"]).alias("after"),
-    )
+# Parts that are looked at together: no row holds more of a text, with the runs that start
+# in it, so that a long text with many runs takes room in proportion.
+BLOCK_PARTS = 128
+
+
+def _parts(text: Column) -> Column:
+    """Gaps and words in turn, from the gap in front of the first word, which may be empty."""
+    cut = F.regexp_extract_all(text, F.lit(rf"[{WORD}]+|[^{WORD}]+"), F.lit(0))
+    return F.when(F.rlike(text, F.lit(rf"\A[{WORD}]")), F.concat(F.array(F.lit("")), cut)).otherwise(cut)
+
+
+def _joined(parts: Column, first: Column, n: Column) -> Column:
+    return F.array_join(F.slice(parts, first + 1, n), "")
+
+
+def _blocks(parts: Column, width: int, overlap: int) -> Column:
+    """Start and parts of every ``width`` parts, and of as many after them as runs may reach."""
+
+    def cut(parts: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / width).cast("int"))
+        lengths = F.transform(numbers, lambda b: F.length(_joined(parts, b * width, F.lit(width))))
+        many = F.transform(
+            prefix_fold(lengths, lambda a, b: a + b),
+            lambda start, b: F.struct(
+                start.alias("start"), F.slice(parts, b * width + 1, width + overlap).alias("parts")
+            ),
+        )
+        one = F.array(F.struct(F.lit(0).alias("start"), parts.alias("parts")))
+        return F.when(F.size(parts) <= width, one).otherwise(many)
+
+    return let(parts, cut)
+
+
+def _with(**columns: Column) -> list[Column | str]:
+    """All columns and ``columns``, worked out once: no later filter is pushed below them."""
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return ["*", F.inline_outer(F.array(made)).alias(*columns)]
 
 
 def candidate_runs(df: DataFrame, phrases: DataFrame, text_col: str = "text") -> DataFrame | None:
@@ -112,6 +135,7 @@ def candidate_runs(df: DataFrame, phrases: DataFrame, text_col: str = "text") ->
     # A handful of numbers.
     shape = phrases.agg(
         F.count(F.lit(1)).alias("phrases"),
+        F.max("n").alias("n"),
         *[F.max(F.length(part)).alias(part) for part in ("head", "core", "tail")],
     ).first()
     if not shape["phrases"]:
@@ -121,53 +145,48 @@ def candidate_runs(df: DataFrame, phrases: DataFrame, text_col: str = "text") ->
         bits *= 2
     entries = phrases.select(F.explode(F.array("anchor", "core")).alias("word"))
     places = phrases.agg(F.collect_set(F.struct("n", "k"))).scalar()
-    text, regex = F.col(text_col), F.lit(_WORDS)
-
-    def runs(bound: Column) -> Column:
-        words = bound["words"]
-        positions = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1))
-        anchors = F.filter(
-            positions, lambda i: _is_set(bound["bits"], F.get(words, i)["matched_text"], bits)
-        )
-
-        def around(i: Column) -> Column:
-            fitting = F.filter(
-                bound["places"],
-                lambda p: (i >= p["k"])
-                & (i - p["k"] + p["n"] <= F.size(words))
-                & (
-                    F.get(words, i - p["k"] + p["n"] - 1)["end"] - F.get(words, i - p["k"])["start"]
-                    <= shape["core"]
-                ),
-            )
-            built = F.transform(fitting, lambda p: _run_at(bound, i - p["k"], p["n"]))
-            return F.filter(built, lambda r: _is_set(bound["bits"], r["core"], bits))
-
-        # Two anchors may propose the same run.
-        return F.array_distinct(F.flatten(F.transform(anchors, around)))
-
-    def cut(found: Column) -> Column:
-        bound = F.struct(
-            spans_between(found["gaps"], found["found"]).alias("words"),
-            *[found[name].alias(name) for name in ("gaps", "bits", "places", "head", "tail")],
-        )
-        return let(bound, runs)
-
-    found = F.struct(
-        F.split(text, regex, -1).alias("gaps"),
-        F.regexp_extract_all(text, regex, F.lit(0)).alias("found"),
-        F.col("__bits").alias("bits"),
-        F.col("__places").alias("places"),
-        F.lit(shape["head"]).alias("head"),
-        F.lit(shape["tail"]).alias("tail"),
-    )
-    # The outer form: Spark would push a "size > 0" copy of the whole list below
-    # a plain explode. NULL cores never join.
+    bitmap = _bitmap(entries, bits)
+    parts, i, n, k = (F.col(name) for name in ("__parts", "__i", "__n", "__k"))
+    first = F.col("__first")
+
+    def anchors(bound: Column) -> Column:
+        parts = bound["parts"]
+        words = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1, F.lit(2)))
+        return F.filter(words, lambda p: _is_set(bound["bits"], F.get(parts, p), bits))
+
+    def earlier(p: Column) -> Column:
+        return (p["n"] == n) & (p["k"] < k) & F.array_contains("__anchors", first + 2 * p["k"])
+
+    # A run of n words has 2 * n - 1 parts, and a gap on each side.
+    overlap = 2 * shape["n"] + 2
+    width = max(BLOCK_PARTS, 2 * overlap)
+    # The bitmap is named once in the list, so that no row ever holds it. The outer forms:
+    # Spark would push a "size > 0" copy of the whole list below a plain explode.
     return (
-        df.select(_text_key(text_col), text_col)
-        .withColumns({"__bits": _bitmap(entries, bits), "__places": places})
-        .select("__key", let(found, cut).alias("__runs"))
-        .select("__key", F.inline_outer("__runs"))
+        df.select(_text_key(text_col), _parts(F.col(text_col)).alias("__whole"))
+        .select("__key", F.inline_outer(_blocks(F.col("__whole"), width, overlap)).alias("__start", "__parts"))
+        .withColumn("__bits", bitmap)
+        .withColumn("__anchors", let(F.struct(F.col("__bits").alias("bits"), parts.alias("parts")), anchors))
+        .drop("__bits")
+        .withColumn("__places", places)
+        .select("*", F.explode_outer("__anchors").alias("__i"))
+        .select("*", F.inline_outer("__places").alias("__n", "__k"))
+        .select(*_with(__first=i - 2 * k))
+        .where((first > 0) & (first < width) & (first + 2 * n - 2 < F.size(parts)))
+        .select(*_with(core=_joined(parts, first, 2 * n - 1)))
+        .where((F.length("core") <= shape["core"]) & _is_set(bitmap, F.col("core"), bits))
+        # Two anchors may propose the same run: the one that stands first in it does.
+        .select(*_with(__own=(n == 1) | ~F.exists("__places", earlier)))
+        .where("__own")
+        .select(
+            "__key",
+            "core",
+            (F.col("__start") + F.length(_joined(parts, F.lit(0), first))).alias("at"),
+            F.right(F.get(parts, first - 1), F.lit(shape["head"])).alias("before"),
+            F.left(
+                F.coalesce(F.get(parts, first + 2 * n - 1), F.lit("")), F.lit(shape["tail"])
+            ).alias("after"),
+        )
     )
 
 
@@ -202,7 +221,8 @@ def _entities_by_text(
 
 
 def _text_key(text_col: str) -> Column:
-    return F.sha2(F.col(text_col), 256).alias("__key")
+    """Half a SHA-256 as 16 bytes, which every run and hit of a text is shuffled with."""
+    return F.substring(F.unhex(F.sha2(F.col(text_col), 256)), 1, 16).alias("__key")
 
 
 def with_entities(

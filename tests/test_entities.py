@@ -188,3 +188,18 @@ def test_full_bitmap_changes_nothing(texts, dictionary, monkeypatch):
     monkeypatch.setattr(entities, "MIN_BITS", 64)
     monkeypatch.setattr(entities, "MAX_BITS", 64)
     assert found(texts, dictionary, *values) == before and before[0]
+
+
+def test_runs_are_shuffled_with_short_keys(texts, dictionary, monkeypatch):
+    """A run takes 16 bytes of key through the shuffles, not 64 letters."""
+    phrases = entities._phrases(dictionary)
+    runs = entities.candidate_runs(texts("call John Smith", None), phrases).where("core IS NOT NULL")
+    rows = [(r["core"], r["at"], len(r["__key"])) for r in runs.collect()]
+    assert {("John Smith", 5, 16), ("John", 5, 16)} <= set(rows) and len(set(rows)) == len(rows)
+
+
+def test_runs_behind_many_words(texts, dictionary):
+    """Places after the first blocks of parts; a run that lies across two of them."""
+    values = ["a, " * n + "😀 San Francisco Giants; John Smith" for n in (61, 62, 63, 64, 127, 128, 400)]
+    for value, result in zip(values, found(texts, dictionary, *values)):
+        assert result == brute_force(value) and len(result) == 2
