@@ -497,9 +497,18 @@ def text_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block files, line files and files with carriage returns side by side."""
     paths = [f(spark, sf_dir) for f in (views.block_files, views.line_files, views.windows_files)]
     loaded = read_blocks(spark, paths).records
-    return loaded.groupBy("source_format", "text").agg(
+    # Ids are counted under a hash, so that a text itself is shuffled once and copies of it
+    # meet before that. One key: the join then finds both sides in place.
+    keyed = loaded.withColumn(
+        "key", F.unhex(F.sha2(F.concat_ws("\n", "source_format", "text"), 256))
+    )
+    counts = keyed.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("ids")
     )
+    texts = keyed.groupBy("key").agg(
+        *[F.any_value(name).alias(name) for name in ("source_format", "text")]
+    )
+    return texts.join(counts, "key").select("source_format", "text", "n", "ids")
 
 
 def stable_line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -436,3 +436,20 @@ def test_profile_and_preview(spark):
     }
     assert len(rows) == 2 and rows[1]["timestamp"] == "NaT"
     assert "WindowGroupLimit" in plan_of(ingest.preview(df))
+
+
+def test_texts_of_mixed_files_are_shuffled_once_to_be_counted(spark, tmp_path):
+    """Copies are counted, and no second shuffle of the texts serves the count of ids."""
+    from conftest import shuffled_columns
+    from curaspan.plans.catalog import text_mixed
+
+    texts = [("same text",), ("same text",), ("two\nlines",), (None,), ("",), ("a",)]
+    spark.createDataFrame(texts, "text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    names = [("C1", "A"), ("C1", "A"), ("C2", "B")]
+    customers = spark.createDataFrame(names, "c_name string, c_mktsegment string")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    df = text_mixed(spark, str(tmp_path))
+    rows = {r["text"]: (r["source_format"], r["n"], r["ids"]) for r in df.collect()}
+    assert len(rows) == df.count() and {r[1:] for r in rows.values()} == {(4, 4), (2, 2), (1, 1)}
+    assert rows["same text"][1:] == (4, 4) and rows["C1, A"][1:] == (2, 2) and rows["C2, B"][1:] == (1, 1)
+    assert sum("text#" in columns and "record_id#" in columns for columns in shuffled_columns(df)) == 0
