@@ -8,8 +8,10 @@ seen once or never keep the class of their ending. A text's score adds, per toke
 log probability of its class after the class before, and of the word in its class.
 
 Only counts whose number has a fixed bound reach the driver or every executor: the
-frequent words, the bigrams of units and the class tables. Bigrams of words, and counts
-and classes of all other words, stay in tables and are joined.
+frequent words, the bigrams of units and the class tables. Bigrams with another word, and
+counts and classes of all other words, stay in tables and are joined. Texts are cut into
+words once more after the exchange and kept as keys; bigrams of two frequent words are
+counted by class inside the tasks that read them.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ WORD_ROUNDS = 1
 # Tokens whose bigrams a task counts before it hands them on, and words it moves at once.
 HELD_TOKENS = 2_000_000
 MOVED_AT_ONCE = 2048
+# Entries of contexts that a task adds up, or looks at for words to move, at a time.
+HELD_ENTRIES = 1_000_000
 # Words whose counts go to every executor (some 20 bytes each).
 HEAD_WORDS = 65_536
 # Weight of the class unigram in a class transition.
@@ -206,29 +210,122 @@ class Keys(dict):
         return word_key(word)
 
 
-def word_bigrams(texts: DataFrame, keys: Keys) -> DataFrame:
-    """(a, b, c): how often the word with key ``b`` follows that with key ``a``."""
+def token_rows(rows: DataFrame, keys: Keys, units: Units, unit_classes: np.ndarray) -> DataFrame:
+    """Keys of the tokens of every text of ``rows`` (__id, __learn, __text).
 
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        # Texts end with the end, which also stands in front of the first one.
-        used, ids = np.unique(np.concatenate([[0], *held]), return_inverse=True)
-        pairs, c = np.unique(ids[:-1] * len(used) + ids[1:], return_counts=True)
-        columns = [used[pairs // len(used)], used[pairs % len(used)], c.astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "b", "c"])
+    ``rare`` and ``n`` hold the words that are no head words and their counts, ``ending`` the
+    classes of their endings in the order of their keys.
+    """
+    schema = rows.select("__id", "__learn").schema
+    kinds = "keys array<long>, rare array<binary>, n array<long>, ending array<int>"
+    for field in T._parse_datatype_string(kinds).fields:
+        schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for part in text_slices(batches, 0):
-            words = [w for raw in raw_texts(part.column(0)) for w in tokens(raw)]
-            held.append(np.fromiter(map(keys.__getitem__, words), np.int64, len(words)))
-            if sum(map(len, held)) > HELD_TOKENS:
-                yield counted(held)
-                held = []
-        if held:
-            yield counted(held)
+        for part in text_slices(batches, 2):
+            words, ends = [], [0]
+            for raw in raw_texts(part.column(2)):
+                words += tokens(raw)
+                ends.append(len(words))
+            own = np.fromiter(map(keys.__getitem__, words), np.int64, len(words))
+            low = np.flatnonzero(own < 0)
+            cuts = np.searchsorted(low, ends).tolist()
+            low, low_keys = low.tolist(), own[low].tolist()
+            rare, n, ending = [], [], []
+            for a, b in zip(cuts, cuts[1:]):
+                found = Counter([words[i] for i in low[a:b]])
+                by_key = dict(zip(low_keys[a:b], [words[i] for i in low[a:b]]))
+                rare.append(list(found))
+                n.append(list(found.values()))
+                ending.append([int(unit_classes[units[by_key[x]]]) for x in sorted(by_key)])
+            arrays = [
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(own)),
+                pa.array(rare, pa.list_(pa.binary())),
+                pa.array(n, pa.list_(pa.int64())),
+                pa.array(ending, pa.list_(pa.int32())),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), *arrays], names=schema.names
+            )
+
+    return rows.select("__id", "__learn", "__text").mapInArrow(run, schema)
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key before, key) of all tokens, of some ``HELD_TOKENS`` at a time."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = np.cumsum(batch.column(0).value_lengths().to_numpy()) // HELD_TOKENS
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(edges, edges[1:]):
+            ids = batch.column(0).slice(start, end - start).flatten().to_numpy()
+            # Texts end with the end, which also stands in front of the first one.
+            yield np.r_[0, ids[:-1]], ids
+
 
-    found = texts.mapInArrow(run, "a long, b long, c long")
-    return found.groupBy("a", "b").agg(F.sum("c").alias("c"))
+def rare_bigrams(learned: DataFrame) -> DataFrame:
+    """(a, b, c): how often key ``b`` follows key ``a``, where one of them is no head word's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b in _steps(batches):
+            rare = (a < 0) | (b < 0)
+            a, b = a[rare], b[rare]
+            used, ids = np.unique(np.r_[a, b], return_inverse=True)
+            pairs, c = np.unique(ids[: len(a)] * len(used) + ids[len(a) :], return_counts=True)
+            columns = [used[pairs // len(used)], used[pairs % len(used)], c] if len(a) else [a, b, a]
+            arrays = [pa.array(x.astype(np.int64)) for x in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "c"])
+
+    found = learned.select("keys").mapInArrow(run, "a long, b long, c long")
+    # Rows of a word that is no head word lie together, so that its key takes little room.
+    found = found.withColumn("t", F.least("a", "b")).repartition("t")
+    sums = found.groupBy("t", "a", "b").agg(F.sum("c").alias("c"))
+    return sums.sortWithinPartitions("t", "a").select("a", "b", "c")
+
+
+def head_contexts(learned: DataFrame, classes: np.ndarray, words: np.ndarray, k: int) -> DataFrame:
+    """(w, code, n): what stands before and after each of the head ``words``, by class.
+
+    Only bigrams of two head words count; ``classes`` are those of all head words.
+    """
+    place = np.full(len(classes), -1, np.int64)
+    place[words] = np.arange(len(words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(words) * 3 * k, np.int64)
+        for a, b in _steps(batches):
+            plain = (a >= 0) & (b >= 0)
+            a, b = a[plain], b[plain]
+            same = a == b
+            for side, word, near in ((0, b, a), (1, a, b)):
+                at = place[word]
+                used = (at >= 0) & ~same
+                total += np.bincount((at[used] * 3 + side) * k + classes[near[used]], minlength=len(total))
+            at = place[a[same]]
+            total += np.bincount((at[at >= 0] * 3 + 2) * k, minlength=len(total))
+        found = np.flatnonzero(total)
+        columns = [words[found // (3 * k)], (found % (3 * k)).astype(np.int32), total[found]]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["w", "code", "n"])
+
+    return learned.select("keys").mapInArrow(run, "w long, code int, n long")
+
+
+def head_table(learned: DataFrame, classes: np.ndarray, k: int) -> np.ndarray:
+    """Bigrams of classes over the bigrams of two head words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(k * k, np.int64)
+        for a, b in _steps(batches):
+            plain = (a >= 0) & (b >= 0)
+            total += np.bincount(classes[a[plain]] * k + classes[b[plain]], minlength=k * k)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k)), pa.array(total)], names=["i", "c"])
+
+    table = np.zeros(k * k)
+    sums = learned.select("keys").mapInArrow(run, "i long, c long").groupBy("i").agg(F.sum("c").alias("c"))
+    for row in sums.collect():
+        table[row["i"]] = row["c"]
+    return table.reshape(k, k)
 
 
 def best_classes(
@@ -277,22 +374,55 @@ def _in_batch(word: Column, batch: int) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BATCHES)) == batch
 
 
-def _contexts(bigrams: DataFrame, classes: DataFrame, head: DataFrame, batch: int) -> DataFrame:
-    """``w``, k, c and ``near``, the counted (side, k, n), of the words of a batch that move."""
-    movable = classes.where((F.col("c") >= MOVED_COUNT) & (F.col("w") != 0))
+def _combined(entries: DataFrame) -> DataFrame:
+    """Add up (w, code, n) inside the tasks, so that a frequent word has few rows in each."""
+
+    def added(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        w, code, n = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(3))
+        used, at = np.unique(w, return_inverse=True)
+        width = int(code.max()) + 1
+        found, at = np.unique(at * width + code, return_inverse=True)
+        sums = np.bincount(at, n).astype(np.int64)
+        columns = [used[found // width], (found % width).astype(np.int32), sums]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["w", "code", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                rows += batch.num_rows
+            if rows >= HELD_ENTRIES:
+                yield added(held)
+                held, rows = [], 0
+        if held:
+            yield added(held)
+
+    return entries.mapInArrow(run, "w long, code int, n long")
+
+
+def _contexts(
+    bigrams: DataFrame, classes: DataFrame, head: DataFrame, between: DataFrame, batch: int, k: int
+) -> DataFrame:
+    """(w, code, n) of the words of a batch, all rows of a word one after the other in a task.
+
+    ``code`` is side * ``k`` + class for what stands next to the word. Words that move have a row
+    with -1 less their own class. ``between`` has the entries of head words next to head words.
+    """
+    movable = classes.where((F.col("c") >= MOVED_COUNT) & (F.col("w") != 0) & _in_batch(F.col("w"), batch))
     tail = classes.where("w < 0").select("w", "k")
     head = F.broadcast(head.select("w", "k"))
     entries = bigrams.where((F.col("a") == F.col("b")) & _in_batch(F.col("a"), batch))
-    entries = entries.selectExpr("a w", "2 side", "0 k", "c")
+    entries = entries.selectExpr("a w", f"{2 * k} code", "c n")
     for side, near, word in ((0, "a", "b"), (1, "b", "a")):
         mine = bigrams.where((F.col("a") != F.col("b")) & _in_batch(F.col(word), batch))
         for own, known in ((f"{near} >= 0", head), (f"{near} < 0", tail)):
             rows = mine.where(own).select(F.col(word).alias("__w"), F.col(near).alias("w"), "c")
-            found = rows.join(known, "w").selectExpr("__w w", f"{side} side", "k", "c")
+            found = rows.join(known, "w").selectExpr("__w w", f"{side * k} + k code", "c n")
             entries = entries.unionByName(found)
-    counted = entries.groupBy("w", "side", "k").agg(F.sum("c").alias("n"))
-    lists = counted.groupBy("w").agg(F.sort_array(F.collect_list(F.struct("side", "k", "n"))).alias("near"))
-    return movable.where(_in_batch(F.col("w"), batch)).select("w", "k", "c").join(lists, "w")
+    own = movable.selectExpr("w", "-1 - k code", "c n")
+    found = _combined(entries).unionByName(between).unionByName(own)
+    return found.repartition("w").sortWithinPartitions("w")
 
 
 def class_table(bigrams: DataFrame, classes: DataFrame, head: DataFrame, k: int) -> np.ndarray:
@@ -322,29 +452,50 @@ def log_likelihood(table: np.ndarray) -> float:
 
 def _moved(contexts: DataFrame, table: np.ndarray) -> DataFrame:
     """(w, new) of the words that a class other than their own suits better."""
+    width = 3 * len(table)
+
+    def moves(w: np.ndarray, code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        own = code < 0
+        words, first = np.unique(w[own], return_index=True)
+        old = -1 - code[own][first].astype(np.int64)
+        w, code, n = w[~own], code[~own], n[~own]
+        at = np.searchsorted(words, w)
+        here = np.flatnonzero(at < len(words))
+        here = here[words[at[here]] == w[here]]
+        found, each = np.unique(at[here] * width + code[here], return_inverse=True)
+        sums = np.bincount(each, n[here], len(found))
+        for start in range(0, len(words), MOVED_AT_ONCE):
+            part = slice(*np.searchsorted(found, [start * width, (start + MOVED_AT_ONCE) * width]))
+            word, codes = found[part] // width - start, found[part] % width
+            block = slice(start, start + MOVED_AT_ONCE)
+            side, near = codes // len(table), codes % len(table)
+            new = best_classes(table, old[block], word, side, near, sums[part])
+            other = new != old[block]
+            arrays = [pa.array(words[block][other]), pa.array(new[other].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["w", "new"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, MOVED_AT_ONCE):
-                part = whole.slice(at, MOVED_AT_ONCE)
-                w, old = part.column(0), part.column(1).to_numpy().astype(np.int64)
-                lists = part.column(2)
-                near = lists.flatten()
-                word = np.repeat(np.arange(len(old)), lists.value_lengths().to_numpy())
-                side, k, n = (near.field(i).to_numpy().astype(np.int64) for i in range(3))
-                new = best_classes(table, old, word, side, k, n.astype(float))
-                other = pa.array(new != old)
-                yield pa.RecordBatch.from_arrays(
-                    [w.filter(other), pa.array(new.astype(np.int32)).filter(other)], names=["w", "new"]
-                )
+        held, rows = [], 0
+        for batch in batches:
+            held.append([batch.column(i).to_numpy() for i in range(3)])
+            rows += batch.num_rows
+            if rows >= HELD_ENTRIES:
+                w, code, n = map(np.concatenate, zip(*held))
+                # The last word may go on in the next batch.
+                end = int(np.searchsorted(w, w[-1]))
+                yield from moves(w[:end], code[:end], n[:end])
+                held, rows = [[w[end:], code[end:], n[end:]]], len(w) - end
+        if rows:
+            yield from moves(*map(np.concatenate, zip(*held)))
 
-    return contexts.select("w", "k", "near").mapInArrow(run, "w long, new int")
+    return contexts.mapInArrow(run, "w long, new int")
 
 
 class ClassModel:
     """Transitions, class totals, the classes of head words, and ``words`` with all classes."""
 
-    def __init__(self, texts: DataFrame, counts: DataFrame):
+    def __init__(self, texts: DataFrame, counts: DataFrame, rows: DataFrame | None = None):
+        """``rows`` are (__id, __learn, __text) of all texts, ``texts`` those to learn from."""
         totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
         self.n_tokens = totals["n"] or 0
         self.n_words = totals["v"]
@@ -362,32 +513,51 @@ class ClassModel:
                 self.keys[word] = len(self.keys)
         k = int(self.unit_classes.max()) + 1
         words = written(self._first_classes(counts), "word-classes")
-        bigrams = written(word_bigrams(texts, self.keys), "word-bigrams")
-        table = class_table(bigrams, words, words.where("w >= 0"), k)
+        if rows is None:
+            rows = texts.toDF("__text").selectExpr("0 __id", "true __learn", "__text")
+        made = token_rows(rows, self.keys, self.units, self.unit_classes)
+        # Rows get a number of their own, so that repeated ids stay apart.
+        self.tokens = written(made.withColumn("__row", F.monotonically_increasing_id()), "tokens")
+        learned = self.tokens.where("__learn")
+        bigrams = written(rare_bigrams(learned), "word-bigrams")
+        # At first all words have the classes of their units.
+        member = np.eye(k)[self.unit_classes]
+        table = member.T @ unit_table @ member
         self.likelihoods = [log_likelihood(table)]
+        self.head_classes, batches = self._of_head(words)
         for move in range(WORD_ROUNDS * BATCHES):
-            contexts = _contexts(bigrams, words, words.where("w >= 0"), move % BATCHES)
+            batch = move % BATCHES
+            moving = np.flatnonzero((batches == batch) & (np.arange(len(batches)) > 0))
+            between = head_contexts(learned, self.head_classes, moving, k)
+            contexts = _contexts(bigrams, words, words.where("w >= 0"), between, batch, k)
             moved = written(_moved(contexts, table), "words-moved")
             new = F.coalesce("new", "k").alias("k")
             tried = written(words.join(moved, "w", "left").select("word", "w", "c", new), "word-classes")
+            tried_head, _ = self._of_head(tried)
             tried_table = class_table(bigrams, tried, tried.where("w >= 0"), k)
+            tried_table += head_table(learned, tried_head, k)
             # All words of a batch move by the same table; together they must gain as well.
             if log_likelihood(tried_table) <= self.likelihoods[-1]:
                 continue
-            words, table = tried, tried_table
+            words, table, self.head_classes = tried, tried_table, tried_head
             self.likelihoods.append(log_likelihood(table))
         self.words = words
         self.transitions = transition_logs(table, np.arange(k))
-        self.head_classes = np.zeros(len(self.keys), np.int64)
         n, v = np.zeros(k), np.zeros(k)
-        for row in words.where("w >= 0").select("w", "k").collect():
-            self.head_classes[row["w"]] = row["k"]
         sums = words.groupBy("k").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"))
         for row in sums.collect():
             n[row["k"]], v[row["k"]] = row["n"], row["v"]
         # p(word | class) = (c + 1) / (n + v + 1): one share is left for unseen words.
         self.emission_logs = np.log10(n + v + 1)
 
+    def _of_head(self, words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Classes and batches of the head words."""
+        classes, batches = np.zeros((2, len(self.keys)), np.int64)
+        batch = F.pmod(F.xxhash64("w"), F.lit(BATCHES)).alias("batch")
+        for row in words.where("w >= 0").select("w", "k", batch).collect():
+            classes[row["w"]], batches[row["w"]] = row["k"], row["batch"]
+        return classes, batches
+
     def _first_classes(self, counts: DataFrame) -> DataFrame:
         """(word, w, c, k) of every word, with the class of its unit."""
         units, classes, keys = self.units, self.unit_classes, self.keys
@@ -403,56 +573,61 @@ class ClassModel:
         return counts.select("word", "c").mapInArrow(run, "word binary, w long, c long, k int")
 
 
-def _document_parts(docs: DataFrame, model: ClassModel, id_col: str, text_col: str) -> DataFrame:
+def _document_parts(tokens_: DataFrame, model: ClassModel) -> DataFrame:
     """Per row: id, what head words give alone, its rare words, and its pairs with one.
 
-    ``rare``, ``n``, ``keys`` and ``ending`` hold the rare words with counts, keys and the
-    classes of their endings; ``first`` and ``second`` the keys of pairs of tokens.
+    ``keys``, ``ending`` and ``n`` hold the rare words by key, with the classes of their endings
+    and their counts. ``first`` and ``second`` are pairs of tokens: the class of a head word, or
+    the number of classes plus the place of a rare word in ``keys``.
     """
-    head, keys, head_classes = model.head, model.keys, model.head_classes
-    units, unit_classes = model.units, model.unit_classes
-    transitions, emissions = model.transitions, model.emission_logs
-    head_logs = {w: float(np.log10(c + 1)) for w, c in head.items()}
-    schema = docs.select(F.col(id_col).alias("__id")).schema
+    head_classes, transitions, emissions = model.head_classes, model.transitions, model.emission_logs
+    head_logs = np.full(len(model.keys), np.nan)
+    for word, c in model.head.items():
+        head_logs[model.keys[word]] = np.log10(c + 1)
+    n_classes = len(emissions)
+    source = tokens_.select("__id", "__row", "ending", "keys")
+    schema = source.select("__id", "__row").schema
     kinds = (
-        "n_tokens long, known long, logs double, path double, rare array<binary>, n array<long>,"
-        " keys array<long>, ending array<int>, first array<long>, second array<long>"
+        "n_tokens long, known long, logs double, path double, ending array<int>,"
+        " keys array<long>, n array<int>, first array<int>, second array<int>"
     )
     for field in T._parse_datatype_string(kinds).fields:
         schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get_log = head_logs.get
-        for part in text_slices(batches, 1):
+        for batch in batches:
             rows = []
-            for raw in raw_texts(part.column(1)):
-                words = tokens(raw)
-                own = np.fromiter(map(keys.__getitem__, words), np.int64, len(words))
-                last = np.r_[0, own[:-1]]
-                plain = (own >= 0) & (last >= 0)
-                path = transitions[head_classes[last[plain]], head_classes[own[plain]]].sum()
-                path -= emissions[head_classes[own[own >= 0]]].sum()
-                logs = [get_log(w) for w in words]
-                rare = Counter([w for w, x in zip(words, logs) if x is None and w != END])
-                known = [x for x in logs if x is not None]
-                rows.append(
-                    (
-                        len(words), len(known), sum(known), path, list(rare), list(rare.values()),
-                        [word_key(w) for w in rare], [int(unit_classes[units[w]]) for w in rare],
-                        last[~plain], own[~plain],
-                    )
-                )
-            arrays = [pa.array(v, f) for v, f in zip(zip(*rows), _PART_TYPES)]
-            yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=schema.names)
-
-    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(
-        run, schema
-    )
+            lists = batch.column(3)
+            edges = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())].tolist()
+            all_keys = lists.flatten().to_numpy()
+            for start, end in zip(edges, edges[1:]):
+                own = all_keys[start:end]
+                is_head = own >= 0
+                heads = own[is_head]
+                coded = np.empty(len(own), np.int64)
+                coded[is_head] = head_classes[heads]
+                rare, at, n = np.unique(own[~is_head], return_inverse=True, return_counts=True)
+                coded[~is_head] = n_classes + at
+                last = np.r_[0, coded[:-1]]
+                plain = (coded < n_classes) & (last < n_classes)
+                path = transitions[last[plain], coded[plain]].sum()
+                path -= emissions[head_classes[heads]].sum()
+                logs = head_logs[heads]
+                known = logs[~np.isnan(logs)].tolist()
+                rows.append((len(own), len(known), sum(known), path, rare, n, last[~plain], coded[~plain]))
+            made = list(zip(*rows)) or [[]] * len(_PART_TYPES)
+            arrays = [pa.array(v, t) for v, t in zip(made, _PART_TYPES)]
+            arrays.insert(4, batch.column(2))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *arrays], names=schema.names
+            )
+
+    return source.mapInArrow(run, schema)
 
 
 _PART_TYPES = [
-    pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()),
-    pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()),
+    pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()),
+    pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()),
 ]
 
 
@@ -461,7 +636,7 @@ def _with_rare_paths(parts: DataFrame, model: ClassModel) -> DataFrame:
 
     ``found`` of ``parts`` lists (w, k), the classes of the rare words that were learned.
     """
-    transitions, emissions, head_classes = model.transitions, model.emission_logs, model.head_classes
+    transitions, emissions = model.transitions, model.emission_logs
     lists = ["keys", "ending", "n", "first", "second"]
     kept = [c for c in parts.columns if c not in (*lists, "found")]
     source = parts.select(*kept, *lists, F.col("found.w").alias("w"), F.col("found.k").alias("k"))
@@ -475,16 +650,10 @@ def _with_rare_paths(parts: DataFrame, model: ClassModel) -> DataFrame:
                     np.array(batch.column(c)[at].as_py() or [], np.int64)
                     for c in range(len(kept), batch.num_columns)
                 )
-                order = np.argsort(keys)
-                keys, classes, n = keys[order], ending[order], n[order]
+                classes = ending.copy()
                 classes[np.searchsorted(keys, w)] = k
-
-                def of(own: np.ndarray) -> np.ndarray:
-                    out = head_classes[np.maximum(own, 0)]
-                    out[own < 0] = classes[np.searchsorted(keys, own[own < 0])]
-                    return out
-
-                paths.append(transitions[of(first), of(second)].sum() - (n * emissions[classes]).sum())
+                of = np.r_[np.arange(len(emissions)), classes]
+                paths.append(transitions[of[first], of[second]].sum() - (n * emissions[classes]).sum())
             arrays = [*batch.columns[: len(kept)], pa.array(paths, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
@@ -508,13 +677,13 @@ def score_texts(
     held_out = key_remainder(F.col(id_col), LEARN_MODULUS) == HELD_OUT_REMAINDER
     texts = docs.where(~held_out if learn is None else learn).select(F.col(text_col).alias("__text"))
     counts = written(word_counts(texts), "word-counts")
-    model = ClassModel(texts, counts)
-    # Rows get a number of their own, so that repeated ids stay apart.
-    parts = _document_parts(docs, model, id_col, text_col).withColumn(
-        "__row", F.monotonically_increasing_id()
+    learned = (~held_out if learn is None else learn).alias("__learn")
+    rows = docs.select(F.col(id_col).alias("__id"), learned, F.col(text_col).alias("__text"))
+    model = ClassModel(texts, counts, rows)
+    parts = _document_parts(model.tokens, model)
+    rare = model.tokens.select(
+        "__row", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("n").alias("n")))
     )
-    parts = written(parts, "scored-parts")
-    rare = parts.select("__row", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("n").alias("n"))))
     tail = (
         rare.join(model.words, "word")
         .groupBy("__row")
@@ -524,9 +693,11 @@ def score_texts(
             F.collect_list(F.struct("w", "k")).alias("found"),
         )
     )
+    # Written before the other parts of the rows are shuffled, so that both need not be on disk.
+    tail = written(tail, "rare-words")
     logs = F.col("logs") + F.coalesce("__logs", F.lit(0.0))
     total = model.n_tokens + model.n_words + 1
-    scored = _with_rare_paths(parts.drop("rare").join(tail, "__row", "left"), model)
+    scored = _with_rare_paths(parts.join(tail, "__row", "left"), model)
     return scored.select(
         F.col("__id").alias(id_col),
         (key_remainder(F.col("__id"), LEARN_MODULUS) == HELD_OUT_REMAINDER).alias("held_out"),
