@@ -15,6 +15,7 @@ along the same pointers. Nothing is renamed and no recursion is needed.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 from collections import Counter
@@ -39,6 +40,8 @@ CORE = WINDOW - STEP + 1
 MAX_CONTEXTS = 512
 # Symbols that a task sorts at a time.
 SORTED_SYMBOLS = 400_000
+# Powers for the hashes of grams that a worker keeps.
+KEPT_POWERS = 1 << 18
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _U64 = np.uint64
@@ -138,6 +141,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> _U64(27))) * _U64(0x81DADEF4BC2DD44D)
 
 
+@functools.lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, from the first."""
+    inverse = np.full(n, _U64(pow(_MULTIPLIER, -1, 1 << 64)))
+    return np.cumprod(np.full(n, _U64(_MULTIPLIER))), np.cumprod(inverse)
+
+
 def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, place, first window, last window) of every anchor of a text.
 
@@ -148,21 +158,24 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     if n < WINDOW:
         none = np.zeros(0, np.int64)
         return none, none, none, none
-    power = np.full(n, _U64(_MULTIPLIER))
-    inverse = np.full(n, _U64(pow(_MULTIPLIER, -1, 1 << 64)))
-    power, inverse = np.cumprod(power), np.cumprod(inverse)
+    # Kept for texts of usual length.
+    power, inverse = _powers(KEPT_POWERS) if n <= KEPT_POWERS else _powers.__wrapped__(n)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + _U64(1)) * power, out=sums[1:])
-    grams = _mixed((sums[GRAM:] - sums[:-GRAM]) * inverse[: n - GRAM + 1])
-    low = (grams >> _U64(32)).astype(np.uint32)
-    at = np.arange(len(low), dtype=np.int32)
+    letters = np.frombuffer(raw, np.uint8).astype(np.uint64)
+    letters += _U64(1)
+    letters *= power[:n]
+    np.cumsum(letters, out=sums[1:])
+    grams = sums[GRAM:] - sums[:-GRAM]
+    grams *= inverse[: n - GRAM + 1]
+    grams = _mixed(grams)
+    # Half a hash with the place below it: the smallest one is the leftmost of the smallest.
+    low = (grams & _U64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     width = 1
     while width < SPAN:
         step = min(width, SPAN - width)
-        keep = low[:-step] <= low[step:]
-        at = np.where(keep, at[:-step], at[step:])
-        low = np.where(keep, low[:-step], low[step:])
+        low = np.minimum(low[:-step], low[step:])
         width += step
+    at = low.astype(np.uint32)
     change = np.flatnonzero(at[1:] != at[:-1]) + 1
     start = np.r_[0, change]
     end = np.r_[change - 1, len(at) - 1]

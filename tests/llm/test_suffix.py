@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from curaspan.llm import suffix
@@ -106,3 +107,24 @@ def test_cut_keeps_rows_columns_and_valid_text(spark):
     out = {r["doc_id"]: r for r in cut_repeats(df).collect()}
     assert out[1]["text"] == rows[0][1] and out[2]["text"] == "q" and out[3]["text"] is None
     assert cut_repeats(df).columns == df.columns and out[1]["__kept"] == "p"
+
+
+@pytest.mark.parametrize("kept", [128, 1 << 18])
+def test_anchors_are_the_leftmost_smallest_grams(monkeypatch, kept):
+    monkeypatch.setattr(suffix, "KEPT_POWERS", kept)
+    suffix._powers.cache_clear()
+    rng = random.Random(5)
+    multiplier, size = suffix._MULTIPLIER, 1 << 64
+    for raw in (b"ab" * 120, b"z" * 100, bytes(rng.choices(b"abc", k=400)), rng.randbytes(300)):
+        grams = []
+        for i in range(len(raw) - suffix.GRAM + 1):
+            window = raw[i : i + suffix.GRAM]
+            total = sum((b + 1) * pow(multiplier, j, size) for j, b in enumerate(window)) % size
+            grams.append(int(suffix._mixed(np.array([total], np.uint64))[0]))
+        places = []
+        for i in range(len(raw) - suffix.WINDOW + 1):
+            places.append(min(range(i, i + suffix.SPAN), key=lambda g: (grams[g] >> 32, g)))
+        hashes, place, first, last = suffix.anchors(raw)
+        assert [p for p, a, b in zip(place, first, last) for _ in range(a, b + 1)] == places
+        assert [int(h) % size for h in hashes.tolist()] == [grams[p] for p in place.tolist()]
+    assert suffix._powers.cache_info().misses <= 1  # not once for every text
