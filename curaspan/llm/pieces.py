@@ -87,6 +87,10 @@ class Vocabulary:
         edges.sort()
         self.tree_key = np.array([k for k, _ in edges], np.int64)
         self.tree_child = np.array([c for _, c in edges], np.int64)
+        # Children of the root, by letter.
+        self.first_child = np.full(self.n_letters, -1, np.int64)
+        roots = self.tree_key < self.n_letters
+        self.first_child[self.tree_key[roots]] = self.tree_child[roots]
         self.node_piece = np.full(len(nodes), -1, np.int64)
         self.node_log = np.zeros(len(nodes))
         for piece, (i, log) in self.pieces.items():
@@ -118,10 +122,16 @@ class Vocabulary:
             here = at + length
             inside = here < end[at]
             at, node, here = at[inside], node[inside], here[inside]
-            key = node * self.n_letters + letters[here]
-            hit = np.minimum(np.searchsorted(self.tree_key, key), len(self.tree_key) - 1)
-            fits = (letters[here] >= 0) & (self.tree_key[hit] == key)
-            at, node = at[fits], self.tree_child[hit[fits]]
+            letter = letters[here]
+            if length == 0:
+                child = np.where(letter >= 0, self.first_child[letter], -1)
+                fits = np.flatnonzero(child >= 0)
+                at, node = at[fits], child[fits]
+            else:
+                key = node * self.n_letters + letter
+                hit = np.minimum(np.searchsorted(self.tree_key, key), len(self.tree_key) - 1)
+                fits = np.flatnonzero((letter >= 0) & (self.tree_key[hit] == key))
+                at, node = at[fits], self.tree_child[hit[fits]]
             length += 1
             full = np.flatnonzero(self.node_piece[node] >= 0)
             where = at[full]
@@ -132,9 +142,20 @@ class Vocabulary:
                 found.append((spelled, np.ones_like(spelled), -codes[spelled], n_bytes * self.byte_weight))
             lengths = np.full(len(where), length)
             found.append((where, lengths, self.node_piece[node[full]], self.node_log[node[full]]))
-        columns = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
-        order = np.argsort(columns[0], kind="stable")
-        return size, *[c[order] for c in columns]
+        if not found:
+            return size, *[np.zeros(0, np.int64)] * 4
+        degree = np.zeros(len(codes), np.int64)
+        for where, *_ in found:  # no place twice in one of them
+            degree[where] += 1
+        free = np.cumsum(degree) - degree
+        n_edges = int(degree.sum())
+        columns = [np.empty(n_edges, c.dtype) for c in found[0][:3]] + [np.empty(n_edges)]
+        for part in found:
+            put = free[part[0]]
+            free[part[0]] += 1
+            for column, values in zip(columns, part):
+                column[put] = values
+        return size, *columns
 
     def decode(self, ids) -> str:
         """Text of a list of piece ids, without the space in front."""
@@ -170,16 +191,30 @@ def _gumbel(bits: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(uniform))
 
 
+class _Numbers(dict):
+    """Number of each chunk, in the order of their first use."""
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        return number
+
+
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of small numbers; two bytes are sorted by their digits."""
+    short = len(keys) and keys.max() < 1 << 16
+    return np.argsort(keys.astype(np.uint16) if short else keys, kind="stable")
+
+
 class _Lattices:
     """The lattices of all chunks of a slice, in flat arrays."""
 
     def __init__(self, vocab: Vocabulary, texts: list[str]):
-        numbers: dict[str, int] = {}
+        numbers = _Numbers()
         token_chunk, size = [], []
         for text in texts:
             chunks = vocab.chunks(text)
             size.append(len(chunks))
-            token_chunk += [numbers.setdefault(c, len(numbers)) for c in chunks]
+            token_chunk += map(numbers.__getitem__, chunks)
         size_of, at, lengths, self.piece, weight = vocab.edges(list(numbers))
         # A place in front of each character and one at the end of each chunk.
         n_chars = int(size_of.sum())
@@ -195,22 +230,28 @@ class _Lattices:
         # From the ends of all chunks: the log weight of all ways on from a place. Divided
         # by it, that of the ways over an edge is the probability of the edge.
         left = (np.cumsum(size_of)[chunk_of] - np.arange(n_chars))[at]
-        by_left = np.argsort(left, kind="stable")
-        stops = np.r_[0, np.cumsum(np.bincount(left))] if len(left) else np.zeros(1, np.int64)
+        by_left = _order(left)
+        stops = np.concatenate(([0], np.cumsum(np.bincount(left)))) if len(left) else np.zeros(1, np.int64)
         onward = np.zeros(len(self.degree))
-        self.log = np.zeros(len(at))
-        for a, b in zip(stops[:-1].tolist(), stops[1:].tolist()):
+        # Edges by level; those of a place stay together, so the places are cut only once.
+        owners, ends, weights = owner[by_left], self.next[by_left], weight[by_left]
+        firsts = np.flatnonzero(np.concatenate((owners[:1] >= 0, owners[1:] != owners[:-1])))
+        groups = np.searchsorted(firsts, stops).tolist()
+        sizes = np.diff(firsts, append=len(owners))
+        logs = np.empty(len(at))
+        for level, (a, b) in enumerate(zip(stops[:-1].tolist(), stops[1:].tolist())):
             if a == b:
                 continue
-            edge = by_left[a:b]
-            ways = weight[edge] + onward[self.next[edge]]
-            first = np.flatnonzero(np.r_[True, owner[edge][1:] != owner[edge][:-1]])
+            group = slice(groups[level], groups[level + 1])
+            ways = weights[a:b] + onward[ends[a:b]]
+            first, size_here = firsts[group] - a, sizes[group]
             highest = np.maximum.reduceat(ways, first)
-            size_here = np.diff(np.r_[first, len(edge)])
             sums = np.add.reduceat(np.exp(ways - np.repeat(highest, size_here)), first)
             total = highest + np.log(sums)
-            onward[owner[edge][first]] = total
-            self.log[edge] = ways - np.repeat(total, size_here)
+            onward[owners[firsts[group]]] = total
+            logs[a:b] = ways - np.repeat(total, size_here)
+        self.log = np.empty(len(at))
+        self.log[by_left] = logs
         probability = np.exp(self.log)
         # The likeliest edge of each place, and for the others the number of the place plus
         # their share up to each: one search for all places.
@@ -253,16 +294,18 @@ class _Lattices:
             if not len(at):
                 break
             bits = seed[at] + self.place[node] * _U64(0xD1B54A32D192ED03)
-            uniform = ((_mix(bits) >> _U64(11)).astype(np.float64) + 0.5) * 2.0**-53
-            top = self.top[node]
             chosen = self.top_edge[node]
-            lower = np.flatnonzero(uniform >= top)
-            if len(lower):
-                share = (uniform[lower] - top[lower]) / (1 - top[lower])
-                place = node[lower] + np.clip(share, 1e-9, 1 - 2e-9)
-                chosen[lower] = np.searchsorted(self.share, place)
             best = np.zeros(len(at))
-            own = np.flatnonzero(noted[at])
+            mine = noted[at]
+            own, drawn = np.flatnonzero(mine), np.flatnonzero(~mine)
+            if len(drawn):
+                uniform = ((_mix(bits[drawn]) >> _U64(11)).astype(np.float64) + 0.5) * 2.0**-53
+                top = self.top[node[drawn]]
+                lower = np.flatnonzero(uniform >= top)
+                if len(lower):
+                    share = (uniform[lower] - top[lower]) / (1 - top[lower])
+                    place = node[drawn[lower]] + np.clip(share, 1e-9, 1 - 2e-9)
+                    chosen[drawn[lower]] = np.searchsorted(self.share, place)
             if len(own):
                 degree = self.degree[node[own]]
                 begin = np.cumsum(degree) - degree

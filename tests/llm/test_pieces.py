@@ -138,3 +138,17 @@ def test_null_empty_repeated_and_clashing(spark):
     assert twice[::2] == twice[1::2]
     assert not any(r["decodes"] for r in out if r["doc_id"] == 3)
     assert sample_digest(df.limit(0), PATH).count() == 0
+
+
+def test_noise_is_hashed_once_for_every_edge_of_a_noted_chunk(monkeypatch):
+    vocab = pieces.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    lattices = pieces._Lattices(vocab, ["the same words again, the same words"])
+    hashed = []
+    mix = pieces._mix
+    monkeypatch.setattr(pieces, "_mix", lambda x: hashed.append(len(x)) or mix(x))
+    token = np.arange(len(lattices.doc))
+    steps, others = lattices.walk(
+        token, lattices.start[token], np.zeros(len(token), np.uint64), np.ones(len(token), bool)
+    )
+    # The chunks' seeds, and all edges of every place on the way.
+    assert sum(hashed) == len(token) + len(steps[0]) + len(others[0])
