@@ -11,7 +11,9 @@ the row key and the place, so a row has the same samples in every run.
 
 from __future__ import annotations
 
+import collections
 import functools
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,15 +28,23 @@ from curaspan.llm.common import raw_texts, text_slices
 
 SPACE = "▁"
 SAMPLES = 3
-# Text that a worker has lattices and noise of at a time.
-SLICE_BYTES = 1_000_000
+# Text that a worker walks through at a time; the arrays of a step then fit its caches.
+SLICE_BYTES = 300_000
+# Characters of chunks whose lattices a worker keeps for its next slices (some 60 bytes each).
+KEPT_CHARACTERS = 4_000_000
 # Siblings are looked at in this many chunks first; more only where that may not suffice.
 FIRST_CHUNKS = 512
+# Steps of a text whose siblings tell which of the others may be among the best, and how far
+# below the best of its place such a sibling is at least.
+FIRST_STEPS = 24
+SMALL_GAP = 1e-3
 # No Gumbel value drawn here, and no correction of one, is larger than this.
 LARGEST = 40.0
 
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _U64 = np.uint64
+_NO_EDGES = np.zeros(0, np.int64)
+_EDGE_STEP = _U64(0x8CB92BA72F3D8DD7)
 
 
 class Vocabulary:
@@ -66,11 +76,12 @@ class Vocabulary:
             self.text[i] = piece.replace(SPACE, " ").encode()
         for b, i in byte_ids.items():
             self.text[i] = bytes([b])
+        self.spelled = pa.array(self.text, pa.large_binary())
         # Pieces that end a run of characters with a space would cross chunks.
         self.crossing = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
 
     def _build_tree(self) -> None:
-        """Prefix tree of the pieces: sorted (node, character) keys with their child nodes."""
+        """Prefix tree of the pieces: (node, character) keys with their child nodes."""
         letters = sorted({c for p in self.pieces for c in p})
         self.letter = np.full(0x110000, -1, np.int64)
         self.letter[[ord(c) for c in letters]] = np.arange(len(letters))
@@ -84,18 +95,49 @@ class Vocabulary:
                     parent = nodes[piece[: n - 1]]
                     key = parent * self.n_letters + int(self.letter[ord(piece[n - 1])])
                     edges.append((key, nodes[piece[:n]]))
-        edges.sort()
-        self.tree_key = np.array([k for k, _ in edges], np.int64)
-        self.tree_child = np.array([c for _, c in edges], np.int64)
+        keys = np.array([k for k, _ in edges], np.int64)
+        children = np.array([c for _, c in edges], np.int64)
         # Children of the root, by letter.
         self.first_child = np.full(self.n_letters, -1, np.int64)
-        roots = self.tree_key < self.n_letters
-        self.first_child[self.tree_key[roots]] = self.tree_child[roots]
+        roots = keys < self.n_letters
+        self.first_child[keys[roots]] = children[roots]
+        # The others by a hash of their key; where that place is taken, at the next free one.
+        keys, children = keys[~roots], children[~roots]
+        self.tree_shift = _U64(64 - max(1, (8 * len(keys)).bit_length()))
+        size = 1 << (64 - int(self.tree_shift))
+        self.tree_key = np.full(size + 1, -1, np.int64)
+        self.tree_child = np.full(size + 1, -1, np.int64)
+        left, slot = np.arange(len(keys)), self._slots(keys)
+        while len(left):
+            free = np.flatnonzero(self.tree_key[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.tree_key[slot[put]], self.tree_child[slot[put]] = keys[left[put]], children[left[put]]
+            rest = np.ones(len(left), bool)
+            rest[put] = False
+            left, slot = left[rest], (slot[rest] + 1) % size
         self.node_piece = np.full(len(nodes), -1, np.int64)
         self.node_log = np.zeros(len(nodes))
         for piece, (i, log) in self.pieces.items():
             self.node_piece[nodes[piece]], self.node_log[nodes[piece]] = i, log
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _U64(0x9E3779B97F4A7C15)) >> self.tree_shift).astype(np.int64)
+
+    def _children(self, keys: np.ndarray) -> np.ndarray:
+        """Node of each key of the prefix tree, -1 where it has none."""
+        slot = self._slots(keys)
+        held = self.tree_key[slot]
+        child = np.where(held == keys, self.tree_child[slot], -1)
+        on = np.flatnonzero((held != keys) & (held >= 0))
+        while len(on):
+            slot[on] = (slot[on] + 1) % (len(self.tree_key) - 1)
+            held = self.tree_key[slot[on]]
+            hit = held == keys[on]
+            child[on[hit]] = self.tree_child[slot[on[hit]]]
+            on = on[~hit & (held >= 0)]
+        return child
+
     def chunks(self, text: str) -> list[str]:
         """Parts of the text that no piece crosses; the text has a space in front."""
         if not text:
@@ -111,7 +153,7 @@ class Vocabulary:
         edge, whose piece is minus its code point.
         """
         codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
-        size = np.array([len(c) for c in chunks], np.int64)
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
         end = np.repeat(np.cumsum(size), size)
         letters = self.letter[codes]
         at, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
@@ -125,13 +167,12 @@ class Vocabulary:
             letter = letters[here]
             if length == 0:
                 child = np.where(letter >= 0, self.first_child[letter], -1)
-                fits = np.flatnonzero(child >= 0)
-                at, node = at[fits], child[fits]
             else:
-                key = node * self.n_letters + letter
-                hit = np.minimum(np.searchsorted(self.tree_key, key), len(self.tree_key) - 1)
-                fits = np.flatnonzero((letter >= 0) & (self.tree_key[hit] == key))
-                at, node = at[fits], self.tree_child[hit[fits]]
+                known = np.flatnonzero(letter >= 0)
+                at, node, letter = at[known], node[known], letter[known]
+                child = self._children(node * self.n_letters + letter)
+            fits = np.flatnonzero(child >= 0)
+            at, node = at[fits], child[fits]
             length += 1
             full = np.flatnonzero(self.node_piece[node] >= 0)
             where = at[full]
@@ -162,17 +203,34 @@ class Vocabulary:
         raw = b"".join(map(self.text.__getitem__, ids))
         return raw.decode(errors="replace").removeprefix(" ")
 
-    def expand(self, ids: np.ndarray) -> np.ndarray:
-        """Piece ids with single characters in place of codes spelled out in bytes."""
+    def decoded(self, ids: np.ndarray) -> tuple[np.ndarray, memoryview]:
+        """Bytes of all pieces one after the other, and where those of each begin."""
+        found = self.spelled.take(pa.array(ids))
+        if not len(found):
+            return np.zeros(1, np.int64), memoryview(b"")
+        _, offsets, data = found.buffers()
+        return np.frombuffer(offsets, np.int64, len(found) + 1), memoryview(data).cast("B")
+
+    def expand(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids with single characters in place of codes spelled out in bytes.
+
+        ``ends`` are places in ``ids``; returned are the ids and the same places in them.
+        """
         codes = np.flatnonzero(ids < 0)
         if not len(codes):
-            return ids
-        spelled = {i: [self.byte_ids[b] for b in chr(-i).encode()] for i in set(ids[codes].tolist())}
+            return ids, ends
+        characters, which = np.unique(ids[codes], return_inverse=True)
+        spelled = [[self.byte_ids[b] for b in chr(-i).encode()] for i in characters.tolist()]
+        n = np.array([len(x) for x in spelled], np.int64)
+        begin = (np.cumsum(n) - n)[which]
+        n = n[which]
         size = np.ones(len(ids), np.int64)
-        size[codes] = [len(spelled[i]) for i in ids[codes].tolist()]
+        size[codes] = n
         out = np.repeat(ids, size)
-        out[out < 0] = [b for i in ids[codes].tolist() for b in spelled[i]]
-        return out
+        put = np.flatnonzero(out < 0)
+        number = np.arange(len(put)) - np.repeat(np.cumsum(n) - n, n)
+        out[put] = np.array([b for x in spelled for b in x])[np.repeat(begin, n) + number]
+        return out, np.concatenate(([0], np.cumsum(size)))[ends]
 
 
 @functools.lru_cache(maxsize=2)
@@ -181,22 +239,27 @@ def vocabulary(path: str, alpha: float = 1.0) -> Vocabulary:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U64(30))) * _U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U64(27))) * _U64(0x94D049BB133111EB)
-    return x ^ (x >> _U64(31))
+    x = x ^ (x >> _U64(30))
+    x *= _U64(0xBF58476D1CE4E5B9)
+    x ^= x >> _U64(27)
+    x *= _U64(0x94D049BB133111EB)
+    x ^= x >> _U64(31)
+    return x
 
 
-def _gumbel(bits: np.ndarray) -> np.ndarray:
-    uniform = ((bits >> _U64(11)).astype(np.float64) + 0.5) * 2.0**-53
-    return -np.log(-np.log(uniform))
-
+def _uniform(bits: np.ndarray) -> np.ndarray:
+    uniform = (bits >> _U64(11)).astype(np.float64)
+    uniform += 0.5
+    uniform *= 2.0**-53
+    return uniform
 
-class _Numbers(dict):
-    """Number of each chunk, in the order of their first use."""
 
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = len(self)
-        return number
+def _gumbel(bits: np.ndarray) -> np.ndarray:
+    x = _uniform(bits)
+    for _ in range(2):
+        np.log(x, out=x)
+        np.negative(x, out=x)
+    return x
 
 
 def _order(keys: np.ndarray) -> np.ndarray:
@@ -205,76 +268,143 @@ def _order(keys: np.ndarray) -> np.ndarray:
     return np.argsort(keys.astype(np.uint16) if short else keys, kind="stable")
 
 
-class _Lattices:
-    """The lattices of all chunks of a slice, in flat arrays."""
+class _Kept:
+    """Lattices of chunks in flat arrays, each made at the first use of its chunk.
 
-    def __init__(self, vocab: Vocabulary, texts: list[str]):
-        numbers = _Numbers()
-        token_chunk, size = [], []
-        for text in texts:
-            chunks = vocab.chunks(text)
-            size.append(len(chunks))
-            token_chunk += map(numbers.__getitem__, chunks)
-        size_of, at, lengths, self.piece, weight = vocab.edges(list(numbers))
-        # A place in front of each character and one at the end of each chunk.
+    A place stands in front of each character and one at the end of each chunk. ``degree``,
+    ``first_edge``, ``place``, ``top_edge`` and ``top`` are by place, ``piece``, ``next`` and
+    ``log`` by edge; the edges of a place lie together, in the order of their lengths.
+    """
+
+    PLACES = {"degree": np.int32, "first_edge": np.int32, "place": np.uint32, "top_edge": np.int32, "top": float}
+    EDGES = {"piece": np.int32, "next": np.int32, "log": float}
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        # Room that is not used takes no memory.
+        for kinds, room in ((self.PLACES, KEPT_CHARACTERS * 3 // 2), (self.EDGES, KEPT_CHARACTERS * 4)):
+            for name, kind in kinds.items():
+                setattr(self, name, np.empty(room, kind))
+        self.starts = np.empty(0, np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        # Number of each chunk, in the order of their first use.
+        self.numbers = collections.defaultdict(itertools.count().__next__)
+        self.n_chunks = self.n_places = self.n_edges = 0
+
+    def _append(self, name: str, at: int, values: np.ndarray) -> None:
+        column = getattr(self, name)
+        if at + len(values) > len(column):
+            larger = np.empty(max(at + len(values), len(column) * 3 // 2), column.dtype)
+            larger[:at] = column[:at]
+            setattr(self, name, larger)
+            column = larger
+        column[at : at + len(values)] = values
+
+    def number(self, chunks: list[str]) -> list[int]:
+        """Numbers of chunks; those without a lattice get one with ``make``."""
+        return list(map(self.numbers.__getitem__, chunks))
+
+    def make(self) -> None:
+        """Make the lattices of the chunks that were numbered since the last call."""
+        new = list(itertools.islice(reversed(self.numbers), len(self.numbers) - self.n_chunks))[::-1]
+        size_of, at, lengths, piece, weight = self.vocab.edges(new)
         n_chars = int(size_of.sum())
         chunk_of = np.repeat(np.arange(len(size_of)), size_of)
-        self.degree = np.zeros(n_chars + len(size_of), np.int64)
         owner = at + chunk_of[at]
-        self.degree += np.bincount(owner, minlength=len(self.degree))
-        self.first_edge = np.cumsum(self.degree) - self.degree
-        self.next = owner + lengths
+        degree = np.bincount(owner, minlength=n_chars + len(size_of))
+        first_edge = np.cumsum(degree) - degree
+        next_ = owner + lengths
         base = np.cumsum(size_of + 1) - size_of - 1
-        self.place = (np.arange(len(self.degree)) - np.repeat(base, size_of + 1)).astype(np.uint64)
-        inner = np.flatnonzero(self.degree)
+        place = np.arange(len(degree)) - np.repeat(base, size_of + 1)
+        inner = np.flatnonzero(degree)
         # From the ends of all chunks: the log weight of all ways on from a place. Divided
         # by it, that of the ways over an edge is the probability of the edge.
-        left = (np.cumsum(size_of)[chunk_of] - np.arange(n_chars))[at]
+        left = np.cumsum(size_of)[chunk_of] - np.arange(n_chars)
         by_left = _order(left)
-        stops = np.concatenate(([0], np.cumsum(np.bincount(left)))) if len(left) else np.zeros(1, np.int64)
-        onward = np.zeros(len(self.degree))
-        # Edges by level; those of a place stay together, so the places are cut only once.
-        owners, ends, weights = owner[by_left], self.next[by_left], weight[by_left]
-        firsts = np.flatnonzero(np.concatenate((owners[:1] >= 0, owners[1:] != owners[:-1])))
-        groups = np.searchsorted(firsts, stops).tolist()
-        sizes = np.diff(firsts, append=len(owners))
+        places = inner[by_left]
+        sizes = degree[places]
+        firsts = np.cumsum(sizes) - sizes
+        edge = np.repeat(first_edge[places] - firsts, sizes) + np.arange(len(at))
+        groups = np.concatenate(([0], np.cumsum(np.bincount(left)))).tolist() if n_chars else [0]
+        onward = np.zeros(len(degree))
+        ends, weights = next_[edge], weight[edge]
         logs = np.empty(len(at))
-        for level, (a, b) in enumerate(zip(stops[:-1].tolist(), stops[1:].tolist())):
-            if a == b:
+        stops = np.append(firsts, len(at))
+        for g, h in zip(groups[:-1], groups[1:]):
+            if g == h:
                 continue
-            group = slice(groups[level], groups[level + 1])
+            a, b = int(stops[g]), int(stops[h])
             ways = weights[a:b] + onward[ends[a:b]]
-            first, size_here = firsts[group] - a, sizes[group]
+            first, size_here = firsts[g:h] - a, sizes[g:h]
             highest = np.maximum.reduceat(ways, first)
             sums = np.add.reduceat(np.exp(ways - np.repeat(highest, size_here)), first)
             total = highest + np.log(sums)
-            onward[owners[firsts[group]]] = total
+            onward[places[g:h]] = total
             logs[a:b] = ways - np.repeat(total, size_here)
-        self.log = np.empty(len(at))
-        self.log[by_left] = logs
-        probability = np.exp(self.log)
-        # The likeliest edge of each place, and for the others the number of the place plus
-        # their share up to each: one search for all places.
-        self.top_edge = np.zeros(len(self.degree), np.int64)
-        self.top = np.zeros(len(self.degree))
+        log = np.empty(len(at))
+        log[edge] = logs
+        probability = np.exp(log)
+        # The likeliest edge of each place.
+        top_edge = np.zeros(len(degree), np.int64)
+        top = np.zeros(len(degree))
         if len(inner):
-            self.top[inner] = np.maximum.reduceat(probability, self.first_edge[inner])
-            hit = np.flatnonzero(probability == self.top[owner])
-            self.top_edge[owner[hit[::-1]]] = hit[::-1]
-        others = probability.copy()
-        others[self.top_edge[inner]] = 0
-        sums = np.cumsum(others)
-        before = np.r_[0.0, sums][self.first_edge][owner]
-        rest = np.maximum(1 - self.top[owner], 1e-300)
-        self.share = owner + np.clip((sums - before) / rest, 0, 1 - 1e-9)
-        last = self.first_edge[inner] + self.degree[inner] - 1
-        self.share[last] = inner + 1 - 1e-9
-        self.start = base[np.array(token_chunk, np.int64)] if token_chunk else np.zeros(0, np.int64)
+            top[inner] = np.maximum.reduceat(probability, first_edge[inner])
+            hit = np.flatnonzero(probability == top[owner])
+            top_edge[owner[hit[::-1]]] = hit[::-1]
+        for name, values in (
+            ("degree", degree), ("first_edge", first_edge + self.n_edges), ("place", place),
+            ("top_edge", top_edge + self.n_edges), ("top", top),
+        ):
+            self._append(name, self.n_places, values)
+        for name, values in (
+            ("piece", piece), ("next", next_ + self.n_places), ("log", log),
+        ):
+            self._append(name, self.n_edges, values)
+        self._append("starts", self.n_chunks, base + self.n_places)
+        self.n_chunks += len(new)
+        self.n_places += len(degree)
+        self.n_edges += len(at)
+
+
+class _Lattices:
+    """The lattices of all chunks of a slice."""
+
+    def __init__(self, vocab: Vocabulary, texts: list[str], kept: _Kept | None = None):
+        kept = _Kept(vocab) if kept is None else kept
+        if kept.n_places > KEPT_CHARACTERS:
+            kept.clear()
+        token_chunk, size = [], []
+        for text in texts:
+            chunks = vocab.chunks(text)
+            size.append(len(chunks))
+            token_chunk += kept.number(chunks)
+        kept.make()
+        for name in (*kept.PLACES, *kept.EDGES):
+            setattr(self, name, getattr(kept, name))
+        self.start = kept.starts[np.array(token_chunk, np.int64)]
         self.size = np.array(size, np.int64)
         self.doc = np.repeat(np.arange(len(texts)), self.size)
         self.first_token = np.cumsum(self.size) - self.size
         self.index = (np.arange(len(self.doc)) - self.first_token[self.doc]).astype(np.uint64)
 
+    def _drawn(self, node: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """First edge of each place with which the edges but the likeliest reach the given share.
+
+        ``share`` is that of their probability together; the last edge reaches all.
+        """
+        edge = self.first_edge[node].astype(np.int64)
+        last = edge + self.degree[node] - 1
+        top = self.top_edge[node]
+        left = share * (1 - self.top[node])
+        on = np.arange(len(edge))
+        while len(on):
+            left[on] -= np.where(edge[on] == top[on], 0, np.exp(self.log[edge[on]]))
+            on = on[(left[on] > 0) & (edge[on] < last[on])]
+            edge[on] += 1
+        return edge
+
     def walk(self, token: np.ndarray, node: np.ndarray, seed: np.ndarray, noted: np.ndarray):
         """Choose a way through each given chunk, from the given node to its end.
 
@@ -287,41 +417,48 @@ class _Lattices:
         steps, others = [], []
         n_steps = taken = 0
         length = np.zeros(len(token), np.int64)
-        at = np.arange(len(token))
+        # Chunks in the order of their lattices, so that equal ones are read together.
+        at = np.argsort(node)
+        node = node[at]
         while True:
-            open_ = self.degree[node] > 0
-            at, node = at[open_], node[open_]
+            degree = self.degree[node]
+            open_ = np.flatnonzero(degree)
+            if len(open_) < len(at):
+                at, node, degree = at[open_], node[open_], degree[open_]
             if not len(at):
                 break
             bits = seed[at] + self.place[node] * _U64(0xD1B54A32D192ED03)
-            chosen = self.top_edge[node]
+            chosen = self.top_edge[node].astype(np.int64)
             best = np.zeros(len(at))
             mine = noted[at]
             own, drawn = np.flatnonzero(mine), np.flatnonzero(~mine)
             if len(drawn):
-                uniform = ((_mix(bits[drawn]) >> _U64(11)).astype(np.float64) + 0.5) * 2.0**-53
+                uniform = _uniform(_mix(bits[drawn]))
                 top = self.top[node[drawn]]
                 lower = np.flatnonzero(uniform >= top)
                 if len(lower):
                     share = (uniform[lower] - top[lower]) / (1 - top[lower])
-                    place = node[drawn[lower]] + np.clip(share, 1e-9, 1 - 2e-9)
-                    chosen[drawn[lower]] = np.searchsorted(self.share, place)
+                    share = np.clip(share, 1e-9, 1 - 2e-9)
+                    chosen[drawn[lower]] = self._drawn(node[drawn[lower]], share)
             if len(own):
-                degree = self.degree[node[own]]
-                begin = np.cumsum(degree) - degree
-                owner = np.repeat(np.arange(len(own)), degree)
-                rank = np.arange(len(owner)) - begin[owner]
-                edge = self.first_edge[node[own]][owner] + rank
-                noise = bits[own][owner] + (rank.astype(np.uint64) + _U64(1)) * _U64(0x8CB92BA72F3D8DD7)
+                sizes = degree[own]
+                begin = np.cumsum(sizes) - sizes
+                first = self.first_edge[node[own]].astype(np.int64)
+                edge = np.repeat(first - begin, sizes) + np.arange(begin[-1] + sizes[-1])
+                # The noise of an edge is that of its place and its number there, from one.
+                noise = bits[own] - (first - 1).astype(np.uint64) * _EDGE_STEP
+                noise = np.repeat(noise, sizes) + edge.astype(np.uint64) * _EDGE_STEP
                 value = self.log[edge] + _gumbel(_mix(noise))
                 high = np.maximum.reduceat(value, begin)
-                hit = np.flatnonzero(value == high[owner])
-                hit = hit[np.r_[True, owner[hit][1:] != owner[hit][:-1]]]
+                hit = np.flatnonzero(value == np.repeat(high, sizes))
+                if len(hit) > len(own):
+                    owner = np.searchsorted(begin, hit, "right")
+                    hit = hit[np.concatenate(([True], owner[1:] != owner[:-1]))]
                 chosen[own], best[own] = edge[hit], high
                 rest = np.ones(len(edge), bool)
                 rest[hit] = False
-                others.append((own[owner[rest]] + n_steps, edge[rest], value[rest]))
-            steps.append((at, np.full(len(at), taken), chosen, best))
+                others.append((np.repeat(own + n_steps, sizes - 1), edge[rest], value[rest]))
+            steps.append((at, chosen, best))
             n_steps += len(at)
             length[at] += 1
             node = self.next[chosen]
@@ -329,15 +466,17 @@ class _Lattices:
         none = np.zeros(0, np.int64)
         if not steps:
             return (none, none, none.astype(float)), (none, none, none.astype(float))
-        at, number, chosen, best = (np.concatenate(x) for x in zip(*steps))
-        position = (np.cumsum(length) - length)[at] + number
-        order = np.empty(len(at), np.int64)
-        order[position] = np.arange(len(at))
-        found = (token[at[order]], chosen[order], best[order])
+        begin = np.cumsum(length) - length
+        position = np.concatenate([begin[s[0]] + i for i, s in enumerate(steps)])
+        found = [np.repeat(token, length)]
+        for i in (1, 2):
+            values = np.concatenate([s[i] for s in steps])
+            found.append(np.empty_like(values))
+            found[-1][position] = values
         if not others:
-            return found, (none, none, none.astype(float))
+            return tuple(found), (none, none, none.astype(float))
         owner, edge, value = (np.concatenate(x) for x in zip(*others))
-        return found, (position[owner], edge, value)
+        return tuple(found), (position[owner], edge, value)
 
 
 def _values(bound: float, plain: np.ndarray, gap: np.ndarray) -> np.ndarray:
@@ -350,6 +489,25 @@ def _values(bound: float, plain: np.ndarray, gap: np.ndarray) -> np.ndarray:
     return bound - np.maximum(v, 0) - np.log1p(np.exp(-np.abs(v)))
 
 
+def _floor(
+    own: np.ndarray, start: np.ndarray, sums: np.ndarray, owner: np.ndarray, value: np.ndarray, k: int
+) -> np.ndarray:
+    """Per step, a value below which no sibling with more than a small gap is among the best k.
+
+    They come after the ``k`` largest of the first steps alone, even with the largest
+    correction that ``_values`` has for such a gap.
+    """
+    early = np.arange(len(own)) - start[own] < FIRST_STEPS
+    some = np.flatnonzero(early[owner])
+    text, ahead = own[owner[some]], sums[owner[some]] + value[some]
+    order = np.lexsort((-ahead, text))
+    count = np.bincount(text, minlength=len(start))
+    enough = np.flatnonzero(count >= k)
+    least = np.full(len(start), -np.inf)
+    least[enough] = ahead[order[(np.cumsum(count) - count)[enough] + k - 1]]
+    return least[own] + np.log(-np.expm1(-SMALL_GAP)) - 1e-6 - sums[:-1]
+
+
 class _Text:
     """The search for one text: its paths and the states that wait."""
 
@@ -373,7 +531,7 @@ class _Text:
         token = np.arange(int(old_tokens[step]), end)
         node = lattices.start[token]
         node[0] = lattices.next[edge]
-        edges = np.r_[old_edges[:step], edge]
+        edges = np.append(old_edges[:step], edge)
         return token, node, (old_tokens[: step + 1], edges, float(lattices.log[edges].sum()))
 
 
@@ -399,11 +557,16 @@ def _walk_texts(lattices: _Lattices, texts: list[_Text], round_: int, k: int, wh
     start = np.searchsorted(own, np.arange(len(texts)))
     end = np.searchsorted(own, np.arange(len(texts)), "right")
     log = lattices.log[edge]
-    sums = np.r_[0.0, np.cumsum(log)]
-    by_text = np.argsort(own[owner], kind="stable")
-    owner, other, value = owner[by_text], other[by_text], value[by_text]
-    low = np.searchsorted(own[owner], np.arange(len(texts)))
-    high = np.searchsorted(own[owner], np.arange(len(texts)), "right")
+    sums = np.concatenate(([0.0], np.cumsum(log)))
+    gap = value - top[owner]
+    able = np.flatnonzero((value >= _floor(own, start, sums, owner, value, k)[owner]) | (gap > -SMALL_GAP))
+    owner, other, value, gap = owner[able], other[able], value[able], gap[able]
+    of = own[owner]
+    by_text = _order(of)
+    owner, other, value, gap = owner[by_text], other[by_text], value[by_text], gap[by_text]
+    high = np.cumsum(np.bincount(of, minlength=len(texts)))
+    low = np.concatenate(([0], high[:-1]))
+    ahead = sums[owner] + value
     again = []
     for i, text in enumerate(texts):
         a, b = int(start[i]), int(end[i])
@@ -411,7 +574,7 @@ def _walk_texts(lattices: _Lattices, texts: list[_Text], round_: int, k: int, wh
         bound = text.state[0]
         s = slice(int(low[i]), int(high[i]))
         at, options = owner[s], other[s]
-        plain = above + sums[at] - sums[a] + value[s]
+        plain = ahead[s] + (above - sums[a])
         if not whole and sizes[i] > FIRST_CHUNKS:
             # The first step that was not looked at, and the most its siblings may reach.
             last = int(parts[i][0][FIRST_CHUNKS - 1])
@@ -421,11 +584,11 @@ def _walk_texts(lattices: _Lattices, texts: list[_Text], round_: int, k: int, wh
             if most > min(bound, least) - 1:
                 again.append(text)
                 continue
-        values = _values(bound, plain, value[s] - top[at])
+        values = _values(bound, plain, gap[s])
         text.paths.append(
             (
-                np.r_[tokens, token[a:b]],
-                np.r_[edges, edge[a:b]],
+                np.concatenate((tokens, token[a:b])),
+                np.concatenate((edges, edge[a:b])),
                 above + float(sums[b] - sums[a]),
                 bound,
             )
@@ -441,13 +604,16 @@ def _walk_texts(lattices: _Lattices, texts: list[_Text], round_: int, k: int, wh
     return again
 
 
-def sample_texts(vocab: Vocabulary, texts: list[str], seeds: np.ndarray, k: int):
+def sample_texts(
+    vocab: Vocabulary, texts: list[str], seeds: np.ndarray, k: int, kept: _Kept | None = None
+):
     """Up to ``k`` distinct segmentations of every text, best perturbed value first.
 
     Returns per text a list of (piece ids, log probability, perturbed value, log
     inclusion probability). The last one is taken at the first value not sampled.
+    ``kept`` has lattices of earlier calls and gets those of this one.
     """
-    lattices = _Lattices(vocab, texts)
+    lattices = _Lattices(vocab, texts, kept)
     best = _gumbel(_mix(seeds ^ _U64(0xA0761D6478BD642F)))
     searches = [_Text(i, seeds[i], float(best[i])) for i in range(len(texts))]
     for round_ in range(k):
@@ -457,14 +623,18 @@ def sample_texts(vocab: Vocabulary, texts: list[str], seeds: np.ndarray, k: int)
         again = _walk_texts(lattices, active, round_, k, whole=False)
         if again:
             _walk_texts(lattices, again, round_, k, whole=True)
+    edges = [path[1] for text in searches for path in text.paths]
+    ends = np.cumsum([0, *map(len, edges)])
+    ids, ends = vocab.expand(lattices.piece[np.concatenate([_NO_EDGES, *edges])], ends)
+    ends = iter(zip(ends[:-1].tolist(), ends[1:].tolist()))
     out = []
     for text in searches:
         after = text.state[0] if text.state is not None else -np.inf
         rows = []
-        for _, edges, log, value in text.paths:
+        for _, _, log, value in text.paths:
             odds = log - after  # log(1 - exp(-exp(odds)))
             share = np.log(-np.expm1(-np.exp(odds))) if -30 < odds < 30 else min(odds, 0.0)
-            rows.append((vocab.expand(lattices.piece[edges]), log, value, float(share)))
+            rows.append((ids[slice(*next(ends))], log, value, float(share)))
         out.append(rows)
     return out
 
@@ -480,24 +650,25 @@ _SAMPLE = (
 )
 
 
-def _sampled(docs: DataFrame, model: str, id_col: str, text_col: str, k, alpha, fields, row):
+def _sampled(docs: DataFrame, model: str, id_col: str, text_col: str, k, alpha, fields, columns):
     schema = docs.select(id_col).schema
     for field in docs.sparkSession.createDataFrame([], fields).schema:
         schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model, alpha)
+        kept = _Kept(vocab)
+        kinds = _ARROW[fields].types
         for part in text_slices(batches, 1, SLICE_BYTES):
-            texts = [raw.decode() for raw in raw_texts(part.column(1))]
+            raw = raw_texts(part.column(1))
             seeds = row_seeds(part.column(0).to_pylist())
-            owner, rows = [], []
-            for i, found in enumerate(sample_texts(vocab, texts, seeds, k)):
-                for number, sample in enumerate(found):
-                    owner.append(i)
-                    rows.append(row(vocab, texts[i], number, *sample))
+            found = sample_texts(vocab, [r.decode() for r in raw], seeds, k, kept)
+            owner = [i for i, samples in enumerate(found) for _ in samples]
+            number = [n for samples in found for n in range(len(samples))]
+            samples = list(zip(*[sample for samples in found for sample in samples]))
+            made = columns(vocab, [raw[i] for i in owner], *samples)
             arrays = [part.column(0).take(pa.array(owner, pa.int64()))]
-            kinds = pa.RecordBatch.from_pylist([], schema=_ARROW[fields]).schema.types
-            arrays += [pa.array(v, t) for v, t in zip(zip(*rows), kinds)]
+            arrays += [pa.array(v, t) for v, t in zip([number, *made], kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col).alias("__text")).mapInArrow(run, schema)
@@ -520,10 +691,10 @@ def sample_pieces(
     the same id and text get the same samples. Other columns are not read.
     """
 
-    def row(vocab, text, number, ids, log, value, share):
-        return number, ids.tolist(), log, value, share
+    def columns(vocab, raw, ids, *values):
+        return [x.tolist() for x in ids], *values
 
-    return _sampled(docs, model, id_col, text_col, k, alpha, _SAMPLE, row)
+    return _sampled(docs, model, id_col, text_col, k, alpha, _SAMPLE, columns)
 
 
 def decode_pieces(df: DataFrame, model: str, ids_col: str = "ids", output: str = "text") -> DataFrame:
@@ -577,8 +748,15 @@ def sample_digest(
     visible space character do not.
     """
 
-    def row(vocab, text, number, ids, log, value, share):
-        crc = zlib.crc32(ids.astype("<u4").tobytes())
-        return number, len(ids), crc, log, value, share, vocab.decode(ids.tolist()) == text
-
-    return _sampled(docs, model, id_col, text_col, k, alpha, _DIGEST, row)
+    def columns(vocab, raw, ids, *values):
+        crcs = [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
+        begin, data = vocab.decoded(np.concatenate(ids))
+        ends = begin[np.cumsum([0, *map(len, ids)])].tolist()
+        decodes = []
+        for text, x, a, b in zip(raw, ids, ends, ends[1:]):
+            # The text has a space in front.
+            same = b - a == len(text) + 1 and data[a] == 32 and data[a + 1 : b] == text
+            decodes.append(same or vocab.decode(x.tolist()) == text.decode())
+        return [len(x) for x in ids], crcs, *values, decodes
+
+    return _sampled(docs, model, id_col, text_col, k, alpha, _DIGEST, columns)

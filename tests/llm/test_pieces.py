@@ -152,3 +152,47 @@ def test_noise_is_hashed_once_for_every_edge_of_a_noted_chunk(monkeypatch):
     )
     # The chunks' seeds, and all edges of every place on the way.
     assert sum(hashed) == len(token) + len(steps[0]) + len(others[0])
+
+
+def test_lattices_are_made_once_for_all_slices_and_change_no_sample(monkeypatch):
+    vocab = pieces.vocabulary(PATH)
+    made = []
+    edges = vocab.edges
+    monkeypatch.setattr(vocab, "edges", lambda chunks: made.extend(chunks) or edges(chunks))
+    texts = ["one text of words", "words of another text, é日", "", "one text of words of 日"]
+    seeds = row_seeds(list(range(4)))
+    kept = pieces._Kept(vocab)
+    found = [sample_texts(vocab, [t], seeds[i : i + 1], 3, kept)[0] for i, t in enumerate(texts)]
+    assert len(made) == len(set(made)) == 8
+    # Nor does it matter that the kept ones are given up.
+    monkeypatch.setattr(pieces, "KEPT_CHARACTERS", 10)
+    kept = pieces._Kept(vocab)
+    again = [sample_texts(vocab, [t], seeds[i : i + 1], 3, kept)[0] for i, t in enumerate(texts)]
+    for rows in (found, again):
+        for own, alone in zip(rows, sample_texts(vocab, texts, seeds, 3)):
+            assert [r[0].tolist() for r in own] == [r[0].tolist() for r in alone]
+            assert [r[1:] for r in own] == [pytest.approx(r[1:], abs=1e-9) for r in alone]
+
+
+def test_siblings_left_out_early_are_not_among_the_best(monkeypatch):
+    vocab = pieces.vocabulary(PATH, 0.2)
+    texts = ["the of " * 60 + "x" * i for i in range(120)] + ["a", "the the"]
+    seeds = row_seeds(list(range(len(texts))))
+    found = sample_texts(vocab, texts, seeds, 4)
+    floor = pieces._floor
+    assert sum(np.isfinite(floor(np.zeros(2, int), np.zeros(1, int), np.zeros(3), np.zeros(4, int), np.arange(4.0), 4))) == 2
+    monkeypatch.setattr(pieces, "_floor", lambda own, *rest: np.full(len(own), -np.inf))
+    for with_, without in zip(found, sample_texts(vocab, texts, seeds, 4)):
+        assert [r[0].tolist() for r in with_] == [r[0].tolist() for r in without]
+        assert [r[1:] for r in with_] == [r[1:] for r in without]
+
+
+def test_codes_are_spelled_and_pieces_decoded_for_a_slice_at_once():
+    vocab = pieces.vocabulary(PATH)
+    ids, ends = vocab.expand(np.array([5, -ord("😀"), 7, -ord("\n"), -ord("😀")]), np.array([0, 2, 2, 5]))
+    smile = [vocab.byte_ids[b] for b in "😀".encode()]
+    assert ids.tolist() == [5, *smile, 7, vocab.byte_ids[10], *smile]
+    assert ends.tolist() == [0, 5, 5, 11]
+    begin, data = vocab.decoded(ids)
+    assert bytes(data[begin[1] : begin[5]]) == "😀".encode()
+    assert [bytes(data[a:b]) for a, b in zip(begin, begin[1:])] == [vocab.text[i] for i in ids]
