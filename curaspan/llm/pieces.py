@@ -28,8 +28,8 @@ from curaspan.llm.common import raw_texts, text_slices
 
 SPACE = "▁"
 SAMPLES = 3
-# Text that a worker walks through at a time; the arrays of a step then fit its caches.
-SLICE_BYTES = 300_000
+# Text that a worker walks through at a time.
+SLICE_BYTES = 1_000_000
 # Characters of chunks whose lattices a worker keeps for its next slices (some 60 bytes each).
 KEPT_CHARACTERS = 4_000_000
 # Siblings are looked at in this many chunks first; more only where that may not suffice.
@@ -145,6 +145,14 @@ class Vocabulary:
         marked = SPACE + text.replace(" ", SPACE)
         return [marked] if self.crossing else _CHUNK.findall(marked)
 
+    def words(self, text: str) -> list[str]:
+        """The chunks, all without the space they begin with."""
+        if text and not self.crossing and SPACE not in text:
+            words = text.split(" ")
+            if "" not in words:
+                return words
+        return [chunk[1:] for chunk in self.chunks(text)]
+
     def edges(self, chunks: list[str]):
         """Edges of the lattices of all chunks: character, length, piece, log weight.
 
@@ -302,13 +310,14 @@ class _Kept:
             column = larger
         column[at : at + len(values)] = values
 
-    def number(self, chunks: list[str]) -> list[int]:
-        """Numbers of chunks; those without a lattice get one with ``make``."""
-        return list(map(self.numbers.__getitem__, chunks))
+    def number(self, words: list[str]) -> list[int]:
+        """Numbers of the chunks of ``words``; those without a lattice get one with ``make``."""
+        return list(map(self.numbers.__getitem__, words))
 
     def make(self) -> None:
         """Make the lattices of the chunks that were numbered since the last call."""
-        new = list(itertools.islice(reversed(self.numbers), len(self.numbers) - self.n_chunks))[::-1]
+        new = list(itertools.islice(reversed(self.numbers), len(self.numbers) - self.n_chunks))
+        new = [SPACE + word for word in reversed(new)]
         size_of, at, lengths, piece, weight = self.vocab.edges(new)
         n_chars = int(size_of.sum())
         chunk_of = np.repeat(np.arange(len(size_of)), size_of)
@@ -377,9 +386,9 @@ class _Lattices:
             kept.clear()
         token_chunk, size = [], []
         for text in texts:
-            chunks = vocab.chunks(text)
-            size.append(len(chunks))
-            token_chunk += kept.number(chunks)
+            words = vocab.words(text)
+            size.append(len(words))
+            token_chunk += kept.number(words)
         kept.make()
         for name in (*kept.PLACES, *kept.EDGES):
             setattr(self, name, getattr(kept, name))
@@ -416,7 +425,6 @@ class _Lattices:
         seed = _mix(seed + self.index[token] * _U64(0x9E3779B97F4A7C15))
         steps, others = [], []
         n_steps = taken = 0
-        length = np.zeros(len(token), np.int64)
         # Chunks in the order of their lattices, so that equal ones are read together.
         at = np.argsort(node)
         node = node[at]
@@ -428,18 +436,19 @@ class _Lattices:
             if not len(at):
                 break
             bits = seed[at] + self.place[node] * _U64(0xD1B54A32D192ED03)
-            chosen = self.top_edge[node].astype(np.int64)
-            best = np.zeros(len(at))
+            chosen, best = np.empty(len(at), np.int64), np.zeros(len(at))
             mine = noted[at]
             own, drawn = np.flatnonzero(mine), np.flatnonzero(~mine)
             if len(drawn):
                 uniform = _uniform(_mix(bits[drawn]))
-                top = self.top[node[drawn]]
+                places = node[drawn]
+                top, edge = self.top[places], self.top_edge[places]
                 lower = np.flatnonzero(uniform >= top)
                 if len(lower):
                     share = (uniform[lower] - top[lower]) / (1 - top[lower])
                     share = np.clip(share, 1e-9, 1 - 2e-9)
-                    chosen[drawn[lower]] = self._drawn(node[drawn[lower]], share)
+                    edge[lower] = self._drawn(places[lower], share)
+                chosen[drawn] = edge
             if len(own):
                 sizes = degree[own]
                 begin = np.cumsum(sizes) - sizes
@@ -460,12 +469,12 @@ class _Lattices:
                 others.append((np.repeat(own + n_steps, sizes - 1), edge[rest], value[rest]))
             steps.append((at, chosen, best))
             n_steps += len(at)
-            length[at] += 1
             node = self.next[chosen]
             taken += 1
         none = np.zeros(0, np.int64)
         if not steps:
             return (none, none, none.astype(float)), (none, none, none.astype(float))
+        length = np.bincount(np.concatenate([s[0] for s in steps]), minlength=len(token))
         begin = np.cumsum(length) - length
         position = np.concatenate([begin[s[0]] + i for i, s in enumerate(steps)])
         found = [np.repeat(token, length)]
@@ -538,7 +547,7 @@ class _Text:
 def _walk_texts(lattices: _Lattices, texts: list[_Text], round_: int, k: int, whole: bool):
     """One more path for every text; returns the texts whose siblings were not all looked at."""
     parts = [t.begin(lattices) for t in texts]
-    sizes = np.array([len(p[0]) for p in parts], np.int64)
+    sizes = np.fromiter((len(p[0]) for p in parts), np.int64, len(parts))
     token = np.concatenate([p[0] for p in parts])
     node = np.concatenate([p[1] for p in parts])
     which = np.repeat(np.arange(len(texts)), sizes)
